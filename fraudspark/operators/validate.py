@@ -42,15 +42,21 @@ def validation_summary(df: DataFrame) -> DataFrame:
     return df.agg(*aggs)
 
 
-def validate_raw_transactions(df: DataFrame) -> None:
+def validate_raw_transactions(df: DataFrame, *, hot_customer_rows: int | None = None) -> list:
     """Raise `SchemaValidationError` on the first contract violation.
 
     Order: missing columns, nulls, timestamp type, negative amount, label.
+    With `hot_customer_rows`, the same single job also returns the ids of
+    customers with more rows than that (at most N / hot_customer_rows ids).
     """
     missing = [c for c in REQUIRED if c not in df.columns]
     if missing:
         raise S.SchemaValidationError(f"missing required columns: {', '.join(sorted(missing))}")
-    row = validation_summary(df).first().asDict()
+    if hot_customer_rows is None:
+        row = validation_summary(df).first().asDict()
+        hot = []
+    else:
+        row, hot = _summary_and_hot(df, hot_customer_rows)
     nulls = {c: row[f"null_{c}"] for c in REQUIRED if row[f"null_{c}"]}
     if nulls:
         detail = ", ".join(f"{c}={n}" for c, n in sorted(nulls.items()))
@@ -64,75 +70,31 @@ def validate_raw_transactions(df: DataFrame) -> None:
         )
     if row.get("invalid_labels"):
         raise S.SchemaValidationError(f"{S.LABEL} must be 0/1; found {list(row['invalid_labels'])}")
+    return hot
 
 
-# ---------------------------------------------------------------------------
-# Per-event contract (one event at the edge): split into good and rejected
-# ---------------------------------------------------------------------------
-_TEXT_FIELDS = ["transaction_id", "customer_id", "merchant_id", "merchant_category"]
-_COUNTRY_FIELDS = ["country", "customer_home_country"]
-ALLOWED_FIELDS = [f.name for f in S.RAW_SCHEMA.fields if f.name != S.LABEL]
-
-
-def quarantine_reasons(df: DataFrame) -> Column:
-    """array<string> of every rule the row breaks (empty when valid)."""
-    checks = []
-    for c in _TEXT_FIELDS:
-        checks.append(F.when(F.col(c).isNull() | (F.length(F.col(c).cast("string")) < 1), F.lit(f"{c}:empty")))
-    checks.append(F.when(F.col(S.EVENT_TIME).isNull(), F.lit(f"{S.EVENT_TIME}:missing")))
-    amt = F.col(S.AMOUNT)
-    checks.append(
-        F.when(amt.isNull() | (amt < 0) | (amt > F.lit(S.MAX_AMOUNT)), F.lit("amount:out_of_range"))
-    )
-    for c in _COUNTRY_FIELDS:
-        checks.append(
-            F.when(F.col(c).isNull() | (F.length(F.col(c)) != S.COUNTRY_CODE_LENGTH), F.lit(f"{c}:not_2_letters"))
-        )
-    checks.append(F.when(F.col("card_present").isNull(), F.lit("card_present:missing")))
-    return F.filter(F.array(*checks), lambda x: x.isNotNull())
-
-
-def quarantine(df: DataFrame) -> DataFrame:
-    """Tag each row with `reasons` and `is_valid` (no data leaves the cluster)."""
-    reasons = quarantine_reasons(df)
-    if "_unknown_fields" in df.columns:
-        reasons = F.concat(
-            reasons,
-            F.transform(F.col("_unknown_fields"), lambda k: F.concat(F.lit("unknown_field:"), k)),
-        )
-    out = df.withColumn("reasons", reasons)
-    return out.withColumn("is_valid", F.size("reasons") == 0)
-
-
-def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    tagged = quarantine(df)
-    good = tagged.filter("is_valid").drop("reasons", "is_valid")
-    rejected = tagged.filter(~F.col("is_valid"))
-    return good, rejected
-
-
-def parse_events_json(raw: DataFrame, column: str = "payload") -> DataFrame:
-    """Parse JSON event payloads; record fields outside the contract.
-
-    Unknown fields are forbidden by the contract: they are listed in
-    `_unknown_fields` so `quarantine` rejects the row instead of ignoring them.
-    """
-    fields = [f for f in S.RAW_SCHEMA.fields if f.name != S.LABEL]
-    text_schema = T.StructType(
-        [T.StructField(f.name, T.StringType() if f.name != S.AMOUNT else T.DoubleType(), True) for f in fields]
-    )
-    allowed = F.array(*[F.lit(n) for n in ALLOWED_FIELDS])
-    parsed = raw.select(
-        F.from_json(F.col(column), text_schema).alias("_p"),
-        F.array_except(F.json_object_keys(F.col(column)), allowed).alias("_unknown_fields"),
-    )
-    from fraudspark.functions.expr import to_naive_utc
-
-    return parsed.select(
-        *[F.col(f"_p.{n}").alias(n) for n in _TEXT_FIELDS],
-        to_naive_utc(F.col("_p.event_time")).alias(S.EVENT_TIME),
-        F.col("_p.amount").cast(S.MONEY).alias(S.AMOUNT),
-        *[F.col(f"_p.{n}").alias(n) for n in _COUNTRY_FIELDS],
-        F.col("_p.card_present").cast("boolean").alias("card_present"),
-        "_unknown_fields",
-    )
+def _summary_and_hot(df: DataFrame, hot_customer_rows: int) -> tuple[dict, list]:
+    """Validation counts and hot customers in one job: per-customer partial
+    counts (codegen'd hash aggregate, one shuffle of partial aggregates), then
+    a one-row total. The distinct bad labels are only listed (second job) when
+    there are any, i.e. on the error path."""
+    present = [c for c in REQUIRED if c in df.columns]
+    has_amount = S.AMOUNT in df.columns and isinstance(df.schema[S.AMOUNT].dataType, T.NumericType)
+    has_label = S.LABEL in df.columns
+    per_aggs = [F.count(F.lit(1)).alias("_rows")]
+    per_aggs += [_null_expr(df, c).cast("bigint").alias(f"null_{c}") for c in present]
+    if has_amount:
+        per_aggs.append(F.count_if(F.col(S.AMOUNT) < 0).cast("bigint").alias("n_negative_amount"))
+    if has_label:
+        per_aggs.append(F.count_if(~F.col(S.LABEL).cast("bigint").isin(0, 1)).cast("bigint").alias("_n_bad"))
+    per = df.groupBy("customer_id").agg(*per_aggs)
+    final = [F.sum(f"null_{c}").cast("bigint").alias(f"null_{c}") for c in present]
+    if has_amount:
+        final.append(F.sum("n_negative_amount").cast("bigint").alias("n_negative_amount"))
+    if has_label:
+        final.append(F.sum("_n_bad").cast("bigint").alias("_n_bad"))
+    final.append(F.collect_list(F.when(F.col("_rows") > hot_customer_rows, F.col("customer_id"))).alias("_hot"))
+    row = per.agg(*final).first().asDict()
+    if row.pop("_n_bad", 0):
+        row["invalid_labels"] = validation_summary(df).first()["invalid_labels"]
+    return row, list(row.pop("_hot") or [])

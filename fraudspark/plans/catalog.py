@@ -54,8 +54,16 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_transactions(spark, sf_dir)
 
 
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FE.build_features(transactions(spark, sf_dir))
+def features(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
+    """Feature frame; `materialize` checkpoints it (reliable, in the shared
+    checkpoint folder) when several jobs of one query reuse it."""
+    df = FE.build_features(transactions(spark, sf_dir))
+    if materialize:
+        from fraudspark.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(spark)
+        df = df.checkpoint(eager=True)
+    return df
 
 
 # ------------------------------------------------------------------ scans
@@ -89,3 +97,249 @@ for _name, _cols in {
     "amount_vs_customer_mean": ["amount_vs_customer_mean"],
 }.items():
     QUERIES[_name] = _feature_query(_cols)
+
+
+# ------------------------------------------------------------------ split + metrics
+from fraudspark.operators import metrics as ME  # noqa: E402
+from fraudspark.operators import split as SP  # noqa: E402
+
+SCORE_A = "score_A"
+SCORE_B = "score_B"
+LABELLED_FROM, LABELLED_TO = "2024-01-05 00:00:00", "2024-01-20 00:00:00"
+
+
+def pseudo_scores(df: DataFrame) -> DataFrame:
+    """Deterministic stand-in scores in [0, 1) for two variants (integer arithmetic)."""
+    tid, lab = F.col("transaction_id").cast("bigint"), F.col(S.LABEL)
+    a = (F.pmod(tid * 104729, F.lit(1000)) + 400 * lab).cast("double") / F.lit(1400.0)
+    b = (F.pmod(tid * 15485863, F.lit(1000)) + 250 * lab).cast("double") / F.lit(1250.0)
+    return df.withColumn(SCORE_A, a).withColumn(SCORE_B, b)
+
+
+def split_frame(spark, sf_dir):
+    return SP.temporal_split(features(spark, sf_dir, materialize=True))
+
+
+def scored_split(spark, sf_dir):
+    return pseudo_scores(split_frame(spark, sf_dir)).checkpoint(eager=True)
+
+
+def long_part(scored: DataFrame, part: str) -> DataFrame:
+    return ME.long_scores(scored.filter(F.col("split") == part), {"A": SCORE_A, "B": SCORE_B})
+
+
+def fitted(spark, sf_dir):
+    """(scored split frame, validation thresholds, test long scores)."""
+    sc = scored_split(spark, sf_dir)
+    thr = ME.optimal_threshold(long_part(sc, "validation"))
+    return sc, thr, long_part(sc, "test")
+
+
+@query("temporal_rank")
+def q_temporal_rank(spark, sf_dir):
+    return SP.temporal_rank(SP.labelled(features(spark, sf_dir))).select("transaction_id", "time_rank")
+
+
+@query("temporal_split")
+def q_temporal_split(spark, sf_dir):
+    return split_frame(spark, sf_dir).select("transaction_id", "split")
+
+
+@query("labelled_filter")
+def q_labelled_filter(spark, sf_dir):
+    df = SP.between_dates(SP.labelled(transactions(spark, sf_dir)), LABELLED_FROM, LABELLED_TO)
+    return rounded(df.select("transaction_id", "customer_id", "amount", "is_fraud"))
+
+
+@query("split_stats")
+def q_split_stats(spark, sf_dir):
+    return rounded(SP.split_stats(split_frame(spark, sf_dir)))
+
+
+@query("scale_pos_weight")
+def q_scale_pos_weight(spark, sf_dir):
+    return rounded(SP.scale_pos_weight(split_frame(spark, sf_dir)))
+
+
+@query("paired_scores")
+def q_paired_scores(spark, sf_dir):
+    sc = scored_split(spark, sf_dir).filter(F.col("split") == "test")
+    return rounded(sc.select("transaction_id", F.col(S.LABEL).alias("label"), "amount", SCORE_A, SCORE_B))
+
+
+@query("optimal_threshold")
+def q_optimal_threshold(spark, sf_dir):
+    _, thr, _ = fitted(spark, sf_dir)
+    return rounded(thr)
+
+
+@query("confusion")
+def q_confusion(spark, sf_dir):
+    _, thr, test = fitted(spark, sf_dir)
+    c = ME.confusion(test, thr)
+    return rounded(c.select("variant", "n", "true_positives", "false_positives", "false_negatives", "true_negatives"))
+
+
+@query("prf")
+def q_prf(spark, sf_dir):
+    _, thr, test = fitted(spark, sf_dir)
+    return rounded(ME.prf(ME.confusion(test, thr)).select("variant", "precision", "recall", "f1"))
+
+
+@query("business_cost")
+def q_business_cost(spark, sf_dir):
+    _, thr, test = fitted(spark, sf_dir)
+    return rounded(ME.confusion(test, thr).select("variant", "total_cost"))
+
+
+@query("cost_per_1000")
+def q_cost_per_1000(spark, sf_dir):
+    _, thr, test = fitted(spark, sf_dir)
+    return rounded(ME.prf(ME.confusion(test, thr)).select("variant", "cost_per_1000"))
+
+
+@query("roc_auc")
+def q_roc_auc(spark, sf_dir):
+    _, _, test = fitted(spark, sf_dir)
+    return rounded(ME.curve_metrics(test).select("variant", "roc_auc"))
+
+
+@query("average_precision")
+def q_average_precision(spark, sf_dir):
+    _, _, test = fitted(spark, sf_dir)
+    return rounded(ME.curve_metrics(test).select("variant", "pr_auc"))
+
+
+@query("evaluate")
+def q_evaluate(spark, sf_dir):
+    _, thr, test = fitted(spark, sf_dir)
+    return rounded(ME.evaluate(test, thr))
+
+
+def _ci(spark, sf_dir):
+    sc, thr, _ = fitted(spark, sf_dir)
+    t = {r["variant"]: r["threshold"] for r in thr.collect()}  # one row per variant
+    test = sc.filter(F.col("split") == "test").select(
+        "transaction_id", F.col(S.LABEL).alias("label"), "amount",
+        F.col(SCORE_A).alias("score_A"), F.col(SCORE_B).alias("score_B"))
+    return ME.bootstrap_cost_difference(test, t)
+
+
+@query("bootstrap_ci")
+def q_bootstrap_ci(spark, sf_dir):
+    return rounded(_ci(spark, sf_dir))
+
+
+@query("ab_verdict")
+def q_ab_verdict(spark, sf_dir):
+    return rounded(ME.ab_verdict(_ci(spark, sf_dir)))
+
+
+@query("ab_report")
+def q_ab_report(spark, sf_dir):
+    _, thr, test = fitted(spark, sf_dir)
+    return ME.ab_report(ME.evaluate(test, thr))
+
+
+@query("ab_tables")
+def q_ab_tables(spark, sf_dir):
+    _, thr, test = fitted(spark, sf_dir)
+    return rounded(ME.metric_pivot(ME.evaluate(test, thr)))
+
+
+# ------------------------------------------------------------------ drift
+from fraudspark.operators import drift as DR  # noqa: E402
+
+DRIFT_FROM, DRIFT_TO = "2024-01-22 00:00:00", "2024-02-01 00:00:00"
+
+
+def drift_inputs(spark, sf_dir):
+    """(profile built on the train split, test-split features)."""
+    sp = split_frame(spark, sf_dir).checkpoint(eager=True)
+    profile = DR.build_reference(sp.filter(F.col("split") == "train")).checkpoint(eager=True)
+    return profile, sp.filter(F.col("split") == "test")
+
+
+@query("feature_kind")
+def q_feature_kind(spark, sf_dir):
+    sp = split_frame(spark, sf_dir)
+    return DR.feature_kinds(sp.filter(F.col("split") == "train")).select("feature", "n_distinct", "n_nonnull", "kind")
+
+
+@query("quantile_edges")
+def q_quantile_edges(spark, sf_dir):
+    profile, _ = drift_inputs(spark, sf_dir)
+    return rounded(DR.quantile_edges(profile))
+
+
+@query("histogram")
+def q_histogram(spark, sf_dir):
+    profile, _ = drift_inputs(spark, sf_dir)
+    return rounded(profile.filter(F.col("kind") == "numeric").select("feature", "bin_no", "lo", "hi", "ref_count"))
+
+
+@query("category_counts")
+def q_category_counts(spark, sf_dir):
+    profile, _ = drift_inputs(spark, sf_dir)
+    return profile.filter(F.col("kind") == "categorical").select("feature", "bin_no", "category", "ref_count")
+
+
+@query("proportions")
+def q_proportions(spark, sf_dir):
+    profile, _ = drift_inputs(spark, sf_dir)
+    return rounded(profile.select("feature", "bin_no", "ref_prop"))
+
+
+@query("build_reference")
+def q_build_reference(spark, sf_dir):
+    profile, _ = drift_inputs(spark, sf_dir)
+    return rounded(profile)
+
+
+@query("current_proportions")
+def q_current_proportions(spark, sf_dir):
+    profile, cur = drift_inputs(spark, sf_dir)
+    cp = DR.current_proportions(profile, cur)
+    return rounded(cp.select("feature", "bin_no", "cur_count", "cur_prop", "unseen_count"))
+
+
+def _drift(spark, sf_dir):
+    profile, cur = drift_inputs(spark, sf_dir)
+    return DR.detect_drift(profile, cur)
+
+
+@query("psi")
+def q_psi(spark, sf_dir):
+    return rounded(_drift(spark, sf_dir).select("feature", "psi"))
+
+
+@query("severity")
+def q_severity(spark, sf_dir):
+    return _drift(spark, sf_dir).select("feature", "severity")
+
+
+@query("ks_test")
+def q_ks_test(spark, sf_dir):
+    return rounded(_drift(spark, sf_dir).filter(F.col("ks_statistic").isNotNull())
+                   .select("feature", "ks_statistic", "ks_pvalue"))
+
+
+@query("detect_drift")
+def q_detect_drift(spark, sf_dir):
+    return rounded(_drift(spark, sf_dir).select("feature", "psi", "severity", "ks_statistic", "ks_pvalue"))
+
+
+@query("drift_report")
+def q_drift_report(spark, sf_dir):
+    rep = DR.drift_report(_drift(spark, sf_dir))
+    return rounded(rep.drop("importance_shift"))
+
+
+@query("worst_feature")
+def q_worst_feature(spark, sf_dir):
+    return rounded(DR.drift_report(_drift(spark, sf_dir)).select("worst_feature", "worst_psi"))
+
+
+@query("significant_features")
+def q_significant_features(spark, sf_dir):
+    return rounded(_drift(spark, sf_dir).filter(F.col("severity") == "significant").select("feature", "psi"))

@@ -145,3 +145,374 @@ for _name, _cols in {
 SELECT transaction_id, {feature_select(_cols)}
 FROM feat
 """)
+
+
+# ----------------------------------------------------------------- split + metrics
+from fraudspark.functions.expr import mix_hash_sql, poisson1_weight_sql  # noqa: E402
+
+SPLIT_SQL = """
+SELECT r.*,
+  CASE WHEN r.time_rank <= r.n_train THEN 'train'
+       WHEN r.time_rank <= r.n_train + r.n_val THEN 'validation' ELSE 'test' END AS split
+FROM (SELECT q.*, q.pool - q.n_val AS n_train
+      FROM (SELECT p.*, CAST(round_even(CAST(p.pool AS DOUBLE) * 0.25, 0) AS BIGINT) AS n_val
+            FROM (SELECT o.*, o.n_lab - CAST(round_even(CAST(o.n_lab AS DOUBLE) * 0.2, 0) AS BIGINT) AS pool
+                  FROM (SELECT f.*,
+                          row_number() OVER (ORDER BY f.us, f.customer_id, f.transaction_id) AS time_rank,
+                          count(*) OVER () AS n_lab
+                        FROM feat f WHERE f.is_fraud IS NOT NULL) o) p) q) r
+"""
+
+SCORED_SQL = """
+SELECT s.*,
+  CAST((s.transaction_id * 104729) % 1000 + 400 * s.is_fraud AS DOUBLE) / CAST(1400 AS DOUBLE) AS score_A,
+  CAST((s.transaction_id * 15485863) % 1000 + 250 * s.is_fraud AS DOUBLE) / CAST(1250 AS DOUBLE) AS score_B
+FROM spl s
+"""
+
+
+def _long(part: str) -> str:
+    return f"""
+SELECT transaction_id, 'A' AS variant, score_A AS score, is_fraud AS label, amount FROM scored WHERE split = '{part}'
+UNION ALL
+SELECT transaction_id, 'B' AS variant, score_B AS score, is_fraud AS label, amount FROM scored WHERE split = '{part}'
+"""
+
+
+PTS_TEMPLATE = """
+SELECT p.*,
+  sum(pos) OVER w AS cum_pos, sum(neg) OVER w AS cum_neg, sum(pos_amount) OVER w AS cum_pa,
+  sum(pos) OVER (PARTITION BY variant) AS P, sum(neg) OVER (PARTITION BY variant) AS N,
+  sum(pos_amount) OVER (PARTITION BY variant) AS PA, max(score) OVER (PARTITION BY variant) AS mx
+FROM (SELECT variant, score, count_if(label = 1) AS pos, count_if(label = 0) AS neg,
+             sum(CASE WHEN label = 1 THEN amount ELSE 0 END) AS pos_amount
+      FROM {src} GROUP BY variant, score) p
+WINDOW w AS (PARTITION BY variant ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+"""
+
+THR_SQL = """
+SELECT variant, threshold, cost, block_none FROM (
+  SELECT c.*, row_number() OVER (PARTITION BY variant ORDER BY cost ASC, threshold DESC) AS rn
+  FROM (SELECT variant, score AS threshold, false AS block_none,
+               CAST(cum_pa - pos_amount AS DOUBLE) + CAST(N - cum_neg + neg AS DOUBLE) * 5.0 AS cost
+        FROM vpts
+        UNION ALL
+        SELECT variant, nextafter(max(mx), CAST('inf' AS DOUBLE)), true, CAST(max(PA) AS DOUBLE)
+        FROM vpts GROUP BY variant) c) t
+WHERE rn = 1
+"""
+
+CONF_SQL = """
+SELECT l.variant, any_value(t.threshold) AS threshold, count(*) AS n,
+  count_if(label = 1 AND score >= t.threshold) AS true_positives,
+  count_if(label = 0 AND score >= t.threshold) AS false_positives,
+  count_if(label = 1 AND score < t.threshold) AS false_negatives,
+  count_if(label = 0 AND score < t.threshold) AS true_negatives,
+  CAST(sum(CASE WHEN label = 1 AND score < t.threshold THEN amount ELSE 0 END) AS DOUBLE)
+    + CAST(count_if(label = 0 AND score >= t.threshold) AS DOUBLE) * 5.0 AS total_cost
+FROM tl l JOIN thr t ON t.variant = l.variant
+GROUP BY l.variant
+"""
+
+PRF_SQL = """
+SELECT c.*,
+  coalesce(CAST(true_positives AS DOUBLE) / nullif(true_positives + false_positives, 0), 0.0) AS precision,
+  coalesce(CAST(true_positives AS DOUBLE) / nullif(true_positives + false_negatives, 0), 0.0) AS recall,
+  coalesce(CAST(2 * true_positives AS DOUBLE) / nullif(2 * true_positives + false_positives + false_negatives, 0), 0.0) AS f1,
+  total_cost / CAST(n AS DOUBLE) * 1000.0 AS cost_per_1000
+FROM conf c
+"""
+
+CURVE_SQL = """
+SELECT variant,
+  CASE WHEN max(P) = 0 OR max(N) = 0 THEN CAST('nan' AS DOUBLE) ELSE
+    sum(CAST(neg AS DOUBLE) * (CAST(P - cum_pos AS DOUBLE) + CAST(pos AS DOUBLE) / 2.0))
+      / (CAST(max(P) AS DOUBLE) * CAST(max(N) AS DOUBLE)) END AS roc_auc,
+  CASE WHEN max(P) = 0 OR max(N) = 0 THEN CAST('nan' AS DOUBLE) ELSE
+    sum(CASE WHEN pos > 0 THEN CAST(pos AS DOUBLE) * CAST(P - cum_pos + pos AS DOUBLE)
+                               / CAST(P - cum_pos + pos + N - cum_neg + neg AS DOUBLE) ELSE 0.0 END)
+      / CAST(max(P) AS DOUBLE) END AS pr_auc
+FROM tpts GROUP BY variant
+"""
+
+EVAL_SQL = """
+SELECT p.variant, c.roc_auc, c.pr_auc, p.precision, p.recall, p.f1, p.threshold, p.total_cost,
+       p.cost_per_1000, p.false_positives, p.false_negatives, p.true_positives
+FROM prf p JOIN curve c ON c.variant = p.variant
+"""
+
+
+def _thr_dict_sql() -> str:
+    return "(SELECT max(CASE WHEN variant = 'A' THEN threshold END) AS ta, max(CASE WHEN variant = 'B' THEN threshold END) AS tb FROM thr)"
+
+
+def bootstrap_sql(n_resamples: int = 1000, seed: int = 0, n_blocks: int = 1 << 20, alpha: float = 0.025) -> str:
+    cost = "CASE WHEN is_fraud = 1 AND NOT ({s} >= {t}) THEN CAST(amount AS DOUBLE) WHEN is_fraud = 0 AND ({s} >= {t}) THEN 5.0 ELSE 0.0 END"
+    ca = cost.format(s="score_A", t="th.ta")
+    cb = cost.format(s="score_B", t="th.tb")
+    blk = f"((({mix_hash_sql('transaction_id', str(seed))}) % {n_blocks}) + {n_blocks}) % {n_blocks}"
+    w = poisson1_weight_sql(mix_hash_sql("block", "rep", str(seed + 1)))
+    return f"""
+rows_d AS (SELECT {blk} AS block, ({ca}) - ({cb}) AS d FROM scored, {_thr_dict_sql()} th WHERE split = 'test'),
+st AS (SELECT count(*) AS n, sum(d) AS sum_d FROM rows_d),
+blocks AS (SELECT block, sum(d) AS d FROM rows_d WHERE d <> 0 GROUP BY block),
+reps AS (SELECT b.block, b.d, r.rep FROM blocks b, (SELECT unnest(range(0, {n_resamples})) AS rep) r),
+per_rep AS (SELECT a.rep, coalesce(x.wd, 0.0) AS wd
+            FROM (SELECT unnest(range(0, {n_resamples})) AS rep) a
+            LEFT JOIN (SELECT rep, sum(CAST({w} AS DOUBLE) * d) AS wd FROM reps GROUP BY rep) x ON x.rep = a.rep),
+ci AS (SELECT any_value(st.sum_d / st.n * 1000.0) AS point,
+              quantile_cont(pr.wd / st.n * 1000.0, {alpha}) AS lower,
+              quantile_cont(pr.wd / st.n * 1000.0, {1.0 - alpha}) AS upper,
+              any_value(st.n) AS n, count(*) AS n_resamples
+       FROM per_rep pr, st)
+"""
+
+
+METRIC_CTES = {
+    "spl": SPLIT_SQL,
+    "scored": SCORED_SQL,
+    "vl": _long("validation"),
+    "tl": _long("test"),
+    "vpts": PTS_TEMPLATE.format(src="vl"),
+    "tpts": PTS_TEMPLATE.format(src="tl"),
+    "thr": THR_SQL,
+    "conf": CONF_SQL,
+    "prf": PRF_SQL,
+    "curve": CURVE_SQL,
+    "ev": EVAL_SQL,
+}
+
+
+def metric_sql(select: str, *, bootstrap: bool = False) -> str:
+    body = with_ctes("feat") + ",\n" + ",\n".join(f"{k} AS ({v})" for k, v in METRIC_CTES.items())
+    if bootstrap:
+        body += ",\n" + bootstrap_sql().strip()
+    return body + "\n" + select
+
+
+register("temporal_rank", metric_sql("SELECT transaction_id, time_rank FROM spl"))
+register("temporal_split", metric_sql("SELECT transaction_id, split FROM spl"))
+register("labelled_filter", f"""
+{with_ctes("tx")}
+SELECT transaction_id, customer_id, round(CAST(amount AS DOUBLE), 6) AS amount, is_fraud FROM tx
+WHERE is_fraud IS NOT NULL AND event_time >= TIMESTAMP '2024-01-05 00:00:00' AND event_time < TIMESTAMP '2024-01-20 00:00:00'
+""")
+register("split_stats", metric_sql("""
+SELECT split, count(*) AS n_rows, CAST(sum(is_fraud) AS BIGINT) AS n_fraud,
+       round(coalesce(CAST(sum(is_fraud) AS DOUBLE) / nullif(count(*), 0), 0.0), 6) AS fraud_rate
+FROM spl GROUP BY split"""))
+register("scale_pos_weight", metric_sql("""
+SELECT count_if(is_fraud = 0) AS n_negative, count_if(is_fraud = 1) AS n_positive,
+       round(CAST(count_if(is_fraud = 0) AS DOUBLE) / nullif(count_if(is_fraud = 1), 0), 6) AS scale_pos_weight
+FROM spl WHERE split = 'train'"""))
+register("paired_scores", metric_sql("""
+SELECT transaction_id, is_fraud AS label, round(CAST(amount AS DOUBLE), 6) AS amount,
+       round(score_A, 6) AS score_A, round(score_B, 6) AS score_B
+FROM scored WHERE split = 'test'"""))
+register("optimal_threshold", metric_sql(
+    "SELECT variant, round(threshold, 6) AS threshold, round(cost, 6) AS cost, block_none FROM thr"))
+register("confusion", metric_sql(
+    "SELECT variant, n, true_positives, false_positives, false_negatives, true_negatives FROM conf"))
+register("prf", metric_sql(
+    "SELECT variant, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM prf"))
+register("business_cost", metric_sql("SELECT variant, round(total_cost, 6) AS total_cost FROM conf"))
+register("cost_per_1000", metric_sql("SELECT variant, round(cost_per_1000, 6) AS cost_per_1000 FROM prf"))
+register("roc_auc", metric_sql("SELECT variant, round(roc_auc, 6) AS roc_auc FROM curve"))
+register("average_precision", metric_sql("SELECT variant, round(pr_auc, 6) AS pr_auc FROM curve"))
+register("evaluate", metric_sql("""
+SELECT variant, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc, round(precision, 6) AS precision,
+       round(recall, 6) AS recall, round(f1, 6) AS f1, round(threshold, 6) AS threshold,
+       round(total_cost, 6) AS total_cost, round(cost_per_1000, 6) AS cost_per_1000,
+       false_positives, false_negatives, true_positives
+FROM ev"""))
+register("bootstrap_ci", metric_sql("""
+SELECT round(point, 6) AS point, round(lower, 6) AS lower, round(upper, 6) AS upper, n, n_resamples FROM ci""",
+                                    bootstrap=True))
+register("ab_verdict", metric_sql("""
+SELECT round(point, 6) AS point, round(lower, 6) AS lower, round(upper, 6) AS upper,
+       (lower > 0 OR upper < 0) AS significant,
+       CASE WHEN (lower > 0 OR upper < 0) THEN (CASE WHEN point < 0 THEN 'A' ELSE 'B' END) ELSE 'A' END AS winner,
+       printf('cost/1000 %s-%s = %.2f [%.2f, %.2f]; %s; winner %s', 'A', 'B', point, lower, upper,
+              CASE WHEN (lower > 0 OR upper < 0) THEN 'significant' ELSE 'not significant' END,
+              CASE WHEN (lower > 0 OR upper < 0) THEN (CASE WHEN point < 0 THEN 'A' ELSE 'B' END) ELSE 'A' END) AS summary
+FROM ci""", bootstrap=True))
+register("ab_report", metric_sql("""
+SELECT (SELECT variant FROM ev ORDER BY cost_per_1000, variant LIMIT 1) AS cheaper_variant,
+       (SELECT variant FROM ev ORDER BY roc_auc DESC, variant LIMIT 1) AS best_roc_auc,
+       (SELECT variant FROM ev ORDER BY pr_auc DESC, variant LIMIT 1) AS best_pr_auc,
+       (SELECT variant FROM ev ORDER BY precision DESC, variant LIMIT 1) AS best_precision,
+       (SELECT variant FROM ev ORDER BY recall DESC, variant LIMIT 1) AS best_recall,
+       (SELECT variant FROM ev ORDER BY f1 DESC, variant LIMIT 1) AS best_f1,
+       (SELECT variant FROM ev ORDER BY cost_per_1000, variant LIMIT 1) AS best_cost_per_1000,
+       (SELECT variant FROM ev ORDER BY total_cost, variant LIMIT 1) AS best_total_cost,
+       (SELECT variant FROM ev ORDER BY f1 DESC, variant LIMIT 1)
+         <> (SELECT variant FROM ev ORDER BY cost_per_1000, variant LIMIT 1) AS metrics_disagree"""))
+_pivot_metrics = ["roc_auc", "pr_auc", "precision", "recall", "f1", "threshold", "cost_per_1000", "total_cost",
+                  "false_positives", "false_negatives", "true_positives"]
+register("ab_tables", metric_sql("SELECT metric, round(max(CASE WHEN variant = 'A' THEN value END), 6) AS A, "
+                                 "round(max(CASE WHEN variant = 'B' THEN value END), 6) AS B FROM ("
+                                 + " UNION ALL ".join(f"SELECT variant, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM ev"
+                                                      for m in _pivot_metrics)
+                                 + ") GROUP BY metric"))
+
+
+# ----------------------------------------------------------------- drift
+import numpy as _np  # noqa: E402
+
+_BOOL_FEATURES = ["is_night", "is_weekend", "is_foreign", "card_not_present"]
+_INT_FEATURES = ["hour_of_day", "day_of_week", "txn_count_1h", "txn_count_24h"]
+_PROBS = "[" + ", ".join(repr(float(p)) for p in _np.linspace(0.0, 1.0, 11)) + "]"
+
+
+def _vlong(src: str) -> str:
+    parts = []
+    for i, f in enumerate(S.FEATURES):
+        if f in _BOOL_FEATURES:
+            num, cat = "CAST(NULL AS DOUBLE)", f"CASE WHEN {f} THEN 'True' WHEN NOT {f} THEN 'False' END"
+        elif f in _INT_FEATURES:
+            num, cat = f"CAST({f} AS DOUBLE)", f"CAST({f} AS VARCHAR)"
+        else:
+            num, cat = f"CAST({f} AS DOUBLE)", f"CAST(CAST({f} AS DOUBLE) AS VARCHAR)"
+        parts.append(f"SELECT '{f}' AS feature, {i} AS feature_no, {num} AS num, {cat} AS cat FROM {src}")
+    return "\nUNION ALL\n".join(parts)
+
+
+_bool_list = ", ".join(f"'{f}'" for f in _BOOL_FEATURES)
+
+DRIFT_CTES = {
+    "trainv": f"SELECT * FROM ({_vlong('(SELECT * FROM spl WHERE split = ' + chr(39) + 'train' + chr(39) + ')')}) WHERE cat IS NOT NULL",
+    "testv": f"SELECT * FROM ({_vlong('(SELECT * FROM spl WHERE split = ' + chr(39) + 'test' + chr(39) + ')')}) WHERE cat IS NOT NULL",
+    "kinds": f"""
+SELECT feature, feature_no, count(DISTINCT cat) AS n_distinct, count(*) AS n_nonnull,
+       CASE WHEN feature IN ({_bool_list}) OR count(DISTINCT cat) <= 10 THEN 'categorical' ELSE 'numeric' END AS kind
+FROM trainv GROUP BY feature, feature_no""",
+    "qraw": f"""
+SELECT v.feature, list_sort(list_distinct(quantile_cont(v.num, {_PROBS}))) AS e
+FROM trainv v JOIN kinds k ON k.feature = v.feature AND k.kind = 'numeric'
+GROUP BY v.feature""",
+    "edges": """
+SELECT feature, generate_subscripts(e2, 1) - 1 AS edge_no, unnest(e2) AS edge
+FROM (SELECT feature, list_concat([CAST('-inf' AS DOUBLE)], e[2:len(e) - 1], [CAST('inf' AS DOUBLE)]) AS e2 FROM qraw)""",
+    "nbins": """
+SELECT a.feature, a.edge_no AS bin_no, a.edge AS lo, b.edge AS hi
+FROM edges a JOIN edges b ON b.feature = a.feature AND b.edge_no = a.edge_no + 1""",
+    "prof_num": """
+SELECT nb.feature, k.feature_no, 'numeric' AS kind, nb.bin_no, nb.lo, nb.hi, CAST(NULL AS VARCHAR) AS category,
+       (SELECT count(*) FROM trainv v WHERE v.feature = nb.feature AND v.num >= nb.lo AND v.num < nb.hi) AS ref_count
+FROM nbins nb JOIN kinds k ON k.feature = nb.feature""",
+    "prof_cat": """
+SELECT v.feature, any_value(v.feature_no) AS feature_no, 'categorical' AS kind,
+       CAST(row_number() OVER (PARTITION BY v.feature ORDER BY v.cat) - 1 AS INTEGER) AS bin_no,
+       CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi, v.cat AS category, count(*) AS ref_count
+FROM trainv v JOIN kinds k ON k.feature = v.feature AND k.kind = 'categorical'
+GROUP BY v.feature, v.cat""",
+    "prof": """
+SELECT p.*, greatest(CAST(p.ref_count AS DOUBLE) / sum(p.ref_count) OVER (PARTITION BY p.feature), 1e-6) AS ref_prop,
+       (SELECT count(*) FROM spl WHERE split = 'train') AS n_rows
+FROM (SELECT * FROM prof_num UNION ALL SELECT * FROM prof_cat) p""",
+    "curn": "SELECT feature, count(*) AS n_current FROM testv GROUP BY feature",
+    "curc": """
+SELECT p.feature, p.feature_no, p.kind, p.bin_no, p.ref_prop, n.n_current,
+  CASE WHEN p.kind = 'numeric'
+       THEN (SELECT count(*) FROM testv v WHERE v.feature = p.feature AND v.num >= p.lo AND v.num < p.hi)
+       ELSE (SELECT count(*) FROM testv v WHERE v.feature = p.feature AND v.cat = p.category) END AS raw_count
+FROM prof p JOIN curn n ON n.feature = p.feature""",
+    "curu": """
+SELECT c.*,
+  CASE WHEN c.kind = 'categorical' THEN c.n_current - sum(c.raw_count) OVER (PARTITION BY c.feature) ELSE 0 END AS unseen_count,
+  row_number() OVER (PARTITION BY c.feature ORDER BY c.raw_count, c.bin_no) AS rk
+FROM curc c""",
+    "curp": """
+SELECT u.*, u.raw_count + CASE WHEN u.rk = 1 AND u.unseen_count > 0 THEN u.unseen_count ELSE 0 END AS cur_count
+FROM curu u""",
+    "curq": """
+SELECT q.*, greatest(CAST(q.cur_count AS DOUBLE) / sum(q.cur_count) OVER (PARTITION BY q.feature), 1e-6) AS cur_prop
+FROM curp q""",
+    "psit": """
+SELECT feature, feature_no, kind,
+  sum((greatest(cur_prop, 1e-6) - greatest(ref_prop, 1e-6)) * ln(greatest(cur_prop, 1e-6) / greatest(ref_prop, 1e-6))) AS psi,
+  max(unseen_count) AS unseen_count, count(*) AS n_bins, any_value(n_current) AS n_current
+FROM curq GROUP BY feature, feature_no, kind""",
+    "sev": """
+SELECT p.*, CASE WHEN psi >= 0.25 THEN 'significant' WHEN psi >= 0.1 THEN 'moderate' ELSE 'none' END AS severity
+FROM psit p""",
+    # KS: midpoints of interior edges, pseudo-sample copies, conditional counts
+    "kint": """
+SELECT feature, e[2:len(e) - 1] AS interior FROM (SELECT feature, list_concat([CAST('-inf' AS DOUBLE)], e[2:len(e) - 1], [CAST('inf' AS DOUBLE)]) AS e FROM qraw)
+WHERE len(e) - 2 >= 2""",
+    "kmid": """
+SELECT feature, j, m FROM (
+  SELECT feature, 0 AS j, interior[1] AS m FROM kint
+  UNION ALL
+  SELECT feature, i AS j, (interior[i] + interior[i + 1]) / 2.0 AS m FROM kint, range(1, len(interior)) t(i)
+  UNION ALL
+  SELECT feature, len(interior) AS j, interior[len(interior)] AS m FROM kint)""",
+    "kpts": """
+SELECT k.feature, k.j, k.m,
+  greatest(CAST(round_even(p.ref_prop * 1000, 0) AS BIGINT), 1) AS c
+FROM kmid k JOIN prof p ON p.feature = k.feature AND p.bin_no = k.j""",
+    "kcum": """
+SELECT kp.*, CAST(sum(c) OVER (PARTITION BY feature ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
+               / CAST(sum(c) OVER (PARTITION BY feature) AS DOUBLE) AS g,
+       CAST(coalesce(sum(c) OVER (PARTITION BY feature ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+               / CAST(sum(c) OVER (PARTITION BY feature) AS DOUBLE) AS g_prev,
+       CAST(sum(c) OVER (PARTITION BY feature) AS DOUBLE) AS n_ref
+FROM kpts kp""",
+    "kd": """
+SELECT kc.feature, max(greatest(
+    abs(CAST((SELECT count(*) FROM testv v WHERE v.feature = kc.feature AND v.num <= kc.m) AS DOUBLE) / n.n_current - kc.g),
+    abs(CAST((SELECT count(*) FROM testv v WHERE v.feature = kc.feature AND v.num < kc.m) AS DOUBLE) / n.n_current - kc.g_prev)))
+    AS ks_statistic,
+  any_value(CAST(n.n_current AS DOUBLE)) AS n1, any_value(kc.n_ref) AS n2
+FROM kcum kc JOIN curn n ON n.feature = kc.feature GROUP BY kc.feature""",
+    "ks": """
+SELECT feature, ks_statistic,
+  CASE WHEN lam < 1e-3 THEN 1.0 ELSE least(greatest(2.0 * list_sum(list_transform(range(1, 101),
+       lambda k: pow(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam))), 0.0), 1.0) END AS ks_pvalue
+FROM (SELECT feature, ks_statistic,
+             (sqrt(n1 * n2 / (n1 + n2)) + 0.12 + 0.11 / sqrt(n1 * n2 / (n1 + n2))) * ks_statistic AS lam
+      FROM kd)""",
+    "dd": "SELECT s.*, k.ks_statistic, k.ks_pvalue FROM sev s LEFT JOIN ks k ON k.feature = s.feature",
+    "rep": """
+SELECT bool_or(severity = 'significant') AS drifted, count_if(severity = 'significant') AS n_significant,
+       count(*) AS n_features,
+       arg_min(feature, (-psi, feature_no)) AS worst_feature, min(-psi) * -1 AS worst_psi,
+       max(n_current) AS n_current_rows
+FROM dd""",
+}
+
+
+def drift_sql(select: str) -> str:
+    body = with_ctes("feat") + ",\n" + ",\n".join(
+        f"{k} AS ({v})" for k, v in list(METRIC_CTES.items())[:1] + list(DRIFT_CTES.items()))
+    return body + "\n" + select
+
+
+register("feature_kind", drift_sql("SELECT feature, n_distinct, n_nonnull, kind FROM kinds"))
+register("quantile_edges", drift_sql("SELECT feature, edge_no, round(edge, 6) AS edge FROM edges"))
+register("histogram", drift_sql(
+    "SELECT feature, bin_no, round(lo, 6) AS lo, round(hi, 6) AS hi, ref_count FROM prof WHERE kind = 'numeric'"))
+register("category_counts", drift_sql(
+    "SELECT feature, bin_no, category, ref_count FROM prof WHERE kind = 'categorical'"))
+register("proportions", drift_sql("SELECT feature, bin_no, round(ref_prop, 6) AS ref_prop FROM prof"))
+register("build_reference", drift_sql("""
+SELECT feature, feature_no, kind, bin_no, round(lo, 6) AS lo, round(hi, 6) AS hi, category, ref_count,
+       round(ref_prop, 6) AS ref_prop, n_rows FROM prof"""))
+register("current_proportions", drift_sql(
+    "SELECT feature, bin_no, cur_count, round(cur_prop, 6) AS cur_prop, unseen_count FROM curq"))
+register("psi", drift_sql("SELECT feature, round(psi, 6) AS psi FROM sev"))
+register("severity", drift_sql("SELECT feature, severity FROM sev"))
+register("ks_test", drift_sql(
+    "SELECT feature, round(ks_statistic, 6) AS ks_statistic, round(ks_pvalue, 6) AS ks_pvalue FROM ks"))
+register("detect_drift", drift_sql("""
+SELECT feature, round(psi, 6) AS psi, severity, round(ks_statistic, 6) AS ks_statistic,
+       round(ks_pvalue, 6) AS ks_pvalue FROM dd"""))
+register("drift_report", drift_sql("""
+SELECT drifted, n_significant, n_features, worst_feature, round(worst_psi, 6) AS worst_psi, n_current_rows,
+       printf('%s: %d/%d features drifted significantly; worst %s psi=%.4f (n=%d)',
+              CASE WHEN drifted THEN 'DRIFT' ELSE 'stable' END, n_significant, n_features, worst_feature,
+              worst_psi, n_current_rows) AS summary
+FROM rep"""))
+register("worst_feature", drift_sql("SELECT worst_feature, round(worst_psi, 6) AS worst_psi FROM rep"))
+register("significant_features", drift_sql(
+    "SELECT feature, round(psi, 6) AS psi FROM dd WHERE severity = 'significant'"))

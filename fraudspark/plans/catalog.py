@@ -343,3 +343,104 @@ def q_worst_feature(spark, sf_dir):
 @query("significant_features")
 def q_significant_features(spark, sf_dir):
     return rounded(_drift(spark, sf_dir).filter(F.col("severity") == "significant").select("feature", "psi"))
+
+
+# ------------------------------------------------------------------ customer state
+from fraudspark.operators import state as ST  # noqa: E402
+from fraudspark.sources.adapter import read_table  # noqa: E402
+
+STATE_CUT = "2024-01-15 12:00:00"
+BACKFILL_FROM = "2024-01-13 12:00:00"
+
+
+@query("asof_state")
+def q_asof_state(spark, sf_dir):
+    a = ST.asof_state(transactions(spark, sf_dir))
+    return rounded(a.select("transaction_id", "prior_count", "prior_amount_mean", "n_recent", "truncated"))
+
+
+@query("serving_features")
+def q_serving_features(spark, sf_dir):
+    return rounded(ST.serving_features_batch(transactions(spark, sf_dir)).select("transaction_id", *S.FEATURES))
+
+
+@query("skew_check")
+def q_skew_check(spark, sf_dir):
+    tx = transactions(spark, sf_dir)
+    return ST.skew_check(features(spark, sf_dir), ST.serving_features_batch(tx))
+
+
+def _fold(spark, sf_dir):
+    return ST.state_fold(transactions(spark, sf_dir), as_of=STATE_CUT)
+
+
+@query("state_fold")
+def q_state_fold(spark, sf_dir):
+    st = _fold(spark, sf_dir)
+    return rounded(st.select(
+        "customer_id", "prior_count", "prior_sum", "prior_amount_mean", "truncated",
+        F.size("recent").alias("n_recent"),
+        F.col("recent")[0]["us"].alias("oldest_recent_us"),
+        F.element_at("recent", -1)["us"].alias("newest_recent_us"),
+        F.aggregate("recent", F.lit(0).cast("decimal(28,2)"), lambda a, e: (a + e["amount"]).cast("decimal(28,2)")).alias("recent_sum"),
+    ))
+
+
+def _cut_us():
+    return epoch_micros(F.lit(STATE_CUT).cast("timestamp_ntz"))
+
+
+@query("state_window")
+def q_state_window(spark, sf_dir):
+    st, now = _fold(spark, sf_dir), _cut_us()
+    return rounded(st.select(
+        "customer_id",
+        ST.state_window_count(F.col("recent"), now, ST.H_US).alias("n_1h"),
+        ST.state_window_count(F.col("recent"), now, ST.D_US).alias("n_24h"),
+        ST.state_window_sum(F.col("recent"), now, ST.D_US).alias("sum_24h"),
+    ))
+
+
+@query("state_prev")
+def q_state_prev(spark, sf_dir):
+    st = _fold(spark, sf_dir)
+    return rounded(st.select("customer_id", ST.state_prev_seconds(F.col("recent"), _cut_us()).alias("seconds_since_prev")))
+
+
+@query("state_baseline")
+def q_state_baseline(spark, sf_dir):
+    """Baseline at the cut for every customer of the customer table (unknown -> new)."""
+    ids = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    st = ST.state_lookup(ids, _fold(spark, sf_dir))
+    return rounded(st.select(
+        "customer_id", F.coalesce("prior_count", F.lit(0)).alias("prior_count"),
+        (F.coalesce("prior_count", F.lit(0)) == 0).alias("is_new_customer"),
+        ST.state_baseline(F.col("prior_count"), F.col("prior_amount_mean"), F.lit(100).cast(S.MONEY)).alias("baseline_at_100"),
+    ))
+
+
+def _latest(spark, sf_dir, lo=None, hi=None):
+    f = features(spark, sf_dir)
+    if lo is not None:
+        f = f.filter(F.col(S.EVENT_TIME) >= F.lit(lo).cast("timestamp_ntz"))
+    if hi is not None:
+        f = f.filter(F.col(S.EVENT_TIME) < F.lit(hi).cast("timestamp_ntz"))
+    return ST.latest_customer_state(f)
+
+
+@query("latest_customer_state")
+def q_latest_customer_state(spark, sf_dir):
+    return rounded(_latest(spark, sf_dir))
+
+
+@query("state_upsert")
+def q_state_upsert(spark, sf_dir):
+    old = _latest(spark, sf_dir, hi=STATE_CUT)
+    late_batch = _latest(spark, sf_dir, lo=BACKFILL_FROM)
+    return rounded(ST.state_upsert(old, late_batch))
+
+
+@query("state_lookup")
+def q_state_lookup(spark, sf_dir):
+    ids = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    return rounded(ST.state_lookup(ids, _latest(spark, sf_dir)))

@@ -516,3 +516,109 @@ FROM rep"""))
 register("worst_feature", drift_sql("SELECT worst_feature, round(worst_psi, 6) AS worst_psi FROM rep"))
 register("significant_features", drift_sql(
     "SELECT feature, round(psi, 6) AS psi FROM dd WHERE severity = 'significant'"))
+
+
+# ----------------------------------------------------------------- customer state
+_CUT = "TIMESTAMP '2024-01-15 12:00:00'"
+_BACKFILL = "TIMESTAMP '2024-01-13 12:00:00'"
+
+ASOF_SQL = """
+SELECT t.*,
+  count(*) OVER (PARTITION BY customer_id ORDER BY us RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_count,
+  sum(amount) OVER (PARTITION BY customer_id ORDER BY us RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_sum,
+  max(us) OVER (PARTITION BY customer_id ORDER BY us RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_us,
+  count(*) OVER (PARTITION BY customer_id ORDER BY us RANGE BETWEEN 3599999999 PRECEDING AND 1 PRECEDING) AS c1,
+  count(*) OVER (PARTITION BY customer_id ORDER BY us RANGE BETWEEN 86399999999 PRECEDING AND 1 PRECEDING) AS c24,
+  coalesce(sum(amount) OVER (PARTITION BY customer_id ORDER BY us RANGE BETWEEN 86399999999 PRECEDING AND 1 PRECEDING), 0) AS s24
+FROM (SELECT tx.*, epoch_us(event_time) AS us FROM tx) t
+"""
+
+SERVING_SQL = """
+SELECT a.transaction_id,
+  round(ln(1 + CAST(amount AS DOUBLE)), 6) AS amount_log,
+  CAST(hour(event_time) AS BIGINT) AS hour_of_day, CAST(isodow(event_time) - 1 AS BIGINT) AS day_of_week,
+  hour(event_time) >= 23 OR hour(event_time) <= 5 AS is_night, isodow(event_time) - 1 >= 5 AS is_weekend,
+  country <> customer_home_country AS is_foreign, NOT card_present AS card_not_present,
+  round(coalesce((us - prev_us) / 1e6, -1.0), 6) AS seconds_since_prev_txn,
+  CAST(least(c1, 100) + 1 AS BIGINT) AS txn_count_1h, CAST(least(c24, 100) + 1 AS BIGINT) AS txn_count_24h,
+  round(CAST(s24 AS DOUBLE) + CAST(amount AS DOUBLE), 6) AS amount_sum_24h,
+  round(CASE WHEN prior_count > 0 THEN CAST(prior_sum AS DOUBLE) / prior_count ELSE CAST(amount AS DOUBLE) END, 6)
+    AS customer_amount_mean_prior,
+  round(CASE WHEN (CASE WHEN prior_count > 0 THEN CAST(prior_sum AS DOUBLE) / prior_count ELSE CAST(amount AS DOUBLE) END) > 0
+       THEN CAST(amount AS DOUBLE) / (CASE WHEN prior_count > 0 THEN CAST(prior_sum AS DOUBLE) / prior_count ELSE CAST(amount AS DOUBLE) END)
+       ELSE 1.0 END, 6) AS amount_vs_customer_mean
+FROM asofs a
+"""
+
+FOLD_SQL = f"""
+SELECT customer_id, count(*) AS prior_count, sum(amount) AS prior_sum,
+       CAST(sum(amount) AS DOUBLE) / count(*) AS prior_amount_mean, count(*) > 100 AS truncated
+FROM tx WHERE event_time < {_CUT} GROUP BY customer_id
+"""
+
+RECENT_SQL = f"""
+SELECT customer_id, epoch_us(event_time) AS us, amount FROM (
+  SELECT tx.*, row_number() OVER (PARTITION BY customer_id ORDER BY epoch_us(event_time) DESC, transaction_id DESC) AS rn
+  FROM tx WHERE event_time < {_CUT}) WHERE rn <= 100
+"""
+
+LATEST_SQL = """
+SELECT customer_id, epoch_us(event_time) AS event_us, transaction_id,
+  round(seconds_since_prev_txn, 6) AS seconds_since_prev_txn, txn_count_1h, txn_count_24h,
+  round(amount_sum_24h, 6) AS amount_sum_24h, round(customer_amount_mean_prior, 6) AS customer_amount_mean_prior
+FROM (SELECT f.*, row_number() OVER (PARTITION BY customer_id ORDER BY event_time DESC, transaction_id DESC) AS rn
+      FROM feat f {where}) WHERE rn = 1
+"""
+
+STATE_CTES = {"asofs": ASOF_SQL, "fold": FOLD_SQL, "recent": RECENT_SQL}
+
+
+def state_sql(select: str) -> str:
+    body = with_ctes("feat") + ",\n" + ",\n".join(f"{k} AS ({v})" for k, v in STATE_CTES.items())
+    return body + "\n" + select
+
+
+register("asof_state", state_sql("""
+SELECT transaction_id, prior_count,
+       round(CASE WHEN prior_count > 0 THEN CAST(prior_sum AS DOUBLE) / prior_count END, 6) AS prior_amount_mean,
+       least(prior_count, 100) AS n_recent, prior_count > 100 AS truncated
+FROM asofs"""))
+register("serving_features", state_sql(SERVING_SQL))
+register("skew_check", state_sql(f"""
+SELECT feature, count(*) AS n_compared, count_if(mismatch) AS n_mismatch FROM (
+  {" UNION ALL ".join(
+      f"SELECT '{f}' AS feature, "
+      + (f"abs(o.{f} - s.{f}) > 1e-9 * abs(o.{f})" if f in ("amount_log", "seconds_since_prev_txn", "amount_sum_24h",
+                                                             "customer_amount_mean_prior", "amount_vs_customer_mean")
+         else f"o.{f} IS DISTINCT FROM s.{f}")
+      + " AS mismatch FROM feat o JOIN (" + SERVING_SQL.replace("round(", "(").replace(", 6)", ")") + ") s ON s.transaction_id = o.transaction_id"
+      for f in S.FEATURES)}
+) GROUP BY feature"""))
+register("state_fold", state_sql("""
+SELECT f.customer_id, f.prior_count, round(CAST(f.prior_sum AS DOUBLE), 6) AS prior_sum,
+       round(f.prior_amount_mean, 6) AS prior_amount_mean, f.truncated,
+       r.n_recent, r.oldest_recent_us, r.newest_recent_us, round(CAST(r.recent_sum AS DOUBLE), 6) AS recent_sum
+FROM fold f JOIN (SELECT customer_id, count(*) AS n_recent, min(us) AS oldest_recent_us, max(us) AS newest_recent_us,
+                         sum(amount) AS recent_sum FROM recent GROUP BY customer_id) r ON r.customer_id = f.customer_id"""))
+register("state_window", state_sql(f"""
+SELECT f.customer_id,
+  (SELECT count(*) FROM recent r WHERE r.customer_id = f.customer_id AND epoch_us({_CUT}) - r.us >= 0
+     AND epoch_us({_CUT}) - r.us < 3600000000) AS n_1h,
+  (SELECT count(*) FROM recent r WHERE r.customer_id = f.customer_id AND epoch_us({_CUT}) - r.us >= 0
+     AND epoch_us({_CUT}) - r.us < 86400000000) AS n_24h,
+  round(coalesce((SELECT CAST(sum(r.amount) AS DOUBLE) FROM recent r WHERE r.customer_id = f.customer_id
+     AND epoch_us({_CUT}) - r.us >= 0 AND epoch_us({_CUT}) - r.us < 86400000000), 0.0), 6) AS sum_24h
+FROM fold f"""))
+register("state_prev", state_sql(f"""
+SELECT customer_id, round(coalesce((epoch_us({_CUT}) - max(us)) / 1e6, -1.0), 6) AS seconds_since_prev
+FROM recent GROUP BY customer_id"""))
+register("state_baseline", state_sql("""
+SELECT c.c_custkey AS customer_id, coalesce(f.prior_count, 0) AS prior_count, coalesce(f.prior_count, 0) = 0 AS is_new_customer,
+       round(CASE WHEN coalesce(f.prior_count, 0) > 0 THEN f.prior_amount_mean ELSE 100.0 END, 6) AS baseline_at_100
+FROM customer c LEFT JOIN fold f ON f.customer_id = c.c_custkey"""))
+register("latest_customer_state", state_sql(LATEST_SQL.format(where="")))
+register("state_upsert", state_sql(LATEST_SQL.format(where="")))
+register("state_lookup", state_sql("""
+SELECT c.c_custkey AS customer_id, l.event_us, l.transaction_id, l.seconds_since_prev_txn, l.txn_count_1h,
+       l.txn_count_24h, l.amount_sum_24h, l.customer_amount_mean_prior
+FROM customer c LEFT JOIN (""" + LATEST_SQL.format(where="") + """) l ON l.customer_id = c.c_custkey"""))

@@ -444,3 +444,75 @@ def q_state_upsert(spark, sf_dir):
 def q_state_lookup(spark, sf_dir):
     ids = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
     return rounded(ST.state_lookup(ids, _latest(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ tables and sinks
+from fraudspark.sources import tables as TB  # noqa: E402
+
+TRAIN_FROM, TRAIN_TO = "2024-01-03 00:00:00", "2024-01-25 00:00:00"
+
+
+def _feature_table(spark, sf_dir) -> str:
+    path = TB.scratch_path(spark, "features")
+    TB.append_features(features(spark, sf_dir), path)
+    return path
+
+
+@query("create_table")
+def q_create_table(spark, sf_dir):
+    path = TB.scratch_path(spark, "feature_table")
+    name = "features_" + path.rsplit("-", 1)[-1]
+    schema = S.feature_table_schema(T.LongType())
+    TB.ensure_table(spark, name, schema, path)
+    TB.ensure_table(spark, name, schema, path)  # idempotent
+    TB.append_features(features(spark, sf_dir), path)
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")  # register the day partitions written by path
+    t = spark.table(name)
+    return t.groupBy(F.col(TB.PARTITION).cast("string").alias("event_date")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(S.LABEL).cast("bigint").alias("n_fraud"))
+
+
+@query("append_raw")
+def q_append_raw(spark, sf_dir):
+    path = TB.scratch_path(spark, "raw")
+    n = TB.append_raw(transactions(spark, sf_dir), path)
+    back = spark.read.parquet(path)
+    return rounded(back.drop(TB.PARTITION)).withColumn("rows_written", F.lit(n).cast("bigint"))
+
+
+@query("append_features")
+def q_append_features(spark, sf_dir):
+    back = spark.read.parquet(_feature_table(spark, sf_dir))
+    return rounded(back.select("transaction_id", "customer_id", "is_fraud", "amount", *S.FEATURES))
+
+
+@query("training_set")
+def q_training_set(spark, sf_dir):
+    ts = TB.training_set(spark, _feature_table(spark, sf_dir), TRAIN_FROM, TRAIN_TO)
+    return rounded(ts.select("transaction_id", "customer_id", "is_fraud", "amount", *S.FEATURES))
+
+
+@query("load_features")
+def q_load_features(spark, sf_dir):
+    lf = TB.load_features(spark, raw=transactions(spark, sf_dir))
+    return rounded(lf.select("transaction_id", "customer_id", "is_fraud", "amount", *S.FEATURES))
+
+
+@query("floor_timestamps")
+def q_floor_timestamps(spark, sf_dir):
+    return rounded(TB.floor_timestamps(transactions(spark, sf_dir)).select("transaction_id", S.EVENT_TIME))
+
+
+@query("profile_save_load")
+def q_profile_save_load(spark, sf_dir):
+    profile, _ = drift_inputs(spark, sf_dir)
+    path = TB.scratch_path(spark, "profile")
+    TB.save_profile(profile, path)
+    return rounded(TB.load_profile(spark, path))
+
+
+@query("run_log")
+def q_run_log(spark, sf_dir):
+    _, thr, test = fitted(spark, sf_dir)
+    log = TB.run_log(ME.evaluate(test, thr), "run-1", params={"n_estimators": 300, "learning_rate": 0.05})
+    return rounded(log.filter(F.col("kind") == "metric").select("run", "variant", "kind", "name", "num"))

@@ -622,3 +622,30 @@ register("state_lookup", state_sql("""
 SELECT c.c_custkey AS customer_id, l.event_us, l.transaction_id, l.seconds_since_prev_txn, l.txn_count_1h,
        l.txn_count_24h, l.amount_sum_24h, l.customer_amount_mean_prior
 FROM customer c LEFT JOIN (""" + LATEST_SQL.format(where="") + """) l ON l.customer_id = c.c_custkey"""))
+
+
+# ----------------------------------------------------------------- tables and sinks
+register("create_table", f"""
+{with_ctes("tx")}
+SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date, count(*) AS n_rows, CAST(sum(is_fraud) AS BIGINT) AS n_fraud
+FROM tx GROUP BY 1""")
+register("append_raw", f"""
+{with_ctes("tx")}
+SELECT transaction_id, customer_id, epoch_us(event_time) AS event_us, round(CAST(amount AS DOUBLE), 6) AS amount,
+       merchant_id, merchant_category, country, customer_home_country, card_present, is_fraud,
+       (SELECT count(*) FROM tx) AS rows_written
+FROM tx""")
+register("append_features", ORACLE["build_features"])
+register("load_features", ORACLE["build_features"])
+register("training_set", f"""
+{with_ctes("feat")}
+SELECT transaction_id, customer_id, is_fraud, CAST(amount AS DOUBLE) AS amount, {feature_select(S.FEATURES)}
+FROM feat WHERE event_time >= TIMESTAMP '2024-01-03 00:00:00' AND event_time < TIMESTAMP '2024-01-25 00:00:00'
+  AND is_fraud IS NOT NULL""")
+register("floor_timestamps", f"""
+{with_ctes("tx")}
+SELECT transaction_id, epoch_us(event_time) AS event_us FROM tx""")
+register("profile_save_load", ORACLE["build_reference"])
+register("run_log", metric_sql("SELECT 'run-1' AS run, variant, 'metric' AS kind, name, round(num, 6) AS num FROM ("
+                               + " UNION ALL ".join(f"SELECT variant, '{m}' AS name, CAST({m} AS DOUBLE) AS num FROM ev"
+                                                    for m in _pivot_metrics) + ")"))

@@ -516,3 +516,196 @@ def q_run_log(spark, sf_dir):
     _, thr, test = fitted(spark, sf_dir)
     log = TB.run_log(ME.evaluate(test, thr), "run-1", params={"n_estimators": 300, "learning_rate": 0.05})
     return rounded(log.filter(F.col("kind") == "metric").select("run", "variant", "kind", "name", "num"))
+
+
+# ------------------------------------------------------------------ drift check job
+from fraudspark.plans import jobs as JB  # noqa: E402
+
+
+@query("drift_check")
+def q_drift_check(spark, sf_dir):
+    profile, _ = drift_inputs(spark, sf_dir)
+    cur = features(spark, sf_dir).filter(
+        (F.col(S.EVENT_TIME) >= F.lit(DRIFT_FROM).cast("timestamp_ntz"))
+        & (F.col(S.EVENT_TIME) < F.lit(DRIFT_TO).cast("timestamp_ntz")))
+    rep = JB.drift_check(profile, cur)
+    return rounded(rep.select("drifted", "n_significant", "n_features", "worst_feature", "worst_psi",
+                              "n_current_rows", "retrain_requested"))
+
+
+# ------------------------------------------------------------------ models (rows-only checks)
+from fraudspark.operators import explain as EX  # noqa: E402
+from fraudspark.operators import model as MO  # noqa: E402
+from fraudspark.session import ensure_checkpoint_dir  # noqa: E402
+
+QUERY_TREES = 50  # query-time ensemble size; the library default is 300
+_MODEL_CACHE: dict = {}
+
+
+def models_for(spark, sf_dir):
+    """(split frame, {variant: model}, thresholds dict) fitted once per session."""
+    key = (id(spark.sparkContext), sf_dir)
+    if key not in _MODEL_CACHE:
+        sp = split_frame(spark, sf_dir).checkpoint(eager=True)
+        spw = SP.scale_pos_weight_value(sp)
+        train = sp.filter(F.col("split") == "train")
+        models = {v: MO.fit_variant(train, v, scale_pos_weight=spw, n_estimators=QUERY_TREES) for v in MO.VARIANTS}
+        val = sp.filter(F.col("split") == "validation")
+        long = None
+        for v, m in models.items():
+            s = MO.score(m, val, keep=("transaction_id", S.LABEL, S.AMOUNT)).select(
+                F.lit(v).alias("variant"), F.col("fraud_probability").alias("score"),
+                F.col(S.LABEL).cast("bigint").alias("label"), F.col(S.AMOUNT).alias("amount"))
+            long = s if long is None else long.unionByName(s)
+        thr = {r["variant"]: float(min(r["threshold"], 1.0)) for r in ME.optimal_threshold(long).collect()}
+        _MODEL_CACHE[key] = (sp, models, thr)
+    return _MODEL_CACHE[key]
+
+
+def _test(spark, sf_dir):
+    sp, models, thr = models_for(spark, sf_dir)
+    return sp.filter(F.col("split") == "test"), models, thr
+
+
+def _scored_all(spark, sf_dir):
+    test, models, thr = _test(spark, sf_dir)
+    out = None
+    for v, m in models.items():
+        s = MO.flag(MO.score(m, test, keep=("transaction_id",)), thr[v]).withColumn("variant", F.lit(v))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+def _attr_all(spark, sf_dir):
+    test, models, _ = _test(spark, sf_dir)
+    folder = ensure_checkpoint_dir(spark)
+    out = None
+    for v, m in models.items():
+        a = EX.attributions(test, m, folder).withColumn("variant", F.lit(v))
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+@query("fit_variant")
+def q_fit_variant(spark, sf_dir):
+    _, models, _ = _test(spark, sf_dir)
+    rows = [(v, len(m.stages[-1].trees), int(m.stages[-1].totalNumNodes)) for v, m in models.items()]
+    return spark.createDataFrame(rows, "variant string, n_trees int, total_nodes int")
+
+
+@query("score")
+def q_score(spark, sf_dir):
+    return _scored_all(spark, sf_dir).select("transaction_id", "variant", "fraud_probability")
+
+
+@query("flag")
+def q_flag(spark, sf_dir):
+    return _scored_all(spark, sf_dir).select("transaction_id", "variant", "threshold", "is_flagged")
+
+
+@query("tree_attributions")
+def q_tree_attributions(spark, sf_dir):
+    a = _attr_all(spark, sf_dir)
+    return a.select("transaction_id", "variant", *[F.col("shap")[i].alias(f) for i, f in enumerate(S.FEATURES)])
+
+
+@query("base_value")
+def q_base_value(spark, sf_dir):
+    return _attr_all(spark, sf_dir).groupBy("variant").agg(F.first("base_value").alias("base_value"))
+
+
+def _explained(spark, sf_dir):
+    test, models, thr = _test(spark, sf_dir)
+    folder = ensure_checkpoint_dir(spark)
+    out = None
+    for v, m in models.items():
+        sc = MO.flag(MO.score(m, test, keep=("transaction_id", "customer_id", S.EVENT_TIME, *S.FEATURES)), thr[v])
+        ex = EX.explain(sc, EX.attributions(test, m, folder)).withColumn("variant", F.lit(v))
+        out = ex if out is None else out.unionByName(ex)
+    return out
+
+
+@query("explain")
+def q_explain(spark, sf_dir):
+    ex = _explained(spark, sf_dir)
+    return ex.select("transaction_id", "variant", "base_value", "fraud_probability",
+                     F.explode("attributions").alias("a")).select(
+        "transaction_id", "variant", "base_value", "fraud_probability", "a.feature", "a.value", "a.shap_value",
+        "a.direction")
+
+
+@query("margin")
+def q_margin(spark, sf_dir):
+    ex = _explained(spark, sf_dir)
+    return ex.select("transaction_id", "variant", EX.margin_of().alias("shap_margin"),
+                     F.col("margin").alias("model_margin"))
+
+
+@query("additivity_check")
+def q_additivity_check(spark, sf_dir):
+    ex = _explained(spark, sf_dir)
+    err = F.abs(EX.margin_of() - F.col("margin"))
+    return ex.groupBy("variant").agg(F.max(err).alias("max_error"),
+                                     (F.max(err) <= F.lit(S.ADDITIVITY_TOLERANCE)).alias("additive"))
+
+
+@query("top_contributions")
+def q_top_contributions(spark, sf_dir):
+    ex = _explained(spark, sf_dir)
+    return ex.select("transaction_id", "variant", F.posexplode(EX.top_contributions()).alias("rank", "a")).select(
+        "transaction_id", "variant", (F.col("rank") + 1).alias("rank"), "a.feature", "a.shap_value")
+
+
+@query("direction")
+def q_direction(spark, sf_dir):
+    ex = _explained(spark, sf_dir)
+    return ex.select(F.explode("attributions").alias("a")).groupBy("a.direction").count()
+
+
+@query("json_payload")
+def q_json_payload(spark, sf_dir):
+    """The audit JSON and the question 'why was X blocked' read back through JSON access."""
+    ex = _explained(spark, sf_dir).withColumn("top_features", EX.json_payload())
+    return ex.filter("is_flagged").select(
+        "transaction_id", "variant", "top_features",
+        F.get_json_object("top_features", "$[0].feature").alias("main_reason"))
+
+
+@query("global_importance")
+def q_global_importance(spark, sf_dir):
+    return EX.global_importance(_attr_all(spark, sf_dir), "variant")
+
+
+def _importances(spark, sf_dir):
+    imp = EX.global_importance(_attr_all(spark, sf_dir), "variant").checkpoint(eager=True)
+    return imp.filter(F.col("variant") == "A"), imp.filter(F.col("variant") == "B")
+
+
+@query("importance_align")
+def q_importance_align(spark, sf_dir):
+    a, b = _importances(spark, sf_dir)
+    return EX.importance_align(a, b)
+
+
+@query("importance_shift")
+def q_importance_shift(spark, sf_dir):
+    a, b = _importances(spark, sf_dir)
+    return EX.importance_shift(a, b)
+
+
+@query("audit_append")
+def q_audit_append(spark, sf_dir):
+    test, models, thr = _test(spark, sf_dir)
+    folder = ensure_checkpoint_dir(spark)
+    path = TB.scratch_path(spark, "audit")
+    for v, m in models.items():
+        JB.score_job(test, m, v, thr[v], folder=folder, audit_path=path)
+    back = spark.read.parquet(path)
+    return back.select(*[f.name for f in S.PREDICTION_LOG_SCHEMA.fields if f.name != "variant"], "variant")
+
+
+@query("train_job")
+def q_train_job(spark, sf_dir):
+    res = JB.train_job(features(spark, sf_dir, materialize=True), n_estimators=QUERY_TREES, explain=False)
+    v = res.verdict.first()  # the one-row verdict
+    return res.evaluation.withColumn("winner", F.lit(v["winner"])).withColumn("significant", F.lit(v["significant"]))

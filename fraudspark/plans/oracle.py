@@ -649,3 +649,10 @@ register("profile_save_load", ORACLE["build_reference"])
 register("run_log", metric_sql("SELECT 'run-1' AS run, variant, 'metric' AS kind, name, round(num, 6) AS num FROM ("
                                + " UNION ALL ".join(f"SELECT variant, '{m}' AS name, CAST({m} AS DOUBLE) AS num FROM ev"
                                                     for m in _pivot_metrics) + ")"))
+
+_DRIFT_CHECK_CTES = {k: v for k, v in DRIFT_CTES.items()}
+register("drift_check", drift_sql("""
+SELECT drifted, n_significant, n_features, worst_feature, round(worst_psi, 6) AS worst_psi, n_current_rows,
+       drifted AS retrain_requested FROM rep""").replace(
+    "(SELECT * FROM spl WHERE split = 'test')",
+    "(SELECT * FROM feat WHERE event_time >= TIMESTAMP '2024-01-22 00:00:00' AND event_time < TIMESTAMP '2024-02-01 00:00:00')"))

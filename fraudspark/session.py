@@ -49,3 +49,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make `fraudspark` importable in Python workers (like --py-files).
+
+    Needed by the operators that run Python inside tasks (mapInPandas,
+    applyInPandasWithState). The zip is written to the shared checkpoint
+    folder once per SparkContext and added with `addPyFile`.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    folder = ensure_checkpoint_dir(spark)
+    target = os.path.join(folder.replace("file:", ""), f"fraudspark-{os.getpid()}.zip")
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(id(sc))

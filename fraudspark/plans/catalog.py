@@ -709,3 +709,124 @@ def q_train_job(spark, sf_dir):
     res = JB.train_job(features(spark, sf_dir, materialize=True), n_estimators=QUERY_TREES, explain=False)
     v = res.verdict.first()  # the one-row verdict
     return res.evaluation.withColumn("winner", F.lit(v["winner"])).withColumn("significant", F.lit(v["significant"]))
+
+
+# ------------------------------------------------------------------ streaming
+from fraudspark.sources.adapter import transactions_from_events  # noqa: E402
+from fraudspark.streaming import scoring as SC  # noqa: E402
+
+LATENESS_US = 3600 * 1_000_000
+
+
+def _event_stream(spark, sf_dir):
+    """The events table as a file stream (stream-static join with nation)."""
+    ev_schema = read_table(spark, sf_dir, "events").schema
+    # a file source reads a folder or a glob; this glob matches exactly the table file
+    stream = spark.readStream.schema(ev_schema).option("maxFilesPerTrigger", 1).parquet(
+        f"{sf_dir.rstrip('/')}/events.parq[u]et")
+    return transactions_from_events(stream, read_table(spark, sf_dir, "nation"))
+
+
+@query("stream_features")
+def q_stream_features(spark, sf_dir):
+    """Per-event features from keyed stream state (country names in the driver
+    data are not 2-letter codes, so the contract filter is not applied here)."""
+    sink, ck = TB.scratch_path(spark, "stream-sink"), TB.scratch_path(spark, "stream-ckpt")
+    SC.run_stream(_event_stream(spark, sf_dir), sink, ck, contract=False)
+    return rounded(spark.read.parquet(sink).select("transaction_id", *S.FEATURES))
+
+
+@query("stream_score")
+def q_stream_score(spark, sf_dir):
+    """Stream -> features -> score -> flag -> top-5 reasons -> prediction log rows."""
+    _, models, thr = models_for(spark, sf_dir)
+    folder = ensure_checkpoint_dir(spark)
+    variant = MO.VARIANTS[0]
+
+    def on_batch(df, batch_id):
+        return JB.score_job(df, models[variant], variant, thr[variant], folder=folder).withColumn(
+            "new_customer", F.lit(None).cast("boolean")).drop("margin", "shap")
+
+    sink, ck = TB.scratch_path(spark, "score-sink"), TB.scratch_path(spark, "score-ckpt")
+    SC.run_stream(_event_stream(spark, sf_dir), sink, ck, contract=False, on_batch=on_batch)
+    return spark.read.parquet(sink).select("transaction_id", "variant", "fraud_probability", "is_flagged",
+                                           "top_features")
+
+
+@query("late_events")
+def q_late_events(spark, sf_dir):
+    """Events (in arrival = event_id order) older than the newest earlier
+    arrival of the same customer by more than the allowed lateness."""
+    tx = transactions(spark, sf_dir).withColumn("_us", epoch_micros(S.EVENT_TIME))
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("customer_id").orderBy("transaction_id").rowsBetween(Window.unboundedPreceding, -1)
+    late = tx.withColumn("newest_us", F.max("_us").over(w)).filter(
+        F.col("_us") < F.col("newest_us") - F.lit(LATENESS_US))
+    return late.select("transaction_id", "customer_id", (F.col("newest_us") - F.col("_us")).alias("late_by_us"))
+
+
+# ------------------------------------------------------------------ validation, scalar functions, joins
+from fraudspark.functions.expr import to_naive_utc  # noqa: E402
+from fraudspark.operators import validate as VA  # noqa: E402
+
+
+@query("validate_nulls")
+def q_validate_nulls(spark, sf_dir):
+    v = VA.validation_summary(transactions(spark, sf_dir))
+    return v.select(*[c for c in v.columns if c.startswith("null_")])
+
+
+@query("validate_amount")
+def q_validate_amount(spark, sf_dir):
+    return VA.validation_summary(transactions(spark, sf_dir)).select("n_negative_amount")
+
+
+@query("validate_label")
+def q_validate_label(spark, sf_dir):
+    v = VA.validation_summary(transactions(spark, sf_dir))
+    return v.select(F.size("invalid_labels").cast("bigint").alias("n_invalid_labels"),
+                    F.array_join(F.transform("invalid_labels", lambda x: x.cast("string")), ",").alias("invalid_labels"))
+
+
+@query("quarantine")
+def q_quarantine(spark, sf_dir):
+    q = VA.quarantine(transactions(spark, sf_dir))
+    return q.select("transaction_id", "is_valid", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("to_utc")
+def q_to_utc(spark, sf_dir):
+    """Event times written as ISO text without and with a +02:00 offset, parsed back to naive UTC."""
+    tx = transactions(spark, sf_dir)
+    text = F.date_format(S.EVENT_TIME, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return tx.select(
+        "transaction_id",
+        epoch_micros(to_naive_utc(text)).alias("naive_us"),
+        epoch_micros(to_naive_utc(F.concat(text, F.lit("+02:00")))).alias("offset_us"),
+        epoch_micros(to_naive_utc(F.concat(text, F.lit("Z")))).alias("zulu_us"),
+    )
+
+
+@query("cast_features")
+def q_cast_features(spark, sf_dir):
+    f = ST.serving_features_batch(transactions(spark, sf_dir)).select("transaction_id", *S.FEATURES)
+    return rounded(FE.cast_features(f))
+
+
+@query("feature_vector")
+def q_feature_vector(spark, sf_dir):
+    m = MO.feature_matrix(features(spark, sf_dir), keep=["transaction_id"])
+    return rounded(m.select("transaction_id", *[F.col(f"_x_{c}").alias(c) for c in S.FEATURES]))
+
+
+@query("anti_join_unknown_customers")
+def q_anti_join(spark, sf_dir):
+    ids = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    return ids.join(transactions(spark, sf_dir).select("customer_id"), "customer_id", "left_anti")
+
+
+@query("semi_join_known_customers")
+def q_semi_join(spark, sf_dir):
+    ids = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"), "c_name")
+    return ids.join(transactions(spark, sf_dir).select("customer_id"), "customer_id", "left_semi")

@@ -656,3 +656,54 @@ SELECT drifted, n_significant, n_features, worst_feature, round(worst_psi, 6) AS
        drifted AS retrain_requested FROM rep""").replace(
     "(SELECT * FROM spl WHERE split = 'test')",
     "(SELECT * FROM feat WHERE event_time >= TIMESTAMP '2024-01-22 00:00:00' AND event_time < TIMESTAMP '2024-02-01 00:00:00')"))
+
+register("stream_features", ORACLE["serving_features"])
+register("late_events", f"""
+{with_ctes("tx")}
+SELECT transaction_id, customer_id, newest_us - us AS late_by_us FROM (
+  SELECT transaction_id, customer_id, epoch_us(event_time) AS us,
+         max(epoch_us(event_time)) OVER (PARTITION BY customer_id ORDER BY transaction_id
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest_us
+  FROM tx) WHERE us < newest_us - 3600000000""")
+
+_REQUIRED = [f.name for f in S.RAW_SCHEMA.fields if not f.nullable]
+register("validate_nulls", f"""
+{with_ctes("tx")}
+SELECT {", ".join(f"count_if({c} IS NULL) AS null_{c}" for c in _REQUIRED)} FROM tx""")
+register("validate_amount", f"""
+{with_ctes("tx")}
+SELECT count_if(amount < 0) AS n_negative_amount FROM tx""")
+register("validate_label", f"""
+{with_ctes("tx")}
+SELECT count(DISTINCT is_fraud) FILTER (WHERE is_fraud NOT IN (0, 1)) AS n_invalid_labels,
+       coalesce(string_agg(DISTINCT CAST(is_fraud AS VARCHAR), ',' ORDER BY CAST(is_fraud AS VARCHAR))
+                FILTER (WHERE is_fraud NOT IN (0, 1)), '') AS invalid_labels
+FROM tx""")
+register("quarantine", f"""
+{with_ctes("tx")}
+SELECT transaction_id, len(r) = 0 AS is_valid, array_to_string(r, ',') AS reasons FROM (
+  SELECT transaction_id, list_filter([
+    CASE WHEN transaction_id IS NULL OR length(CAST(transaction_id AS VARCHAR)) < 1 THEN 'transaction_id:empty' END,
+    CASE WHEN customer_id IS NULL OR length(CAST(customer_id AS VARCHAR)) < 1 THEN 'customer_id:empty' END,
+    CASE WHEN merchant_id IS NULL OR length(merchant_id) < 1 THEN 'merchant_id:empty' END,
+    CASE WHEN merchant_category IS NULL OR length(merchant_category) < 1 THEN 'merchant_category:empty' END,
+    CASE WHEN event_time IS NULL THEN 'event_time:missing' END,
+    CASE WHEN amount IS NULL OR amount < 0 OR amount > 1000000 THEN 'amount:out_of_range' END,
+    CASE WHEN country IS NULL OR length(country) <> 2 THEN 'country:not_2_letters' END,
+    CASE WHEN customer_home_country IS NULL OR length(customer_home_country) <> 2 THEN 'customer_home_country:not_2_letters' END,
+    CASE WHEN card_present IS NULL THEN 'card_present:missing' END], lambda x: x IS NOT NULL) AS r
+  FROM tx)""")
+register("to_utc", f"""
+{with_ctes("tx")}
+SELECT transaction_id, epoch_us(event_time) AS naive_us, epoch_us(event_time) - 7200000000 AS offset_us,
+       epoch_us(event_time) AS zulu_us FROM tx""")
+register("cast_features", ORACLE["serving_features"])
+register("feature_vector", f"""
+{with_ctes("feat")}
+SELECT transaction_id, {", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in S.FEATURES)} FROM feat""")
+register("anti_join_unknown_customers", f"""
+{with_ctes("tx")}
+SELECT c.c_custkey AS customer_id FROM customer c WHERE NOT EXISTS (SELECT 1 FROM tx WHERE tx.customer_id = c.c_custkey)""")
+register("semi_join_known_customers", f"""
+{with_ctes("tx")}
+SELECT c.c_custkey AS customer_id, c.c_name FROM customer c WHERE EXISTS (SELECT 1 FROM tx WHERE tx.customer_id = c.c_custkey)""")

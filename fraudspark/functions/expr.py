@@ -142,3 +142,13 @@ def poisson1_weight(u: Column) -> Column:
 
 def poisson1_weight_sql(u: str) -> str:
     return "(" + " + ".join(f"(CASE WHEN {u} >= {c} THEN 1 ELSE 0 END)" for c in POISSON1_CUTS) + ")"
+
+
+def int_key(df, name: str) -> Column:
+    """A BIGINT key for hashing: integral ids as they are, other ids through
+    Spark's xxhash64 (ids are STRING in the contract, BIGINT in test data)."""
+    from pyspark.sql import types as T
+
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return F.col(name).cast("bigint")
+    return F.xxhash64(F.col(name))

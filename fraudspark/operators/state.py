@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudspark import schema as S
-from fraudspark.functions.expr import epoch_micros, mix_hash
+from fraudspark.functions.expr import epoch_micros, int_key, mix_hash
 from fraudspark.operators.features import add_row_features
 
 H_US = S.ONE_HOUR_SECONDS * 1_000_000
@@ -42,7 +42,7 @@ def state_fold(history: DataFrame, *, as_of=None, max_events: int = S.MAX_RECENT
     totals = h.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("prior_count"), F.sum(S.AMOUNT).alias("prior_sum"))
     newest = Window.orderBy(F.col("us").desc(), F.col("transaction_id").desc())
-    salted = h.withColumn("_salt", F.pmod(mix_hash(F.col("transaction_id")), F.lit(salts)))
+    salted = h.withColumn("_salt", F.pmod(mix_hash(int_key(h, "transaction_id")), F.lit(salts)))
     lvl1 = salted.withColumn(
         "_r", F.row_number().over(newest.partitionBy("customer_id", "_salt"))).filter(F.col("_r") <= max_events)
     lvl2 = lvl1.withColumn(
@@ -70,8 +70,10 @@ def state_window_count(recent: Column, now_us: Column, width_us: int) -> Column:
     return F.size(_within(recent, now_us, width_us)).cast("bigint")
 
 
-def state_window_sum(recent: Column, now_us: Column, width_us: int) -> Column:
-    return F.aggregate(_within(recent, now_us, width_us), F.lit(0).cast("decimal(28,2)"),
+def state_window_sum(recent: Column, now_us: Column, width_us: int, plus: Column | None = None) -> Column:
+    """Exact decimal sum of the window (+ `plus`, the current amount), as double."""
+    start = F.lit(0).cast("decimal(28,2)") if plus is None else plus.cast("decimal(28,2)")
+    return F.aggregate(_within(recent, now_us, width_us), start,
                        lambda acc, e: (acc + e["amount"]).cast("decimal(28,2)")).cast("double")
 
 
@@ -100,7 +102,7 @@ def state_features(events: DataFrame, state: DataFrame) -> DataFrame:
         state_prev_seconds(recent, now).alias("seconds_since_prev_txn"),
         (state_window_count(recent, now, H_US) + 1).alias("txn_count_1h"),
         (state_window_count(recent, now, D_US) + 1).alias("txn_count_24h"),
-        (state_window_sum(recent, now, D_US) + amount.cast("double")).alias("amount_sum_24h"),
+        state_window_sum(recent, now, D_US, plus=amount).alias("amount_sum_24h"),
         mean.alias("customer_amount_mean_prior"),
     )
     return out.withColumn(
@@ -160,7 +162,7 @@ def serving_features_batch(tx: DataFrame, *, max_events: int = S.MAX_RECENT_EVEN
         F.coalesce((F.col("_us") - F.col("prev_us")).cast("double") / F.lit(1e6), F.lit(S.NO_PRIOR_TRANSACTION)),
     ).withColumn("txn_count_1h", (F.least(F.col("_c1"), F.lit(max_events)) + 1).cast("bigint")
     ).withColumn("txn_count_24h", (F.least(F.col("_c24"), F.lit(max_events)) + 1).cast("bigint")
-    ).withColumn("amount_sum_24h", capped_sum.cast("double") + amount
+    ).withColumn("amount_sum_24h", (capped_sum + F.col(S.AMOUNT)).cast("double")
     ).withColumn("customer_amount_mean_prior", state_baseline(F.col("prior_count"), F.col("prior_amount_mean"),
                                                               F.col(S.AMOUNT))
     ).withColumn("amount_vs_customer_mean",

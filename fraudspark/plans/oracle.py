@@ -541,7 +541,7 @@ SELECT a.transaction_id,
   country <> customer_home_country AS is_foreign, NOT card_present AS card_not_present,
   round(coalesce((us - prev_us) / 1e6, -1.0), 6) AS seconds_since_prev_txn,
   CAST(least(c1, 100) + 1 AS BIGINT) AS txn_count_1h, CAST(least(c24, 100) + 1 AS BIGINT) AS txn_count_24h,
-  round(CAST(s24 AS DOUBLE) + CAST(amount AS DOUBLE), 6) AS amount_sum_24h,
+  round(CAST(s24 + amount AS DOUBLE), 6) AS amount_sum_24h,
   round(CASE WHEN prior_count > 0 THEN CAST(prior_sum AS DOUBLE) / prior_count ELSE CAST(amount AS DOUBLE) END, 6)
     AS customer_amount_mean_prior,
   round(CASE WHEN (CASE WHEN prior_count > 0 THEN CAST(prior_sum AS DOUBLE) / prior_count ELSE CAST(amount AS DOUBLE) END) > 0

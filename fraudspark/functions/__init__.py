@@ -6,7 +6,7 @@ from fraudspark.functions.expr import (  # noqa: F401
     epoch_micros,
     is_night,
     is_weekend,
-    mix_hash,
+    with_mix_hash,
     poisson1_weight,
     to_naive_utc,
 )

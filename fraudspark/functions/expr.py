@@ -66,57 +66,79 @@ def to_naive_utc(text: Column) -> Column:
     return F.when(has_offset, as_utc).otherwise(F.to_timestamp_ntz(text))
 
 
-def bucket_of(value: Column, bounds: Sequence[float]) -> Column:
+def sql_double(x: float) -> str:
+    """A DOUBLE literal in Spark SQL (a bare 0.1 would be DECIMAL)."""
+    return f"CAST('{float(x)!r}' AS DOUBLE)"
+
+
+def bucket_sql(value_sql: str, bounds: Sequence[float]) -> str:
+    """SQL text of `bucket_of`: a balanced tree of CASE branches."""
+    bounds = [float(b) for b in bounds]
+
+    def build(lo: int, hi: int) -> str:
+        if lo == hi:
+            return str(lo)
+        mid = (lo + hi) // 2
+        return f"CASE WHEN {value_sql} < {sql_double(bounds[mid])} THEN {build(lo, mid)} ELSE {build(mid + 1, hi)} END"
+
+    return f"CAST({build(0, len(bounds))} AS INT)"
+
+
+def bucket_of(value: Column | str, bounds: Sequence[float]) -> Column:
     """Index of the range `value` falls in, for sorted `bounds`.
 
     Returns i with bounds[i-1] <= value < bounds[i] (0 below the first bound,
     len(bounds) at or above the last). Built as a balanced tree of CASE
     branches, so each row does log2(len(bounds)) comparisons inside codegen.
+    `value` given as a column name / SQL text builds the tree in one call.
     """
+    if isinstance(value, str):
+        return F.expr(bucket_sql(value, bounds))
     bounds = list(bounds)
 
     def build(lo: int, hi: int) -> Column:
-        # answer lies in [lo, hi]
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        # values < bounds[mid] are in [lo, mid]
         return F.when(value < F.lit(float(bounds[mid])), build(lo, mid)).otherwise(build(mid + 1, hi))
 
     return build(0, len(bounds)).cast("int")
 
 
 _P = 2147483647  # 2^31 - 1
+_MULTIPLIERS = (48271, 16807, 69621, 40692)
+_FINISH = ((15, 69621), (13, 48271), (16, 16807))
 
 
-def mix_hash(*parts: Column | int) -> Column:
-    """Deterministic 31-bit integer mix of bigint inputs.
+def with_mix_hash(df, out: str, parts) -> "DataFrame":  # noqa: F821
+    """Add `out` = a deterministic 31-bit integer mix of bigint inputs.
 
-    Uses only BIGINT multiply, modulo, shift and xor with every intermediate
-    below 2^62, so the same value comes out of Spark and of a SQL engine
-    (DuckDB: `%`, `>>`, `xor`). Inputs are reduced modulo 2^31-1 first.
+    A linear combination modulo 2^31-1 followed by three xor-shift/multiply
+    rounds, each in its own projection so no sub-expression is duplicated.
+    Only BIGINT multiply, modulo, shift and xor, all below 2^62, so a SQL
+    engine reproduces it exactly (see `mix_hash_sql`).
     """
-    h = F.lit(0).cast("bigint")
+    lin = F.lit(12345).cast("bigint")
     for i, p in enumerate(parts):
         c = p if isinstance(p, Column) else F.lit(p).cast("bigint")
-        x = F.pmod(c.cast("bigint"), F.lit(_P))
-        h = F.pmod(h * F.lit(48271) + x * F.lit(16807 + 2 * i) + F.lit(12345 + i), F.lit(_P))
-        h = h.bitwiseXOR(F.shiftright(h, 15))
-        h = F.pmod(h * F.lit(69621), F.lit(_P))
-        h = h.bitwiseXOR(F.shiftright(h, 13))
-    return h
-
-
-def mix_hash_sql(*parts: str) -> str:
-    """The DuckDB spelling of `mix_hash` (used by the oracle)."""
-    h = "CAST(0 AS BIGINT)"
-    for i, p in enumerate(parts):
-        x = f"(((CAST({p} AS BIGINT)) % {_P} + {_P}) % {_P})"
-        h = f"(({h}) * 48271 + {x} * {16807 + 2 * i} + {12345 + i}) % {_P}"
-        h = f"xor(({h}), (({h}) >> 15))"
-        h = f"((({h}) * 69621) % {_P})"
-        h = f"xor(({h}), (({h}) >> 13))"
-    return h
+        lin = lin + F.pmod(c.cast("bigint"), F.lit(_P)) * F.lit(_MULTIPLIERS[i % len(_MULTIPLIERS)] + i)
+    df = df.withColumn(out, F.pmod(lin, F.lit(_P)))
+    for shift, mult in _FINISH:
+        h = F.col(out)
+        df = df.withColumn(out, F.pmod(h.bitwiseXOR(F.shiftright(h, shift)) * F.lit(mult), F.lit(_P)))
+    return df
+
+
+def mix_hash_sql(source: str, out: str, parts) -> str:
+    """DuckDB spelling of `with_mix_hash`: a query adding column `out` to `source`."""
+    terms = " + ".join(
+        f"((CAST({p} AS BIGINT) % {_P} + {_P}) % {_P}) * {_MULTIPLIERS[i % len(_MULTIPLIERS)] + i}"
+        for i, p in enumerate(parts))
+    q = f"SELECT *, (12345 + {terms}) % {_P} AS {out} FROM ({source})"
+    for k, (shift, mult) in enumerate(_FINISH):
+        q = (f"SELECT * EXCLUDE ({out}), (xor({out}, {out} >> {shift}) * {mult}) % {_P} AS {out} "
+             f"FROM ({q}) s{k}")
+    return q
 
 
 def _poisson1_cuts(scale: int = _P) -> list[int]:

@@ -38,19 +38,30 @@ def _bucket_column(df: DataFrame, group_cols: Sequence[str], key: str, n_buckets
     sketch = F.percentile_approx(F.col(key).cast("double"), probs, APPROX_ACCURACY).alias("_q")
     agg = df.groupBy(*group_cols).agg(sketch) if group_cols else df.agg(sketch)
     rows = agg.collect()  # one row per group: bounded by the number of groups
-    k = F.col(key).cast("double")
-    expr = None
+    from fraudspark.functions.expr import bucket_sql
+
+    k = f"CAST(`{key}` AS DOUBLE)"
+    branches = []
     for r in rows:
         bounds = sorted({float(x) for x in (r["_q"] or [])})
-        b = bucket_of(k, bounds)
+        b = bucket_sql(k, bounds)
         if not group_cols:
-            return b
-        cond = None
-        for g in group_cols:
-            c = F.col(g).eqNullSafe(F.lit(r[g]))
-            cond = c if cond is None else cond & c
-        expr = F.when(cond, b) if expr is None else expr.when(cond, b)
-    return F.lit(0) if expr is None else expr.otherwise(F.lit(0))
+            return F.expr(b)
+        cond = " AND ".join(f"`{g}` <=> {_sql_lit(r[g])}" for g in group_cols)
+        branches.append(f"WHEN {cond} THEN {b}")
+    if not branches:
+        return F.lit(0)
+    return F.expr("CASE " + " ".join(branches) + " ELSE 0 END")
+
+
+def _sql_lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, float):
+        return f"CAST('{v!r}' AS DOUBLE)"
+    return str(v)
 
 
 def ordered_prefix(

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudspark import schema as S
-from fraudspark.functions.expr import epoch_micros, int_key, mix_hash
+from fraudspark.functions.expr import epoch_micros, int_key, with_mix_hash
 from fraudspark.operators.features import add_row_features
 
 H_US = S.ONE_HOUR_SECONDS * 1_000_000
@@ -42,7 +42,8 @@ def state_fold(history: DataFrame, *, as_of=None, max_events: int = S.MAX_RECENT
     totals = h.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("prior_count"), F.sum(S.AMOUNT).alias("prior_sum"))
     newest = Window.orderBy(F.col("us").desc(), F.col("transaction_id").desc())
-    salted = h.withColumn("_salt", F.pmod(mix_hash(int_key(h, "transaction_id")), F.lit(salts)))
+    salted = with_mix_hash(h, "_salt", [int_key(h, "transaction_id")]).withColumn(
+        "_salt", F.pmod(F.col("_salt"), F.lit(salts)))
     lvl1 = salted.withColumn(
         "_r", F.row_number().over(newest.partitionBy("customer_id", "_salt"))).filter(F.col("_r") <= max_events)
     lvl2 = lvl1.withColumn(

@@ -250,13 +250,16 @@ def bootstrap_sql(n_resamples: int = 1000, seed: int = 0, n_blocks: int = 1 << 2
     cost = "CASE WHEN is_fraud = 1 AND NOT ({s} >= {t}) THEN CAST(amount AS DOUBLE) WHEN is_fraud = 0 AND ({s} >= {t}) THEN 5.0 ELSE 0.0 END"
     ca = cost.format(s="score_A", t="th.ta")
     cb = cost.format(s="score_B", t="th.tb")
-    blk = f"((({mix_hash_sql('transaction_id', str(seed))}) % {n_blocks}) + {n_blocks}) % {n_blocks}"
-    w = poisson1_weight_sql(mix_hash_sql("block", "rep", str(seed + 1)))
+    base = f"SELECT transaction_id, ({ca}) - ({cb}) AS d FROM scored, {_thr_dict_sql()} th WHERE split = 'test'"
+    hashed = mix_hash_sql(base, "h", ["transaction_id", str(seed)])
+    reps = mix_hash_sql(f"SELECT b.block, b.d, r.rep FROM blocks b, (SELECT unnest(range(0, {n_resamples})) AS rep) r",
+                        "u", ["block", "rep", str(seed + 1)])
+    w = poisson1_weight_sql("u")
     return f"""
-rows_d AS (SELECT {blk} AS block, ({ca}) - ({cb}) AS d FROM scored, {_thr_dict_sql()} th WHERE split = 'test'),
+rows_d AS (SELECT h % {n_blocks} AS block, d FROM ({hashed})),
 st AS (SELECT count(*) AS n, sum(d) AS sum_d FROM rows_d),
 blocks AS (SELECT block, sum(d) AS d FROM rows_d WHERE d <> 0 GROUP BY block),
-reps AS (SELECT b.block, b.d, r.rep FROM blocks b, (SELECT unnest(range(0, {n_resamples})) AS rep) r),
+reps AS ({reps}),
 per_rep AS (SELECT a.rep, coalesce(x.wd, 0.0) AS wd
             FROM (SELECT unnest(range(0, {n_resamples})) AS rep) a
             LEFT JOIN (SELECT rep, sum(CAST({w} AS DOUBLE) * d) AS wd FROM reps GROUP BY rep) x ON x.rep = a.rep),

@@ -20,6 +20,7 @@ without materialising a whole group in one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -125,46 +126,30 @@ def exact_quantiles(
     else:
         v = v.select(group_col, value_col, F.col(count_col).alias("_cnt"))
     cum = ordered_prefix(v, [group_col], [value_col], ["_cnt"], n_buckets=n_buckets)
-    n = cum.groupBy(group_col).agg(F.sum("_cnt").alias("_n"))
-    cum = cum.join(F.broadcast(n), group_col)  # one row per group
-    # positions h = (n-1) p ; ranks lo=floor(h), hi=min(lo+1, n-1) (0-based)
-    p_arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = F.transform(
-        p_arr,
-        lambda p, i: F.struct(
-            i.alias("qi"),
-            p.alias("p"),
-            ((F.col("_n") - 1) * p).alias("h"),
-        ),
-    )
+    # group sizes: one row per group (bounded)
+    sizes = {r[0]: int(r[1]) for r in v.groupBy(group_col).agg(F.sum("_cnt")).collect()}
+    # target ranks, 0-based: h = (n-1) p, lo = floor(h), hi = min(lo+1, n-1)
+    rows = []
+    for g, n in sizes.items():
+        for qi, p in enumerate(probs):
+            h = (n - 1) * float(p)
+            lo = math.floor(h)
+            rows.append((g, qi, float(p), h, 0, lo))
+            rows.append((g, qi, float(p), h, 1, min(lo + 1, n - 1)))
+    gtype = values.schema[group_col].dataType.simpleString()
+    targets = values.sparkSession.createDataFrame(
+        rows, f"{group_col} {gtype}, q_index int, prob double, _h double, side int, r bigint")
     first = F.col("cum__cnt") - F.col("_cnt")  # rank of the first copy of this value
     last = F.col("cum__cnt") - 1
-    hits = cum.select(
-        group_col,
-        value_col,
-        F.explode(
-            F.filter(
-                F.flatten(
-                    F.transform(
-                        targets,
-                        lambda t: F.array(
-                            F.struct(t["qi"].alias("qi"), t["p"].alias("p"), t["h"].alias("h"),
-                                     F.lit(0).alias("side"), F.floor(t["h"]).alias("r")),
-                            F.struct(t["qi"].alias("qi"), t["p"].alias("p"), t["h"].alias("h"),
-                                     F.lit(1).alias("side"),
-                                     F.least(F.floor(t["h"]) + 1, F.col("_n") - 1).alias("r")),
-                        ),
-                    )
-                ),
-                lambda x: (x["r"] >= first) & (x["r"] <= last),
-            )
-        ).alias("t"),
-    )
-    picked = hits.groupBy(group_col, F.col("t.qi").alias("q_index")).agg(
-        F.first("t.p").alias("prob"),
-        F.first("t.h").alias("_h"),
-        F.max(F.when(F.col("t.side") == 0, F.col(value_col).cast("double"))).alias("_a"),
-        F.max(F.when(F.col("t.side") == 1, F.col(value_col).cast("double"))).alias("_b"),
+    c = cum.select(group_col, value_col, first.alias("_first"), last.alias("_last"))
+    # targets: groups x probs x 2 rows, broadcast; each value row meets only its group's targets
+    hits = c.join(F.broadcast(targets), group_col).filter(
+        (F.col("r") >= F.col("_first")) & (F.col("r") <= F.col("_last")))
+    picked = hits.groupBy(group_col, "q_index").agg(
+        F.first("prob").alias("prob"),
+        F.first("_h").alias("_h"),
+        F.max(F.when(F.col("side") == 0, F.col(value_col).cast("double"))).alias("_a"),
+        F.max(F.when(F.col("side") == 1, F.col(value_col).cast("double"))).alias("_b"),
     )
     t = F.col("_h") - F.floor("_h")
     diff = F.col("_b") - F.col("_a")

@@ -70,6 +70,10 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     folder = ensure_checkpoint_dir(spark)
+    if "://" in folder and not folder.startswith("file:"):
+        # addPyFile serves the file from the driver to every executor, so a
+        # driver-side copy is enough when the shared folder is not a local path
+        folder = tempfile.mkdtemp(prefix="fraudspark-pyfiles-")
     target = os.path.join(folder.replace("file:", ""), f"fraudspark-{os.getpid()}.zip")
     os.makedirs(os.path.dirname(target), exist_ok=True)
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from fraudspark import schema as S
 from fraudspark.functions.expr import epoch_micros, int_key, with_mix_hash
-from fraudspark.operators.features import add_row_features
+from fraudspark.operators.features import DEFAULT_HOT_CUSTOMER_ROWS, add_row_features
 
 H_US = S.ONE_HOUR_SECONDS * 1_000_000
 D_US = S.ONE_DAY_SECONDS * 1_000_000
@@ -114,12 +114,11 @@ def state_features(events: DataFrame, state: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ as-of, batch form
-def asof_state(tx: DataFrame, *, max_events: int = S.MAX_RECENT_EVENTS) -> DataFrame:
-    """Per transaction, summary of the customer's state strictly before its
-    instant: prior_count, prior_sum, prior_amount_mean, n_recent, truncated,
-    prev_us. Same-instant rows are not 'before' (strict <)."""
-    us = epoch_micros(S.EVENT_TIME)
-    d = tx.withColumn("_us", us)
+ASOF_COLUMNS = ["prior_count", "prior_sum", "prev_us", "_c1", "_c24", "_s24", "_sum_last_cap"]
+
+
+def _asof_plain(d: DataFrame, max_events: int) -> DataFrame:
+    """As-of summaries with per-customer windows (one exchange, one sort)."""
     w = Window.partitionBy("customer_id").orderBy("_us", "transaction_id")
     excl = w.rowsBetween(Window.unboundedPreceding, -1)
     peers = Window.partitionBy("customer_id", "_us").orderBy("transaction_id")
@@ -129,33 +128,78 @@ def asof_state(tx: DataFrame, *, max_events: int = S.MAX_RECENT_EVENTS) -> DataF
          .withColumn("_sum_incl", F.sum(S.AMOUNT).over(w.rowsBetween(Window.unboundedPreceding, 0))))
     d = d.withColumn("_sum_101", F.coalesce(F.lag("_sum_incl", max_events + 1).over(w), F.lit(0))).drop("_sum_incl")
     first = lambda c: F.first(c).over(peers.rowsBetween(Window.unboundedPreceding, 0))
+    wr = Window.partitionBy("customer_id").orderBy("_us")
+    peers_all = Window.partitionBy("customer_id", "_us")
+    n_peers = F.count(F.lit(1)).over(peers_all)
+    s_peers = F.sum(S.AMOUNT).over(peers_all)
     return (d.withColumn("prior_count", first("_cnt_excl"))
             .withColumn("prior_sum", first("_sum_excl"))
             .withColumn("prev_us", first("_lag_us"))
             .withColumn("_sum_last_cap", first("_sum_excl") - first("_sum_101"))
-            .withColumn("prior_amount_mean",
-                        F.when(F.col("prior_count") > 0,
-                               F.col("prior_sum").cast("double") / F.col("prior_count").cast("double")))
-            .withColumn("n_recent", F.least(F.col("prior_count"), F.lit(max_events)))
-            .withColumn("truncated", F.col("prior_count") > max_events)
+            # strictly-earlier rows inside (t - w, t): range aggregate minus all same-instant rows
+            .withColumn("_c1", F.count(F.lit(1)).over(wr.rangeBetween(-(H_US - 1), 0)) - n_peers)
+            .withColumn("_c24", F.count(F.lit(1)).over(wr.rangeBetween(-(D_US - 1), 0)) - n_peers)
+            .withColumn("_s24", F.sum(S.AMOUNT).over(wr.rangeBetween(-(D_US - 1), 0)) - s_peers)
             .drop("_cnt_excl", "_sum_excl", "_lag_us", "_sum_101"))
 
 
-def serving_features_batch(tx: DataFrame, *, max_events: int = S.MAX_RECENT_EVENTS) -> DataFrame:
+def _asof_hot(d: DataFrame, max_events: int, bucket_us: int) -> DataFrame:
+    """Same summaries for hot customers: prefix values at t - 1us, t - 1h and
+    t - 24h from `bucketed_prefix`; the capped sum looks up the prefix sum at a
+    rank with an equi-join on (customer, rank), which spreads evenly."""
+    from fraudspark.operators.features import bucketed_prefix
+
+    o = bucketed_prefix(d, bucket_us, {"p0": 1, "p1h": H_US, "p24h": D_US})
+    o = (o.withColumn("prior_count", F.col("p0_n")).withColumn("prior_sum", F.col("p0_s"))
+         .withColumn("prev_us", F.col("p0_last"))
+         .withColumn("_c1", F.col("p0_n") - F.col("p1h_n")).withColumn("_c24", F.col("p0_n") - F.col("p24h_n"))
+         .withColumn("_s24", F.col("p0_s") - F.col("p24h_s")))
+    ranks = o.select("customer_id", F.col("_cn").alias("_rank"), F.col("_cs").alias("_s_at"))
+    need = o.filter(F.col("_c24") > max_events).select(
+        "transaction_id", "customer_id", (F.col("p0_n") - max_events).alias("_rank"))
+    capped = need.join(ranks, ["customer_id", "_rank"], "left").select("transaction_id", "_s_at")
+    o = o.join(capped, "transaction_id", "left").withColumn(
+        "_sum_last_cap", F.col("p0_s") - F.coalesce(F.col("_s_at"), F.lit(0)))
+    return o.select(*d.columns, *ASOF_COLUMNS)
+
+
+def _asof_all(tx: DataFrame, max_events: int, hot_customer_rows: int | None, hot_bucket_seconds: int) -> DataFrame:
+    d = tx.withColumn("_us", epoch_micros(S.EVENT_TIME))
+    if hot_customer_rows is None:
+        return _asof_plain(d, max_events).select(*d.columns, *ASOF_COLUMNS)
+    from fraudspark.operators.features import hot_customers
+
+    hot_ids = [r[0] for r in hot_customers(tx, hot_customer_rows).collect()]  # <= N / hot_customer_rows ids
+    if not hot_ids:
+        return _asof_plain(d, max_events).select(*d.columns, *ASOF_COLUMNS)
+    is_hot = F.col("customer_id").isin(hot_ids)
+    cold = _asof_plain(d.filter(~is_hot), max_events).select(*d.columns, *ASOF_COLUMNS)
+    return cold.unionByName(_asof_hot(d.filter(is_hot), max_events, hot_bucket_seconds * 1_000_000))
+
+
+def asof_state(tx: DataFrame, *, max_events: int = S.MAX_RECENT_EVENTS,
+               hot_customer_rows: int | None = DEFAULT_HOT_CUSTOMER_ROWS, hot_bucket_seconds: int = 3600) -> DataFrame:
+    """Per transaction, summary of the customer's state strictly before its
+    instant: prior_count, prior_sum, prior_amount_mean, n_recent, truncated,
+    prev_us. Same-instant rows are not 'before' (strict <). Customers with more
+    than `hot_customer_rows` rows take the time-bucketed plan."""
+    a = _asof_all(tx, max_events, hot_customer_rows, hot_bucket_seconds)
+    return (a.withColumn("prior_amount_mean",
+                         F.when(F.col("prior_count") > 0,
+                                F.col("prior_sum").cast("double") / F.col("prior_count").cast("double")))
+            .withColumn("n_recent", F.least(F.col("prior_count"), F.lit(max_events)))
+            .withColumn("truncated", F.col("prior_count") > max_events))
+
+
+def serving_features_batch(tx: DataFrame, *, max_events: int = S.MAX_RECENT_EVENTS,
+                           hot_customer_rows: int | None = DEFAULT_HOT_CUSTOMER_ROWS,
+                           hot_bucket_seconds: int = 3600) -> DataFrame:
     """Online (per-event) features for every transaction, from the as-of state.
 
     Velocity counts use only the newest `max_events` prior events, exactly like
     the capped online state (> 100 events in 24 h undercounts by design)."""
-    a = asof_state(tx, max_events=max_events)
-    w = Window.partitionBy("customer_id").orderBy("_us")
-    peers_all = Window.partitionBy("customer_id", "_us")
-    n_peers = F.count(F.lit(1)).over(peers_all)
-    s_peers = F.sum(S.AMOUNT).over(peers_all)
-    # strictly-earlier rows inside (t - w, t): range count minus all same-instant rows
-    c1 = F.count(F.lit(1)).over(w.rangeBetween(-(H_US - 1), 0)) - n_peers
-    c24 = F.count(F.lit(1)).over(w.rangeBetween(-(D_US - 1), 0)) - n_peers
-    s24 = F.sum(S.AMOUNT).over(w.rangeBetween(-(D_US - 1), 0)) - s_peers
-    a = a.withColumn("_c1", c1).withColumn("_c24", c24).withColumn("_s24", s24)
+    a = asof_state(tx, max_events=max_events, hot_customer_rows=hot_customer_rows,
+                   hot_bucket_seconds=hot_bucket_seconds)
     amount = F.col(S.AMOUNT).cast("double")
     capped_sum = F.when(F.col("_c24") <= max_events, F.col("_s24")).otherwise(F.col("_sum_last_cap"))
     out = add_row_features(a).withColumn(

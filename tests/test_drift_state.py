@@ -150,3 +150,40 @@ def test_skew_check_is_clean_on_tie_free_data(spark):
     sk = ST.skew_check(build_features(tx), ST.serving_features_batch(tx))
     assert sk.agg(F.sum("n_mismatch")).first()[0] == 0
     assert sk.agg(F.min("n_compared")).first()[0] == tx.count()
+
+
+def test_hot_customer_serving_plan_equals_plain_plan(spark):
+    from conftest import SF_SMALL
+    from fraudspark.sources.adapter import load_transactions
+
+    tx = load_transactions(spark, SF_SMALL)
+    plain = ST.serving_features_batch(tx, hot_customer_rows=None).select("transaction_id", *S.FEATURES)
+    hot = ST.serving_features_batch(tx, hot_customer_rows=0, hot_bucket_seconds=1800).select(
+        "transaction_id", *S.FEATURES)
+    j = plain.alias("p").join(hot.alias("h"), "transaction_id")
+    assert j.count() == plain.count() == hot.count()
+    for c in S.FEATURES:
+        bad = j.filter(~(F.abs(F.col(f"p.{c}").cast("double") - F.col(f"h.{c}").cast("double")) <= 1e-9))
+        assert bad.count() == 0, c
+
+
+def test_hot_plan_applies_the_cap(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [(f"x{i:03d}", "c", base + dt.timedelta(minutes=i), Decimal(i % 7 + 1), "m", "g", "GB", "GB", True, 0)
+            for i in range(150)]
+    from conftest import RAW_DDL
+
+    tx = spark.createDataFrame(rows, RAW_DDL)
+    cap = 20
+    plain = {r["transaction_id"]: r for r in
+             ST.serving_features_batch(tx, max_events=cap, hot_customer_rows=None).collect()}
+    hot = {r["transaction_id"]: r for r in
+           ST.serving_features_batch(tx, max_events=cap, hot_customer_rows=0, hot_bucket_seconds=600).collect()}
+    assert plain["x149"]["txn_count_24h"] == cap + 1
+    for t in plain:
+        for c in ("txn_count_1h", "txn_count_24h", "amount_sum_24h", "customer_amount_mean_prior",
+                  "seconds_since_prev_txn"):
+            assert abs(plain[t][c] - hot[t][c]) < 1e-9, (t, c)

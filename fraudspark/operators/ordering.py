@@ -30,29 +30,32 @@ from fraudspark.functions.expr import bucket_of
 
 DEFAULT_BUCKETS = 64
 APPROX_ACCURACY = 20000
+SMALL_GROUP_ROWS = 2_000_000  # a sorted window task of this many rows fits any executor
 
 
-def _bucket_column(df: DataFrame, group_cols: Sequence[str], key: str, n_buckets: int) -> Column:
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    if not probs:
-        return F.lit(0)
+def _bucket_column(df: DataFrame, group_cols: Sequence[str], key: str, n_buckets: int) -> tuple[Column, int]:
+    """Range-bucket expression per group, and the largest group's row count
+    (both from one aggregation job; groups x n_buckets numbers come back)."""
+    probs = [i / n_buckets for i in range(1, n_buckets)] or [0.5]
     sketch = F.percentile_approx(F.col(key).cast("double"), probs, APPROX_ACCURACY).alias("_q")
-    agg = df.groupBy(*group_cols).agg(sketch) if group_cols else df.agg(sketch)
+    aggs = [sketch, F.count(F.lit(1)).alias("_n")]
+    agg = df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
     rows = agg.collect()  # one row per group: bounded by the number of groups
+    largest = max((int(r["_n"]) for r in rows), default=0)
     from fraudspark.functions.expr import bucket_sql
 
     k = f"CAST(`{key}` AS DOUBLE)"
     branches = []
     for r in rows:
-        bounds = sorted({float(x) for x in (r["_q"] or [])})
+        bounds = sorted({float(x) for x in (r["_q"] or [])}) if n_buckets > 1 else []
         b = bucket_sql(k, bounds)
         if not group_cols:
-            return F.expr(b)
+            return F.expr(b), largest
         cond = " AND ".join(f"`{g}` <=> {_sql_lit(r[g])}" for g in group_cols)
         branches.append(f"WHEN {cond} THEN {b}")
     if not branches:
-        return F.lit(0)
-    return F.expr("CASE " + " ".join(branches) + " ELSE 0 END")
+        return F.lit(0), largest
+    return F.expr("CASE " + " ".join(branches) + " ELSE 0 END"), largest
 
 
 def _sql_lit(v) -> str:
@@ -73,14 +76,24 @@ def ordered_prefix(
     *,
     n_buckets: int = DEFAULT_BUCKETS,
     prefix: str = "cum_",
+    small_group_rows: int | None = None,
 ) -> DataFrame:
     """Add `cum_<c>` = sum of c over rows <= this row in (order_cols) order, per group.
 
     The order must be total (ties broken by later order columns); the first
-    order column is numeric and non-null.
+    order column is numeric and non-null. When the bounds job shows that every
+    group has at most `small_group_rows` rows, a plain per-group window is used
+    (a one-task group whose size is checked); otherwise the two-level plan.
     """
+    small_group_rows = SMALL_GROUP_ROWS if small_group_rows is None else small_group_rows
     group_cols, order_cols, sum_cols = list(group_cols), list(order_cols), list(sum_cols)
-    b = df.withColumn("_pb", _bucket_column(df, group_cols, order_cols[0], n_buckets))
+    bucket, largest = _bucket_column(df, group_cols, order_cols[0], n_buckets)
+    if largest <= small_group_rows:
+        # every group is proven small (counted above): one window task per group
+        w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0)))
+        w = w.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select("*", *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sum_cols])
+    b = df.withColumn("_pb", bucket)
     totals = b.groupBy(*group_cols, "_pb").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     wo = Window.orderBy("_pb") if not group_cols else Window.partitionBy(*group_cols).orderBy("_pb")
     wo = wo.rowsBetween(Window.unboundedPreceding, -1)
@@ -99,10 +112,10 @@ def ordered_prefix(
 
 
 def global_rank(df: DataFrame, order_cols: Sequence[str], *, n_buckets: int = DEFAULT_BUCKETS,
-                name: str = "rank") -> DataFrame:
-    """1-based rank in a total order over the whole frame (no single-task window)."""
+                name: str = "rank", small_group_rows: int | None = None) -> DataFrame:
+    """1-based rank in a total order over the whole frame (no unbounded single-task window)."""
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
-    out = ordered_prefix(one, [], order_cols, ["_one"], n_buckets=n_buckets)
+    out = ordered_prefix(one, [], order_cols, ["_one"], n_buckets=n_buckets, small_group_rows=small_group_rows)
     return out.withColumnRenamed("cum__one", name).drop("_one")
 
 
@@ -114,6 +127,7 @@ def exact_quantiles(
     *,
     count_col: str | None = None,
     n_buckets: int = DEFAULT_BUCKETS,
+    small_group_rows: int | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group: (group, q_index, prob, quantile).
 
@@ -125,7 +139,8 @@ def exact_quantiles(
         v = v.groupBy(group_col, value_col).agg(F.count(F.lit(1)).alias("_cnt"))
     else:
         v = v.select(group_col, value_col, F.col(count_col).alias("_cnt"))
-    cum = ordered_prefix(v, [group_col], [value_col], ["_cnt"], n_buckets=n_buckets)
+    cum = ordered_prefix(v, [group_col], [value_col], ["_cnt"], n_buckets=n_buckets,
+                         small_group_rows=small_group_rows)
     # group sizes: one row per group (bounded)
     sizes = {r[0]: int(r[1]) for r in v.groupBy(group_col).agg(F.sum("_cnt")).collect()}
     # target ranks, 0-based: h = (n-1) p, lo = floor(h), hi = min(lo+1, n-1)

@@ -58,9 +58,13 @@ def test_evaluate_fixture_and_cost_per_1000(spark):
     assert e2["cost_per_1000"] == 47500
 
 
-def test_curves_match_brute_force(spark):
+def test_curves_match_brute_force(spark, monkeypatch):
     import random
 
+    from fraudspark.operators import ordering
+
+    monkeypatch.setattr(ordering, "SMALL_GROUP_ROWS", 0)  # exercise the two-level plan
+
     rnd = random.Random(3)
     y = [rnd.random() < .3 for _ in range(300)]
     s = [round(rnd.random(), 2) for _ in range(300)]  # many ties
@@ -114,9 +118,10 @@ def test_bootstrap_inverted_is_positive_difference_and_deterministic(spark):
 
 def test_global_rank_is_a_permutation(spark):
     df = spark.range(5000).withColumn("k", (F.col("id") * 7919) % 5000)
-    r = global_rank(df, ["k", "id"], n_buckets=16)
-    got = sorted((row["k"], row["rank"]) for row in r.collect())
-    assert [rk for _, rk in got] == list(range(1, 5001))
+    for small in (0, None):  # two-level plan, then the checked small-group plan
+        r = global_rank(df, ["k", "id"], n_buckets=16, small_group_rows=small)
+        got = sorted((row["k"], row["rank"]) for row in r.collect())
+        assert [rk for _, rk in got] == list(range(1, 5001))
 
 
 def test_exact_quantiles_equal_numpy(spark):
@@ -125,8 +130,10 @@ def test_exact_quantiles_equal_numpy(spark):
     vals = [float(x) for x in np.random.default_rng(1).normal(size=2001).round(3)]
     df = spark.createDataFrame([("f", v) for v in vals], "g string, v double")
     probs = list(np.linspace(0, 1, 11))
-    q = sorted((r["q_index"], r["quantile"]) for r in exact_quantiles(df, "g", "v", probs, n_buckets=8).collect())
-    assert np.allclose([x for _, x in q], np.quantile(np.array(vals), probs), rtol=0, atol=1e-12)
+    for small in (0, None):
+        q = sorted((r["q_index"], r["quantile"])
+                   for r in exact_quantiles(df, "g", "v", probs, n_buckets=8, small_group_rows=small).collect())
+        assert np.allclose([x for _, x in q], np.quantile(np.array(vals), probs), rtol=0, atol=1e-12)
 
 
 def test_temporal_split_sizes_order_and_guards(spark):

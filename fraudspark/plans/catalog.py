@@ -757,13 +757,8 @@ def q_stream_score(spark, sf_dir):
 def q_late_events(spark, sf_dir):
     """Events (in arrival = event_id order) older than the newest earlier
     arrival of the same customer by more than the allowed lateness."""
-    tx = transactions(spark, sf_dir).withColumn("_us", epoch_micros(S.EVENT_TIME))
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("customer_id").orderBy("transaction_id").rowsBetween(Window.unboundedPreceding, -1)
-    late = tx.withColumn("newest_us", F.max("_us").over(w)).filter(
-        F.col("_us") < F.col("newest_us") - F.lit(LATENESS_US))
-    return late.select("transaction_id", "customer_id", (F.col("newest_us") - F.col("_us")).alias("late_by_us"))
+    late = SC.late_events(transactions(spark, sf_dir), LATENESS_US)
+    return late.select("transaction_id", "customer_id", "late_by_us")
 
 
 # ------------------------------------------------------------------ validation, scalar functions, joins

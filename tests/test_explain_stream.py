@@ -120,3 +120,24 @@ def test_entry_contract():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
     assert len(qs) >= 80
+
+
+def test_late_events_hot_plan_equals_plain(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from conftest import RAW_DDL
+    from fraudspark.streaming import scoring as SC
+
+    base = dt.datetime(2024, 1, 1)
+    # arrival order = id; every 10th event arrives 3 hours late
+    rows = [(i, 1 if i < 300 else 2, base + dt.timedelta(minutes=i - (180 if i % 10 == 0 else 0)), Decimal(1),
+             "m", "g", "GB", "GB", True, 0) for i in range(400)]
+    ddl = RAW_DDL.replace("transaction_id string, customer_id string", "transaction_id bigint, customer_id bigint")
+    tx = spark.createDataFrame(rows, ddl)
+    plain = {r[0]: r[1] for r in SC.late_events(tx, 3600 * 10**6, hot_customer_rows=10**9)
+             .select("transaction_id", "late_by_us").collect()}
+    hot = {r[0]: r[1] for r in SC.late_events(tx, 3600 * 10**6, hot_customer_rows=0, n_buckets=8)
+           .select("transaction_id", "late_by_us").collect()}
+    # ids 10, 20, ..., 390 except the first arrival of each customer (0 and 300)
+    assert plain == hot and len(plain) == 38

@@ -228,3 +228,20 @@ def importance_shift(previous: DataFrame, current: DataFrame) -> DataFrame:
         raise ExplainerError("importance profiles need positive total mass")
     return a.agg((F.lit(0.5) * F.sum(F.abs(F.col("prev") / F.lit(tot["sp"]) - F.col("cur") / F.lit(tot["sc"]))))
                  .alias("importance_shift"))
+
+
+def importance_sample(features: DataFrame, n: int = 2000, seed: int = 0) -> DataFrame:
+    """Capped importance input: n rows chosen by a hash of the id (unbiased,
+    order-independent; a top-n by hash is a distributed take-ordered)."""
+    key = F.xxhash64(F.col("transaction_id").cast("string"), F.lit(seed))
+    return features.withColumn("_k", key).orderBy("_k").limit(n).drop("_k")
+
+
+def top_importance(importance: DataFrame, k: int = 8) -> DataFrame:
+    """Top-k features per variant, with the shared maximum for a common scale."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("variant").orderBy(F.desc("importance"), "feature")
+    shared = Window.partitionBy()
+    return (importance.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .withColumn("shared_max", F.max("importance").over(shared)))

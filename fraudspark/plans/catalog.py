@@ -825,3 +825,24 @@ def q_anti_join(spark, sf_dir):
 def q_semi_join(spark, sf_dir):
     ids = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"), "c_name")
     return ids.join(transactions(spark, sf_dir).select("customer_id"), "customer_id", "left_semi")
+
+
+@query("sort_customer_time")
+def q_sort_customer_time(spark, sf_dir):
+    """Stable (customer, time) order for a sink (order is not part of the value check)."""
+    out = FE.sort_customer_time(transactions(spark, sf_dir))
+    return out.select("transaction_id", "customer_id", epoch_micros(S.EVENT_TIME).alias("event_us"))
+
+
+@query("importance_sample")
+def q_importance_sample(spark, sf_dir):
+    """Mean |SHAP| per feature on a 2000-row hash sample of the test split (the cap is the feature)."""
+    test, models, _ = _test(spark, sf_dir)
+    sample = EX.importance_sample(test, 2000)
+    a = EX.attributions(sample, models["A"], ensure_checkpoint_dir(spark))
+    return EX.global_importance(a).withColumn("variant", F.lit("A"))
+
+
+@query("ab_importance_top8")
+def q_ab_importance_top8(spark, sf_dir):
+    return EX.top_importance(EX.global_importance(_attr_all(spark, sf_dir), "variant"), 8)

@@ -710,3 +710,7 @@ SELECT c.c_custkey AS customer_id FROM customer c WHERE NOT EXISTS (SELECT 1 FRO
 register("semi_join_known_customers", f"""
 {with_ctes("tx")}
 SELECT c.c_custkey AS customer_id, c.c_name FROM customer c WHERE EXISTS (SELECT 1 FROM tx WHERE tx.customer_id = c.c_custkey)""")
+
+register("sort_customer_time", f"""
+{with_ctes("tx")}
+SELECT transaction_id, customer_id, epoch_us(event_time) AS event_us FROM tx ORDER BY customer_id, event_time, transaction_id""")

@@ -121,12 +121,15 @@ def training_set(spark: SparkSession, path: str, start, end) -> DataFrame:
     if lo >= hi:
         raise TableError(f"empty date range: {lo} >= {hi}")
     cols = ", ".join(S.FEATURE_TABLE_KEYS + S.FEATURES)
+    # bounds travel as ISO text and become TIMESTAMP_NTZ in SQL, so the
+    # session time zone cannot shift them (event_time is a UTC wall clock)
     return spark.sql(
         f"""SELECT {cols} FROM parquet.`{path}`
-            WHERE event_time >= :start AND event_time < :end
-              AND {PARTITION} >= to_date(:start) AND {PARTITION} <= to_date(:end)
+            WHERE event_time >= CAST(:start AS TIMESTAMP_NTZ) AND event_time < CAST(:end AS TIMESTAMP_NTZ)
+              AND {PARTITION} >= CAST(CAST(:start AS TIMESTAMP_NTZ) AS DATE)
+              AND {PARTITION} <= CAST(CAST(:end AS TIMESTAMP_NTZ) AS DATE)
               AND {S.LABEL} IS NOT NULL""",
-        args={"start": lo, "end": hi},
+        args={"start": lo.isoformat(sep=" "), "end": hi.isoformat(sep=" ")},
     )
 
 

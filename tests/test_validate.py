@@ -70,3 +70,27 @@ def test_to_utc_converts_offsets_and_passes_naive(spark):
     got = [r[0] for r in df.select(epoch_micros(to_naive_utc(F.col("s")))).collect()]
     base = 1704110400000000  # 2024-01-01 12:00:00 UTC
     assert got == [base - 7200 * 10**6, base, base]
+
+
+def test_date_bounds_ignore_the_session_time_zone(spark):
+    import datetime as dt
+
+    from conftest import SF_SMALL
+    from fraudspark.operators import features as FE
+    from fraudspark.operators import split as SP
+    from fraudspark.sources import tables as TB
+    from fraudspark.sources.adapter import load_transactions
+
+    tx = load_transactions(spark, SF_SMALL)
+    path = TB.scratch_path(spark, "tz-test")
+    TB.append_features(FE.build_features(tx), path)
+    expected = tx.filter("event_time >= TIMESTAMP_NTZ'2024-01-03 00:00:00' AND "
+                         "event_time < TIMESTAMP_NTZ'2024-01-10 00:00:00'").count()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "Asia/Kolkata", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert TB.training_set(spark, path, "2024-01-03", dt.datetime(2024, 1, 10)).count() == expected
+            assert SP.between_dates(tx, dt.datetime(2024, 1, 3), "2024-01-10").count() == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

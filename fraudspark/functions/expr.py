@@ -174,3 +174,11 @@ def int_key(df, name: str) -> Column:
     if isinstance(df.schema[name].dataType, T.IntegralType):
         return F.col(name).cast("bigint")
     return F.xxhash64(F.col(name))
+
+
+def ntz_literal(v) -> Column:
+    """A TIMESTAMP_NTZ literal from a datetime or ISO text, read as a UTC wall
+    clock (a Python datetime literal would otherwise be shifted by the session
+    time zone)."""
+    text = v.isoformat(sep=" ") if hasattr(v, "isoformat") else str(v)
+    return F.lit(text).cast("timestamp_ntz")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudspark import schema as S
-from fraudspark.functions.expr import epoch_micros, int_key, with_mix_hash
+from fraudspark.functions.expr import epoch_micros, int_key, ntz_literal, with_mix_hash
 from fraudspark.operators.features import DEFAULT_HOT_CUSTOMER_ROWS, add_row_features
 
 H_US = S.ONE_HOUR_SECONDS * 1_000_000
@@ -37,7 +37,7 @@ def state_fold(history: DataFrame, *, as_of=None, max_events: int = S.MAX_RECENT
     """
     h = history
     if as_of is not None:
-        h = h.filter(F.col(S.EVENT_TIME) < F.lit(as_of).cast("timestamp_ntz"))
+        h = h.filter(F.col(S.EVENT_TIME) < ntz_literal(as_of))
     h = h.select("customer_id", "transaction_id", S.AMOUNT, epoch_micros(S.EVENT_TIME).alias("us"))
     totals = h.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("prior_count"), F.sum(S.AMOUNT).alias("prior_sum"))

@@ -194,10 +194,11 @@ def audit_append(scored: DataFrame, path: str) -> int:
     rows = audit_rows(scored)
     try:
         obs = Observation("audit_append")
-        rows = rows.withColumn(PARTITION, F.to_date(S.EVENT_TIME)).observe(obs, F.count(F.lit(1)).alias("rows"))
-        rows.repartitionByRange(PARTITION, "variant", "customer_id").sortWithinPartitions(
-            PARTITION, "variant", "customer_id").write.mode(
-            "append").partitionBy(PARTITION, "variant").parquet(path)
+        # observe above the range exchange: its sampling job must not count rows
+        rows = rows.withColumn(PARTITION, F.to_date(S.EVENT_TIME)).repartitionByRange(
+            PARTITION, "variant", "customer_id").sortWithinPartitions(PARTITION, "variant", "customer_id")
+        rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
+        rows.write.mode("append").partitionBy(PARTITION, "variant").parquet(path)
         return int(obs.get["rows"])
     except Exception as exc:  # noqa: BLE001 -- logged, never fatal
         import logging

@@ -68,6 +68,44 @@ def _sql_lit(v) -> str:
     return str(v)
 
 
+def _tuple_bucket_column(df: DataFrame, order_cols: Sequence[str], n_buckets: int,
+                         sample_per_bucket: int = 100, small_rows: int = -1) -> tuple[Column, int]:
+    """Range buckets over the WHOLE sort key (like Spark's range partitioner).
+
+    Bounds are full key tuples read from a seeded sample (about
+    n_buckets x sample_per_bucket rows reach the driver), compared
+    lexicographically -- so a leading value shared by a third of all rows is
+    still split by the later key columns. Returns (expression, row count)."""
+    n = df.count()
+    if n == 0 or n_buckets <= 1 or n <= small_rows:  # small: the caller takes one window, no sample needed
+        return F.lit(0), n
+    frac = min(1.0, n_buckets * sample_per_bucket / n)
+    sample = df.select(*order_cols).sample(False, frac, seed=17).orderBy(*order_cols).collect()
+    if not sample:
+        return F.lit(0), n
+    bounds = []
+    for i in range(1, n_buckets):
+        b = tuple(sample[min(len(sample) - 1, (len(sample) * i) // n_buckets)])
+        if not bounds or b > bounds[-1]:
+            bounds.append(b)
+    cols = [f"`{c}`" for c in order_cols]
+
+    def less(bound) -> str:
+        # lexicographic (c1, c2, ...) < bound, built from the last column outwards
+        expr = f"{cols[-1]} < {_sql_lit(bound[-1])}"
+        for c, v in zip(reversed(cols[:-1]), reversed(bound[:-1])):
+            expr = f"({c} < {_sql_lit(v)} OR ({c} = {_sql_lit(v)} AND {expr}))"
+        return expr
+
+    def build(lo: int, hi: int) -> str:
+        if lo == hi:
+            return str(lo)
+        mid = (lo + hi) // 2
+        return f"CASE WHEN {less(bounds[mid])} THEN {build(lo, mid)} ELSE {build(mid + 1, hi)} END"
+
+    return F.expr(f"CAST({build(0, len(bounds))} AS INT)"), n
+
+
 def ordered_prefix(
     df: DataFrame,
     group_cols: Sequence[str],
@@ -87,7 +125,11 @@ def ordered_prefix(
     """
     small_group_rows = SMALL_GROUP_ROWS if small_group_rows is None else small_group_rows
     group_cols, order_cols, sum_cols = list(group_cols), list(order_cols), list(sum_cols)
-    bucket, largest = _bucket_column(df, group_cols, order_cols[0], n_buckets)
+    if not group_cols and len(order_cols) > 1:
+        # a global order with tie-breakers: bucket on the whole key
+        bucket, largest = _tuple_bucket_column(df, order_cols, n_buckets, small_rows=small_group_rows)
+    else:
+        bucket, largest = _bucket_column(df, group_cols, order_cols[0], n_buckets)
     if largest <= small_group_rows:
         # every group is proven small (counted above): one window task per group
         w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0)))

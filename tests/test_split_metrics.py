@@ -154,3 +154,18 @@ def test_temporal_split_sizes_order_and_guards(spark):
     with pytest.raises(SP.DatasetError, match="at least 10"):
         SP.temporal_split(f.limit(5))
     assert SP.split_sizes(10, 0.25, 0.25) == (6, 2, 2)  # round half to even: 2.5 -> 2
+
+
+def test_global_rank_with_a_hot_leading_value(spark):
+    # 40% of rows share one leading value: the tuple bounds still split them
+    df = spark.range(6000).withColumn("k", F.when(F.col("id") % 5 < 2, F.lit(7)).otherwise(F.col("id") % 97))
+    df = df.withColumn("c", (F.col("id") * 31) % 1000)
+    r = global_rank(df, ["k", "c", "id"], n_buckets=16, small_group_rows=0)
+    got = [row["id"] for row in r.orderBy("rank").collect()]
+    want = [row["id"] for row in df.orderBy("k", "c", "id").collect()]
+    assert got == want
+    from fraudspark.operators.ordering import _tuple_bucket_column
+
+    b, n = _tuple_bucket_column(df, ["k", "c", "id"], 16)
+    sizes = [row[1] for row in df.groupBy(b.alias("b")).count().collect()]
+    assert n == 6000 and max(sizes) < 6000 * 0.2  # no bucket holds the hot value's 40%

@@ -69,3 +69,18 @@ def test_run_log_long_table(spark):
     assert rows[("A", "metric", "roc_auc")] == "0.8"
     assert rows[("*", "param", "grid")] == "[1, 2]"
     assert ("A", "metric", "shap_importance__amount_log") in rows
+
+
+def test_cli_features_and_drift_check(spark):
+    from fraudspark.operators import drift as DR
+    from fraudspark.plans import cli
+
+    path = TB.scratch_path(spark, "cli-features")
+    out = cli.main(["features", "--tables-dir", SF_SMALL, "--out", path], spark=spark)
+    assert out["rows_written"] == load_transactions(spark, SF_SMALL).count()
+    train = TB.training_set(spark, path, "2024-01-01", "2024-01-20")
+    prof = TB.scratch_path(spark, "cli-profile")
+    TB.save_profile(DR.build_reference(train), prof)
+    rep = cli.main(["drift-check", "--profile", prof, "--features", path, "--start", "2024-01-20",
+                    "--end", "2024-02-01", "--dry-run"], spark=spark)
+    assert rep["retrain_requested"] is False and rep["n_features"] == 13

@@ -172,9 +172,11 @@ def _asof_all(tx: DataFrame, max_events: int, hot_customer_rows: int | None, hot
     hot_ids = [r[0] for r in hot_customers(tx, hot_customer_rows).collect()]  # <= N / hot_customer_rows ids
     if not hot_ids:
         return _asof_plain(d, max_events).select(*d.columns, *ASOF_COLUMNS)
-    is_hot = F.col("customer_id").isin(hot_ids)
-    cold = _asof_plain(d.filter(~is_hot), max_events).select(*d.columns, *ASOF_COLUMNS)
-    return cold.unionByName(_asof_hot(d.filter(is_hot), max_events, hot_bucket_seconds * 1_000_000))
+    from fraudspark.operators.features import split_by_ids
+
+    cold_rows, hot_rows = split_by_ids(d, hot_ids)
+    cold = _asof_plain(cold_rows, max_events).select(*d.columns, *ASOF_COLUMNS)
+    return cold.unionByName(_asof_hot(hot_rows, max_events, hot_bucket_seconds * 1_000_000))
 
 
 def asof_state(tx: DataFrame, *, max_events: int = S.MAX_RECENT_EVENTS,

@@ -169,8 +169,10 @@ def late_events(tx: DataFrame, lateness_us: int, *, arrival: str = "transaction_
         return run.withColumn("newest_us", newest).drop("_pb", "_in", "_off")
 
     if hot_ids and numeric_arrival:
-        is_hot = F.col("customer_id").isin(hot_ids)
-        marked = plain(d.filter(~is_hot)).unionByName(bucketed(d.filter(is_hot)))
+        from fraudspark.operators.features import split_by_ids
+
+        cold_rows, hot_rows = split_by_ids(d, hot_ids)
+        marked = plain(cold_rows).unionByName(bucketed(hot_rows))
     else:
         marked = plain(d)
     late = marked.filter(F.col("_us") < F.col("newest_us") - F.lit(lateness_us))

@@ -68,6 +68,9 @@ def estimator_for(variant: str, *, scale_pos_weight: float, n_estimators: int |
         maxIter=p["n_estimators"], stepSize=p["learning_rate"], maxDepth=p["max_depth"],
         subsamplingRate=p["subsample"], featureSubsetStrategy=str(p["colsample"]), seed=p["seed"],
         maxBins=p["max_bins"], minInstancesPerNode=p["min_rows_per_leaf"],
+        # large inputs: keep each row's node id cached and cut the boosting
+        # lineage every 10 trees (into spark.checkpoint.dir)
+        cacheNodeIds=True, checkpointInterval=10,
     )
     return Pipeline(stages=[VectorAssembler(inputCols=[f"_x_{c}" for c in S.FEATURES], outputCol=VECTOR), gbt])
 
@@ -87,6 +90,9 @@ def training_frame(df: DataFrame, scale_pos_weight: float) -> DataFrame:
 
 def fit_variant(train: DataFrame, variant: str, *, scale_pos_weight: float,
                 n_estimators: int | None = None) -> PipelineModel:
+    from fraudspark.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(train.sparkSession)
     return estimator_for(variant, scale_pos_weight=scale_pos_weight, n_estimators=n_estimators).fit(
         training_frame(train, scale_pos_weight))
 

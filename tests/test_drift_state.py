@@ -187,3 +187,14 @@ def test_hot_plan_applies_the_cap(spark):
         for c in ("txn_count_1h", "txn_count_24h", "amount_sum_24h", "customer_amount_mean_prior",
                   "seconds_since_prev_txn"):
             assert abs(plain[t][c] - hot[t][c]) < 1e-9, (t, c)
+
+
+def test_approx_profile_is_close_to_exact(spark):
+    ref = frame(spark, n=4000)
+    exact = {(r["feature"], r["bin_no"]): r for r in DR.build_reference(ref, ["x"]).collect()}
+    approx = {(r["feature"], r["bin_no"]): r for r in DR.build_reference(ref, ["x"], quantiles="approx").collect()}
+    assert set(exact) == set(approx)
+    for k in exact:
+        assert abs(exact[k]["ref_prop"] - approx[k]["ref_prop"]) < 0.01
+    with pytest.raises(ValueError):
+        DR.build_reference(ref, ["x"], quantiles="fast")

@@ -84,3 +84,27 @@ def test_cli_features_and_drift_check(spark):
     rep = cli.main(["drift-check", "--profile", prof, "--features", path, "--start", "2024-01-20",
                     "--end", "2024-02-01", "--dry-run"], spark=spark)
     assert rep["retrain_requested"] is False and rep["n_features"] == 13
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_training_set_prunes_partitions_and_pushes_time_filters(spark):
+    path = TB.scratch_path(spark, "plan-features")
+    TB.append_features(FE.build_features(load_transactions(spark, SF_SMALL)), path)
+    plan = _plan(TB.training_set(spark, path, "2024-01-03", "2024-01-10"))
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "event_date" in plan
+    assert "PushedFilters: [IsNotNull(event_time), GreaterThanOrEqual(event_time" in plan
+
+
+def test_feature_and_metric_plans_stay_in_the_jvm(spark):
+    from fraudspark.operators import metrics as ME
+    from fraudspark.operators import split as SP
+
+    f = FE.build_features(load_transactions(spark, SF_SMALL))
+    sp = SP.temporal_split(f)
+    scored = ME.long_scores(sp.withColumn("s", F.col("amount_log") / 10), {"A": "s"})
+    for df in (f, sp, ME.optimal_threshold(scored)):
+        plan = _plan(df)
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan

@@ -40,17 +40,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster `spark.checkpoint.dir` names a shared (distributed) folder and
-    is used as is. Only when it is unset (local tests) do we create one.
+    is used as is. Otherwise the SparkContext's checkpoint folder, if one was
+    set. Only when neither exists (local tests) is a folder created; it is
+    registered with `setCheckpointDir` (the conf itself cannot be changed at
+    runtime).
     """
+    sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
         return current
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
     folder = tempfile.mkdtemp(prefix="fraudspark-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir() or folder
 
 
 _SHIPPED: set[int] = set()

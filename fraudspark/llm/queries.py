@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudspark.llm import quality
+from fraudspark.llm import jaccard, quality
 from fraudspark.llm.tables import documents
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -46,10 +46,37 @@ m AS (
 f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT *, NOT (base_failed OR long_repeat OR 100 * n_span_chars > 20 * word_chars) AS kept FROM f"""
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(documents(spark, sf_dir))
+
+
+JACCARD_SQL = rf"""
+WITH RECURSIVE base AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents WHERE doc_id IS NOT NULL),
+sh AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, w[i:i + 4] AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM base WHERE len(w) > 0))),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y, c = p.n AND c = q.n AS same FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 10 * c >= 8 * (p.n + q.n - c)),
+reach AS (SELECT x, x AS y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+least AS (SELECT x, min(y) AS class_id FROM reach GROUP BY x),
+sums AS (SELECT x, count(*) FILTER (WHERE same) AS n_copies, count(*) FILTER (WHERE NOT same) AS n_links
+         FROM links GROUP BY x)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n_copies, 0)::BIGINT AS n_copies,
+       coalesce(n_links, 0)::BIGINT AS n_links
+FROM documents LEFT JOIN least ON least.x = doc_id LEFT JOIN sums ON sums.x = doc_id"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {
     "op9_quality_rules": QUALITY_SQL,
+    "op10_jaccard_join": JACCARD_SQL,
 }

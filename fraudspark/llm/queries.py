@@ -3,15 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudspark.llm import jaccard, quality
+from fraudspark.llm import decontaminate, jaccard, pieces_codec, quality, secrets
 from fraudspark.llm.tables import documents
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+def public_tokenizer(name: str) -> str:
+    """Path of a vocabulary file of a public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@lru_cache(maxsize=2)
+def piece_codec(path: str | None = None) -> pieces_codec.Codec:
+    """The codec of the pipeline and of op4; path: a SentencePiece model."""
+    path = path or public_tokenizer("piece_bpe_32k.model")
+    return pieces_codec.Codec(pieces_codec.load_vocabulary(path))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces_codec.encode(documents(spark, sf_dir), piece_codec())
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir))
 
@@ -72,6 +99,9 @@ SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n_copies, 0)::BI
 FROM documents LEFT JOIN least ON least.x = doc_id LEFT JOIN sums ON sums.x = doc_id"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op6_secret_scan": op6_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_jaccard_join": op10_jaccard_join,
 }

@@ -123,7 +123,7 @@ def per_doc(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(doc, weights=values, minlength=n).astype(np.int64)
 
 
-def pieces(column: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def pieces(column: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of rows with at most max_bytes of text each, one row at least: bounds a task's memory."""
     size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     total = np.concatenate([[0], np.cumsum(size)])

@@ -5,7 +5,7 @@ and 0s laid on consecutive words; the seed is the hash of the words under its
 1s, so words under 0s may differ. The default masks hit every stretch of 13
 words with at most two substituted words (a test proves it).
 
-Benchmark seeds set bits in a table of fixed size, which goes to every task
+Benchmark seeds set bits in a table of fixed size (three a seed), which goes to every task
 and lets nearly all seeds of the documents pass by. Those that it holds are
 joined with the benchmark's seeds in Spark; around each hit the item is laid
 over the document on the hit's diagonal and the words are compared one by one.
@@ -25,6 +25,8 @@ from fraudspark.llm.tables import ship_package, written
 from fraudspark.llm.text import WORD_BYTE, Texts, Words, mixed, pieces
 
 _ALNUM = WORD_BYTE.copy()
+#: Shifts of a seed that give the places of its bits in the table.
+_PROBES = (0, 17, 34)
 _ALNUM[:128] = [chr(i).isalnum() for i in range(128)]
 
 
@@ -98,9 +100,10 @@ def _item_seeds(items: DataFrame, seeds: Seeds, lengths: list[int]) -> DataFrame
 
 def _table(item_seeds: DataFrame, bits: int) -> np.ndarray:
     """The bit table: 2^bits bits whatever the size of the benchmark."""
-    cell = F.col("seed").bitwiseAND(F.lit((1 << bits) - 1))
-    slot = (item_seeds.select(F.shiftright(cell, 6).cast("int").alias("slot"),
-                              F.expr("shiftleft(1L, cast(seed & 63 as int))").alias("bit"))
+    cells = item_seeds.select(F.explode(F.array(
+        *(F.shiftrightunsigned("seed", k).bitwiseAND(F.lit((1 << bits) - 1)) for k in _PROBES))).alias("cell"))
+    slot = (cells.select(F.shiftright("cell", 6).cast("int").alias("slot"),
+                         F.expr("shiftleft(1L, cast(cell & 63 as int))").alias("bit"))
             .groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow())
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[slot.column("slot").to_numpy()] = slot.column("bits").to_numpy().view(np.uint64)
@@ -116,9 +119,11 @@ def _regions(docs: DataFrame, table: np.ndarray, seeds: Seeds, lengths: list[int
         words, h = _words(column)
         seed, at, span = [], [], []
         for value, first, size in _seed_hashes(h, words.doc, seeds, lengths):
-            cell = value & low
-            hit = np.flatnonzero((table[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63)))
-                                 & np.uint64(1))
+            hit = np.arange(len(value))
+            for k in _PROBES:
+                cell = (value[hit] >> np.uint64(k)) & low
+                held = table[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))
+                hit = hit[(held & np.uint64(1)).astype(bool)]
             seed.append(value[hit])
             at.append(first[hit])
             span.append(np.full(len(hit), size))

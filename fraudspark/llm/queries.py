@@ -5,10 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
-
-from fraudspark.llm import decontaminate, jaccard, pieces_codec, quality, secrets
-from fraudspark.llm.tables import documents
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from fraudspark.llm import (
+    chat,
+    decontaminate,
+    jaccard,
+    language,
+    pieces_codec,
+    quality,
+    secrets,
+    sharding,
+    substrings,
+    token_files,
+)
+from fraudspark.llm.tables import documents, folder
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -20,10 +31,37 @@ def public_tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shards(documents(spark, sf_dir), sharding.ShardPlan(n_shards=8))
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.without_repeats(documents(spark, sf_dir))
+    removed = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("bigint"), lambda s, x: s + x)
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SUBSTRINGS_SQL = rf"""
+WITH base AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+win AS (SELECT doc_id, i, w[i:i + 12] AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM base)),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM win)
+        WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + o AS i FROM hit, range(0, 13) r(o)),
+word AS (SELECT doc_id, i, w[i] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM base)),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t, count(*) AS n
+         FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT b.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(k.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(k.t, '')) AS kept_sha256
+FROM base b LEFT JOIN kept k USING (doc_id)"""
+
+
 @lru_cache(maxsize=2)
 def piece_codec(path: str | None = None) -> pieces_codec.Codec:
     """The codec of the pipeline and of op4; path: a SentencePiece model."""
@@ -35,10 +73,27 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces_codec.encode(documents(spark, sf_dir), piece_codec())
 
 
+def op5_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = folder(spark, "tokens.orc")
+    token_files.write_token_files(documents(spark, sf_dir), path, public_tokenizer("word_bpe_49k.json"))
+    return token_files.token_offsets(spark, path)
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    third = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
+    profiles = language.learn(docs.filter(~third))
+    return language.predict(docs, profiles).select("doc_id", third.alias("held_out"), "lang_pred", "score")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir))
 
@@ -99,14 +154,20 @@ SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n_copies, 0)::BI
 FROM documents LEFT JOIN least ON least.x = doc_id LEFT JOIN sums ON sums.x = doc_id"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_kd_shards": op1_kd_shards,
     "op2_decontamination": op2_decontamination,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_token_orc": op5_token_orc,
     "op6_secret_scan": op6_secret_scan,
+    "op7_chat_format": op7_chat_format,
+    "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_substring_dedup": SUBSTRINGS_SQL,
     "op9_quality_rules": QUALITY_SQL,
     "op10_jaccard_join": JACCARD_SQL,
 }

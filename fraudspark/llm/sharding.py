@@ -122,12 +122,12 @@ def shards(docs: DataFrame, plan: ShardPlan = ShardPlan(), id_col: str = "doc_id
     names = list(dims)
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), size.alias("size")).select(
         "doc_id", "size", F.crc32("text").alias("text_crc32"), F.xxhash64("text").alias("hash"),
-        *(c.alias(n) for n, c in dims.items()))
+        F.lit(0).alias("node"), *(c.alias(n) for n, c in dims.items()))
     rows = written(rows, "rows")
     total = rows.agg(F.count("*").alias("n"), F.sum("size").alias("bytes"),
                      *((F.max(n) - F.min(n)).alias(n) for n in names)).first()
     leaves = plan.n_shards or max(1, math.ceil((total["bytes"] or 0) / plan.target_bytes))
-    rows = rows.select("*", F.lit(0).alias("node"), F.lit(leaves).alias("k"))
+    rows = rows.withColumn("k", F.lit(leaves))
     for _ in range(math.ceil(math.log2(leaves)) if total["n"] else 0):
         rows = _halved(rows, names, total.asDict())
     parts = max(1, math.ceil(total["n"] / leaves / plan.slot_rows))

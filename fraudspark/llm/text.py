@@ -69,7 +69,7 @@ class Texts:
         if self._prefix is None:
             self._prefix = np.zeros(len(self.data) + 1, np.uint64)
             np.cumsum(_BYTE_CODE[self.data] * powers(_ODD[0], len(self.data)), out=self._prefix[1:])
-        h = (self._prefix[end] - self._prefix[start]) * powers(_ODD[0], len(self.data) + 1, inverse=True)[start]
+        h = (self._prefix[end] - self._prefix[start]) * powers(_ODD[0], len(self.data), inverse=True)[start]
         return mixed(h + (end - start).astype(np.uint64) * _MIX)
 
 

@@ -5,8 +5,8 @@ range. ORC stores the ids with integer run-length encoding in stripes, with a
 row index and a Bloom filter on doc_id, so readers split files by stripe and
 skip stripes and row groups by document id.
 
-The tokenizer is applied to runs without ASCII white space, each once per task
-as long as it is remembered: its pre-tokenizer drops white space and never
+The tokenizer is applied to the distinct runs without ASCII white space of some
+megabytes of text at a time: its pre-tokenizer drops white space and never
 joins characters across it, so the ids are those of the whole text.
 """
 
@@ -14,8 +14,8 @@ from __future__ import annotations
 
 import math
 import os
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,10 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from fraudspark.llm.tables import ship_package, written
-from fraudspark.llm.text import pieces
+from fraudspark.llm.text import Texts, Words, pieces
 
-_RUN = re.compile("[^\x20\x09-\x0D]+")
-MEMORY, MEMORABLE = 300_000, 48
+#: Runs that a task remembers.
+MEMORY = 300_000
+_STOP, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
+_STOP[list(b".,")] = True
+_ALNUM[:128] = [chr(i).isalnum() for i in range(128)]
 
 
 @dataclass(frozen=True)
@@ -42,31 +45,55 @@ class FilePlan:
 
 
 class RunEncoder:
-    """A tokenizers library tokenizer that remembers the ids of short runs."""
+    """A tokenizers library tokenizer that encodes each distinct run once and remembers some."""
 
     def __init__(self, definition: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str], end_id: int) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, then the end id."""
-        runs = [_RUN.findall(t) for t in texts]
-        known = self.known
-        new = list({r for some in runs for r in some if r not in known})
-        if len(known) + len(new) > MEMORY:
-            known.clear()
-            new = list({r for some in runs for r in some})
-        fresh = {}
-        for run, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            fresh[run] = np.array(got.ids, "<u4").tobytes()
-        known.update((r, ids) for r, ids in fresh.items() if len(r) <= MEMORABLE)
-        long = {r: ids for r, ids in fresh.items() if len(r) > MEMORABLE}
-        end = np.array([end_id], "<u4").tobytes()
-        find = known.__getitem__ if not long else lambda r: known.get(r) or long[r] if r in long else known[r]
-        return [b"".join([*map(find, some), end]) for some in runs]
+        self.known: dict[bytes, bytes] = {}
+
+    def _learn(self, runs: list[bytes]) -> None:
+        if len(self.known) + len(runs) > MEMORY:
+            self.known.clear()
+        for at in range(0, len(runs), 4096):  # the library's results take far more room than the ids
+            some = runs[at:at + 4096]
+            got = self.tokenizer.encode_batch_fast([r.decode() for r in some], add_special_tokens=False)
+            self.known.update((r, array("I", e.ids).tobytes()) for r, e in zip(some, got, strict=True))
+
+    def __call__(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, each closed by end_id, and each text's bounds."""
+        texts = Texts(column)
+        words = Words(texts)
+        start, end, doc = _runs(words)
+        _, first, which = np.unique(texts.span_hash(start, end), return_index=True, return_inverse=True)
+        raw = texts.data.tobytes()
+        runs = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+        self._learn([r for r in runs if r not in self.known])
+        missing = [r for r in runs if r not in self.known]  # if the memory was cleared, all of it
+        if missing:
+            self._learn(missing)
+        ids = [*map(self.known.__getitem__, runs), array("I", [end_id]).tobytes()]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        table, at = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        which = np.insert(which, np.searchsorted(doc, np.arange(texts.n), "right"), len(runs))
+        each = size[which]
+        place = np.cumsum(each)
+        flat = table[np.arange(place[-1] if len(place) else 0) + np.repeat(at[which] - place + each, each)]
+        closing = np.flatnonzero(which == len(runs))
+        return flat, np.concatenate([[0], place[closing]])
+
+
+def _runs(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, with a last comma or full stop after an ASCII letter or digit on its own: there tokens always part."""
+    data, start, end = words.texts.data, words.start, words.end
+    cut = np.flatnonzero((end - start > 1) & _STOP[data[end - 1]])
+    cut = cut[_ALNUM[data[end[cut] - 2]]]
+    stop = end.copy()
+    stop[cut] -= 1
+    return (np.insert(start, cut + 1, end[cut] - 1), np.insert(stop, cut + 1, end[cut]),
+            np.insert(words.doc, cut + 1, words.doc[cut]))
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, plan: FilePlan = FilePlan(),
@@ -87,13 +114,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, plan: Fil
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, row = RunEncoder(definition), 0
         for batch in batches:
-            for a, b in pieces(batch.column(1)):
-                ids = encoder(batch.column(1).slice(a, b - a).to_pylist(), plan.end_id)
-                at = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
-                flat = np.frombuffer(b"".join(ids), "<i4")
+            for a, b in pieces(batch.column(1), 3 << 20):
+                flat, at = encoder(batch.column(1).slice(a, b - a), plan.end_id)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(np.arange(row, row + b - a, dtype=np.int64)),
-                     pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], ["doc_id", "row", "ids"])
+                     pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat.view(np.int32)))],
+                    ["doc_id", "row", "ids"])
                 row += b - a
 
     (docs.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")

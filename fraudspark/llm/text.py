@@ -62,14 +62,15 @@ class Texts:
         else:
             self.data, self.bounds = np.zeros(0, np.uint8), np.zeros(1, np.int64)
         self.n = n
-        self._prefix: np.ndarray | None = None
-
-    def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hash of the bytes start..end-1 of each span; equal bytes give equal hashes."""
-        if self._prefix is None:
-            self._prefix = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum(_BYTE_CODE[self.data] * powers(_ODD[0], len(self.data)), out=self._prefix[1:])
-        h = (self._prefix[end] - self._prefix[start]) * powers(_ODD[0], len(self.data), inverse=True)[start]
+        self._prefix: dict[int, np.ndarray] = {}
+
+    def span_hash(self, start: np.ndarray, end: np.ndarray, function: int = 0) -> np.ndarray:
+        """Hash of the bytes start..end-1 of each span; equal bytes give equal hashes. function: 0, or 2 for another."""
+        base, prefix = _ODD[function], self._prefix.get(function)
+        if prefix is None:
+            prefix = self._prefix[function] = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum(_BYTE_CODE[self.data] * powers(base, len(self.data)), out=prefix[1:])
+        h = (prefix[end] - prefix[start]) * powers(base, len(self.data), inverse=True)[start]
         return mixed(h + (end - start).astype(np.uint64) * _MIX)
 
 

@@ -12,10 +12,10 @@ joins characters across it, so the ids are those of the whole text.
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +27,7 @@ from fraudspark.llm.tables import ship_package, written
 from fraudspark.llm.text import Texts, Words, pieces
 
 #: Runs that a task remembers.
-MEMORY = 300_000
+MEMORY = 2_000_000
 _STOP, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
 _STOP[list(b".,")] = True
 _ALNUM[:128] = [chr(i).isalnum() for i in range(128)]
@@ -45,44 +45,95 @@ class FilePlan:
 
 
 class RunEncoder:
-    """A tokenizers library tokenizer that encodes each distinct run once and remembers some."""
+    """A tokenizers library tokenizer that encodes each distinct run once and remembers it, up to a bound.
+
+    Runs are told apart by two 64-bit hashes. `keys` (sorted), `checks`, `at`
+    and `size` say where in `flat` a remembered run's ids are.
+    """
 
     def __init__(self, definition: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, runs: list[bytes]) -> None:
-        if len(self.known) + len(runs) > MEMORY:
-            self.known.clear()
-        for at in range(0, len(runs), 4096):  # the library's results take far more room than the ids
-            some = runs[at:at + 4096]
-            got = self.tokenizer.encode_batch_fast([r.decode() for r in some], add_special_tokens=False)
-            self.known.update((r, array("I", e.ids).tobytes()) for r, e in zip(some, got, strict=True))
+        model = json.loads(definition)["model"]
+        mark = model.get("end_of_word_suffix") or ""
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        self.closes[[i for t, i in model["vocab"].items() if mark and t.endswith(mark)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.at, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint16)
+
+    def _encoded(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the runs end to end, and how many each has."""
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for begin in range(0, len(runs), 4096):  # the library's results take far more room than the ids
+            some = [r.decode() for r in runs[begin:begin + 4096]]
+            plain = np.array([r.isalpha() for r in some])
+            words = [r for r, p in zip(some, plain.tolist(), strict=True) if p]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(words):  # else each run of letters was one word, and its last id is marked so
+                plain[:] = False
+                ids, ends = ids[:0], ends[:0]
+            rest = [r for r, p in zip(some, plain.tolist(), strict=True) if not p]
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+            size = np.empty(len(some), np.int64)
+            size[plain], size[~plain] = np.diff(ends, prepend=0), [len(g) for g in got]
+            flat = np.empty(size.sum(), np.uint32)
+            mine = np.repeat(plain, size)
+            flat[mine], flat[~mine] = ids, [i for g in got for i in g]
+            out.append((flat, size))
+        return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, runs: list[bytes]) -> None:
+        flat, size = self._encoded(runs)
+        if len(flat) and flat.max() > 0xFFFF and self.flat.dtype == np.uint16:
+            self.flat = self.flat.astype(np.uint32)
+        place = np.searchsorted(self.keys, keys)
+        self.keys, self.checks = np.insert(self.keys, place, keys), np.insert(self.checks, place, checks)
+        self.at = np.insert(self.at, place, len(self.flat) + np.cumsum(size) - size)
+        self.size = np.insert(self.size, place, size)
+        self.flat = np.concatenate([self.flat, flat.astype(self.flat.dtype)])
 
     def __call__(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each closed by end_id, and each text's bounds."""
         texts = Texts(column)
-        words = Words(texts)
-        start, end, doc = _runs(words)
-        _, first, which = np.unique(texts.span_hash(start, end), return_index=True, return_inverse=True)
-        raw = texts.data.tobytes()
-        runs = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
-        self._learn([r for r in runs if r not in self.known])
-        missing = [r for r in runs if r not in self.known]  # if the memory was cleared, all of it
-        if missing:
-            self._learn(missing)
-        ids = [*map(self.known.__getitem__, runs), array("I", [end_id]).tobytes()]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        table, at = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
-        which = np.insert(which, np.searchsorted(doc, np.arange(texts.n), "right"), len(runs))
+        start, end, doc = _runs(Words(texts))
+        keys, first, which = np.unique(texts.span_hash(start, end), return_index=True, return_inverse=True)
+        checks = texts.span_hash(start, end, 2)
+        if (checks != checks[first][which]).any():
+            return self._plainly(column, end_id)
+        checks = checks[first]
+        for _ in range(2):
+            place = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+            known = self.keys[place] == keys if len(self.keys) else np.zeros(len(keys), bool)
+            if known.any() and (self.checks[place[known]] != checks[known]).any():
+                return self._plainly(column, end_id)
+            new = np.flatnonzero(~known)
+            if not len(new):
+                break
+            if len(self.keys) + len(new) > MEMORY and len(self.keys):
+                self._forget()
+                new = np.arange(len(keys))
+            raw = texts.data.tobytes()
+            self._learn(keys[new], checks[new], [raw[a:b] for a, b in zip(
+                start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
+        # one more entry stands for the end of a text
+        at, size = np.append(self.at[place], len(self.flat)), np.append(self.size[place], 1).astype(np.int64)
+        which = np.insert(which, np.searchsorted(doc, np.arange(texts.n), "right"), len(keys))
         each = size[which]
-        place = np.cumsum(each)
-        flat = table[np.arange(place[-1] if len(place) else 0) + np.repeat(at[which] - place + each, each)]
-        closing = np.flatnonzero(which == len(runs))
-        return flat, np.concatenate([[0], place[closing]])
+        stop = np.cumsum(each)
+        take = np.arange(stop[-1] if len(stop) else 0) + np.repeat(at[which] - stop + each, each)
+        flat = np.append(self.flat, np.array([end_id], self.flat.dtype))[take].astype(np.uint32)
+        return flat, np.concatenate([[0], stop[which == len(keys)]])
+
+    def _plainly(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same without hashes, for the rare texts in which two runs share one."""
+        ids = [self.tokenizer.encode(t or "", add_special_tokens=False).ids + [end_id] for t in column.to_pylist()]
+        return np.array([i for some in ids for i in some], np.uint32), np.cumsum([0, *map(len, ids)])
 
 
 def _runs(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -102,11 +103,16 @@ class RunEncoder:
         """Ids of all texts end to end, each closed by end_id, and each text's bounds."""
         texts = Texts(column)
         start, end, doc = _runs(Words(texts))
-        keys, first, which = np.unique(texts.span_hash(start, end), return_index=True, return_inverse=True)
+        which, keys = pd.factorize(texts.span_hash(start, end))
+        first = np.empty(len(keys), np.int64)
+        first[which[::-1]] = np.arange(len(which))[::-1]
         checks = texts.span_hash(start, end, 2)
         if (checks != checks[first][which]).any():
             return self._plainly(column, end_id)
-        checks = checks[first]
+        order = np.argsort(keys)
+        rank = np.empty(len(keys), np.int64)
+        rank[order] = np.arange(len(keys))
+        which, keys, first, checks = rank[which], keys[order], first[order], checks[first[order]]
         for _ in range(2):
             place = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
             known = self.keys[place] == keys if len(self.keys) else np.zeros(len(keys), bool)
@@ -165,7 +171,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, plan: Fil
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, row = RunEncoder(definition), 0
         for batch in batches:
-            for a, b in pieces(batch.column(1), 3 << 20):
+            for a, b in pieces(batch.column(1), 4 << 20):
                 flat, at = encoder(batch.column(1).slice(a, b - a), plan.end_id)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(np.arange(row, row + b - a, dtype=np.int64)),
@@ -177,7 +183,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, plan: Fil
      .mapInArrow(run, f"doc_id {kind}, row bigint, ids array<int>")
      .write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", str(plan.bloom_fpp))
      .option("orc.create.index", "true").option("orc.row.index.stride", str(plan.index_rows))
-     .option("orc.stripe.size", str(plan.stripe_bytes)).option("compression", "zstd").orc(path))
+     .option("orc.stripe.size", str(plan.stripe_bytes)).option("compression", "lz4").orc(path))
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

@@ -12,6 +12,7 @@ path. Each cut is encoded once per task and remembered, up to a bound.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -117,6 +118,9 @@ class DoubleArray:
         self.base, self.check, self.leaf = base, check, leaf
 
 
+_shared: dict[str, Codec] = {}
+
+
 class Codec:
     """Encoder and decoder of one vocabulary; small enough to send to every task."""
 
@@ -132,10 +136,18 @@ class Codec:
             self.cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         else:
             self.cut = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
+        self.key = hashlib.sha256(repr(vocabulary).encode()).hexdigest()
         self._ready = False
 
     def __getstate__(self) -> dict[str, object]:
-        return {k: v for k, v in self.__dict__.items() if k in ("vocabulary", "trie", "cut")} | {"_ready": False}
+        return {k: v for k, v in self.__dict__.items() if k in ("vocabulary", "trie", "cut", "key")} | {"_ready": False}
+
+    def shared(self) -> Codec:
+        """The codec of this vocabulary that all tasks of a Python worker use, with what it remembers."""
+        if self.key not in _shared:
+            _shared.clear()
+            _shared[self.key] = self
+        return _shared[self.key]
 
     def _prepare(self) -> None:
         """The tables as lists, which are faster to index one by one."""
@@ -236,14 +248,15 @@ def encode(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str
     kind = docs.schema[0].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec.shared()
         for batch in batches:
             for a, b in pieces(batch.column(1)):
                 texts = batch.column(1).slice(a, b - a).to_pylist()
-                ids = [codec.encode(t or "") for t in texts]
+                ids = [own.encode(t or "") for t in texts]
                 at = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
                 flat = np.frombuffer(b"".join(ids), "<i4")
                 listed = flat.tolist()
-                back = [None if t is None else codec.decode(listed[at[i]:at[i + 1]]) for i, t in enumerate(texts)]
+                back = [None if t is None else own.decode(listed[at[i]:at[i + 1]]) for i, t in enumerate(texts)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(np.diff(at).astype(np.int64)),
                      pa.array([zlib.crc32(x) for x in ids], pa.int64()),

@@ -18,6 +18,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -40,7 +41,7 @@ class FilePlan:
 
     end_id: int = 2
     file_bytes: int = 32 << 20
-    stripe_bytes: int = 64 << 20
+    stripe_bytes: int = 62 << 20
     index_rows: int = 1000
     bloom_fpp: float = 0.01
 
@@ -142,6 +143,12 @@ class RunEncoder:
         return np.array([i for some in ids for i in some], np.uint32), np.cumsum([0, *map(len, ids)])
 
 
+@lru_cache(maxsize=1)
+def shared_encoder(definition: str) -> RunEncoder:
+    """One encoder for all tasks that a Python worker runs."""
+    return RunEncoder(definition)
+
+
 def _runs(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, with a last comma or full stop after an ASCII letter or digit on its own: there tokens always part."""
     data, start, end = words.texts.data, words.start, words.end
@@ -169,9 +176,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, plan: Fil
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, row = RunEncoder(definition), 0
+        encoder, row = shared_encoder(definition), 0
         for batch in batches:
-            for a, b in pieces(batch.column(1), 4 << 20):
+            for a, b in pieces(batch.column(1), 2 << 20):
                 flat, at = encoder(batch.column(1).slice(a, b - a), plan.end_id)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(np.arange(row, row + b - a, dtype=np.int64)),

@@ -29,7 +29,7 @@ from fraudspark.llm.tables import ship_package, written
 from fraudspark.llm.text import Texts, Words, pieces
 
 #: Runs that a task remembers.
-MEMORY = 2_000_000
+MEMORY = 1_200_000
 _STOP, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
 _STOP[list(b".,")] = True
 _ALNUM[:128] = [chr(i).isalnum() for i in range(128)]

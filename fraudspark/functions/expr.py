@@ -52,18 +52,26 @@ def direction(shap: Column) -> Column:
     )
 
 
+def ntz_from_micros(micros: Column) -> Column:
+    """The TIMESTAMP_NTZ of microseconds since 1970, whatever the session's time zone."""
+    seconds = (micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def to_naive_utc(text: Column) -> Column:
     """Parse an ISO-8601 string to a naive UTC TIMESTAMP_NTZ.
 
-    With an explicit offset (`Z`, `+02:00`, ...) the instant is converted to
-    UTC; without one the wall clock is taken as UTC already. A plain cast to
-    TIMESTAMP_NTZ would silently drop the offset.
+    With an explicit offset (`Z`, `+02:00`, `+0200`, `+02`) the instant is
+    converted to UTC; without one the wall clock is taken as UTC already. A
+    plain cast to TIMESTAMP_NTZ would silently drop the offset. Text that is
+    no timestamp gives null.
     """
-    has_offset = text.rlike(r"(Z|z|[+-]\d{2}:?\d{2})$")
-    as_utc = F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), F.to_timestamp(text).cast("timestamp_ntz")
-    )
-    return F.when(has_offset, as_utc).otherwise(F.to_timestamp_ntz(text))
+    has_offset = text.rlike(r":\d{2}.*(Z|z|[+-]\d{2}(:?\d{2})?)$")
+    full = F.regexp_replace(F.regexp_replace(text, r"(:\d{2}.*[+-]\d{2})$", "$1:00"),
+                            r"(:\d{2}.*[+-]\d{2})(\d{2})$", "$1:$2")
+    full = F.regexp_replace(full, "z$", "Z")
+    as_utc = ntz_from_micros(F.unix_micros(full.try_cast("timestamp")))
+    return F.when(has_offset, as_utc).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def sql_double(x: float) -> str:

@@ -1,18 +1,17 @@
 """Global order without a one-partition window.
 
 `ordered_prefix` gives running (inclusive) sums over a total order inside
-each group. Two levels:
+each group. One plan at every size:
 
-1. range buckets: `percentile_approx` of the leading order key per group
-   (a bounded sketch; groups x n_buckets numbers reach the driver) turned
-   into a codegen'd binary search (`bucket_of`);
-2. per-bucket totals (groups x n_buckets rows) -> exclusive offsets with a
-   window over that small table, broadcast back (size proven by construction);
-3. running sums inside `Window.partitionBy(group, bucket)`.
+1. the rows are dealt by ranges of (group, order key) and written with their
+   partition's number; Spark samples the bounds over the whole key, so a
+   leading value shared by a third of all rows is split by the later columns,
+   and the number of ranges follows spark.sql.shuffle.partitions and AQE;
+2. per-range totals (at most ranges + groups rows) -> exclusive offsets with a
+   window over that small table, broadcast back (size bound by construction);
+3. running sums inside `Window.partitionBy(group, range)`.
 
-Buckets are balanced in rows when the leading key has no heavy value; the
-callers aggregate to distinct keys first (scores, feature values), so a key
-value never repeats and every bucket holds ~1/n_buckets of the keys.
+The ranges are written because their numbers must be the same in steps 2 and 3.
 
 `exact_quantiles` uses it to pick order statistics (numpy 'linear' rule)
 without materialising a whole group in one task.
@@ -28,9 +27,7 @@ from pyspark.sql import functions as F
 
 from fraudspark.functions.expr import bucket_of
 
-DEFAULT_BUCKETS = 64
 APPROX_ACCURACY = 20000
-SMALL_GROUP_ROWS = 2_000_000  # a sorted window task of this many rows fits any executor
 
 
 def _bucket_column(df: DataFrame, group_cols: Sequence[str], key: str, n_buckets: int) -> tuple[Column, int]:
@@ -68,74 +65,30 @@ def _sql_lit(v) -> str:
     return str(v)
 
 
-def _tuple_bucket_column(df: DataFrame, order_cols: Sequence[str], n_buckets: int,
-                         sample_per_bucket: int = 100, small_rows: int = -1) -> tuple[Column, int]:
-    """Range buckets over the WHOLE sort key (like Spark's range partitioner).
-
-    Bounds are full key tuples read from a seeded sample (about
-    n_buckets x sample_per_bucket rows reach the driver), compared
-    lexicographically -- so a leading value shared by a third of all rows is
-    still split by the later key columns. Returns (expression, row count)."""
-    n = df.count()
-    if n == 0 or n_buckets <= 1 or n <= small_rows:  # small: the caller takes one window, no sample needed
-        return F.lit(0), n
-    frac = min(1.0, n_buckets * sample_per_bucket / n)
-    sample = df.select(*order_cols).sample(False, frac, seed=17).orderBy(*order_cols).collect()
-    if not sample:
-        return F.lit(0), n
-    bounds = []
-    for i in range(1, n_buckets):
-        b = tuple(sample[min(len(sample) - 1, (len(sample) * i) // n_buckets)])
-        if not bounds or b > bounds[-1]:
-            bounds.append(b)
-    cols = [f"`{c}`" for c in order_cols]
-
-    def less(bound) -> str:
-        # lexicographic (c1, c2, ...) < bound, built from the last column outwards
-        expr = f"{cols[-1]} < {_sql_lit(bound[-1])}"
-        for c, v in zip(reversed(cols[:-1]), reversed(bound[:-1])):
-            expr = f"({c} < {_sql_lit(v)} OR ({c} = {_sql_lit(v)} AND {expr}))"
-        return expr
-
-    def build(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return f"CASE WHEN {less(bounds[mid])} THEN {build(lo, mid)} ELSE {build(mid + 1, hi)} END"
-
-    return F.expr(f"CAST({build(0, len(bounds))} AS INT)"), n
-
-
 def ordered_prefix(
     df: DataFrame,
     group_cols: Sequence[str],
     order_cols: Sequence[str],
     sum_cols: Sequence[str],
     *,
-    n_buckets: int = DEFAULT_BUCKETS,
+    n_buckets: int | None = None,
     prefix: str = "cum_",
-    small_group_rows: int | None = None,
 ) -> DataFrame:
     """Add `cum_<c>` = sum of c over rows <= this row in (order_cols) order, per group.
 
-    The order must be total (ties broken by later order columns); the first
-    order column is numeric and non-null. When the bounds job shows that every
-    group has at most `small_group_rows` rows, a plain per-group window is used
-    (a one-task group whose size is checked); otherwise the two-level plan.
+    The order must be total (ties broken by later order columns). `n_buckets`
+    fixes the number of ranges; by default it is that of a shuffle. The result
+    does not depend on it.
     """
-    small_group_rows = SMALL_GROUP_ROWS if small_group_rows is None else small_group_rows
+    from fraudspark.sources.tables import scratch_path
+
     group_cols, order_cols, sum_cols = list(group_cols), list(order_cols), list(sum_cols)
-    if not group_cols and len(order_cols) > 1:
-        # a global order with tie-breakers: bucket on the whole key
-        bucket, largest = _tuple_bucket_column(df, order_cols, n_buckets, small_rows=small_group_rows)
-    else:
-        bucket, largest = _bucket_column(df, group_cols, order_cols[0], n_buckets)
-    if largest <= small_group_rows:
-        # every group is proven small (counted above): one window task per group
-        w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0)))
-        w = w.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sum_cols])
-    b = df.withColumn("_pb", bucket)
+    keys = [*group_cols, *order_cols]
+    dealt = df.repartitionByRange(n_buckets, *keys) if n_buckets else df.repartitionByRange(*keys)
+    path = scratch_path(df.sparkSession, "ranges")
+    dealt = dealt.withColumn("_pb", F.spark_partition_id())
+    dealt.write.parquet(path)
+    b = df.sparkSession.read.schema(dealt.schema).parquet(path)
     totals = b.groupBy(*group_cols, "_pb").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     wo = Window.orderBy("_pb") if not group_cols else Window.partitionBy(*group_cols).orderBy("_pb")
     wo = wo.rowsBetween(Window.unboundedPreceding, -1)
@@ -144,7 +97,7 @@ def ordered_prefix(
     )
     wi = Window.partitionBy(*group_cols, "_pb").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     run = b.select("*", *[F.sum(c).over(wi).alias(f"_r_{c}") for c in sum_cols])
-    # offsets: at most groups x n_buckets rows
+    # offsets: at most ranges + groups rows
     out = run.join(F.broadcast(offsets), [*group_cols, "_pb"], "left")
     out = out.select(
         *[F.col(c) for c in run.columns if not c.startswith("_r_") and c != "_pb"],
@@ -153,11 +106,11 @@ def ordered_prefix(
     return out
 
 
-def global_rank(df: DataFrame, order_cols: Sequence[str], *, n_buckets: int = DEFAULT_BUCKETS,
-                name: str = "rank", small_group_rows: int | None = None) -> DataFrame:
+def global_rank(df: DataFrame, order_cols: Sequence[str], *, n_buckets: int | None = None,
+                name: str = "rank") -> DataFrame:
     """1-based rank in a total order over the whole frame (no unbounded single-task window)."""
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
-    out = ordered_prefix(one, [], order_cols, ["_one"], n_buckets=n_buckets, small_group_rows=small_group_rows)
+    out = ordered_prefix(one, [], order_cols, ["_one"], n_buckets=n_buckets)
     return out.withColumnRenamed("cum__one", name).drop("_one")
 
 
@@ -168,8 +121,7 @@ def exact_quantiles(
     probs: Sequence[float],
     *,
     count_col: str | None = None,
-    n_buckets: int = DEFAULT_BUCKETS,
-    small_group_rows: int | None = None,
+    n_buckets: int | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group: (group, q_index, prob, quantile).
 
@@ -181,8 +133,7 @@ def exact_quantiles(
         v = v.groupBy(group_col, value_col).agg(F.count(F.lit(1)).alias("_cnt"))
     else:
         v = v.select(group_col, value_col, F.col(count_col).alias("_cnt"))
-    cum = ordered_prefix(v, [group_col], [value_col], ["_cnt"], n_buckets=n_buckets,
-                         small_group_rows=small_group_rows)
+    cum = ordered_prefix(v, [group_col], [value_col], ["_cnt"], n_buckets=n_buckets)
     # group sizes: one row per group (bounded)
     sizes = {r[0]: int(r[1]) for r in v.groupBy(group_col).agg(F.sum("_cnt")).collect()}
     # target ranks, 0-based: h = (n-1) p, lo = floor(h), hi = min(lo+1, n-1)

@@ -45,13 +45,19 @@ def validation_summary(df: DataFrame) -> DataFrame:
 def validate_raw_transactions(df: DataFrame, *, hot_customer_rows: int | None = None) -> list:
     """Raise `SchemaValidationError` on the first contract violation.
 
-    Order: missing columns, nulls, timestamp type, negative amount, label.
+    Order: missing columns, timestamp and amount types, nulls, negative amount, label.
     With `hot_customer_rows`, the same single job also returns the ids of
     customers with more rows than that (at most N / hot_customer_rows ids).
     """
     missing = [c for c in REQUIRED if c not in df.columns]
     if missing:
         raise S.SchemaValidationError(f"missing required columns: {', '.join(sorted(missing))}")
+    # types are known from the schema, before any job
+    ts_type, amount_type = df.schema[S.EVENT_TIME].dataType, df.schema[S.AMOUNT].dataType
+    if not isinstance(ts_type, (T.TimestampType, T.TimestampNTZType)):
+        raise S.SchemaValidationError(f"'{S.EVENT_TIME}' must be a timestamp; got {ts_type.simpleString()}")
+    if not isinstance(amount_type, T.NumericType):
+        raise S.SchemaValidationError(f"'{S.AMOUNT}' must be a number; got {amount_type.simpleString()}")
     if hot_customer_rows is None:
         row = validation_summary(df).first().asDict()
         hot = []
@@ -61,9 +67,6 @@ def validate_raw_transactions(df: DataFrame, *, hot_customer_rows: int | None =
     if nulls:
         detail = ", ".join(f"{c}={n}" for c, n in sorted(nulls.items()))
         raise S.SchemaValidationError(f"nulls in required columns: {detail}")
-    ts_type = df.schema[S.EVENT_TIME].dataType
-    if not isinstance(ts_type, (T.TimestampType, T.TimestampNTZType)):
-        raise S.SchemaValidationError(f"'{S.EVENT_TIME}' must be a timestamp; got {ts_type.simpleString()}")
     if row.get("n_negative_amount"):
         raise S.SchemaValidationError(
             f"amount must be non-negative; found {row['n_negative_amount']} negative rows"
@@ -134,13 +137,15 @@ def quarantine(df: DataFrame) -> DataFrame:
             reasons,
             F.transform(F.col("_unknown_fields"), lambda k: F.concat(F.lit("unknown_field:"), k)),
         )
+    if "_parse_errors" in df.columns:
+        reasons = F.concat(F.col("_parse_errors"), reasons)
     out = df.withColumn("reasons", reasons)
     return out.withColumn("is_valid", F.size("reasons") == 0)
 
 
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     tagged = quarantine(df)
-    good = tagged.filter("is_valid").drop("reasons", "is_valid")
+    good = tagged.filter("is_valid").drop("reasons", "is_valid")  # good + rejected = all rows
     rejected = tagged.filter(~F.col("is_valid"))
     return good, rejected
 
@@ -150,23 +155,34 @@ def parse_events_json(raw: DataFrame, column: str = "payload") -> DataFrame:
 
     Unknown fields are forbidden by the contract: they are listed in
     `_unknown_fields` so `quarantine` rejects the row instead of ignoring them.
+    No payload fails the job: one that is no JSON object, and each field whose
+    text is not of the field's type, is listed in `_parse_errors` and is null.
     """
+    from fraudspark.functions.expr import to_naive_utc
+
     fields = [f for f in S.RAW_SCHEMA.fields if f.name != S.LABEL]
-    text_schema = T.StructType(
-        [T.StructField(f.name, T.StringType() if f.name != S.AMOUNT else T.DoubleType(), True) for f in fields]
-    )
+    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in fields])
     allowed = F.array(*[F.lit(n) for n in ALLOWED_FIELDS])
+    keys = F.json_object_keys(F.col(column))
     parsed = raw.select(
         F.from_json(F.col(column), text_schema).alias("_p"),
-        F.array_except(F.json_object_keys(F.col(column)), allowed).alias("_unknown_fields"),
+        F.coalesce(F.array_except(keys, allowed), F.array().cast("array<string>")).alias("_unknown_fields"),
+        keys.isNull().alias("_not_json"),
     )
-    from fraudspark.functions.expr import to_naive_utc
-
+    typed = {
+        S.EVENT_TIME: (to_naive_utc(F.col(f"_p.{S.EVENT_TIME}")), "not_a_timestamp"),
+        S.AMOUNT: (F.col(f"_p.{S.AMOUNT}").try_cast("double"), "not_a_number"),
+        "card_present": (F.col("_p.card_present").try_cast("boolean"), "not_a_boolean"),
+    }
+    wrong = [F.when(F.col("_not_json"), F.lit("payload:not_json"))]
+    wrong += [F.when(F.col(f"_p.{n}").isNotNull() & value.isNull(), F.lit(f"{n}:{why}"))
+              for n, (value, why) in typed.items()]
     return parsed.select(
         *[F.col(f"_p.{n}").alias(n) for n in _TEXT_FIELDS],
-        to_naive_utc(F.col("_p.event_time")).alias(S.EVENT_TIME),
-        F.col("_p.amount").cast(S.MONEY).alias(S.AMOUNT),
+        typed[S.EVENT_TIME][0].alias(S.EVENT_TIME),
+        F.col(f"_p.{S.AMOUNT}").try_cast(S.MONEY).alias(S.AMOUNT),
         *[F.col(f"_p.{n}").alias(n) for n in _COUNTRY_FIELDS],
-        F.col("_p.card_present").cast("boolean").alias("card_present"),
+        typed["card_present"][0].alias("card_present"),
         "_unknown_fields",
+        F.filter(F.array(*wrong), lambda x: x.isNotNull()).alias("_parse_errors"),
     )

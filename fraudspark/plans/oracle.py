@@ -246,26 +246,27 @@ def _thr_dict_sql() -> str:
     return "(SELECT max(CASE WHEN variant = 'A' THEN threshold END) AS ta, max(CASE WHEN variant = 'B' THEN threshold END) AS tb FROM thr)"
 
 
-def bootstrap_sql(n_resamples: int = 1000, seed: int = 0, n_blocks: int = 1 << 20, alpha: float = 0.025) -> str:
+def bootstrap_sql(n_resamples: int = 1000, seed: int = 0, n_blocks: int = 1 << 13, alpha: float = 0.025) -> str:
     cost = "CASE WHEN is_fraud = 1 AND NOT ({s} >= {t}) THEN CAST(amount AS DOUBLE) WHEN is_fraud = 0 AND ({s} >= {t}) THEN 5.0 ELSE 0.0 END"
     ca = cost.format(s="score_A", t="th.ta")
     cb = cost.format(s="score_B", t="th.tb")
     base = f"SELECT transaction_id, ({ca}) - ({cb}) AS d FROM scored, {_thr_dict_sql()} th WHERE split = 'test'"
     hashed = mix_hash_sql(base, "h", ["transaction_id", str(seed)])
-    reps = mix_hash_sql(f"SELECT b.block, b.d, r.rep FROM blocks b, (SELECT unnest(range(0, {n_resamples})) AS rep) r",
+    reps = mix_hash_sql(f"SELECT b.block, b.m, b.d, r.rep FROM blocks b, (SELECT unnest(range(0, {n_resamples})) AS rep) r",
                         "u", ["block", "rep", str(seed + 1)])
     w = poisson1_weight_sql("u")
     return f"""
 rows_d AS (SELECT h % {n_blocks} AS block, d FROM ({hashed})),
 st AS (SELECT count(*) AS n, sum(d) AS sum_d FROM rows_d),
-blocks AS (SELECT block, sum(d) AS d FROM rows_d WHERE d <> 0 GROUP BY block),
+blocks AS (SELECT block, count(*) AS m, sum(d) AS d FROM rows_d GROUP BY block),
 reps AS ({reps}),
-per_rep AS (SELECT a.rep, coalesce(x.wd, 0.0) AS wd
+per_rep AS (SELECT a.rep, CASE WHEN x.wm > 0 THEN x.wd / x.wm * 1000.0 ELSE 0.0 END AS diff
             FROM (SELECT unnest(range(0, {n_resamples})) AS rep) a
-            LEFT JOIN (SELECT rep, sum(CAST({w} AS DOUBLE) * d) AS wd FROM reps GROUP BY rep) x ON x.rep = a.rep),
+            LEFT JOIN (SELECT rep, sum(CAST({w} AS DOUBLE) * d) AS wd, sum(CAST({w} AS BIGINT) * m) AS wm
+                       FROM reps GROUP BY rep) x ON x.rep = a.rep),
 ci AS (SELECT any_value(st.sum_d / st.n * 1000.0) AS point,
-              quantile_cont(pr.wd / st.n * 1000.0, {alpha}) AS lower,
-              quantile_cont(pr.wd / st.n * 1000.0, {1.0 - alpha}) AS upper,
+              quantile_cont(pr.diff, {alpha}) AS lower,
+              quantile_cont(pr.diff, {1.0 - alpha}) AS upper,
               any_value(st.n) AS n, count(*) AS n_resamples
        FROM per_rep pr, st)
 """

@@ -43,7 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is used as is. Otherwise the SparkContext's checkpoint folder, if one was
     set. Only when neither exists (local tests) is a folder created; it is
     registered with `setCheckpointDir` (the conf itself cannot be changed at
-    runtime).
+    runtime). On a cluster without either this raises: a local folder of one
+    machine would not be seen by the others.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
@@ -54,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     folder = tempfile.mkdtemp(prefix="fraudspark-ckpt-", dir="/tmp")
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir() or folder

@@ -46,10 +46,12 @@ def floor_timestamps(df: DataFrame, ns_columns: tuple[str, ...] = ()) -> DataFra
     """Timestamps at the store's microsecond resolution.
 
     Spark timestamps are already microseconds (no-op); integer nanosecond
-    columns are floored to microseconds."""
+    columns (since 1970 UTC) are floored to microseconds in integer arithmetic."""
+    from fraudspark.functions.expr import ntz_from_micros
+
     out = df
     for c in ns_columns:
-        out = out.withColumn(c, F.timestamp_micros(F.floor(F.col(c) / F.lit(1000))).cast("timestamp_ntz"))
+        out = out.withColumn(c, ntz_from_micros(F.expr(f"(`{c}` - pmod(`{c}`, 1000L)) div 1000L")))
     for f in df.schema.fields:
         if isinstance(f.dataType, T.TimestampType):
             out = out.withColumn(f.name, F.date_trunc("microsecond", F.col(f.name)))

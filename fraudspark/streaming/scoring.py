@@ -57,8 +57,8 @@ def output_schema(input_schema: T.StructType) -> T.StructType:
 
 
 def fold_customer(key, pdfs: Iterator[pd.DataFrame], state, max_events: int = S.MAX_RECENT_EVENTS):
-    """State function: features of each new event from the state strictly
-    before it, then fold the event into the state."""
+    """State function: features of each new event from the events strictly
+    before its instant, then fold the events of the instant into the state."""
     if state.exists:
         rec_us, rec_amt, psum, pcnt, trunc = state.get
         rec_us, rec_amt = list(rec_us or []), list(rec_amt or [])
@@ -67,23 +67,25 @@ def fold_customer(key, pdfs: Iterator[pd.DataFrame], state, max_events: int = S.
     batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["_us", "transaction_id"], kind="mergesort")
     out = []
     # money stays exact: integer cents (amounts are DECIMAL(18,2))
-    for now, cents in zip(batch["_us"], batch["_cents"]):
-        now, cents = int(now), int(cents)
-        amt = cents / 100
+    for now, same in batch.groupby("_us", sort=False):  # every event of an instant sees the state before it
+        now, new = int(now), [int(c) for c in same["_cents"]]
         us = np.asarray(rec_us, dtype=np.int64)
         am = np.asarray(rec_amt, dtype=np.int64)
         el = now - us
-        in1, in24 = (el >= 0) & (el < H_US), (el >= 0) & (el < D_US)
-        past = us[us < now]
+        in1, in24 = (el > 0) & (el < H_US), (el > 0) & (el < D_US)
+        past = us[el > 0]
         prev = (now - int(past.max())) / 1e6 if past.size else S.NO_PRIOR_TRANSACTION
-        mean = (psum / 100) / pcnt if pcnt > 0 else amt
-        ratio = amt / mean if mean > 0 else 1.0
-        out.append((prev, int(in1.sum()) + 1, int(in24.sum()) + 1, (int(am[in24].sum()) + cents) / 100, mean,
-                    ratio, pcnt == 0))
-        # fold
-        rec_us.append(now)
-        rec_amt.append(cents)
-        psum, pcnt = psum + cents, pcnt + 1
+        # an event that comes late must not see kept events at its instant or after it
+        count, total = pcnt - int((el <= 0).sum()), psum - int(am[el <= 0].sum())
+        for cents in new:
+            amt = cents / 100
+            mean = (total / 100) / count if count > 0 else amt
+            ratio = amt / mean if mean > 0 else 1.0
+            out.append((prev, int(in1.sum()) + 1, int(in24.sum()) + 1, (int(am[in24].sum()) + cents) / 100, mean,
+                        ratio, count == 0))
+        rec_us += [now] * len(new)
+        rec_amt += new
+        psum, pcnt = psum + sum(new), pcnt + len(new)
         if len(rec_us) > max_events:
             order = np.argsort(np.asarray(rec_us), kind="stable")[-max_events:]
             rec_us = [rec_us[i] for i in order]
@@ -117,13 +119,18 @@ def stream_features(events: DataFrame, *, watermark: str = "1 day", contract: bo
 
 def run_stream(events_stream: DataFrame, sink_path: str, checkpoint: str, *, contract: bool = True,
                on_batch=None, available_now: bool = True):
-    """Run the feature stream to a Parquet sink through foreachBatch; `on_batch`
+    """Run the feature stream to a Parquet sink through foreachBatch, a folder for each batch_id; `on_batch`
     (df, batch_id) -> df can score and explain each micro-batch first."""
     feats = stream_features(events_stream, contract=contract)
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
-        out = on_batch(batch_df, batch_id) if on_batch is not None else batch_df
-        out.write.mode("append").parquet(sink_path)
+        # the stateful plan runs once however often on_batch reads the batch; a retried batch replaces its folder
+        batch_df.persist()
+        try:
+            out = on_batch(batch_df, batch_id) if on_batch is not None else batch_df
+            out.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            batch_df.unpersist()
 
     w = feats.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:

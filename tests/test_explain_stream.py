@@ -141,3 +141,28 @@ def test_late_events_hot_plan_equals_plain(spark):
            .select("transaction_id", "late_by_us").collect()}
     # ids 10, 20, ..., 390 except the first arrival of each customer (0 and 300)
     assert plain == hot and len(plain) == 38
+
+
+def test_fold_ties_and_late_events_see_only_what_is_before_them():
+    from fraudspark.streaming import scoring as SC
+
+    import pandas as pd
+
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    def fold(state, rows):
+        batch = pd.DataFrame(rows, columns=["transaction_id", "_us", "_cents"])
+        (out,) = SC.fold_customer(("c",), iter([batch]), state)
+        return [(r.txn_count_24h, r.amount_sum_24h, r.customer_amount_mean_prior) for r in out.itertuples()]
+
+    hour = 3600 * 10**6
+    state = State()
+    assert fold(state, [("a", 10 * hour, 2000), ("b", 10 * hour, 3000), ("c", 10 * hour, 4000)]) == [
+        (1, 20.0, 20.0), (1, 30.0, 30.0), (1, 40.0, 40.0)]
+    # 09:30 comes after 10:00: nothing was before it
+    assert fold(state, [("d", int(9.5 * hour), 500)]) == [(1, 5.0, 5.0)]
+    assert fold(state, [("e", 11 * hour, 100)]) == [(5, 96.0, 23.75)]

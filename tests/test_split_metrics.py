@@ -58,13 +58,9 @@ def test_evaluate_fixture_and_cost_per_1000(spark):
     assert e2["cost_per_1000"] == 47500
 
 
-def test_curves_match_brute_force(spark, monkeypatch):
+def test_curves_match_brute_force(spark):
     import random
 
-    from fraudspark.operators import ordering
-
-    monkeypatch.setattr(ordering, "SMALL_GROUP_ROWS", 0)  # exercise the two-level plan
-
     rnd = random.Random(3)
     y = [rnd.random() < .3 for _ in range(300)]
     s = [round(rnd.random(), 2) for _ in range(300)]  # many ties
@@ -118,8 +114,8 @@ def test_bootstrap_inverted_is_positive_difference_and_deterministic(spark):
 
 def test_global_rank_is_a_permutation(spark):
     df = spark.range(5000).withColumn("k", (F.col("id") * 7919) % 5000)
-    for small in (0, None):  # two-level plan, then the checked small-group plan
-        r = global_rank(df, ["k", "id"], n_buckets=16, small_group_rows=small)
+    for buckets in (1, 16, 200, None):  # the result does not depend on the number of ranges
+        r = global_rank(df, ["k", "id"], n_buckets=buckets)
         got = sorted((row["k"], row["rank"]) for row in r.collect())
         assert [rk for _, rk in got] == list(range(1, 5001))
 
@@ -130,9 +126,9 @@ def test_exact_quantiles_equal_numpy(spark):
     vals = [float(x) for x in np.random.default_rng(1).normal(size=2001).round(3)]
     df = spark.createDataFrame([("f", v) for v in vals], "g string, v double")
     probs = list(np.linspace(0, 1, 11))
-    for small in (0, None):
+    for buckets in (1, 8, 200, None):
         q = sorted((r["q_index"], r["quantile"])
-                   for r in exact_quantiles(df, "g", "v", probs, n_buckets=8, small_group_rows=small).collect())
+                   for r in exact_quantiles(df, "g", "v", probs, n_buckets=buckets).collect())
         assert np.allclose([x for _, x in q], np.quantile(np.array(vals), probs), rtol=0, atol=1e-12)
 
 
@@ -160,12 +156,22 @@ def test_global_rank_with_a_hot_leading_value(spark):
     # 40% of rows share one leading value: the tuple bounds still split them
     df = spark.range(6000).withColumn("k", F.when(F.col("id") % 5 < 2, F.lit(7)).otherwise(F.col("id") % 97))
     df = df.withColumn("c", (F.col("id") * 31) % 1000)
-    r = global_rank(df, ["k", "c", "id"], n_buckets=16, small_group_rows=0)
+    r = global_rank(df, ["k", "c", "id"], n_buckets=16)
     got = [row["id"] for row in r.orderBy("rank").collect()]
     want = [row["id"] for row in df.orderBy("k", "c", "id").collect()]
     assert got == want
-    from fraudspark.operators.ordering import _tuple_bucket_column
-
-    b, n = _tuple_bucket_column(df, ["k", "c", "id"], 16)
-    sizes = [row[1] for row in df.groupBy(b.alias("b")).count().collect()]
-    assert n == 6000 and max(sizes) < 6000 * 0.2  # no bucket holds the hot value's 40%
+    ranges = df.repartitionByRange(16, "k", "c", "id").groupBy(F.spark_partition_id()).count()
+    assert max(row[1] for row in ranges.collect()) < 6000 * 0.2  # no range holds the hot value's 40%
+
+
+def test_bootstrap_interval_does_not_depend_on_rows_per_block(spark):
+    """A mean difference far from zero: few large blocks against about one row a block."""
+    df = spark.range(20000).select(
+        F.col("id").alias("transaction_id"), (F.col("id") % 4 == 0).cast("int").alias("label"),
+        (F.lit(5.0) + F.col("id") % 7).alias("amount"), F.lit(0.9).alias("score_A"), F.lit(0.1).alias("score_B"))
+    width = []
+    for blocks in (200, 1 << 16):
+        r = ME.bootstrap_cost_difference(df, {"A": .5, "B": .5}, n_blocks=blocks, n_resamples=400).first()
+        assert r["lower"] < r["point"] < r["upper"]
+        width.append(r["upper"] - r["lower"])
+    assert 0.8 < width[0] / width[1] < 1.25

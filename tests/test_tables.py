@@ -108,3 +108,18 @@ def test_feature_and_metric_plans_stay_in_the_jvm(spark):
     for df in (f, sp, ME.optimal_threshold(scored)):
         plan = _plan(df)
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan
+
+
+def test_nanoseconds_floor_exactly_in_any_time_zone(spark):
+    from fraudspark.functions.expr import epoch_micros
+
+    values = [1704067200000000999, 1704067200000000000, -1, -1000, 1700000000123456789, None]
+    df = spark.createDataFrame([(v,) for v in values], "ns bigint")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            got = [r[0] for r in TB.floor_timestamps(df, ("ns",)).select(epoch_micros("ns")).collect()]
+            assert got == [None if v is None else v // 1000 for v in values]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -94,3 +94,34 @@ def test_date_bounds_ignore_the_session_time_zone(spark):
             assert SP.between_dates(tx, dt.datetime(2024, 1, 3), "2024-01-10").count() == expected
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_no_payload_fails_the_job_or_is_lost(spark):
+    good = ('{"transaction_id":"%s","customer_id":"c","event_time":"%s","amount":%s,"merchant_id":"m",'
+            '"merchant_category":"g","country":"GB","customer_home_country":"GB","card_present":%s}')
+    time = "2024-01-01T10:00:00Z"
+    raw = [good % ("ok", time, "5", "true"), good % ("big", time, "1e17", "true"), good % ("when", "yesterday", "5", "true"),
+           good % ("card", time, "5", '"maybe"'), good % ("text", time, '"much"', "true"), "no json", "[1]", None, "{}"]
+    df = V.parse_events_json(spark.createDataFrame([(r,) for r in raw], "payload string"))
+    kept, rejected = V.split_quarantine(df)
+    assert [r["transaction_id"] for r in kept.collect()] == ["ok"]
+    reasons = [(r["transaction_id"], r["reasons"]) for r in rejected.collect()]
+    assert len(reasons) == len(raw) - 1
+    by = dict(reasons)
+    assert by["big"] == ["amount:out_of_range"]
+    assert "event_time:not_a_timestamp" in by["when"] and "card_present:not_a_boolean" in by["card"]
+    assert "amount:not_a_number" in by["text"]
+    assert sum("payload:not_json" in r for _, r in reasons) >= 2
+
+
+def test_to_utc_hour_offsets_and_bad_text(spark):
+    texts = ["2024-01-01T12:00:00+02", "2024-01-01 12:00:00-0530", "2024-01-01", "yesterday", None, "2024-01-01T12:00:00.5z"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "s string").select(
+        epoch_micros(to_naive_utc(F.col("s")))).collect()]
+    base = 1704110400000000
+    assert got == [base - 7200 * 10**6, base + 19800 * 10**6, base - 43200 * 10**6, None, None, base + 500000]
+
+
+def test_types_are_checked_before_any_job(spark, five_rows):
+    with pytest.raises(S.SchemaValidationError, match="number"):
+        V.validate_raw_transactions(five_rows.withColumn("amount", F.col("amount").cast("string")))

@@ -500,7 +500,10 @@ def q_load_features(spark, sf_dir):
 
 @query("floor_timestamps")
 def q_floor_timestamps(spark, sf_dir):
-    return rounded(TB.floor_timestamps(transactions(spark, sf_dir)).select("transaction_id", S.EVENT_TIME))
+    tid = F.col("transaction_id").cast("bigint")
+    tx = transactions(spark, sf_dir).withColumn(
+        "floored_us", epoch_micros(S.EVENT_TIME) * 1000 + F.pmod(tid * 7919, F.lit(1000)))  # nanoseconds
+    return rounded(TB.floor_timestamps(tx, ("floored_us",)).select("transaction_id", S.EVENT_TIME, "floored_us"))
 
 
 @query("profile_save_load")
@@ -515,7 +518,8 @@ def q_profile_save_load(spark, sf_dir):
 def q_run_log(spark, sf_dir):
     _, thr, test = fitted(spark, sf_dir)
     log = TB.run_log(ME.evaluate(test, thr), "run-1", params={"n_estimators": 300, "learning_rate": 0.05})
-    return rounded(log.filter(F.col("kind") == "metric").select("run", "variant", "kind", "name", "num"))
+    return rounded(log.select("run", "variant", "kind", "name", "num",
+                              F.when(F.col("kind") == "param", F.col("value")).alias("param")))
 
 
 # ------------------------------------------------------------------ drift check job
@@ -563,8 +567,8 @@ def models_for(spark, sf_dir):
 
 
 def _test(spark, sf_dir):
-    sp, models, thr = models_for(spark, sf_dir)
-    return sp.filter(F.col("split") == "test"), models, thr
+    """Every row of the split frame (scoring and explaining are not tied to a split), models, thresholds."""
+    return models_for(spark, sf_dir)
 
 
 def _scored_all(spark, sf_dir):
@@ -598,8 +602,8 @@ def q_score(spark, sf_dir):
     return _scored_all(spark, sf_dir).select("transaction_id", "variant", "fraud_probability")
 
 
-@query("flag")
-def q_flag(spark, sf_dir):
+@query("model_flag")
+def q_model_flag(spark, sf_dir):
     return _scored_all(spark, sf_dir).select("transaction_id", "variant", "threshold", "is_flagged")
 
 
@@ -625,8 +629,30 @@ def _explained(spark, sf_dir):
     return out
 
 
-@query("explain")
-def q_explain(spark, sf_dir):
+ATTRIBUTION_BASE = {"A": -2.0, "B": -1.5}
+ATTRIBUTION_STEP = {"A": 1, "B": 7}
+ATTRIBUTION_PRIMES = [7919 + 100 * i for i in range(len(S.FEATURES))]
+
+
+def pseudo_explained(spark, sf_dir):
+    """Explanations of every transaction from deterministic attributions (integer
+    arithmetic on the id), so that SQL can check what is done with them. The
+    model's own are in the `model_` queries."""
+    base = features(spark, sf_dir)
+    tid = F.col("transaction_id").cast("bigint")
+    out = None
+    for v, step in ATTRIBUTION_STEP.items():
+        shap = F.array(*[(F.pmod(tid * (p * step), F.lit(2001)) - 1000).cast("double") / F.lit(1000.0)
+                         for p in ATTRIBUTION_PRIMES])
+        attr = base.select("transaction_id", F.lit(ATTRIBUTION_BASE[v]).alias("base_value"), shap.alias("shap"))
+        scored = pseudo_scores(base).select("transaction_id", *S.FEATURES, F.col(f"score_{v}").alias("fraud_probability"))
+        ex = EX.explain(MO.flag(scored, 0.5), attr).withColumn("variant", F.lit(v))
+        out = ex if out is None else out.unionByName(ex)
+    return out
+
+
+@query("model_explain")
+def q_model_explain(spark, sf_dir):
     ex = _explained(spark, sf_dir)
     return ex.select("transaction_id", "variant", "base_value", "fraud_probability",
                      F.explode("attributions").alias("a")).select(
@@ -634,8 +660,8 @@ def q_explain(spark, sf_dir):
         "a.direction")
 
 
-@query("margin")
-def q_margin(spark, sf_dir):
+@query("model_margin")
+def q_model_margin(spark, sf_dir):
     ex = _explained(spark, sf_dir)
     return ex.select("transaction_id", "variant", EX.margin_of().alias("shap_margin"),
                      F.col("margin").alias("model_margin"))
@@ -649,21 +675,21 @@ def q_additivity_check(spark, sf_dir):
                                      (F.max(err) <= F.lit(S.ADDITIVITY_TOLERANCE)).alias("additive"))
 
 
-@query("top_contributions")
-def q_top_contributions(spark, sf_dir):
+@query("model_top_contributions")
+def q_model_top_contributions(spark, sf_dir):
     ex = _explained(spark, sf_dir)
     return ex.select("transaction_id", "variant", F.posexplode(EX.top_contributions()).alias("rank", "a")).select(
         "transaction_id", "variant", (F.col("rank") + 1).alias("rank"), "a.feature", "a.shap_value")
 
 
-@query("direction")
-def q_direction(spark, sf_dir):
+@query("model_direction")
+def q_model_direction(spark, sf_dir):
     ex = _explained(spark, sf_dir)
     return ex.select(F.explode("attributions").alias("a")).groupBy("a.direction").count()
 
 
-@query("json_payload")
-def q_json_payload(spark, sf_dir):
+@query("model_json_payload")
+def q_model_json_payload(spark, sf_dir):
     """The audit JSON and the question 'why was X blocked' read back through JSON access."""
     ex = _explained(spark, sf_dir).withColumn("top_features", EX.json_payload())
     return ex.filter("is_flagged").select(
@@ -671,8 +697,8 @@ def q_json_payload(spark, sf_dir):
         F.get_json_object("top_features", "$[0].feature").alias("main_reason"))
 
 
-@query("global_importance")
-def q_global_importance(spark, sf_dir):
+@query("model_global_importance")
+def q_model_global_importance(spark, sf_dir):
     return EX.global_importance(_attr_all(spark, sf_dir), "variant")
 
 
@@ -681,18 +707,86 @@ def _importances(spark, sf_dir):
     return imp.filter(F.col("variant") == "A"), imp.filter(F.col("variant") == "B")
 
 
-@query("importance_align")
-def q_importance_align(spark, sf_dir):
+@query("model_importance_align")
+def q_model_importance_align(spark, sf_dir):
     a, b = _importances(spark, sf_dir)
     return EX.importance_align(a, b)
 
 
-@query("importance_shift")
-def q_importance_shift(spark, sf_dir):
+@query("model_importance_shift")
+def q_model_importance_shift(spark, sf_dir):
     a, b = _importances(spark, sf_dir)
     return EX.importance_shift(a, b)
 
 
+@query("explain")
+def q_explain(spark, sf_dir):
+    ex = pseudo_explained(spark, sf_dir)
+    return rounded(ex.select("transaction_id", "variant", "base_value", "fraud_probability",
+                             F.explode("attributions").alias("a")).select(
+        "transaction_id", "variant", "base_value", "fraud_probability", "a.feature", "a.value", "a.shap_value",
+        "a.direction"))
+
+
+@query("margin")
+def q_margin(spark, sf_dir):
+    return rounded(pseudo_explained(spark, sf_dir).select(
+        "transaction_id", "variant", EX.margin_of().alias("shap_margin")))
+
+
+@query("top_contributions")
+def q_top_contributions(spark, sf_dir):
+    ex = pseudo_explained(spark, sf_dir)
+    return rounded(ex.select("transaction_id", "variant", F.posexplode(EX.top_contributions()).alias("rank", "a")).select(
+        "transaction_id", "variant", (F.col("rank") + 1).alias("rank"), "a.feature", "a.shap_value"))
+
+
+@query("direction")
+def q_direction(spark, sf_dir):
+    ex = pseudo_explained(spark, sf_dir)
+    return ex.select("variant", F.explode("attributions").alias("a")).groupBy("variant", "a.direction").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("json_payload")
+def q_json_payload(spark, sf_dir):
+    """'Why was X blocked', read back from the audit JSON of every flagged transaction."""
+    ex = pseudo_explained(spark, sf_dir).withColumn("j", EX.json_payload()).filter("is_flagged")
+    return ex.select("transaction_id", "variant", F.get_json_object("j", "$[0].feature").alias("main_reason"),
+                     F.get_json_object("j", "$[0].direction").alias("main_direction"),
+                     F.get_json_object("j", f"$[{S.TOP_K_ATTRIBUTIONS - 1}].feature").alias("last_reason"),
+                     F.json_array_length("j").alias("n_reasons"))
+
+
+@query("flag")
+def q_flag(spark, sf_dir):
+    return pseudo_explained(spark, sf_dir).select("transaction_id", "variant", "threshold", "is_flagged")
+
+
+def _pseudo_importances(spark, sf_dir):
+    imp = EX.global_importance(pseudo_explained(spark, sf_dir), "variant").checkpoint(eager=True)
+    return imp.filter(F.col("variant") == "A"), imp.filter(F.col("variant") == "B")
+
+
+@query("global_importance")
+def q_global_importance(spark, sf_dir):
+    return EX.global_importance(pseudo_explained(spark, sf_dir), "variant").select(
+        "variant", "feature", F.round("importance", 8).alias("importance"))
+
+
+@query("importance_align")
+def q_importance_align(spark, sf_dir):
+    a, b = _pseudo_importances(spark, sf_dir)
+    top = a.orderBy(F.desc("importance"), "feature").limit(8)  # a profile that lacks some features
+    return EX.importance_align(top, b).select("feature", F.round("prev", 8).alias("prev"), F.round("cur", 8).alias("cur"))
+
+
+@query("importance_shift")
+def q_importance_shift(spark, sf_dir):
+    a, b = _pseudo_importances(spark, sf_dir)
+    return rounded(EX.importance_shift(a, b))
+
+
 @query("audit_append")
 def q_audit_append(spark, sf_dir):
     test, models, thr = _test(spark, sf_dir)
@@ -755,9 +849,11 @@ def q_stream_score(spark, sf_dir):
 
 @query("late_events")
 def q_late_events(spark, sf_dir):
-    """Events (in arrival = event_id order) older than the newest earlier
-    arrival of the same customer by more than the allowed lateness."""
-    late = SC.late_events(transactions(spark, sf_dir), LATENESS_US)
+    """Events older than the newest earlier arrival of the same customer by
+    more than the allowed lateness; ids are shuffled into an arrival order."""
+    tx = transactions(spark, sf_dir).withColumn(
+        "arrival", F.pmod(F.col("transaction_id").cast("bigint") * 7919, F.lit(1000003)))
+    late = SC.late_events(tx, LATENESS_US, arrival="arrival")
     return late.select("transaction_id", "customer_id", "late_by_us")
 
 
@@ -766,27 +862,48 @@ from fraudspark.functions.expr import to_naive_utc  # noqa: E402
 from fraudspark.operators import validate as VA  # noqa: E402
 
 
+def damaged_transactions(spark, sf_dir):
+    """Transactions of which some break each rule of the contract, by integer arithmetic on the id."""
+    tid = F.col("transaction_id").cast("bigint")
+
+    def every(n):
+        return F.pmod(tid, F.lit(n)) == 0
+
+    def code(name, n):
+        return F.when(every(n), F.col(name)).otherwise(F.upper(F.substring(name, 1, 2)))
+
+    return transactions(spark, sf_dir).withColumns({
+        "customer_id": F.when(~every(97), F.col("customer_id")),
+        S.AMOUNT: F.when(every(89), -F.col(S.AMOUNT)).otherwise(F.col(S.AMOUNT)),
+        "merchant_category": F.when(every(101), "").otherwise(F.col("merchant_category")),
+        S.LABEL: F.when(every(83), F.lit(2) + F.pmod(tid, F.lit(3))).when(~every(79), F.col(S.LABEL)).cast("bigint"),
+        "country": code("country", 5),
+        "customer_home_country": code("customer_home_country", 7),
+        "card_present": F.when(~every(103), F.col("card_present")),
+    })
+
+
 @query("validate_nulls")
 def q_validate_nulls(spark, sf_dir):
-    v = VA.validation_summary(transactions(spark, sf_dir))
+    v = VA.validation_summary(damaged_transactions(spark, sf_dir))
     return v.select(*[c for c in v.columns if c.startswith("null_")])
 
 
 @query("validate_amount")
 def q_validate_amount(spark, sf_dir):
-    return VA.validation_summary(transactions(spark, sf_dir)).select("n_negative_amount")
+    return VA.validation_summary(damaged_transactions(spark, sf_dir)).select("n_negative_amount")
 
 
 @query("validate_label")
 def q_validate_label(spark, sf_dir):
-    v = VA.validation_summary(transactions(spark, sf_dir))
+    v = VA.validation_summary(damaged_transactions(spark, sf_dir))
     return v.select(F.size("invalid_labels").cast("bigint").alias("n_invalid_labels"),
                     F.array_join(F.transform("invalid_labels", lambda x: x.cast("string")), ",").alias("invalid_labels"))
 
 
 @query("quarantine")
 def q_quarantine(spark, sf_dir):
-    q = VA.quarantine(transactions(spark, sf_dir))
+    q = VA.quarantine(damaged_transactions(spark, sf_dir))
     return q.select("transaction_id", "is_valid", F.array_join("reasons", ",").alias("reasons"))
 
 
@@ -836,7 +953,7 @@ def q_sort_customer_time(spark, sf_dir):
 
 @query("importance_sample")
 def q_importance_sample(spark, sf_dir):
-    """Mean |SHAP| per feature on a 2000-row hash sample of the test split (the cap is the feature)."""
+    """Mean |SHAP| per feature on a 2000-row hash sample of all rows (the cap is the feature)."""
     test, models, _ = _test(spark, sf_dir)
     sample = EX.importance_sample(test, 2000)
     a = EX.attributions(sample, models["A"], ensure_checkpoint_dir(spark))

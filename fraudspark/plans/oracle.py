@@ -648,11 +648,14 @@ FROM feat WHERE event_time >= TIMESTAMP '2024-01-03 00:00:00' AND event_time < T
   AND is_fraud IS NOT NULL""")
 register("floor_timestamps", f"""
 {with_ctes("tx")}
-SELECT transaction_id, epoch_us(event_time) AS event_us FROM tx""")
+SELECT transaction_id, epoch_us(event_time) AS event_us,
+       (epoch_us(event_time) * 1000 + (transaction_id * 7919) % 1000) // 1000 AS floored_us FROM tx""")
 register("profile_save_load", ORACLE["build_reference"])
-register("run_log", metric_sql("SELECT 'run-1' AS run, variant, 'metric' AS kind, name, round(num, 6) AS num FROM ("
+register("run_log", metric_sql("SELECT 'run-1' AS run, variant, 'metric' AS kind, name, round(num, 6) AS num, NULL AS param FROM ("
                                + " UNION ALL ".join(f"SELECT variant, '{m}' AS name, CAST({m} AS DOUBLE) AS num FROM ev"
-                                                    for m in _pivot_metrics) + ")"))
+                                                    for m in _pivot_metrics) + """)
+UNION ALL SELECT 'run-1', '*', 'param', 'n_estimators', NULL, '300'
+UNION ALL SELECT 'run-1', '*', 'param', 'learning_rate', NULL, '0.05'"""))
 
 _DRIFT_CHECK_CTES = {k: v for k, v in DRIFT_CTES.items()}
 register("drift_check", drift_sql("""
@@ -666,25 +669,36 @@ register("late_events", f"""
 {with_ctes("tx")}
 SELECT transaction_id, customer_id, newest_us - us AS late_by_us FROM (
   SELECT transaction_id, customer_id, epoch_us(event_time) AS us,
-         max(epoch_us(event_time)) OVER (PARTITION BY customer_id ORDER BY transaction_id
+         max(epoch_us(event_time)) OVER (PARTITION BY customer_id ORDER BY (transaction_id * 7919) % 1000003
                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest_us
   FROM tx) WHERE us < newest_us - 3600000000""")
 
 _REQUIRED = [f.name for f in S.RAW_SCHEMA.fields if not f.nullable]
+DAMAGED_SQL = with_ctes("tx") + """,
+dirty AS (
+  SELECT transaction_id, event_time, merchant_id,
+         CASE WHEN transaction_id % 97 <> 0 THEN customer_id END AS customer_id,
+         CASE WHEN transaction_id % 89 = 0 THEN -amount ELSE amount END AS amount,
+         CASE WHEN transaction_id % 101 = 0 THEN '' ELSE merchant_category END AS merchant_category,
+         CASE WHEN transaction_id % 83 = 0 THEN 2 + transaction_id % 3 WHEN transaction_id % 79 <> 0 THEN is_fraud END AS is_fraud,
+         CASE WHEN transaction_id % 5 = 0 THEN country ELSE upper(country[1:2]) END AS country,
+         CASE WHEN transaction_id % 7 = 0 THEN customer_home_country ELSE upper(customer_home_country[1:2]) END AS customer_home_country,
+         CASE WHEN transaction_id % 103 <> 0 THEN card_present END AS card_present
+  FROM tx)"""
 register("validate_nulls", f"""
-{with_ctes("tx")}
-SELECT {", ".join(f"count_if({c} IS NULL) AS null_{c}" for c in _REQUIRED)} FROM tx""")
+{DAMAGED_SQL}
+SELECT {", ".join(f"count_if({c} IS NULL) AS null_{c}" for c in _REQUIRED)} FROM dirty""")
 register("validate_amount", f"""
-{with_ctes("tx")}
-SELECT count_if(amount < 0) AS n_negative_amount FROM tx""")
+{DAMAGED_SQL}
+SELECT count_if(amount < 0) AS n_negative_amount FROM dirty""")
 register("validate_label", f"""
-{with_ctes("tx")}
+{DAMAGED_SQL}
 SELECT count(DISTINCT is_fraud) FILTER (WHERE is_fraud NOT IN (0, 1)) AS n_invalid_labels,
        coalesce(string_agg(DISTINCT CAST(is_fraud AS VARCHAR), ',' ORDER BY CAST(is_fraud AS VARCHAR))
                 FILTER (WHERE is_fraud NOT IN (0, 1)), '') AS invalid_labels
-FROM tx""")
+FROM dirty""")
 register("quarantine", f"""
-{with_ctes("tx")}
+{DAMAGED_SQL}
 SELECT transaction_id, len(r) = 0 AS is_valid, array_to_string(r, ',') AS reasons FROM (
   SELECT transaction_id, list_filter([
     CASE WHEN transaction_id IS NULL OR length(CAST(transaction_id AS VARCHAR)) < 1 THEN 'transaction_id:empty' END,
@@ -696,7 +710,7 @@ SELECT transaction_id, len(r) = 0 AS is_valid, array_to_string(r, ',') AS reason
     CASE WHEN country IS NULL OR length(country) <> 2 THEN 'country:not_2_letters' END,
     CASE WHEN customer_home_country IS NULL OR length(customer_home_country) <> 2 THEN 'customer_home_country:not_2_letters' END,
     CASE WHEN card_present IS NULL THEN 'card_present:missing' END], lambda x: x IS NOT NULL) AS r
-  FROM tx)""")
+  FROM dirty)""")
 register("to_utc", f"""
 {with_ctes("tx")}
 SELECT transaction_id, epoch_us(event_time) AS naive_us, epoch_us(event_time) - 7200000000 AS offset_us,
@@ -715,3 +729,48 @@ SELECT c.c_custkey AS customer_id, c.c_name FROM customer c WHERE EXISTS (SELECT
 register("sort_customer_time", f"""
 {with_ctes("tx")}
 SELECT transaction_id, customer_id, epoch_us(event_time) AS event_us FROM tx ORDER BY customer_id, event_time, transaction_id""")
+
+
+# ------------------------------------------------------------------ explanations from deterministic attributions
+def explained_sql(select: str) -> str:
+    from fraudspark.plans.catalog import ATTRIBUTION_BASE, ATTRIBUTION_PRIMES, ATTRIBUTION_STEP
+
+    score = {"A": "CAST((transaction_id * 104729) % 1000 + 400 * is_fraud AS DOUBLE) / CAST(1400 AS DOUBLE)",
+             "B": "CAST((transaction_id * 15485863) % 1000 + 250 * is_fraud AS DOUBLE) / CAST(1250 AS DOUBLE)"}
+    parts = []
+    for v, step in ATTRIBUTION_STEP.items():
+        for i, (f, p) in enumerate(zip(S.FEATURES, ATTRIBUTION_PRIMES, strict=True)):
+            parts.append(
+                f"SELECT transaction_id, '{v}' AS variant, CAST({ATTRIBUTION_BASE[v]} AS DOUBLE) AS base_value, "
+                f"{score[v]} AS fraud_probability, {i} AS pos, '{f}' AS feature, CAST({f} AS DOUBLE) AS value, "
+                f"CAST((transaction_id * {p * step}) % 2001 - 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS shap_value FROM feat")
+    return f"""{with_ctes("feat")},
+ex AS ({" UNION ALL ".join(parts)}),
+ranked AS (SELECT *, CASE WHEN shap_value > 0 THEN 'toward_fraud' WHEN shap_value < 0 THEN 'toward_genuine'
+                          ELSE 'neutral' END AS direction,
+                  row_number() OVER (PARTITION BY transaction_id, variant ORDER BY abs(shap_value) DESC, pos) AS rank
+           FROM ex),
+imp AS (SELECT variant, feature, avg(abs(shap_value)) AS importance FROM ex GROUP BY ALL),
+a AS (SELECT feature, importance FROM imp WHERE variant = 'A'),
+b AS (SELECT feature, importance FROM imp WHERE variant = 'B')
+{select}"""
+
+
+register("explain", explained_sql("""SELECT transaction_id, variant, base_value, round(fraud_probability, 6) AS fraud_probability,
+feature, round(value, 6) AS value, round(shap_value, 6) AS shap_value, direction FROM ranked"""))
+register("margin", explained_sql("""SELECT transaction_id, variant, round(any_value(base_value) + sum(shap_value), 6) AS shap_margin
+FROM ex GROUP BY ALL"""))
+register("top_contributions", explained_sql(f"""SELECT transaction_id, variant, rank, feature, round(shap_value, 6) AS shap_value
+FROM ranked WHERE rank <= {S.TOP_K_ATTRIBUTIONS}"""))
+register("direction", explained_sql("SELECT variant, direction, count(*) AS n FROM ranked GROUP BY ALL"))
+register("json_payload", explained_sql(f"""SELECT transaction_id, variant, max(feature) FILTER (WHERE rank = 1) AS main_reason,
+max(direction) FILTER (WHERE rank = 1) AS main_direction, max(feature) FILTER (WHERE rank = {S.TOP_K_ATTRIBUTIONS}) AS last_reason,
+count(*) AS n_reasons FROM ranked WHERE rank <= {S.TOP_K_ATTRIBUTIONS} AND fraud_probability >= 0.5 GROUP BY ALL"""))
+register("flag", explained_sql("""SELECT transaction_id, variant, CAST(0.5 AS DOUBLE) AS threshold,
+fraud_probability >= 0.5 AS is_flagged FROM ex WHERE pos = 0"""))
+register("global_importance", explained_sql("SELECT variant, feature, round(importance, 8) AS importance FROM imp"))
+register("importance_align", explained_sql("""SELECT coalesce(p.feature, b.feature) AS feature, round(coalesce(p.importance, 0), 8) AS prev,
+round(coalesce(b.importance, 0), 8) AS cur
+FROM (SELECT * FROM a ORDER BY importance DESC, feature LIMIT 8) p FULL JOIN b ON p.feature = b.feature"""))
+register("importance_shift", explained_sql("""SELECT round(0.5 * sum(abs(a.importance / sa - b.importance / sb)), 6) AS importance_shift
+FROM a JOIN b USING (feature), (SELECT sum(importance) AS sa FROM a), (SELECT sum(importance) AS sb FROM b)"""))

@@ -22,47 +22,24 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudspark.functions.expr import bucket_of
-
-APPROX_ACCURACY = 20000
-
-
-def _bucket_column(df: DataFrame, group_cols: Sequence[str], key: str, n_buckets: int) -> tuple[Column, int]:
-    """Range-bucket expression per group, and the largest group's row count
-    (both from one aggregation job; groups x n_buckets numbers come back)."""
-    probs = [i / n_buckets for i in range(1, n_buckets)] or [0.5]
-    sketch = F.percentile_approx(F.col(key).cast("double"), probs, APPROX_ACCURACY).alias("_q")
-    aggs = [sketch, F.count(F.lit(1)).alias("_n")]
-    agg = df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
-    rows = agg.collect()  # one row per group: bounded by the number of groups
-    largest = max((int(r["_n"]) for r in rows), default=0)
-    from fraudspark.functions.expr import bucket_sql
-
-    k = f"CAST(`{key}` AS DOUBLE)"
-    branches = []
-    for r in rows:
-        bounds = sorted({float(x) for x in (r["_q"] or [])}) if n_buckets > 1 else []
-        b = bucket_sql(k, bounds)
-        if not group_cols:
-            return F.expr(b), largest
-        cond = " AND ".join(f"`{g}` <=> {_sql_lit(r[g])}" for g in group_cols)
-        branches.append(f"WHEN {cond} THEN {b}")
-    if not branches:
-        return F.lit(0), largest
-    return F.expr("CASE " + " ".join(branches) + " ELSE 0 END"), largest
-
-
-def _sql_lit(v) -> str:
-    if v is None:
-        return "NULL"
-    if isinstance(v, str):
-        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    if isinstance(v, float):
-        return f"CAST('{v!r}' AS DOUBLE)"
-    return str(v)
+RANGE = "_pb"
+
+
+def dealt_by_range(df: DataFrame, keys: Sequence[str], n_ranges: int | None = None) -> DataFrame:
+    """df written by ranges of the whole key, with the range's number in `_pb`: numbers ascend with the key.
+
+    Without `n_ranges` there are as many ranges as a shuffle has partitions.
+    """
+    from fraudspark.sources.tables import scratch_path
+
+    dealt = df.repartitionByRange(n_ranges, *keys) if n_ranges else df.repartitionByRange(*keys)
+    path = scratch_path(df.sparkSession, "ranges")
+    dealt = dealt.withColumn(RANGE, F.spark_partition_id())
+    dealt.write.parquet(path)
+    return df.sparkSession.read.schema(dealt.schema).parquet(path)
 
 
 def ordered_prefix(
@@ -80,15 +57,8 @@ def ordered_prefix(
     fixes the number of ranges; by default it is that of a shuffle. The result
     does not depend on it.
     """
-    from fraudspark.sources.tables import scratch_path
-
     group_cols, order_cols, sum_cols = list(group_cols), list(order_cols), list(sum_cols)
-    keys = [*group_cols, *order_cols]
-    dealt = df.repartitionByRange(n_buckets, *keys) if n_buckets else df.repartitionByRange(*keys)
-    path = scratch_path(df.sparkSession, "ranges")
-    dealt = dealt.withColumn("_pb", F.spark_partition_id())
-    dealt.write.parquet(path)
-    b = df.sparkSession.read.schema(dealt.schema).parquet(path)
+    b = dealt_by_range(df, [*group_cols, *order_cols], n_buckets)
     totals = b.groupBy(*group_cols, "_pb").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     wo = Window.orderBy("_pb") if not group_cols else Window.partitionBy(*group_cols).orderBy("_pb")
     wo = wo.rowsBetween(Window.unboundedPreceding, -1)

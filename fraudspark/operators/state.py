@@ -143,27 +143,28 @@ def _asof_plain(d: DataFrame, max_events: int) -> DataFrame:
             .drop("_cnt_excl", "_sum_excl", "_lag_us", "_sum_101"))
 
 
-def _asof_hot(d: DataFrame, max_events: int, bucket_us: int) -> DataFrame:
+def _asof_hot(d: DataFrame, max_events: int, n_ranges: int | None) -> DataFrame:
     """Same summaries for hot customers: prefix values at t - 1us, t - 1h and
-    t - 24h from `bucketed_prefix`; the capped sum looks up the prefix sum at a
-    rank with an equi-join on (customer, rank), which spreads evenly."""
-    from fraudspark.operators.features import bucketed_prefix
+    t - 24h from `ranged_prefix`; the capped sum looks up the prefix sum at a
+    rank with an equi-join on (customer, rank), which spreads evenly. All of
+    them depend on customer and instant alone, so repeated ids are harmless."""
+    from fraudspark.operators.features import ranged_prefix
 
-    o = bucketed_prefix(d, bucket_us, {"p0": 1, "p1h": H_US, "p24h": D_US})
+    o = ranged_prefix(d, {"p0": 1, "p1h": H_US, "p24h": D_US}, n_ranges)
     o = (o.withColumn("prior_count", F.col("p0_n")).withColumn("prior_sum", F.col("p0_s"))
          .withColumn("prev_us", F.col("p0_last"))
          .withColumn("_c1", F.col("p0_n") - F.col("p1h_n")).withColumn("_c24", F.col("p0_n") - F.col("p24h_n"))
          .withColumn("_s24", F.col("p0_s") - F.col("p24h_s")))
     ranks = o.select("customer_id", F.col("_cn").alias("_rank"), F.col("_cs").alias("_s_at"))
     need = o.filter(F.col("_c24") > max_events).select(
-        "transaction_id", "customer_id", (F.col("p0_n") - max_events).alias("_rank"))
-    capped = need.join(ranks, ["customer_id", "_rank"], "left").select("transaction_id", "_s_at")
-    o = o.join(capped, "transaction_id", "left").withColumn(
+        "customer_id", "_us", (F.col("p0_n") - max_events).alias("_rank")).distinct()
+    capped = need.join(ranks, ["customer_id", "_rank"], "left").select("customer_id", "_us", "_s_at")
+    o = o.join(capped, ["customer_id", "_us"], "left").withColumn(
         "_sum_last_cap", F.col("p0_s") - F.coalesce(F.col("_s_at"), F.lit(0)))
     return o.select(*d.columns, *ASOF_COLUMNS)
 
 
-def _asof_all(tx: DataFrame, max_events: int, hot_customer_rows: int | None, hot_bucket_seconds: int) -> DataFrame:
+def _asof_all(tx: DataFrame, max_events: int, hot_customer_rows: int | None, n_ranges: int | None) -> DataFrame:
     d = tx.withColumn("_us", epoch_micros(S.EVENT_TIME))
     if hot_customer_rows is None:
         return _asof_plain(d, max_events).select(*d.columns, *ASOF_COLUMNS)
@@ -176,16 +177,16 @@ def _asof_all(tx: DataFrame, max_events: int, hot_customer_rows: int | None, hot
 
     cold_rows, hot_rows = split_by_ids(d, hot_ids)
     cold = _asof_plain(cold_rows, max_events).select(*d.columns, *ASOF_COLUMNS)
-    return cold.unionByName(_asof_hot(hot_rows, max_events, hot_bucket_seconds * 1_000_000))
+    return cold.unionByName(_asof_hot(hot_rows, max_events, n_ranges))
 
 
 def asof_state(tx: DataFrame, *, max_events: int = S.MAX_RECENT_EVENTS,
-               hot_customer_rows: int | None = DEFAULT_HOT_CUSTOMER_ROWS, hot_bucket_seconds: int = 3600) -> DataFrame:
+               hot_customer_rows: int | None = DEFAULT_HOT_CUSTOMER_ROWS, n_ranges: int | None = None) -> DataFrame:
     """Per transaction, summary of the customer's state strictly before its
     instant: prior_count, prior_sum, prior_amount_mean, n_recent, truncated,
     prev_us. Same-instant rows are not 'before' (strict <). Customers with more
-    than `hot_customer_rows` rows take the time-bucketed plan."""
-    a = _asof_all(tx, max_events, hot_customer_rows, hot_bucket_seconds)
+    than `hot_customer_rows` rows take the ranged plan."""
+    a = _asof_all(tx, max_events, hot_customer_rows, n_ranges)
     return (a.withColumn("prior_amount_mean",
                          F.when(F.col("prior_count") > 0,
                                 F.col("prior_sum").cast("double") / F.col("prior_count").cast("double")))
@@ -195,13 +196,13 @@ def asof_state(tx: DataFrame, *, max_events: int = S.MAX_RECENT_EVENTS,
 
 def serving_features_batch(tx: DataFrame, *, max_events: int = S.MAX_RECENT_EVENTS,
                            hot_customer_rows: int | None = DEFAULT_HOT_CUSTOMER_ROWS,
-                           hot_bucket_seconds: int = 3600) -> DataFrame:
+                           n_ranges: int | None = None) -> DataFrame:
     """Online (per-event) features for every transaction, from the as-of state.
 
     Velocity counts use only the newest `max_events` prior events, exactly like
     the capped online state (> 100 events in 24 h undercounts by design)."""
     a = asof_state(tx, max_events=max_events, hot_customer_rows=hot_customer_rows,
-                   hot_bucket_seconds=hot_bucket_seconds)
+                   n_ranges=n_ranges)
     amount = F.col(S.AMOUNT).cast("double")
     capped_sum = F.when(F.col("_c24") <= max_events, F.col("_s24")).otherwise(F.col("_sum_last_cap"))
     out = add_row_features(a).withColumn(

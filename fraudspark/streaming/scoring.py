@@ -141,46 +141,26 @@ def run_stream(events_stream: DataFrame, sink_path: str, checkpoint: str, *, con
 
 
 def late_events(tx: DataFrame, lateness_us: int, *, arrival: str = "transaction_id",
-                hot_customer_rows: int | None = None, n_buckets: int = 64) -> DataFrame:
+                n_ranges: int | None = None) -> DataFrame:
     """Events (in arrival order) older than the newest earlier arrival of the
     same customer by more than `lateness_us`: rows to route to a side table
     instead of folding them into the state. Adds `late_by_us`.
 
-    Hot customers (more than `hot_customer_rows` rows, a bounded id list) use a
-    two-level running max: arrival-order range buckets per customer, a small
-    per-bucket max table for the offsets, then the running max inside each
-    bucket -- no customer in one task."""
+    A two-level running maximum: rows are dealt by ranges of (customer,
+    arrival), a small table of each customer's part of a range gives what came
+    before it, then the maximum runs inside the part. No customer is one task,
+    and the result does not depend on `n_ranges`."""
     from pyspark.sql import Window
 
-    from fraudspark.operators.features import DEFAULT_HOT_CUSTOMER_ROWS, hot_customers
-    from fraudspark.operators.ordering import _bucket_column
-
-    hot_customer_rows = DEFAULT_HOT_CUSTOMER_ROWS if hot_customer_rows is None else hot_customer_rows
-    d = tx.withColumn("_us", epoch_micros(S.EVENT_TIME))
-    hot_ids = [r[0] for r in hot_customers(tx, hot_customer_rows).collect()]  # <= N / hot_customer_rows ids
-    numeric_arrival = isinstance(tx.schema[arrival].dataType, T.NumericType)
-
-    def plain(df: DataFrame) -> DataFrame:
-        w = Window.partitionBy("customer_id").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn("newest_us", F.max("_us").over(w))
-
-    def bucketed(df: DataFrame) -> DataFrame:
-        bucket, _ = _bucket_column(df, ["customer_id"], arrival, n_buckets)  # groups: the hot customers
-        b = df.withColumn("_pb", bucket)
-        per = b.groupBy("customer_id", "_pb").agg(F.max("_us").alias("_bm"))
-        wo = Window.partitionBy("customer_id").orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
-        offs = per.select("customer_id", "_pb", F.max("_bm").over(wo).alias("_off"))
-        wi = Window.partitionBy("customer_id", "_pb").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-        run = b.withColumn("_in", F.max("_us").over(wi)).join(offs, ["customer_id", "_pb"], "left")
-        newest = F.greatest(F.col("_in"), F.col("_off"))  # greatest skips nulls
-        return run.withColumn("newest_us", newest).drop("_pb", "_in", "_off")
-
-    if hot_ids and numeric_arrival:
-        from fraudspark.operators.features import split_by_ids
-
-        cold_rows, hot_rows = split_by_ids(d, hot_ids)
-        marked = plain(cold_rows).unionByName(bucketed(hot_rows))
-    else:
-        marked = plain(d)
+    from fraudspark.operators.ordering import RANGE, dealt_by_range
+
+    d = dealt_by_range(tx.withColumn("_us", epoch_micros(S.EVENT_TIME)), ["customer_id", arrival], n_ranges)
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    tops = d.groupBy("customer_id", RANGE).agg(F.max("_us").alias("_top"))
+    earlier = tops.select("customer_id", RANGE, F.max("_top").over(
+        before.partitionBy("customer_id").orderBy(RANGE)).alias("_earlier"))
+    run = d.withColumn("_inside", F.max("_us").over(before.partitionBy("customer_id", RANGE).orderBy(arrival)))
+    marked = run.join(earlier, ["customer_id", RANGE], "left").withColumn(
+        "newest_us", F.greatest("_inside", "_earlier"))  # skips nulls
     late = marked.filter(F.col("_us") < F.col("newest_us") - F.lit(lateness_us))
-    return late.withColumn("late_by_us", F.col("newest_us") - F.col("_us")).drop("_us", "newest_us")
+    return late.select(*tx.columns, (F.col("newest_us") - F.col("_us")).alias("late_by_us"))

@@ -158,7 +158,7 @@ def test_hot_customer_serving_plan_equals_plain_plan(spark):
 
     tx = load_transactions(spark, SF_SMALL)
     plain = ST.serving_features_batch(tx, hot_customer_rows=None).select("transaction_id", *S.FEATURES)
-    hot = ST.serving_features_batch(tx, hot_customer_rows=0, hot_bucket_seconds=1800).select(
+    hot = ST.serving_features_batch(tx, hot_customer_rows=0, n_ranges=7).select(
         "transaction_id", *S.FEATURES)
     j = plain.alias("p").join(hot.alias("h"), "transaction_id")
     assert j.count() == plain.count() == hot.count()
@@ -181,7 +181,7 @@ def test_hot_plan_applies_the_cap(spark):
     plain = {r["transaction_id"]: r for r in
              ST.serving_features_batch(tx, max_events=cap, hot_customer_rows=None).collect()}
     hot = {r["transaction_id"]: r for r in
-           ST.serving_features_batch(tx, max_events=cap, hot_customer_rows=0, hot_bucket_seconds=600).collect()}
+           ST.serving_features_batch(tx, max_events=cap, hot_customer_rows=0, n_ranges=7).collect()}
     assert plain["x149"]["txn_count_24h"] == cap + 1
     for t in plain:
         for c in ("txn_count_1h", "txn_count_24h", "amount_sum_24h", "customer_amount_mean_prior",

@@ -122,7 +122,7 @@ def test_entry_contract():
     assert len(qs) >= 80
 
 
-def test_late_events_hot_plan_equals_plain(spark):
+def test_late_events_do_not_depend_on_the_ranges(spark):
     import datetime as dt
     from decimal import Decimal
 
@@ -130,17 +130,19 @@ def test_late_events_hot_plan_equals_plain(spark):
     from fraudspark.streaming import scoring as SC
 
     base = dt.datetime(2024, 1, 1)
-    # arrival order = id; every 10th event arrives 3 hours late
-    rows = [(i, 1 if i < 300 else 2, base + dt.timedelta(minutes=i - (180 if i % 10 == 0 else 0)), Decimal(1),
-             "m", "g", "GB", "GB", True, 0) for i in range(400)]
-    ddl = RAW_DDL.replace("transaction_id string, customer_id string", "transaction_id bigint, customer_id bigint")
-    tx = spark.createDataFrame(rows, ddl)
-    plain = {r[0]: r[1] for r in SC.late_events(tx, 3600 * 10**6, hot_customer_rows=10**9)
-             .select("transaction_id", "late_by_us").collect()}
-    hot = {r[0]: r[1] for r in SC.late_events(tx, 3600 * 10**6, hot_customer_rows=0, n_buckets=8)
-           .select("transaction_id", "late_by_us").collect()}
-    # ids 10, 20, ..., 390 except the first arrival of each customer (0 and 300)
-    assert plain == hot and len(plain) == 38
+    # arrival order = id (text); every 10th event arrives 3 hours late
+    rows = [(f"{i:03d}", "1" if i < 300 else "2", base + dt.timedelta(minutes=i - (180 if i % 10 == 0 else 0)),
+             Decimal(1), "m", "g", "GB", "GB", True, 0) for i in range(400)]
+    tx = spark.createDataFrame(rows, RAW_DDL)
+    newest, expected = {}, {}
+    for tid, customer, t, *_ in rows:
+        if customer in newest and newest[customer] - t > dt.timedelta(hours=1):
+            expected[tid] = (newest[customer] - t) // dt.timedelta(microseconds=1)
+        newest[customer] = max(t, newest.get(customer, t))
+    assert len(expected) == 38  # 010 ... 390 except the first arrival of each customer
+    for n in (1, 8, 60):
+        late = SC.late_events(tx, 3600 * 10**6, n_ranges=n)
+        assert {r["transaction_id"]: r["late_by_us"] for r in late.collect()} == expected
 
 
 def test_fold_ties_and_late_events_see_only_what_is_before_them():

@@ -4,8 +4,8 @@ Model-sized work runs once on the driver (bounded by trees x nodes): the
 saved node table is turned into leaf paths, and for every leaf a small
 table of attributions per "which path conditions does the row satisfy"
 pattern (2^M patterns, M <= depth distinct path features). Row-sized work is
-distributed: `mapInPandas` evaluates, per Arrow batch, each leaf's path
-conditions, looks the pattern up and adds the attributions.
+distributed: `mapInArrow` evaluates, per Arrow batch, each leaf's path
+conditions, looks the pattern up and adds the attributions beside the rows.
 
 Leaf formula (Shapley value of a product game over the M path features):
   phi_i = v * (o_i - z_i) * sum_{S in U\\{i}} |S|!(M-|S|-1)!/M! * prod_{S} o * prod_{U\\S\\i} z
@@ -18,10 +18,13 @@ from __future__ import annotations
 
 import math
 import uuid
+import weakref
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,40 +142,58 @@ def shap_matrix(x: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
     return phi
 
 
-ATTR_SCHEMA = T.StructType([
-    T.StructField("transaction_id", T.LongType()),
-    T.StructField("base_value", T.DoubleType()),
-    T.StructField("shap", T.ArrayType(T.DoubleType())),
-])
+ATTR_FIELDS = [T.StructField("base_value", T.DoubleType()), T.StructField("shap", T.ArrayType(T.DoubleType()))]
 
+#: Broadcast leaf tables of the fitted models, each built once (as long as the model is in use).
+_LEAF_TABLES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
-def attributions(df: DataFrame, model: PipelineModel, folder: str, id_type: T.DataType = T.LongType()) -> DataFrame:
-    """(transaction_id, base_value, shap array in feature order) for every row."""
-    spark = df.sparkSession
+
+def _leaf_tables(spark: SparkSession, model: PipelineModel, folder: str):
+    if model not in _LEAF_TABLES:
+        # model-sized, not data-sized
+        _LEAF_TABLES[model] = spark.sparkContext.broadcast(leaves_of(*node_table(spark, model, folder)))
+    return _LEAF_TABLES[model]
+
+
+def attributed(df: DataFrame, model: PipelineModel, folder: str) -> DataFrame:
+    """df with `base_value` and `shap` (attributions in feature order) beside each of its rows."""
     from fraudspark.session import ship_package
 
+    spark = df.sparkSession
+    S.require_columns(df.columns, S.FEATURES, "rows to explain")
     ship_package(spark)
-    nodes, weights = node_table(spark, model, folder)
-    leaves, base = leaves_of(nodes, weights)
-    bc = spark.sparkContext.broadcast((leaves, base))  # model-sized, not data-sized
-    feats = list(S.FEATURES)
-
-    def run(batches):
-        lv, b = bc.value
-        for pdf in batches:
-            x = pdf[feats].to_numpy(dtype=float)
-            phi = shap_matrix(x, lv)
-            yield pd.DataFrame({"transaction_id": pdf["transaction_id"].to_numpy(),
-                                "base_value": np.full(len(pdf), b), "shap": list(phi)})
-
-    schema = T.StructType([T.StructField("transaction_id", id_type)] + ATTR_SCHEMA.fields[1:])
-    src = df.select("transaction_id", *[F.col(c).cast("double").alias(c) for c in feats])
-    return src.mapInPandas(run, schema)
-
-
-def explain(scored: DataFrame, attr: DataFrame) -> DataFrame:
-    """Per row: base, probability, and 13 x (feature, value, shap_value, direction)."""
-    j = scored.join(attr, "transaction_id")
+    tables = _leaf_tables(spark, model, folder)
+    df = df.drop(*[f.name for f in ATTR_FIELDS])
+    schema = T.StructType([*df.schema.fields, *ATTR_FIELDS])
+    at = [df.columns.index(c) for c in S.FEATURES]
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leaves, base = tables.value
+        for batch in batches:
+            x = np.stack([batch.column(i).cast(pa.float64()).to_numpy(zero_copy_only=False) for i in at], axis=1)
+            phi = shap_matrix(x, leaves)
+            n, m = phi.shape
+            shap = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * m), pa.array(phi.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, base)), shap], names)
+
+    return df.mapInArrow(run, schema)
+
+
+def attributions(df: DataFrame, model: PipelineModel, folder: str) -> DataFrame:
+    """(transaction_id, base_value, shap array in feature order) for every row."""
+    return attributed(df.select("transaction_id", *S.FEATURES), model, folder).select(
+        "transaction_id", "base_value", "shap")
+
+
+def explain(scored: DataFrame, attr: DataFrame | None = None) -> DataFrame:
+    """Per row: base, probability, and 13 x (feature, value, shap_value, direction).
+
+    `scored` carries its attributions (see `attributed`); those of another
+    source come as `attr`, one row for each id, and no scored row is lost
+    where it has none.
+    """
+    j = scored if attr is None else scored.join(attr, "transaction_id", "left")
     items = F.array(*[
         F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"),
                  F.col("shap")[i].alias("shap_value"), direction(F.col("shap")[i]).alias("direction"))
@@ -200,7 +221,7 @@ def additivity_check(scored_with_attr: DataFrame, tol: float = S.ADDITIVITY_TOLE
     """max |base + sum(shap) - margin|; raises above `tol` (one aggregation)."""
     err = scored_with_attr.agg(F.max(F.abs(margin_of() - F.col("margin")))).first()[0]
     if err is not None and err > tol:
-        raise ExplainerError(f"SHAP additivity violated: max error {err:.2e} exceeds {tol:.0e}")
+        raise ExplainerError(f"base value and attributions miss the margin by up to {err:.2e} (allowed: {tol:.0e})")
     return float(err or 0.0)
 
 
@@ -225,7 +246,7 @@ def importance_shift(previous: DataFrame, current: DataFrame) -> DataFrame:
     a = importance_align(previous, current)
     tot = a.agg(F.sum("prev").alias("sp"), F.sum("cur").alias("sc")).first()
     if not tot["sp"] or tot["sp"] <= 0 or not tot["sc"] or tot["sc"] <= 0:
-        raise ExplainerError("importance profiles need positive total mass")
+        raise ExplainerError("an importance profile sums to nothing")
     return a.agg((F.lit(0.5) * F.sum(F.abs(F.col("prev") / F.lit(tot["sp"]) - F.col("cur") / F.lit(tot["sc"]))))
                  .alias("importance_shift"))
 

@@ -10,7 +10,7 @@ the tree-growing policy:
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -30,7 +30,12 @@ SHARED = {
     "colsample": 0.8,
     "seed": 42,
 }
-VARIANTS = ("A", "B")
+#: What sets the variants apart: how a tree may grow.
+GROWTH = {
+    "A": {"maxBins": 32, "minInstancesPerNode": 1},
+    "B": {"maxBins": 255, "minInstancesPerNode": 20},
+}
+VARIANTS = tuple(GROWTH)
 WEIGHT = "_weight"
 VECTOR = "_features"
 
@@ -39,38 +44,26 @@ class UnknownVariantError(ValueError):
     """Variant name not in VARIANTS."""
 
 
-@dataclass(frozen=True)
-class ModelSpec:
-    variant: str
-    params: dict = field(default_factory=dict)
-
+class Threshold(NamedTuple):
+    """A fitted decision threshold; block_none: the cheapest decision was to flag nobody."""
 
-def hyperparameters_for(variant: str, *, scale_pos_weight: float, n_estimators: int | None = None) -> dict:
-    if variant not in VARIANTS:
-        raise UnknownVariantError(f"unknown variant {variant!r}; expected one of {VARIANTS}")
-    if scale_pos_weight <= 0:
-        raise ValueError(f"scale_pos_weight must be positive; got {scale_pos_weight}")
-    p = dict(SHARED)
-    if n_estimators is not None:
-        p["n_estimators"] = n_estimators
-    p["scale_pos_weight"] = scale_pos_weight
-    if variant == "A":
-        p.update({"max_bins": 32, "min_rows_per_leaf": 1})
-    else:
-        p.update({"max_bins": 255, "min_rows_per_leaf": 20})
-    return p
+    value: float
+    block_none: bool = False
 
 
-def estimator_for(variant: str, *, scale_pos_weight: float, n_estimators: int | None = None) -> Pipeline:
-    p = hyperparameters_for(variant, scale_pos_weight=scale_pos_weight, n_estimators=n_estimators)
+def estimator_for(variant: str, n_estimators: int | None = None) -> Pipeline:
+    """The unfitted estimator of a variant: SHARED settings and its GROWTH."""
+    growth = GROWTH.get(variant)
+    if growth is None:
+        raise UnknownVariantError(f"no variant is called {variant!r}; there are {', '.join(VARIANTS)}")
     gbt = GBTClassifier(
         featuresCol=VECTOR, labelCol="label", weightCol=WEIGHT,
-        maxIter=p["n_estimators"], stepSize=p["learning_rate"], maxDepth=p["max_depth"],
-        subsamplingRate=p["subsample"], featureSubsetStrategy=str(p["colsample"]), seed=p["seed"],
-        maxBins=p["max_bins"], minInstancesPerNode=p["min_rows_per_leaf"],
+        maxIter=n_estimators or SHARED["n_estimators"], stepSize=SHARED["learning_rate"],
+        maxDepth=SHARED["max_depth"], subsamplingRate=SHARED["subsample"],
+        featureSubsetStrategy=str(SHARED["colsample"]), seed=SHARED["seed"],
         # large inputs: keep each row's node id cached and cut the boosting
         # lineage every 10 trees (into spark.checkpoint.dir)
-        cacheNodeIds=True, checkpointInterval=10,
+        cacheNodeIds=True, checkpointInterval=10, **growth,
     )
     return Pipeline(stages=[VectorAssembler(inputCols=[f"_x_{c}" for c in S.FEATURES], outputCol=VECTOR), gbt])
 
@@ -92,9 +85,11 @@ def fit_variant(train: DataFrame, variant: str, *, scale_pos_weight: float,
                 n_estimators: int | None = None) -> PipelineModel:
     from fraudspark.session import ensure_checkpoint_dir
 
+    estimator = estimator_for(variant, n_estimators)
+    if not scale_pos_weight > 0:
+        raise ValueError(f"positives cannot weigh {scale_pos_weight}")
     ensure_checkpoint_dir(train.sparkSession)
-    return estimator_for(variant, scale_pos_weight=scale_pos_weight, n_estimators=n_estimators).fit(
-        training_frame(train, scale_pos_weight))
+    return estimator.fit(training_frame(train, scale_pos_weight))
 
 
 def score(model: PipelineModel, df: DataFrame, keep=("transaction_id",), name: str = "fraud_probability") -> DataFrame:
@@ -109,9 +104,10 @@ def score(model: PipelineModel, df: DataFrame, keep=("transaction_id",), name: s
     )
 
 
-def flag(scored: DataFrame, threshold: float, prob_col: str = "fraud_probability") -> DataFrame:
-    """is_flagged = probability >= the fitted threshold (must be within [0, 1])."""
-    if not 0.0 <= threshold <= 1.0:
-        raise ValueError(f"threshold must be in [0, 1]; got {threshold}")
-    return scored.withColumn("threshold", F.lit(float(threshold))).withColumn(
-        "is_flagged", F.col(prob_col) >= F.col("threshold"))
+def flag(scored: DataFrame, threshold: float | Threshold, prob_col: str = "fraud_probability") -> DataFrame:
+    """is_flagged = probability >= the fitted threshold (within [0, 1]); with block_none nobody is flagged."""
+    t = threshold if isinstance(threshold, Threshold) else Threshold(float(threshold))
+    if not t.block_none and not 0.0 <= t.value <= 1.0:
+        raise ValueError(f"{t.value} is no probability to compare with")
+    hit = F.lit(False) if t.block_none else F.col(prob_col) >= F.col("threshold")
+    return scored.withColumn("threshold", F.lit(t.value)).withColumn("is_flagged", hit)

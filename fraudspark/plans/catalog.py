@@ -561,7 +561,8 @@ def models_for(spark, sf_dir):
                 F.lit(v).alias("variant"), F.col("fraud_probability").alias("score"),
                 F.col(S.LABEL).cast("bigint").alias("label"), F.col(S.AMOUNT).alias("amount"))
             long = s if long is None else long.unionByName(s)
-        thr = {r["variant"]: float(min(r["threshold"], 1.0)) for r in ME.optimal_threshold(long).collect()}
+        thr = {r["variant"]: MO.Threshold(float(r["threshold"]), r["block_none"])
+               for r in ME.optimal_threshold(long).collect()}
         _MODEL_CACHE[key] = (sp, models, thr)
     return _MODEL_CACHE[key]
 
@@ -624,7 +625,7 @@ def _explained(spark, sf_dir):
     out = None
     for v, m in models.items():
         sc = MO.flag(MO.score(m, test, keep=("transaction_id", "customer_id", S.EVENT_TIME, *S.FEATURES)), thr[v])
-        ex = EX.explain(sc, EX.attributions(test, m, folder)).withColumn("variant", F.lit(v))
+        ex = EX.explain(EX.attributed(sc, m, folder)).withColumn("variant", F.lit(v))
         out = ex if out is None else out.unionByName(ex)
     return out
 
@@ -838,13 +839,21 @@ def q_stream_score(spark, sf_dir):
     variant = MO.VARIANTS[0]
 
     def on_batch(df, batch_id):
-        return JB.score_job(df, models[variant], variant, thr[variant], folder=folder).withColumn(
-            "new_customer", F.lit(None).cast("boolean")).drop("margin", "shap")
+        return JB.score_job(df, models[variant], variant, thr[variant], folder=folder).drop("margin", "shap")
 
     sink, ck = TB.scratch_path(spark, "score-sink"), TB.scratch_path(spark, "score-ckpt")
     SC.run_stream(_event_stream(spark, sf_dir), sink, ck, contract=False, on_batch=on_batch)
     return spark.read.parquet(sink).select("transaction_id", "variant", "fraud_probability", "is_flagged",
-                                           "top_features")
+                                           "top_features", "new_customer")
+
+
+@query("stream_side_table")
+def q_stream_side_table(spark, sf_dir):
+    """Events that the stream did not score, with the reasons: of the damaged events, those that break the contract."""
+    sink, ck = TB.scratch_path(spark, "side-sink"), TB.scratch_path(spark, "side-ckpt")
+    SC.run_stream(damaged(_event_stream(spark, sf_dir)), sink, ck)
+    side = SC.unscored(damaged_transactions(spark, sf_dir), spark.read.parquet(sink))
+    return side.select("transaction_id", F.array_join("reasons", ",").alias("reasons"))
 
 
 @query("late_events")
@@ -863,6 +872,10 @@ from fraudspark.operators import validate as VA  # noqa: E402
 
 
 def damaged_transactions(spark, sf_dir):
+    return damaged(transactions(spark, sf_dir))
+
+
+def damaged(tx):
     """Transactions of which some break each rule of the contract, by integer arithmetic on the id."""
     tid = F.col("transaction_id").cast("bigint")
 
@@ -872,7 +885,7 @@ def damaged_transactions(spark, sf_dir):
     def code(name, n):
         return F.when(every(n), F.col(name)).otherwise(F.upper(F.substring(name, 1, 2)))
 
-    return transactions(spark, sf_dir).withColumns({
+    return tx.withColumns({
         "customer_id": F.when(~every(97), F.col("customer_id")),
         S.AMOUNT: F.when(every(89), -F.col(S.AMOUNT)).otherwise(F.col(S.AMOUNT)),
         "merchant_category": F.when(every(101), "").otherwise(F.col("merchant_category")),

@@ -37,6 +37,9 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--features", required=True)
     d.add_argument("--start", required=True)
     d.add_argument("--end", required=True)
+    d.add_argument("--model", help="saved model, to compare explanations too")
+    d.add_argument("--importance", help="importances stored at training time")
+    d.add_argument("--variant", default="A")
     d.add_argument("--dry-run", action="store_true")
     return p
 
@@ -61,7 +64,8 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
         v = res.verdict.first().asDict()
         result = {"verdict": v, "evaluation": [r.asDict() for r in res.evaluation.collect()]}  # one row per variant
     else:
-        rep = JB.drift_check_job(spark, args.profile, args.features, args.start, args.end, dry_run=args.dry_run)
+        rep = JB.drift_check_job(spark, args.profile, args.features, args.start, args.end, dry_run=args.dry_run,
+                                 model_path=args.model, importance_path=args.importance, variant=args.variant)
         result = rep.first().asDict()
     print(json.dumps(result, default=str))
     return result

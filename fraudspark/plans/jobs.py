@@ -7,8 +7,12 @@ scalars only (thresholds, counts, a verdict).
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,38 +104,72 @@ def train_job(
     return TrainResult(split, models, thresholds, evaluation, ci, verdict, profile, importance)
 
 
-def score_job(features: DataFrame, model, variant: str, threshold: float, *, folder: str,
+def score_job(features: DataFrame, model, variant: str, threshold: float | MO.Threshold, *, folder: str,
               audit_path: str | None = None, top_k: int = S.TOP_K_ATTRIBUTIONS) -> DataFrame:
     """Score, flag, explain (top-k reasons as JSON) and optionally append the
-    prediction log (all ten columns)."""
-    scored = MO.flag(MO.score(model, features, keep=("transaction_id", "customer_id", S.EVENT_TIME, *S.FEATURES)),
+    prediction log (all ten columns). One pass without a join, so each input
+    row gives one row, whatever its id. `new_customer` and `latency_ms` are
+    passed on where the features have them."""
+    extra = [c for c in ("new_customer", "latency_ms") if c in features.columns]
+    scored = MO.flag(MO.score(model, features.select("transaction_id", "customer_id", S.EVENT_TIME, *S.FEATURES, *extra)),
                      threshold)
-    attr = EX.attributions(features, model, folder)
-    ex = EX.explain(scored, attr)
+    ex = EX.explain(EX.attributed(scored, model, folder))
+    if "latency_ms" not in extra:
+        ex = ex.withColumn("latency_ms", F.lit(None).cast("double"))
+    if "new_customer" not in extra:
+        ex = ex.withColumn("new_customer", F.lit(None).cast("boolean"))
     out = ex.select(
         "transaction_id", "customer_id", S.EVENT_TIME, F.lit(variant).alias("variant"), "fraud_probability",
         "threshold", "is_flagged", "base_value", EX.json_payload("attributions", top_k).alias("top_features"),
-        F.lit(None).cast("double").alias("latency_ms"), "margin", "shap",
+        "latency_ms", "new_customer", "margin", "shap",
     )
     if audit_path:
         TB.audit_append(out, audit_path)
     return out
 
 
+def explanation_shift(stored: DataFrame, current: DataFrame, model, *, folder: str,
+                      sample_rows: int = 2000) -> float:
+    """Shift between the importances stored at training time and those of the current rows.
+
+    The current ones come from `sample_rows` rows drawn by a hash of their ids
+    (the cap is the feature: a mean needs no more).
+    """
+    sample = EX.importance_sample(current, sample_rows)
+    now = EX.global_importance(EX.attributed(sample, model, folder))
+    return float(EX.importance_shift(stored, now).first()[0])
+
+
 def drift_check(profile: DataFrame, current: DataFrame, *, importance_shift: float | None = None,
                 dry_run: bool = False) -> DataFrame:
     """Report row + `retrain_requested = drifted and not dry_run`. Submitting a
     retraining job is left to the scheduler; this only emits the flag."""
     model_features = [r[0] for r in profile.select("feature").distinct().collect()]  # <= 13
     cur = current.select(*[c for c in current.columns if c in model_features])
-    rep = DR.drift_report(DR.detect_drift(profile, cur), importance_shift=importance_shift)
+    if not cur.columns:
+        raise DR.DriftError("none of the profiled columns is in the current rows")
+    rep = DR.drift_report(DR.detect_drift(profile, cur), n_current_rows=cur.count(), importance_shift=importance_shift)
     return rep.withColumn("retrain_requested", F.col("drifted") & F.lit(not dry_run))
 
 
-def drift_check_job(spark: SparkSession, profile_path: str, feature_table: str, start, end, **kw) -> DataFrame:
-    """Dates are mandatory: the current batch is the feature table in [start, end)."""
+def drift_check_job(spark: SparkSession, profile_path: str, feature_table: str, start, end, *,
+                    model_path: str | None = None, importance_path: str | None = None,
+                    variant: str = MO.VARIANTS[0], dry_run: bool = False) -> DataFrame:
+    """The current batch is every row of the feature table in [start, end), labelled or not.
+
+    With a saved model and the importances stored beside it, the report also
+    has the shift of explanations. If that fails it is null and the report of
+    the features stands.
+    """
     if start is None or end is None:
         raise TB.TableError("drift_check needs start and end")
     profile = TB.load_profile(spark, profile_path)
-    cur = TB.training_set(spark, feature_table, start, end)
-    return drift_check(profile, cur, **kw)
+    cur = TB.feature_rows(spark, feature_table, start, end)
+    shift = None
+    if model_path and importance_path:
+        try:
+            stored = spark.read.parquet(importance_path).filter(F.col("variant") == variant)
+            shift = explanation_shift(stored, cur, PipelineModel.load(model_path), folder=ensure_checkpoint_dir(spark))
+        except (ValueError, PySparkException, Py4JJavaError) as exc:
+            logging.getLogger(__name__).error("no shift of explanations: %s", exc)
+    return drift_check(profile, cur, importance_shift=shift, dry_run=dry_run)

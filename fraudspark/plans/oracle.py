@@ -711,6 +711,8 @@ SELECT transaction_id, len(r) = 0 AS is_valid, array_to_string(r, ',') AS reason
     CASE WHEN customer_home_country IS NULL OR length(customer_home_country) <> 2 THEN 'customer_home_country:not_2_letters' END,
     CASE WHEN card_present IS NULL THEN 'card_present:missing' END], lambda x: x IS NOT NULL) AS r
   FROM dirty)""")
+register("stream_side_table", f"""
+SELECT transaction_id, reasons FROM ({ORACLE["quarantine"]}) WHERE NOT is_valid""")
 register("to_utc", f"""
 {with_ctes("tx")}
 SELECT transaction_id, epoch_us(event_time) AS naive_us, epoch_us(event_time) - 7200000000 AS offset_us,

@@ -115,7 +115,12 @@ def _parse_bound(name: str, value) -> _dt.datetime:
 
 
 def training_set(spark: SparkSession, path: str, start, end) -> DataFrame:
-    """Labelled feature rows with start <= event_time < end (bound parameters).
+    """Labelled feature rows with start <= event_time < end."""
+    return feature_rows(spark, path, start, end, labelled=True)
+
+
+def feature_rows(spark: SparkSession, path: str, start, end, *, labelled: bool = False) -> DataFrame:
+    """Feature rows with start <= event_time < end (bound parameters); labelled: those with a label only.
 
     Bounds are validated before planning; the query filters both the
     partition column (pruning) and event_time (Parquet pushdown)."""
@@ -130,7 +135,7 @@ def training_set(spark: SparkSession, path: str, start, end) -> DataFrame:
             WHERE event_time >= CAST(:start AS TIMESTAMP_NTZ) AND event_time < CAST(:end AS TIMESTAMP_NTZ)
               AND {PARTITION} >= CAST(CAST(:start AS TIMESTAMP_NTZ) AS DATE)
               AND {PARTITION} <= CAST(CAST(:end AS TIMESTAMP_NTZ) AS DATE)
-              AND {S.LABEL} IS NOT NULL""",
+              {f"AND {S.LABEL} IS NOT NULL" if labelled else ""}""",
         args={"start": lo.isoformat(sep=" "), "end": hi.isoformat(sep=" ")},
     )
 

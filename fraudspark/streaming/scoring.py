@@ -140,6 +140,21 @@ def run_stream(events_stream: DataFrame, sink_path: str, checkpoint: str, *, con
     return q
 
 
+def unscored(events: DataFrame, scored: DataFrame, *, contract: bool = True) -> DataFrame:
+    """Side table of a stream: its input events that have no scored row, with `reasons`.
+
+    An event that breaks the contract has the rules it breaks; a good one that
+    came behind the watermark is 'late'. Together with the scored rows (and
+    repeats of their ids, which the stream drops) these are all events."""
+    from fraudspark.operators.validate import quarantine
+
+    tagged = quarantine(events) if contract else events.withColumns(
+        {"reasons": F.array().cast("array<string>"), "is_valid": F.lit(True)})
+    late = tagged.filter("is_valid").join(scored.select("transaction_id"), "transaction_id", "left_anti")
+    late = late.withColumn("reasons", F.array(F.lit("late")))
+    return tagged.filter("NOT is_valid").unionByName(late).drop("is_valid")
+
+
 def late_events(tx: DataFrame, lateness_us: int, *, arrival: str = "transaction_id",
                 n_ranges: int | None = None) -> DataFrame:
     """Events (in arrival order) older than the newest earlier arrival of the

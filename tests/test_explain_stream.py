@@ -85,9 +85,77 @@ def test_tree_shap_is_additive_and_feature_order_is_enforced(spark):
     with pytest.raises(S.SchemaValidationError):
         MO.feature_matrix(test.drop("amount_log"))
     with pytest.raises(MO.UnknownVariantError):
-        MO.hyperparameters_for("C", scale_pos_weight=1.0)
+        MO.estimator_for("C")
     with pytest.raises(ValueError):
         MO.flag(sc, 1.5)
+    nobody = MO.flag(sc, MO.Threshold(p[0] / 2, block_none=True))
+    assert nobody.filter("is_flagged").count() == 0 and MO.flag(sc, p[0] / 2).filter("NOT is_flagged").count() == 0
+
+
+def test_score_job_and_the_shift_of_explanations(spark):
+    from fraudspark.plans import jobs as JB
+    from fraudspark.sources import tables as TB
+    from fraudspark.sources.adapter import load_transactions
+
+    folder = ensure_checkpoint_dir(spark)
+    path, out = TB.scratch_path(spark, "shift-features"), TB.scratch_path(spark, "shift-model")
+    TB.append_features(FE.build_features(load_transactions(spark, SF_SMALL)), path)
+    feats = TB.feature_rows(spark, path, "2024-01-01", "2024-02-01")
+    sp = SP.temporal_split(feats)
+    train = sp.filter("split = 'train'")
+    m = MO.fit_variant(train, "A", scale_pos_weight=SP.scale_pos_weight_value(sp), n_estimators=3)
+    # every row is scored once, whatever its id
+    same = feats.limit(40).withColumn("transaction_id", F.pmod("transaction_id", F.lit(3)))
+    scored = JB.score_job(same.withColumn("new_customer", F.lit(True)), m, "A", 0.5, folder=folder)
+    assert scored.count() == 40 and scored.filter("new_customer AND size(shap) = 13").count() == 40
+    assert EX.additivity_check(scored) < S.ADDITIVITY_TOLERANCE
+
+    from fraudspark.operators import drift as DR
+
+    TB.save_profile(DR.build_reference(train), out + "/profile")
+    imp = EX.global_importance(EX.attributed(train, m, folder)).withColumn("variant", F.lit("A"))
+    imp.write.parquet(out + "/importance")
+    m.write().overwrite().save(out + "/model_A")
+
+    def check(**kw):
+        return JB.drift_check_job(spark, out + "/profile", path, "2024-01-20", "2024-02-01", **kw).first()
+
+    r = check(model_path=out + "/model_A", importance_path=out + "/importance")
+    assert 0 <= r["importance_shift"] <= 1
+    assert r["n_current_rows"] == TB.feature_rows(spark, path, "2024-01-20", "2024-02-01").count()
+    for broken in ({}, {"model_path": out + "/none", "importance_path": out + "/importance"},
+                   {"model_path": out + "/model_A", "importance_path": out + "/none"},
+                   {"model_path": out + "/model_A", "importance_path": out + "/importance", "variant": "B"}):
+        b = check(**broken)
+        assert b["importance_shift"] is None and b["drifted"] == r["drifted"]
+
+
+def test_scored_late_and_rejected_events_are_all_events(spark):
+    from conftest import tx_rows
+    from fraudspark.streaming import scoring as SC
+
+    folder = tempfile.mkdtemp(prefix="stream-side-", dir="/tmp")
+    batches = [[(f"a{i}", f"c{i % 3}", f"2024-01-10 {i:02d}:00:00", i + 1, "GB", "GB", True, 0) for i in range(20)],
+               [(f"b{i}", f"c{i % 3}", f"2024-01-12 {i:02d}:00:00", i + 1, "GB", "GB", True, 0) for i in range(20)],
+               [("c0", "c1", "2024-01-01 00:00:00", 5, "GB", "GB", True, 0),   # behind the watermark
+                ("c1", "c1", "2024-01-12 21:00:00", 5, "GBR", "GB", True, 0),  # breaks the contract
+                ("c2", "c1", "2024-01-12 22:00:00", 5, "GB", "GB", True, 0),
+                ("b3", "c0", "2024-01-12 03:00:00", 4, "GB", "GB", True, 0)]]  # repeats an event
+    for i, rows in enumerate(batches):
+        tx_rows(spark, rows).coalesce(1).write.parquet(f"{folder}/part-{i}")
+        for f in os.listdir(f"{folder}/part-{i}"):
+            if f.endswith(".parquet"):
+                os.makedirs(f"{folder}/all", exist_ok=True)
+                os.link(f"{folder}/part-{i}/{f}", f"{folder}/all/{i}.parquet")
+    schema = tx_rows(spark, batches[0]).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/all")
+    SC.run_stream(stream, f"{folder}/sink", f"{folder}/ck")
+    scored, events = spark.read.parquet(f"{folder}/sink"), spark.read.schema(schema).parquet(f"{folder}/all")
+    side = {r["transaction_id"]: r["reasons"] for r in SC.unscored(events, scored).collect()}
+    assert side == {"c0": ["late"], "c1": ["country:not_2_letters"]}
+    ids = [r[0] for r in scored.select("transaction_id").collect()]
+    assert len(ids) == len(set(ids))
+    assert set(ids) | set(side) == {r[0] for r in events.select("transaction_id").collect()}
 
 
 def test_stream_equals_batch(spark):

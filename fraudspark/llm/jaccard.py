@@ -128,7 +128,8 @@ def _leaves(sets: DataFrame, plan: JoinPlan) -> DataFrame:
         return F.xxhash64(path, at, F.element_at("sketch", at + 1))
 
     def counted(nodes: DataFrame, level: int) -> DataFrame:
-        many = nodes.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
+        # written, so that the join stands on shuffles alone and Spark can split a node with very many sets
+        many = written(nodes.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), f"counts-{level}")
         return written(nodes.join(many, "path"), f"nodes-{level}")
 
     roots = sets.select("set_id", "sketch", F.explode(F.sequence(F.lit(1), F.lit(plan.runs))).alias("run"))

@@ -801,7 +801,7 @@ def q_audit_append(spark, sf_dir):
 
 @query("train_job")
 def q_train_job(spark, sf_dir):
-    res = JB.train_job(features(spark, sf_dir, materialize=True), n_estimators=QUERY_TREES, explain=False)
+    res = JB.train_job(features(spark, sf_dir, materialize=True), n_estimators=QUERY_TREES)
     v = res.verdict.first()  # the one-row verdict
     return res.evaluation.withColumn("winner", F.lit(v["winner"])).withColumn("significant", F.lit(v["significant"]))
 

@@ -1,7 +1,9 @@
 """Secret scans: fixed patterns, and a battery of randomness tests on long tokens.
 
-Tokens of letters, digits and +/_=- are given the smallest encoding that holds
-their characters. Each takes three tests against uniform random characters of
+Tokens of letters, digits and +/_=- are cut at inner '=', so the value of
+name=value stands alone, and further at '_', '-', '+' and '/', so the last name
+of a path does. Each string is given the smallest encoding that holds its
+characters, and takes three tests against uniform random characters of
 that alphabet: chi-squared uniformity, runs above and below the middle, and
 lag-one serial correlation. A token that none of them rejects looks random;
 it is reported if looking so is also surprising for ordinary text, whose
@@ -30,6 +32,8 @@ ASSIGN = re.compile(
 ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "random")
+#: Strings of a token between '=' (padding may follow), and these cut further.
+CUTS = tuple(re.compile(f"[^={cut}]+(?:=+(?![A-Za-z0-9+/_-]))?") for cut in ("", "_\\-", "+/", "+/_\\-"))
 KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 
 _LOWER, _UPPER, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -101,12 +105,30 @@ def p_values(token: str, battery: Battery = Battery()) -> tuple[float, float] |
     return min(1.0, 3 * min(uniform, runs_p, serial_p)), natural
 
 
+def parts(text: str, start: int, end: int, least: int) -> list[tuple[int, int]]:
+    """Spans of the strings of `least` characters or more to test in a token, the longest first.
+
+    The token is cut at each inner '='. What lies between is tested whole, cut at '_' and '-' (base64 may be left),
+    cut at '+' and '/' (base64url may be left), and cut at all four; padding stays with the string before it.
+    """
+    found = set()
+    for cut in CUTS:
+        for m in cut.finditer(text, start, end):
+            if len(m.group().rstrip("=")) >= least:
+                found.add(m.span())
+    return sorted(found, key=lambda s: (s[0] - s[1], s))
+
+
 def random_spans(text: str, pattern: re.Pattern[str], battery: Battery) -> list[tuple[int, int]]:
-    """Spans of the tokens that pass the battery under the document's rate of false discoveries."""
+    """Spans of the strings that pass the battery under the document's rate of false discoveries.
+
+    A string and parts of it are tested each for itself, so spans may overlap.
+    """
     tested = []
     for m in pattern.finditer(text):
-        p = p_values(m.group(), battery)
-        tested.append((p[1] if p and p[0] >= battery.alpha else 1.0, m.start(), m.end()))
+        for a, b in parts(text, m.start(), m.end(), battery.min_length):
+            p = p_values(text[a:b], battery)
+            tested.append((p[1] if p and p[0] >= battery.alpha else 1.0, a, b))
     tested.sort()
     last = 0
     for k, (p, _, _) in enumerate(tested, 1):
@@ -115,6 +137,17 @@ def random_spans(text: str, pattern: re.Pattern[str], battery: Battery) -> list[
     return [(a, b) for _, a, b in tested[:last]]
 
 
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Unions of the overlapping spans."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind's number, end) of the fixed patterns, sorted."""
     found = []
@@ -137,10 +170,9 @@ class Scanner:
     def __call__(self, text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
         """The base spans, and all spans: tokens that look random are added where no base span lies."""
         base = base_spans(text)
-        more = []
-        for a, b in random_spans(text, self.token, self.battery):
-            if all(b <= s or e <= a for s, _, e in base):
-                more.append((a, 3, b))
+        free = [(a, b) for a, b in random_spans(text, self.token, self.battery)
+                if all(b <= s or e <= a for s, _, e in base)]
+        more = [(a, 3, b) for a, b in united(free)]
         return base, sorted(base + more) if more else base
 
 

@@ -248,6 +248,27 @@ def test_battery_tells_random_from_ordinary():
         assert not flagged(t)
 
 
+def test_secrets_inside_names_values_and_paths():
+    rng = random.Random(5)
+    scan = secrets.Scanner()
+    for name in ("base62", "base64", "base64url"):
+        for before, after in (("sig=", ""), ("AUTH_KEY=", ""), ("/q?a=b&sig=", "&c=d"), ("sig=", "=="), ("a=b=", "=")):
+            hits = 0
+            for _ in range(40):
+                text = before + "".join(rng.choice("".join(secrets.ENCODINGS[name])) for _ in range(64)) + after
+                hits += any(a == len(before) and b >= a + 64 for a, _, b in scan(text)[1])
+            assert hits >= 38, (name, before, after)
+    key = "q7Zx0LmVt4RbY9sKd2HwJc6NfA1gPe8UoTi3XkSv5MrQ"
+    b64, url = key[:22] + "+/" + key[22:], key[:22] + "_-" + key[22:]
+    for text, found in ((f"sig={key}", key), (f"AUTH_KEY={key}", key), (f"/v1/user_keys/{key}", key),
+                        (f"/v1/user/keys/{url}", url), (f"x={b64}==", b64 + "=="), (f"my_{b64}", b64),
+                        (f"a={key}=b", key)):
+        spans = scan(text)[1]
+        assert len(spans) == 1 and found in text[spans[0][0]:spans[0][2]], text
+    for text in ("name=value" * 9, "/usr/share/doc/python3_examples/readme_first_2024/index", "key=" + "=" * 40):
+        assert scan(text)[1] == []
+
+
 def test_scan_and_redact(spark, docs, rows, nothing):
     rng = random.Random(4)
     token = "".join(rng.choice("".join(secrets.ENCODINGS["base64"])) for _ in range(60))

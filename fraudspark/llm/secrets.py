@@ -6,10 +6,13 @@ of a path does. Each string is given the smallest encoding that holds its
 characters, and takes three tests against uniform random characters of
 that alphabet: chi-squared uniformity, runs above and below the middle, and
 lag-one serial correlation. A token that none of them rejects looks random;
-it is reported if looking so is also surprising for ordinary text, whose
-uneven letters make chi-squared grow with length. That second p-value thus
-falls with the token's length, and the Benjamini-Hochberg step-up rule over
-all tokens of the document holds the rate of false discoveries.
+it is reported if looking so is also surprising for ordinary text: a Markov
+chain over kinds of characters (names keep to one case, numbers keep together)
+with measured letter frequencies, both restricted to the alphabet. The
+likelihood of the token under it, divided by that under uniform characters, is
+a p-value by Markov's inequality. It falls with the token's length, and the
+Benjamini-Hochberg step-up rule over the document's strings that have an
+encoding holds the rate of false discoveries.
 """
 
 from __future__ import annotations
@@ -42,6 +45,13 @@ ENCODINGS = {name: {c: i for i, c in enumerate(chars)} for name, chars in (
     ("hex", _DIGIT + "abcdef"), ("HEX", _DIGIT + "ABCDEF"), ("base32", _UPPER + "234567"),
     ("base36", _DIGIT + _LOWER), ("BASE36", _DIGIT + _UPPER), ("base62", _UPPER + _LOWER + _DIGIT),
     ("base64", _UPPER + _LOWER + _DIGIT + "+/"), ("base64url", _UPPER + _LOWER + _DIGIT + "-_"))}
+#: Letters of ordinary tokens, parts in 1000 from a to z, and the next character's kind (lower, upper, digit, other)
+#: after each kind, in parts of 100: measured on the 8523 long tokens of Python's library with both letters and digits
+#: (letters: on half of them, 4 at least).
+LETTERS = dict(zip(_LOWER, (79, 21, 49, 49, 112, 23, 19, 19, 60, 4, 8, 37, 34, 57, 57, 41, 4, 51, 89, 97, 31, 13, 10,
+                            13, 18, 6), strict=True))
+NEXT = {"l": {"l": 79, "u": 3, "d": 5, "s": 13}, "u": {"l": 26, "u": 58, "d": 9, "s": 7},
+        "d": {"l": 15, "u": 5, "d": 72, "s": 8}, "s": {"l": 74, "u": 8, "d": 15, "s": 3}}
 
 
 @dataclass(frozen=True)
@@ -50,15 +60,11 @@ class Battery:
 
     alpha: level at which the three tests together reject randomness.
     rate: false discoveries allowed among the reported tokens.
-    squares: sum of squared character frequencies of ordinary text, at least;
-    in a small alphabet it is least_excess above the uniform one, in parts of it.
     """
 
     min_length: int = 20
     alpha: float = 0.003
     rate: float = 0.01
-    squares: float = 0.055
-    least_excess: float = 1.0
 
 
 def _upper(z: float) -> float:
@@ -73,7 +79,30 @@ def encoding(token: str) -> str | None:
     return next((name for name, alphabet in ENCODINGS.items() if chars <= alphabet.keys()), None)
 
 
-def p_values(token: str, battery: Battery = Battery()) -> tuple[float, float] | None:
+def _kind(c: str) -> str:
+    return "l" if c.islower() else "u" if c.isupper() else "d" if c.isdigit() else "s"
+
+
+def _ordinary(alphabet: dict[str, int]) -> tuple[list[float], list[list[float]]]:
+    """Log likelihood of ordinary over random text: of a first character, and of each one after each other."""
+    kinds: dict[str, list[str]] = {}
+    for c in alphabet:
+        kinds.setdefault(_kind(c), []).append(c)
+    share = {}
+    for some in kinds.values():
+        weights = [LETTERS.get(c.lower(), 1) for c in some]
+        share.update({c: w / sum(weights) for c, w in zip(some, weights, strict=True)})
+    size = len(alphabet)
+    first = [math.log(share[c] * len(kinds[_kind(c)])) for c in alphabet]
+    after = {k: [math.log(share[c] * size * NEXT[k][_kind(c)] / sum(NEXT[k][x] for x in kinds)) for c in alphabet]
+             for k in kinds}
+    return first, [after[_kind(c)] for c in alphabet]
+
+
+_ORDINARY = {name: _ordinary(alphabet) for name, alphabet in ENCODINGS.items()}
+
+
+def p_values(token: str) -> tuple[float, float] | None:
     """(p of random characters, p of ordinary text); None if no encoding fits."""
     token = token.rstrip("=")
     name = encoding(token)
@@ -100,9 +129,9 @@ def p_values(token: str, battery: Battery = Battery()) -> tuple[float, float] |
     total = sum((d - mid) ** 2 for d in digits)
     lag = sum((a - mid) * (b - mid) for a, b in zip(digits, digits[1:], strict=False))
     serial_p = 2 * _upper(abs(lag / total * n + 1) / math.sqrt(n)) if total else 0.0
-    shift = (n - 1) * max(battery.least_excess, size * battery.squares - 1)
-    natural = 1 - _upper((chi - (size - 1) - shift) / math.sqrt(2 * (size - 1 + 2 * shift)))
-    return min(1.0, 3 * min(uniform, runs_p, serial_p)), natural
+    first, after = _ORDINARY[name]
+    natural = first[digits[0]] + sum(after[a][b] for a, b in zip(digits, digits[1:], strict=False))
+    return min(1.0, 3 * min(uniform, runs_p, serial_p)), math.exp(min(0.0, natural))
 
 
 def parts(text: str, start: int, end: int, least: int) -> list[tuple[int, int]]:
@@ -127,8 +156,8 @@ def random_spans(text: str, pattern: re.Pattern[str], battery: Battery) -> list[
     tested = []
     for m in pattern.finditer(text):
         for a, b in parts(text, m.start(), m.end(), battery.min_length):
-            p = p_values(text[a:b], battery)
-            tested.append((p[1] if p and p[0] >= battery.alpha else 1.0, a, b))
+            if p := p_values(text[a:b]):
+                tested.append((p[1] if p[0] >= battery.alpha else 1.0, a, b))
     tested.sort()
     last = 0
     for k, (p, _, _) in enumerate(tested, 1):

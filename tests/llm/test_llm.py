@@ -269,6 +269,23 @@ def test_secrets_inside_names_values_and_paths():
         assert scan(text)[1] == []
 
 
+def test_recall_by_length_alphabet_and_other_tokens():
+    rng = random.Random(6)
+    pattern, battery = secrets.Scanner().token, secrets.Battery()
+    rules, names = "-" * 30 + "\n" + "=" * 30 + "\n", "getUserNameFromConfiguration2 test_value_counts_periods_2024 "
+    least = {("", 24): 82, (rules * 500, 24): 82, (names * 5, 24): 72, ("", 32): 90, (rules * 500, 32): 90,
+             (names * 5, 32): 86, (names * 50, 32): 77}
+    for name, alphabet in secrets.ENCODINGS.items():
+        for (others, n), want in least.items():
+            hits = 0
+            for _ in range(100):
+                token = "".join(rng.choice("".join(alphabet)) for _ in range(n))
+                found = secrets.random_spans(others + token, pattern, battery)
+                hits += any(b - a == n for a, b in found)
+                assert all(a >= len(others) for a, _ in found)
+            assert hits >= want, (name, n, len(others), hits)
+
+
 def test_scan_and_redact(spark, docs, rows, nothing):
     rng = random.Random(4)
     token = "".join(rng.choice("".join(secrets.ENCODINGS["base64"])) for _ in range(60))

@@ -6,10 +6,11 @@ embedding: `width` coordinates, each the least hash of the set under one
 function, so that two sets agree on a coordinate with the probability of their
 Jaccard similarity.
 
-A run starts with all sets in one node. A node of more than `leaf` sets picks
-a coordinate by hashing its own path and deals its sets to child nodes by
-their value there, to at most `depth` levels; a pair above the threshold stays
-together on one level with probability threshold or more. Runs are repeated
+A run starts with all sets in one node. A node of more than `leaf` sets deals
+its sets to child nodes by their value on one coordinate, to at most `depth`
+levels; a pair above the threshold stays together on one level with probability
+threshold or more. Each level of each run has a coordinate of its own, so runs
+fail independently of each other. Runs are repeated
 until the recall, 1 - (1 - threshold^depth)^runs at least, reaches the target
 (most leaves end at the first level, where it is far higher). Sets in a leaf
 are compared by brute force, in blocks of `block` sets when a leaf is large:
@@ -48,11 +49,16 @@ class JoinPlan:
     def runs(self) -> int:
         return math.ceil(math.log(1 - self.recall) / math.log(1 - self.threshold**self.depth))
 
+    @property
+    def coordinates(self) -> int:
+        """Coordinates of the embedding: `width`, or as many as give each level of each run its own."""
+        return max(self.width, self.runs * self.depth)
+
     @property
     def least_agreeing(self) -> int:
         """Coordinates on which a pair must agree to be compared exactly: 5.5 standard deviations below the mean."""
         t = self.threshold
-        return max(1, math.floor(self.width * t - 5.5 * math.sqrt(self.width * t * (1 - t))))
+        return max(1, math.floor(self.coordinates * t - 5.5 * math.sqrt(self.coordinates * t * (1 - t))))
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,11 +115,11 @@ def _sketches(docs: DataFrame, plan: JoinPlan) -> DataFrame:
                     continue
                 first = bounds[:-1][full]
                 keys = [np.add.reduceat(mixed(shingle ^ np.uint64(x)), first).view(np.int64) for x in (3, 5)]
-                sketch = min_hashes(shingle, first, plan.width)
+                sketch = min_hashes(shingle, first, plan.coordinates)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a).take(pa.array(full)), *map(pa.array, keys),
                      pa.array(size[full].astype(np.int32)),
-                     pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1, dtype=np.int32) * plan.width),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1, dtype=np.int32) * plan.coordinates),
                                               pa.array(sketch.ravel()))],
                     ["doc_id", "k1", "k2", "size", "sketch"])
 
@@ -123,9 +129,9 @@ def _sketches(docs: DataFrame, plan: JoinPlan) -> DataFrame:
 def _leaves(sets: DataFrame, plan: JoinPlan) -> DataFrame:
     """(set_id, run, path, n): the leaf of each set in each run, where it holds n > 1 sets."""
 
-    def child(path: F.Column) -> F.Column:
-        at = F.pmod(F.xxhash64(path), F.lit(plan.width)).cast("int")
-        return F.xxhash64(path, at, F.element_at("sketch", at + 1))
+    def child(path: F.Column, level: int) -> F.Column:
+        at = (F.col("run") - 1) * plan.depth + level
+        return F.xxhash64(path, at, F.element_at("sketch", at))
 
     def counted(nodes: DataFrame, level: int) -> DataFrame:
         # written, so that the join stands on shuffles alone and Spark can split a node with very many sets
@@ -133,12 +139,12 @@ def _leaves(sets: DataFrame, plan: JoinPlan) -> DataFrame:
         return written(nodes.join(many, "path"), f"nodes-{level}")
 
     roots = sets.select("set_id", "sketch", F.explode(F.sequence(F.lit(1), F.lit(plan.runs))).alias("run"))
-    nodes = counted(roots.select("set_id", "run", child(F.xxhash64("run")).alias("path")), 1)
+    nodes = counted(roots.select("set_id", "run", child(F.xxhash64("run"), 1).alias("path")), 1)
     leaves = []
     for level in range(2, plan.depth + 1):
         leaves.append(nodes.filter(F.col("n") <= plan.leaf))
         wide = nodes.filter(F.col("n") > plan.leaf).join(sets.select("set_id", "sketch"), "set_id")
-        nodes = counted(wide.select("set_id", "run", child(F.col("path")).alias("path")), level)
+        nodes = counted(wide.select("set_id", "run", child(F.col("path"), level).alias("path")), level)
     leaves.append(nodes)
     out = leaves[0]
     for more in leaves[1:]:
@@ -216,7 +222,7 @@ def _own_pairs(a: int, b: int, mine: np.ndarray, within: bool, run: int, sketch:
 
 
 def _node_arrays(table: pa.Table, plan: JoinPlan) -> tuple[np.ndarray, ...]:
-    sketch = _lists(table, "sketch")[0].reshape(-1, plan.width)
+    sketch = _lists(table, "sketch")[0].reshape(-1, plan.coordinates)
     leaf = _lists(table, "leaf")[0].reshape(-1, plan.runs)
     return (table.column("mine").to_numpy(), table.column("within").to_numpy(), table.column("run").to_numpy(),
             sketch, leaf, table.column("size").to_numpy())

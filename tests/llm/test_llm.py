@@ -158,6 +158,28 @@ def test_jaccard_splits_and_blocks_lose_nothing(docs, rows):
     assert 1 - (1 - plan.threshold**plan.depth) ** plan.runs >= plan.recall
 
 
+def missed_pairs(spark, n, plan, agree):
+    """How many of n pairs of embeddings share no leaf when every node is split to the last level."""
+    value = "pmod(xxhash64(id, j), 1000000007)"
+    sets = spark.range(n).selectExpr(
+        "id", "explode(array(0, 1)) AS s", f"sequence(1, {plan.coordinates}) AS js").selectExpr(
+        "2 * id + s AS set_id", f"transform(js, j -> CAST({value} + IF({agree}, 0, s) AS int)) AS sketch")
+    leaves = jaccard._leaves(sets, plan)
+    found = leaves.groupBy((F.col("set_id") / 2).cast("bigint").alias("pair"), "run", "path").count()
+    assert found.filter("count > 2").isEmpty()
+    return n - found.filter("count = 2").select("pair").distinct().count()
+
+
+def test_runs_of_the_jaccard_join_are_independent(spark):
+    """Each run has its own coordinates: one on which a pair agrees suffices, and the stated recall holds at depth 3."""
+    plan = jaccard.JoinPlan(leaf=1)
+    assert plan.runs == 17 and plan.coordinates == plan.width >= plan.runs * plan.depth
+    assert missed_pairs(spark, plan.runs, plan, f"int((j - 1) / {plan.depth}) = id") == 0
+    assert missed_pairs(spark, 40000, plan, "pmod(xxhash64(j, id, 'x'), 10) < 8") <= 1
+    wide = jaccard.JoinPlan(threshold=0.5, leaf=1)
+    assert wide.coordinates == wide.runs * wide.depth > wide.width
+
+
 def test_one_of_each_group(docs, rows):
     left = jaccard.one_of_each_group(docs)
     assert left.columns == docs.columns

@@ -542,7 +542,6 @@ from fraudspark.operators import explain as EX  # noqa: E402
 from fraudspark.operators import model as MO  # noqa: E402
 from fraudspark.session import ensure_checkpoint_dir  # noqa: E402
 
-QUERY_TREES = 50  # query-time ensemble size; the library default is 300
 _MODEL_CACHE: dict = {}
 
 
@@ -553,7 +552,7 @@ def models_for(spark, sf_dir):
         sp = split_frame(spark, sf_dir).checkpoint(eager=True)
         spw = SP.scale_pos_weight_value(sp)
         train = sp.filter(F.col("split") == "train")
-        models = {v: MO.fit_variant(train, v, scale_pos_weight=spw, n_estimators=QUERY_TREES) for v in MO.VARIANTS}
+        models = {v: MO.fit_variant(train, v, scale_pos_weight=spw) for v in MO.VARIANTS}
         val = sp.filter(F.col("split") == "validation")
         long = None
         for v, m in models.items():
@@ -801,7 +800,7 @@ def q_audit_append(spark, sf_dir):
 
 @query("train_job")
 def q_train_job(spark, sf_dir):
-    res = JB.train_job(features(spark, sf_dir, materialize=True), n_estimators=QUERY_TREES)
+    res = JB.train_job(features(spark, sf_dir, materialize=True))
     v = res.verdict.first()  # the one-row verdict
     return res.evaluation.withColumn("winner", F.lit(v["winner"])).withColumn("significant", F.lit(v["significant"]))
 

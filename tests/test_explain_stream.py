@@ -236,3 +236,20 @@ def test_fold_ties_and_late_events_see_only_what_is_before_them():
     # 09:30 comes after 10:00: nothing was before it
     assert fold(state, [("d", int(9.5 * hour), 500)]) == [(1, 5.0, 5.0)]
     assert fold(state, [("e", 11 * hour, 100)]) == [(5, 96.0, 23.75)]
+
+
+@pytest.mark.parametrize("name", ["fit_variant", "train_job"])
+def test_model_queries_fit_the_whole_ensemble(spark, monkeypatch, name):
+    from fraudspark.plans import catalog
+
+    class Seen(Exception):
+        pass
+
+    def fit(train, variant, *, scale_pos_weight, n_estimators=None):
+        raise Seen(MO.estimator_for(variant, n_estimators).getStages()[-1].getMaxIter())
+
+    monkeypatch.setattr(MO, "fit_variant", fit)
+    monkeypatch.setattr(catalog, "_MODEL_CACHE", {})
+    with pytest.raises(Seen) as seen:
+        catalog.QUERIES[name](spark, SF_SMALL)
+    assert seen.value.args == (300,) == (MO.SHARED["n_estimators"],)

@@ -129,14 +129,14 @@ def score_job(features: DataFrame, model, variant: str, threshold: float | MO.Th
 
 
 def explanation_shift(stored: DataFrame, current: DataFrame, model, *, folder: str,
-                      sample_rows: int = 2000) -> float:
+                      sample_rows: int | None = None) -> float:
     """Shift between the importances stored at training time and those of the current rows.
 
-    The current ones come from `sample_rows` rows drawn by a hash of their ids
-    (the cap is the feature: a mean needs no more).
+    All current rows count; with `sample_rows`, so many rows drawn by a hash of
+    their ids.
     """
-    sample = EX.importance_sample(current, sample_rows)
-    now = EX.global_importance(EX.attributed(sample, model, folder))
+    rows = current if sample_rows is None else EX.importance_sample(current, sample_rows)
+    now = EX.global_importance(EX.attributed(rows, model, folder))
     return float(EX.importance_shift(stored, now).first()[0])
 
 

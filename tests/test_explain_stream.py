@@ -253,3 +253,20 @@ def test_model_queries_fit_the_whole_ensemble(spark, monkeypatch, name):
     with pytest.raises(Seen) as seen:
         catalog.QUERIES[name](spark, SF_SMALL)
     assert seen.value.args == (300,) == (MO.SHARED["n_estimators"],)
+
+
+@pytest.mark.parametrize("sample_rows", [None, 100])
+def test_shift_of_explanations_takes_all_current_rows(spark, monkeypatch, sample_rows):
+    from fraudspark.plans import jobs as JB
+
+    class Seen(Exception):
+        pass
+
+    def attributed(rows, model, folder):
+        raise Seen(rows.count())
+
+    monkeypatch.setattr(EX, "attributed", attributed)
+    with pytest.raises(Seen) as seen:
+        JB.explanation_shift(None, spark.range(3000).withColumnRenamed("id", "transaction_id"), None, folder="",
+                             **({} if sample_rows is None else {"sample_rows": sample_rows}))
+    assert seen.value.args == (sample_rows or 3000,)

@@ -12,8 +12,11 @@ from fraudspark.llm import (
     decontaminate,
     jaccard,
     language,
+    packing,
+    phrases,
     pieces_codec,
     quality,
+    ranking,
     secrets,
     sharding,
     substrings,
@@ -153,6 +156,68 @@ SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n_copies, 0)::BI
        coalesce(n_links, 0)::BIGINT AS n_links
 FROM documents LEFT JOIN least ON least.x = doc_id LEFT JOIN sums ON sums.x = doc_id"""
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+def _phrases_sql() -> str:
+    """All phrases of one to four words, counted by their words."""
+    cuts = " UNION ALL ".join(
+        f"SELECT f.lang, f.g, f.c AS a, {k} AS k, p.c AS l, q.c AS r FROM f JOIN f p ON p.lang = f.lang AND p.g = f.g[:{k}] "
+        f"JOIN f q ON q.lang = f.lang AND q.g = f.g[{k + 1}:] WHERE len(f.g) > {k}" for k in (1, 2, 3))
+    inside = " UNION ALL ".join(
+        f"SELECT lang, g[{i}:{i + n - 1}] AS g, c FROM f WHERE len(g) = {size}"
+        for size in (3, 4) for n in range(2, size) for i in range(1, size - n + 2))
+    grams = " UNION ALL ".join(
+        f"SELECT lang, w[i:i + {n - 1}] AS g FROM (SELECT lang, w, unnest(range(1, len(w) - {n - 2})) AS i FROM piece)"
+        for n in (1, 2, 3, 4))
+    return rf"""
+WITH piece AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM piece GROUP BY lang),
+f AS (SELECT lang, g, count(*) AS c FROM ({grams}) GROUP BY lang, g HAVING count(*) >= 30),
+cut AS (SELECT *, ((2000000::HUGEINT * a) // (l + r))::BIGINT AS score FROM ({cuts})),
+worst AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+longer AS (SELECT lang, g, max(c) AS most FROM ({inside}) GROUP BY lang, g),
+kept AS (
+  SELECT w.*, array_to_string(w.g, ' ') AS phrase FROM worst w LEFT JOIN longer o ON o.lang = w.lang AND o.g = w.g
+  WHERE o.most IS NULL OR 100 * o.most < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n.n,
+       score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000"""
+
+
+PHRASES_SQL = _phrases_sql()
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+TERMS_SQL = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+SEARCH_SQL = rf"""
+WITH bag AS (SELECT doc_id, {TERMS_SQL} AS t FROM documents),
+doc AS (SELECT doc_id, t, len(t) AS n FROM bag WHERE len(t) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM doc),
+tf AS (SELECT doc_id, n, x, count(*) AS tf FROM (SELECT doc_id, n, unnest(t) AS x FROM doc) GROUP BY ALL),
+weight AS (SELECT x, floor(1000 * ln((2.0::DOUBLE * any_value(docs) + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS w
+           FROM tf, total GROUP BY x),
+item AS (SELECT DISTINCT item_id, unnest({TERMS_SQL}) AS x FROM benchmark),
+score AS (
+  SELECT item_id, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // terms)))))::BIGINT AS score
+  FROM tf JOIN weight USING (x) JOIN item USING (x), total GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM score WHERE score > 0 QUALIFY rank <= 10"""
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizer("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_shards": op1_kd_shards,
     "op2_decontamination": op2_decontamination,
@@ -164,10 +229,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_phrase_mining": op11_phrase_mining,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {
     "op3_substring_dedup": SUBSTRINGS_SQL,
     "op9_quality_rules": QUALITY_SQL,
     "op10_jaccard_join": JACCARD_SQL,
+    "op11_phrase_mining": PHRASES_SQL,
+    "op12_ranked_search": SEARCH_SQL,
 }

@@ -256,10 +256,10 @@ def _block(docs: DataFrame, terms: DataFrame, plan: SearchPlan) -> DataFrame:
     best = written(_best_classes(classes, postings, plan)
                    .withColumn("place", F.row_number().over(Window.partitionBy("item_id").orderBy(*order)))
                    .filter(F.col("place") <= plan.top).drop("place"), "best")
-    # the first members of each class that is expanded: hot classes are cut to `top` in each task before they move
-    members = bags.join(best.select(*bag).distinct(), bag, "left_semi")
-    members = members.withColumn("place", F.row_number().over(
+    # the first members of each class: hot classes are cut to `top` in each task before they move
+    members = bags.withColumn("place", F.row_number().over(
         Window.partitionBy(*bag).orderBy(F.asc_nulls_last("doc_id")))).filter(F.col("place") <= plan.top).drop("place")
+    members = members.join(best.select(*bag).distinct(), bag, "left_semi")
     ranked = best.join(members, bag).withColumn("rank", F.row_number().over(
         Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))))
     return ranked.filter(F.col("rank") <= plan.top).select("item_id", "rank", "doc_id", "score")

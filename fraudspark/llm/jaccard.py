@@ -35,6 +35,10 @@ from fraudspark.llm.tables import ship_package, written
 from fraudspark.llm.text import Texts, Words, mixed, pieces, window_hashes
 
 
+#: Rows that go to a Python worker at a time: texts, embeddings or shingles.
+WIDE = 1000
+
+
 @dataclass(frozen=True)
 class JoinPlan:
     threshold: float = 0.8
@@ -221,11 +225,40 @@ def _own_pairs(a: int, b: int, mine: np.ndarray, within: bool, run: int, sketch:
     return np.concatenate([f[0] for f in found])[keep], np.concatenate([f[1] for f in found])[keep]
 
 
+def _packed(embedded: DataFrame, plan: JoinPlan) -> DataFrame:
+    """(set_id, copies, size, packed): a byte of each coordinate and 4 bytes of each run's leaf, as one value.
+
+    Sets that agree on a coordinate agree on its byte, so fewer bytes only let
+    more pairs through to the exact check. Two leaves of a run share their 4
+    bytes by chance in 1 of 2^32 pairs, far below the recall that is left open.
+    """
+    kind = embedded.schema["set_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sketch = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, plan.coordinates)
+            leaf = batch.column(4).flatten().to_numpy(zero_copy_only=False).reshape(-1, plan.runs)
+            raw = np.hstack([sketch.astype(np.uint8), leaf.astype("<i4").view(np.uint8)])
+            at = np.arange(len(raw) + 1, dtype=np.int32) * raw.shape[1]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.Array.from_buffers(pa.binary(), len(raw), [
+                    None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(raw))])],
+                ["set_id", "copies", "size", "packed"])
+
+    return embedded.mapInArrow(run, f"set_id {kind}, copies bigint, size int, packed binary")
+
+
 def _node_arrays(table: pa.Table, plan: JoinPlan) -> tuple[np.ndarray, ...]:
-    sketch = _lists(table, "sketch")[0].reshape(-1, plan.coordinates)
-    leaf = _lists(table, "leaf")[0].reshape(-1, plan.runs)
+    packed = table.column("packed").combine_chunks()
+    packed = packed.chunk(0) if isinstance(packed, pa.ChunkedArray) else packed
+    width = plan.coordinates + 4 * plan.runs
+    raw = np.frombuffer(packed.buffers()[2], np.uint8)[packed.offset * width:(packed.offset + len(packed)) * width]
+    raw = raw.reshape(-1, width)
+    leaf = np.ascontiguousarray(raw[:, plan.coordinates:]).view("<i4")
     return (table.column("mine").to_numpy(), table.column("within").to_numpy(), table.column("run").to_numpy(),
-            sketch, leaf, table.column("size").to_numpy())
+            np.ascontiguousarray(raw[:, :plan.coordinates]), leaf, table.column("size").to_numpy())
 
 
 def _candidates(rows: DataFrame, plan: JoinPlan) -> DataFrame:
@@ -316,7 +349,8 @@ def components(edges: DataFrame) -> DataFrame:
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         near = both if large else both.filter("v <= u")
-        least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # written, so that the join stands on shuffles alone and Spark can split or broadcast at a hub
+        least = written(near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         out = near.join(least, "u")
         out = out.filter("v > u") if large else out
         made = out.select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -349,7 +383,7 @@ def jaccard_classes(docs: DataFrame, plan: JoinPlan = JoinPlan(), id_col: str =
     spark: SparkSession = docs.sparkSession
     ship_package(spark)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sketches = written(_sketches(docs.filter("doc_id IS NOT NULL"), plan), "sketches")
+    sketches = written(_sketches(docs.filter("doc_id IS NOT NULL"), plan), "sketches", WIDE)
     sets = written(
         sketches.groupBy("k1", "k2").agg(F.min("doc_id").alias("set_id"), F.countDistinct("doc_id").alias("copies")),
         "sets")
@@ -364,17 +398,17 @@ def jaccard_classes(docs: DataFrame, plan: JoinPlan = JoinPlan(), id_col: str =
         "set_id", "copies", "size", "sketch",
         F.transform(F.sequence(F.lit(1), F.lit(plan.runs)),
                     lambda r: F.coalesce(F.element_at("at", r), alone + r)).alias("leaf"))
-    embedded = written(embedded, "embedded")
+    embedded = written(_packed(embedded, plan), "embedded", WIDE)
     blocks = _blocks(leaves, plan)
 
     def dealt(rows: DataFrame) -> DataFrame:
         return rows.repartition("node").sortWithinPartitions("node")
 
-    near = written(_candidates(dealt(blocks.join(embedded.drop("copies"), "set_id")), plan), "candidates")
+    near = written(_candidates(dealt(blocks.join(embedded.drop("copies"), "set_id")), plan), "candidates", WIDE)
     needed = near.select("set_id").distinct()
     shingles = _shingles(docs.join(needed, docs["doc_id"] == needed["set_id"], "left_semi"), plan)
     rows = near.join(embedded, "set_id").join(shingles.dropDuplicates(["set_id"]), "set_id")
-    found = written(_compared(dealt(rows), plan), "links")
+    found = written(_compared(dealt(rows), plan), "links", WIDE)
     classes = components(found.select(F.col("set_id").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("set_id").agg(F.sum("links").alias("n_links"))
     known = written(

@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from fraudspark.llm.tables import ship_package, written
+from fraudspark.llm.tables import arrow_rows, ship_package, written
 from fraudspark.llm.text import Texts, Words, pieces
 
 #: Runs that a task remembers.
@@ -37,11 +37,12 @@ _ALNUM[:128] = [chr(i).isalnum() for i in range(128)]
 
 @dataclass(frozen=True)
 class FilePlan:
-    """file_bytes: text bytes a file; end_id closes each document."""
+    """file_bytes: text bytes a file; end_id closes each document; batch_rows: rows that go to Python at a time."""
 
     end_id: int = 2
     file_bytes: int = 32 << 20
-    stripe_bytes: int = 62 << 20
+    stripe_bytes: int = 16 << 20
+    batch_rows: int = 1000
     index_rows: int = 1000
     bloom_fpp: float = 0.01
 
@@ -165,7 +166,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, plan: Fil
     """Write doc_id, row (order within the file) and ids as ORC, files and rows in ascending doc_id order.
 
     A null text is empty and has the end id alone. Null ids come first;
-    repeated ids are ordered by text. Other columns are ignored.
+    repeated (and null) ids are ordered by a hash of the text, then the text,
+    and may be split over files. A text may have any length: a task takes two
+    megabytes at a time, a longer text alone. Other columns are ignored.
     """
     ship_package(docs.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -186,11 +189,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, plan: Fil
                     ["doc_id", "row", "ids"])
                 row += b - a
 
-    (docs.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
-     .mapInArrow(run, f"doc_id {kind}, row bigint, ids array<int>")
-     .write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", str(plan.bloom_fpp))
-     .option("orc.create.index", "true").option("orc.row.index.stride", str(plan.index_rows))
-     .option("orc.stripe.size", str(plan.stripe_bytes)).option("compression", "lz4").orc(path))
+    dealt = docs.withColumn("hash", F.xxhash64("text")).repartitionByRange(files, "doc_id", "hash")
+    encoded = dealt.sortWithinPartitions("doc_id", "hash", "text").drop("hash").mapInArrow(
+        run, f"doc_id {kind}, row bigint, ids array<int>")
+    with arrow_rows(docs.sparkSession, plan.batch_rows):
+        (encoded.write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", str(plan.bloom_fpp))
+         .option("orc.create.index", "true").option("orc.row.index.stride", str(plan.index_rows))
+         .option("orc.stripe.size", str(plan.stripe_bytes)).option("compression", "lz4").orc(path))
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -219,11 +224,13 @@ def token_offsets(spark: SparkSession, path: str) -> DataFrame:
                 ["file", "doc_id", "row", "n_tokens", "ids_crc32"])
 
     rows = written(
-        files.mapInArrow(run, f"file string, doc_id {kind}, row bigint, n_tokens bigint, ids_crc32 bigint"), "rows")
+        files.mapInArrow(run, f"file string, doc_id {kind}, row bigint, n_tokens bigint, ids_crc32 bigint"), "rows", 4000)
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"), F.min("doc_id").alias("first"),
-                                      F.count("*").alias("rows"), F.count("doc_id").alias("named"))
-    # the range with the null ids is the first one
-    order = Window.orderBy((F.col("rows") > F.col("named")).desc(), F.asc_nulls_first("first"))
+                                      F.max("doc_id").alias("last"), F.count("*").alias("rows"),
+                                      F.count("doc_id").alias("named"))
+    # the ranges with null ids come first, those without another id before the one with both; one id may fill several
+    order = Window.orderBy((F.col("rows") > F.col("named")).desc(), F.col("named") > 0, F.asc_nulls_first("first"),
+                           F.asc_nulls_first("last"), "file")
     before = totals.select("file", (F.sum("n").over(order) - F.col("n")).alias("before"))
     inside = F.sum("n_tokens").over(Window.partitionBy("file").orderBy("row")) - F.col("n_tokens")
     return rows.withColumn("inside", inside).join(before, "file").select(

@@ -487,6 +487,31 @@ def test_token_files_equal_the_library(spark, docs, rows, nothing):
     assert token_files.token_offsets(spark, empty).count() == 0
 
 
+def test_token_files_split_null_and_repeated_ids(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    rows = [([None, 7, i][i % 3], f"text number {i} " * 5) for i in range(90)] + [(5, "long text " * 20000)]
+    to = folder(spark, "tokens.orc")
+    token_files.write_token_files(spark.createDataFrame(rows, "doc_id bigint, text string"), to, path,
+                                  token_files.FilePlan(file_bytes=500))
+    files = token_files.read_token_files(spark, to).groupBy(F.input_file_name()).agg(F.collect_set("doc_id").alias("ids"),
+                                                                                    F.count("*").alias("n"))
+    assert files.filter("size(ids) = 0").count() > 1 and files.filter("ids = array(7L)").count() > 1
+    got = [tuple(r) for r in token_files.token_offsets(spark, to).orderBy("start").collect()]
+    assert [g[0] for g in got] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i))
+    at = 0
+    for _, start, n, _ in got:
+        assert start == at
+        at += n
+    want = []
+    for i, text in rows:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids + [2]
+        want.append((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    assert sorted(((g[0], g[2], g[3]) for g in got), key=repr) == sorted(want, key=repr)
+
+
 def test_runs_are_encoded_as_in_the_whole_text():
     encoder = token_files.RunEncoder(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
     rng = random.Random(2)

@@ -1,186 +1,31 @@
-"""Exact path-dependent tree SHAP for Spark GBT models, in log-odds.
-
-Model-sized work runs once on the driver (bounded by trees x nodes): the
-saved node table is turned into leaf paths, and for every leaf a small
-table of attributions per "which path conditions does the row satisfy"
-pattern (2^M patterns, M <= depth distinct path features). Row-sized work is
-distributed: `mapInArrow` evaluates, per Arrow batch, each leaf's path
-conditions, looks the pattern up and adds the attributions beside the rows.
-
-Leaf formula (Shapley value of a product game over the M path features):
-  phi_i = v * (o_i - z_i) * sum_{S in U\\{i}} |S|!(M-|S|-1)!/M! * prod_{S} o * prod_{U\\S\\i} z
-o_j = 1 if the row satisfies every condition on feature j along the path,
-z_j = product of cover ratios of those conditions. v = 2 * tree weight *
-leaf prediction (Spark's GBT probability is sigmoid(2 * raw)).
+"""Explanations of scores: attributions beside the rows, reasons, importances and their shift.
+
+Attributions are exact path-dependent tree Shapley values in log-odds
+(operators/trees), evaluated in one pass over the rows for either variant.
 """
 
 from __future__ import annotations
 
-import math
-import uuid
-import weakref
-from collections.abc import Iterator
-from dataclasses import dataclass
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fraudspark import schema as S
 from fraudspark.functions.expr import direction
+from fraudspark.operators.model import Model, ensemble_of
+from fraudspark.operators.trees import evaluated
 
 
 class ExplainerError(ValueError):
     """Attributions are inconsistent with the model."""
 
 
-@dataclass
-class Leaf:
-    features: np.ndarray      # (M,) distinct path feature indices
-    steps_f: np.ndarray       # (K,) feature index of each path condition
-    steps_t: np.ndarray       # (K,) threshold
-    steps_left: np.ndarray    # (K,) True: condition is x <= t ; False: x > t
-    steps_slot: np.ndarray    # (K,) position of the step's feature in `features`
-    table: np.ndarray         # (2^M, M) attributions per satisfied-pattern
-
-
-def _gbt_stage(model: PipelineModel):
-    return model.stages[-1]
-
-
-def node_table(spark: SparkSession, model: PipelineModel, folder: str) -> tuple[pd.DataFrame, list[float]]:
-    """Saved GBT node table (bounded by the model size) and tree weights."""
-    gbt = _gbt_stage(model)
-    path = f"{folder.rstrip('/')}/gbt-{uuid.uuid4().hex[:10]}"
-    gbt.write().overwrite().save(path)
-    nodes = spark.read.parquet(path + "/data").select(
-        "treeID", "nodeData.id", "nodeData.prediction", F.get(F.col("nodeData.impurityStats"), 0).alias("cover"),
-        "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
-        F.get(F.col("nodeData.split.leftCategoriesOrThreshold"), 0).alias("threshold"),
-    ).toPandas()
-    return nodes, list(gbt.treeWeights)
-
-
-def _shapley_weights(m: int) -> np.ndarray:
-    return np.array([math.factorial(k) * math.factorial(m - k - 1) / math.factorial(m) for k in range(m)])
-
-
-def _leaf_table(v: float, z: np.ndarray) -> np.ndarray:
-    """(2^M, M) attributions of one leaf for every satisfied pattern."""
-    m = len(z)
-    pats = ((np.arange(2 ** m)[:, None] >> np.arange(m)[None, :]) & 1).astype(float)  # (P, M)
-    w = _shapley_weights(m)
-    out = np.zeros((2 ** m, m))
-    for i in range(m):
-        c = np.zeros((2 ** m, m + 1))
-        c[:, 0] = 1.0
-        for j in range(m):
-            if j == i:
-                continue
-            o = pats[:, j][:, None]
-            shifted = np.concatenate([np.zeros((2 ** m, 1)), c[:, :-1]], axis=1)
-            c = c * z[j] + o * shifted
-        out[:, i] = v * (pats[:, i] - z[i]) * (c[:, :m] @ w)
-    return out
-
-
-def leaves_of(nodes: pd.DataFrame, weights: list[float]) -> tuple[list[Leaf], float]:
-    """Leaf paths + Shapley tables, and the base value (expected log-odds)."""
-    leaves: list[Leaf] = []
-    base = 0.0
-    for tree_id, tn in nodes.groupby("treeID"):
-        byid = {int(r.id): r for r in tn.itertuples()}
-        scale = 2.0 * weights[int(tree_id)]
-        stack = [(0, [])]
-        while stack:
-            nid, path = stack.pop()
-            r = byid[nid]
-            if r.leftChild is None or int(r.leftChild) < 0:
-                v = scale * float(r.prediction)
-                feats, steps_f, steps_t, steps_left, ratios = [], [], [], [], []
-                for (f, t, left, ratio) in path:
-                    if f not in feats:
-                        feats.append(f)
-                    steps_f.append(f)
-                    steps_t.append(t)
-                    steps_left.append(left)
-                    ratios.append(ratio)
-                z = np.ones(len(feats))
-                for f, ratio in zip(steps_f, ratios):
-                    z[feats.index(f)] *= ratio
-                base += v * float(np.prod(ratios)) if ratios else v
-                if feats:
-                    leaves.append(Leaf(
-                        features=np.array(feats, dtype=int), steps_f=np.array(steps_f, dtype=int),
-                        steps_t=np.array(steps_t, dtype=float), steps_left=np.array(steps_left, dtype=bool),
-                        steps_slot=np.array([feats.index(f) for f in steps_f], dtype=int),
-                        table=_leaf_table(v, z)))
-                continue
-            lc, rc = byid[int(r.leftChild)], byid[int(r.rightChild)]
-            f, t = int(r.featureIndex), float(r.threshold)
-            stack.append((int(r.leftChild), path + [(f, t, True, float(lc.cover) / float(r.cover))]))
-            stack.append((int(r.rightChild), path + [(f, t, False, float(rc.cover) / float(r.cover))]))
-    return leaves, base
-
-
-def shap_matrix(x: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
-    """(n, n_features) attributions for a batch of rows."""
-    n = x.shape[0]
-    phi = np.zeros((n, x.shape[1]))
-    for lf in leaves:
-        m = len(lf.features)
-        ok = np.ones((n, m), dtype=bool)
-        for f, t, left, slot in zip(lf.steps_f, lf.steps_t, lf.steps_left, lf.steps_slot):
-            cond = x[:, f] <= t if left else x[:, f] > t
-            ok[:, slot] &= cond
-        pattern = ok.astype(np.int64) @ (1 << np.arange(m))
-        phi[:, lf.features] += lf.table[pattern]
-    return phi
-
-
-ATTR_FIELDS = [T.StructField("base_value", T.DoubleType()), T.StructField("shap", T.ArrayType(T.DoubleType()))]
-
-#: Broadcast leaf tables of the fitted models, each built once (as long as the model is in use).
-_LEAF_TABLES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
-def _leaf_tables(spark: SparkSession, model: PipelineModel, folder: str):
-    if model not in _LEAF_TABLES:
-        # model-sized, not data-sized
-        _LEAF_TABLES[model] = spark.sparkContext.broadcast(leaves_of(*node_table(spark, model, folder)))
-    return _LEAF_TABLES[model]
-
-
-def attributed(df: DataFrame, model: PipelineModel, folder: str) -> DataFrame:
+def attributed(df: DataFrame, model: Model, folder: str) -> DataFrame:
     """df with `base_value` and `shap` (attributions in feature order) beside each of its rows."""
-    from fraudspark.session import ship_package
-
-    spark = df.sparkSession
     S.require_columns(df.columns, S.FEATURES, "rows to explain")
-    ship_package(spark)
-    tables = _leaf_tables(spark, model, folder)
-    df = df.drop(*[f.name for f in ATTR_FIELDS])
-    schema = T.StructType([*df.schema.fields, *ATTR_FIELDS])
-    at = [df.columns.index(c) for c in S.FEATURES]
-    names = schema.names
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaves, base = tables.value
-        for batch in batches:
-            x = np.stack([batch.column(i).cast(pa.float64()).to_numpy(zero_copy_only=False) for i in at], axis=1)
-            phi = shap_matrix(x, leaves)
-            n, m = phi.shape
-            shap = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * m), pa.array(phi.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, base)), shap], names)
-
-    return df.mapInArrow(run, schema)
-
-
-def attributions(df: DataFrame, model: PipelineModel, folder: str) -> DataFrame:
+    return evaluated(df, ensemble_of(df.sparkSession, model, folder), shap=True)
+
+
+def attributions(df: DataFrame, model: Model, folder: str) -> DataFrame:
     """(transaction_id, base_value, shap array in feature order) for every row."""
     return attributed(df.select("transaction_id", *S.FEATURES), model, folder).select(
         "transaction_id", "base_value", "shap")

@@ -1,25 +1,34 @@
-"""Two gradient-boosted-tree variants on Spark ML, scoring and flagging.
+"""Two gradient-boosted-tree variants, scoring and flagging.
 
 Both variants share the capacity settings (trees, learning rate, depth, row
 and column sampling, seed, positive-class weight) so the comparison isolates
 the tree-growing policy:
-  A  depth-wise trees, 32 histogram bins (the incumbent)
-  B  same trees with >= 20 rows per leaf and 255 bins (the challenger)
-`estimator_for` is the factory; another Spark estimator can be plugged in.
+  A  depth-wise trees on Spark ML, 32 histogram bins (the incumbent)
+  B  leaf-wise trees (operators/boosting): at most 63 leaves, >= 20 rows per
+     leaf, 255 bins (the challenger)
+`estimator_for` gives a variant's settings. A fitted A is a PipelineModel, a
+fitted B an Ensemble; `ensemble_of` gives the node table of either, through
+which both are explained.
 """
 
 from __future__ import annotations
 
+import weakref
 from typing import NamedTuple
 
+from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudspark import schema as S
+from fraudspark.operators import boosting
+from fraudspark.operators.trees import Ensemble, EnsembleError, evaluated, gbt_ensemble
+
+Model = PipelineModel | Ensemble
 
 # Shared capacity of both variants.
 SHARED = {
@@ -33,9 +42,10 @@ SHARED = {
 #: What sets the variants apart: how a tree may grow.
 GROWTH = {
     "A": {"maxBins": 32, "minInstancesPerNode": 1},
-    "B": {"maxBins": 255, "minInstancesPerNode": 20},
+    "B": {"max_bins": 255, "min_rows": 20, "max_leaves": 2 ** SHARED["max_depth"] - 1},
 }
 VARIANTS = tuple(GROWTH)
+LEAF_WISE = "B"
 WEIGHT = "_weight"
 VECTOR = "_features"
 
@@ -51,11 +61,16 @@ class Threshold(NamedTuple):
     block_none: bool = False
 
 
-def estimator_for(variant: str, n_estimators: int | None = None) -> Pipeline:
-    """The unfitted estimator of a variant: SHARED settings and its GROWTH."""
+def estimator_for(variant: str, n_estimators: int | None = None) -> Pipeline | boosting.Growth:
+    """What a variant is fitted with, SHARED settings and its GROWTH: a Spark ML pipeline, or those of leaf-wise trees."""
     growth = GROWTH.get(variant)
     if growth is None:
         raise UnknownVariantError(f"no variant is called {variant!r}; there are {', '.join(VARIANTS)}")
+    if variant == LEAF_WISE:
+        return boosting.Growth(
+            n_trees=n_estimators or SHARED["n_estimators"], learning_rate=SHARED["learning_rate"],
+            max_depth=SHARED["max_depth"], subsample=SHARED["subsample"], colsample=SHARED["colsample"],
+            seed=SHARED["seed"], **growth)
     gbt = GBTClassifier(
         featuresCol=VECTOR, labelCol="label", weightCol=WEIGHT,
         maxIter=n_estimators or SHARED["n_estimators"], stepSize=SHARED["learning_rate"],
@@ -81,20 +96,52 @@ def training_frame(df: DataFrame, scale_pos_weight: float) -> DataFrame:
         WEIGHT, F.when(F.col("label") == 1.0, F.lit(float(scale_pos_weight))).otherwise(F.lit(1.0)))
 
 
-def fit_variant(train: DataFrame, variant: str, *, scale_pos_weight: float,
-                n_estimators: int | None = None) -> PipelineModel:
+def fit_variant(train: DataFrame, variant: str, *, scale_pos_weight: float, n_estimators: int | None = None) -> Model:
     from fraudspark.session import ensure_checkpoint_dir
 
     estimator = estimator_for(variant, n_estimators)
     if not scale_pos_weight > 0:
         raise ValueError(f"positives cannot weigh {scale_pos_weight}")
     ensure_checkpoint_dir(train.sparkSession)
-    return estimator.fit(training_frame(train, scale_pos_weight))
+    frame = training_frame(train, scale_pos_weight)
+    if isinstance(estimator, boosting.Growth):
+        return boosting.fit(frame.withColumnRenamed(WEIGHT, "weight"), [f"_x_{c}" for c in S.FEATURES], estimator)
+    return estimator.fit(frame)
+
+
+#: Node tables of fitted pipelines, each read once (as long as the model is in use).
+_ENSEMBLES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def ensemble_of(spark: SparkSession, model: Model, folder: str) -> Ensemble:
+    """The node table of a fitted variant; a pipeline's is saved in `folder` first."""
+    if isinstance(model, Ensemble):
+        return model
+    if model not in _ENSEMBLES:
+        _ENSEMBLES[model] = gbt_ensemble(spark, model, folder)
+    return _ENSEMBLES[model]
+
+
+def save_model(spark: SparkSession, model: Model, path: str) -> None:
+    if isinstance(model, Ensemble):
+        model.save(spark, path)
+    else:
+        model.write().overwrite().save(path)
+
+
+def load_model(spark: SparkSession, path: str) -> Model:
+    """A saved variant of either kind."""
+    try:
+        return Ensemble.load(spark, path)
+    except (EnsembleError, PySparkException):  # a pipeline has folders of its own, no node table
+        return PipelineModel.load(path)
 
 
-def score(model: PipelineModel, df: DataFrame, keep=("transaction_id",), name: str = "fraud_probability") -> DataFrame:
-    """P(fraud) per row, plus the raw margin in log-odds (2 x GBT raw score)."""
+def score(model: Model, df: DataFrame, keep=("transaction_id",), name: str = "fraud_probability") -> DataFrame:
+    """P(fraud) per row, plus the margin in log-odds (2 x raw score of a Spark GBT)."""
     keep = [c for c in df.columns if c in keep or not c.startswith("_x_")]
+    if isinstance(model, Ensemble):
+        return evaluated(df, model, margin="margin", probability=name).select(*keep, name, "margin")
     m = feature_matrix(df, keep=keep)
     out = model.transform(m)
     return out.select(

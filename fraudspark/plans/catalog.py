@@ -540,6 +540,7 @@ def q_drift_check(spark, sf_dir):
 # ------------------------------------------------------------------ models (rows-only checks)
 from fraudspark.operators import explain as EX  # noqa: E402
 from fraudspark.operators import model as MO  # noqa: E402
+from fraudspark.operators import trees as TR  # noqa: E402
 from fraudspark.session import ensure_checkpoint_dir  # noqa: E402
 
 _MODEL_CACHE: dict = {}
@@ -593,12 +594,15 @@ def _attr_all(spark, sf_dir):
 @query("fit_variant")
 def q_fit_variant(spark, sf_dir):
     _, models, _ = _test(spark, sf_dir)
-    rows = [(v, len(m.stages[-1].trees), int(m.stages[-1].totalNumNodes)) for v, m in models.items()]
-    return spark.createDataFrame(rows, "variant string, n_trees int, total_nodes int")
+    folder, out = ensure_checkpoint_dir(spark), None
+    for v, m in models.items():
+        part = spark.createDataFrame(MO.ensemble_of(spark, m, folder).nodes, TR.NODE_SCHEMA).withColumn("variant", F.lit(v))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-@query("score")
-def q_score(spark, sf_dir):
+@query("model_score")
+def q_model_score(spark, sf_dir):
     return _scored_all(spark, sf_dir).select("transaction_id", "variant", "fraud_probability")
 
 
@@ -607,14 +611,14 @@ def q_model_flag(spark, sf_dir):
     return _scored_all(spark, sf_dir).select("transaction_id", "variant", "threshold", "is_flagged")
 
 
-@query("tree_attributions")
-def q_tree_attributions(spark, sf_dir):
+@query("model_tree_attributions")
+def q_model_tree_attributions(spark, sf_dir):
     a = _attr_all(spark, sf_dir)
     return a.select("transaction_id", "variant", *[F.col("shap")[i].alias(f) for i, f in enumerate(S.FEATURES)])
 
 
-@query("base_value")
-def q_base_value(spark, sf_dir):
+@query("model_base_value")
+def q_model_base_value(spark, sf_dir):
     return _attr_all(spark, sf_dir).groupBy("variant").agg(F.first("base_value").alias("base_value"))
 
 
@@ -629,6 +633,83 @@ def _explained(spark, sf_dir):
     return out
 
 
+#: Two small ensembles (bias, trees), for which SQL can check scores and attributions of every row. A tree's nodes:
+#: (feature, threshold, left, right, cover), or (value, cover) at a leaf. One feature is used twice on a path, one
+#: tree is a leaf alone.
+FIXED_TREES = {
+    "A": (-2.0, [
+        [("amount_log", 3.9, 1, 2, 1000), ("txn_count_24h", 1.5, 3, 4, 620), ("is_foreign", 0.5, 5, 6, 380),
+         (-0.4, 400), (0.15, 220), (0.05, 300), ("amount_log", 4.6, 7, 8, 80), (0.7, 50), (1.6, 30)],
+        [("seconds_since_prev_txn", 3600.0, 1, 2, 900), ("amount_vs_customer_mean", 1.2, 3, 4, 270),
+         ("hour_of_day", 5.5, 5, 6, 630), (-0.1, 180), (0.9, 90), (0.3, 130), (-0.2, 500)],
+        [("card_not_present", 0.5, 1, 2, 800), (-0.25, 640), ("customer_amount_mean_prior", 50.0, 3, 4, 160),
+         (0.45, 70), (0.2, 90)]]),
+    "B": (-1.25, [
+        [("is_foreign", 0.5, 1, 2, 500), ("amount_sum_24h", 120.0, 3, 4, 430), (0.8, 70),
+         ("day_of_week", 4.5, 5, 6, 310), ("amount_sum_24h", 400.0, 7, 8, 120), (-0.3, 200), (-0.1, 110), (0.2, 90), (0.6, 30)],
+        [(0.125, 500)]]),
+}
+
+
+def fixed_nodes(variant):
+    """(tree, node, feature, threshold, left, right, value, cover) of a fixed ensemble."""
+    rows = []
+    for t, tree in enumerate(FIXED_TREES[variant][1]):
+        for i, node in enumerate(tree):
+            if len(node) == 2:
+                rows.append((t, i, -1, 0.0, -1, -1, float(node[0]), float(node[1])))
+            else:
+                rows.append((t, i, S.FEATURES.index(node[0]), float(node[1]), *node[2:4], 0.0, float(node[4])))
+    return rows
+
+
+def fixed_ensemble(variant):
+    import pandas as pd
+
+    return TR.Ensemble(pd.DataFrame(fixed_nodes(variant), columns=TR.NODE_SCHEMA.names), FIXED_TREES[variant][0])
+
+
+def _fixed(spark, sf_dir, of):
+    """of(rows, ensemble) for both fixed ensembles over all rows, with the variant's name."""
+    out = None
+    for v in FIXED_TREES:
+        part = of(features(spark, sf_dir), fixed_ensemble(v)).withColumn("variant", F.lit(v))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("score")
+def q_score(spark, sf_dir):
+    """Margins and probabilities by the code that scores a fitted variant."""
+    return rounded(_fixed(spark, sf_dir, lambda rows, e: MO.score(e, rows)).select(
+        "transaction_id", "variant", "margin", "fraud_probability"))
+
+
+@query("tree_attributions")
+def q_tree_attributions(spark, sf_dir):
+    a = _fixed(spark, sf_dir, lambda rows, e: EX.attributions(rows, e, ""))
+    return a.select("transaction_id", "variant", *[F.round(F.col("shap")[i], 8).alias(f) for i, f in enumerate(S.FEATURES)])
+
+
+@query("base_value")
+def q_base_value(spark, sf_dir):
+    a = _fixed(spark, sf_dir, lambda rows, e: EX.attributions(rows, e, ""))
+    return rounded(a.groupBy("variant").agg(F.min("base_value").alias("base_value"),
+                                            F.max("base_value").alias("base_value_max")))
+
+
+@query("additivity_check")
+def q_additivity_check(spark, sf_dir):
+    """Rows whose base value and attributions sum up to the margin, and those of a margin that is off by 0.001."""
+    a = _fixed(spark, sf_dir, lambda rows, e: EX.attributed(MO.score(e, rows), e, ""))
+    off = F.when(F.pmod(F.col("transaction_id"), F.lit(10)) == 0, 0.001).otherwise(0.0)
+    err = F.abs(EX.margin_of() - F.col("margin"))
+    shifted = F.abs(EX.margin_of() - (F.col("margin") + off))
+    return a.groupBy("variant").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(err <= S.ADDITIVITY_TOLERANCE).alias("n_additive"),
+        F.count_if(shifted > S.ADDITIVITY_TOLERANCE).alias("n_off"))
+
+
 ATTRIBUTION_BASE = {"A": -2.0, "B": -1.5}
 ATTRIBUTION_STEP = {"A": 1, "B": 7}
 ATTRIBUTION_PRIMES = [7919 + 100 * i for i in range(len(S.FEATURES))]
@@ -667,8 +748,8 @@ def q_model_margin(spark, sf_dir):
                      F.col("margin").alias("model_margin"))
 
 
-@query("additivity_check")
-def q_additivity_check(spark, sf_dir):
+@query("model_additivity_check")
+def q_model_additivity_check(spark, sf_dir):
     ex = _explained(spark, sf_dir)
     err = F.abs(EX.margin_of() - F.col("margin"))
     return ex.groupBy("variant").agg(F.max(err).alias("max_error"),

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,12 +62,11 @@ def train_job(
     train = split.filter(F.col("split") == "train")
     n_val = split.filter(F.col("split") == "validation").limit(1).count()
     thr_part = "validation" if n_val else "train"
-    models, scores = {}, None
-    for v in variants:
+    models, scores = {}, split
+    for v in variants:  # each adds its column to the same rows
         models[v] = MO.fit_variant(train, v, scale_pos_weight=spw, n_estimators=n_estimators)
-        s = MO.score(models[v], split, keep=("transaction_id", "split", S.LABEL, S.AMOUNT),
-                     name=f"score_{v}").drop("margin")
-        scores = s if scores is None else scores.join(s.select("transaction_id", f"score_{v}"), "transaction_id")
+        scores = MO.score(models[v], scores, name=f"score_{v}").drop("margin")
+    scores = scores.select("transaction_id", "split", S.LABEL, S.AMOUNT, *[f"score_{v}" for v in variants])
     scores = scores.checkpoint(eager=True)
     long = None
     for v in variants:
@@ -100,7 +98,7 @@ def train_job(
         if importance is not None:
             importance.write.mode("overwrite").parquet(f"{out_dir}/importance")
         for v, m in models.items():
-            m.write().overwrite().save(f"{out_dir}/model_{v}")
+            MO.save_model(spark, m, f"{out_dir}/model_{v}")
     return TrainResult(split, models, thresholds, evaluation, ci, verdict, profile, importance)
 
 
@@ -169,7 +167,7 @@ def drift_check_job(spark: SparkSession, profile_path: str, feature_table: str,
     if model_path and importance_path:
         try:
             stored = spark.read.parquet(importance_path).filter(F.col("variant") == variant)
-            shift = explanation_shift(stored, cur, PipelineModel.load(model_path), folder=ensure_checkpoint_dir(spark))
+            shift = explanation_shift(stored, cur, MO.load_model(spark, model_path), folder=ensure_checkpoint_dir(spark))
         except (ValueError, PySparkException, Py4JJavaError) as exc:
             logging.getLogger(__name__).error("no shift of explanations: %s", exc)
     return drift_check(profile, cur, importance_shift=shift, dry_run=dry_run)

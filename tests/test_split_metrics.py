@@ -138,7 +138,7 @@ def test_temporal_split_sizes_order_and_guards(spark):
     n = sp.count()
     sizes = {r["split"]: r["n_rows"] for r in SP.split_stats(sp).collect()}
     assert sizes == dict(zip(("train", "validation", "test"), SP.split_sizes(n, .2, .25)))
-    edge = sp.groupBy("split").agg(F.min("time_rank").alias("lo"), F.max("time_rank").alias("hi")).collect()
+    edge = SP.temporal_rank(sp).groupBy("split").agg(F.min("time_rank").alias("lo"), F.max("time_rank").alias("hi")).collect()
     e = {r["split"]: (r["lo"], r["hi"]) for r in edge}
     assert e["train"][1] + 1 == e["validation"][0] and e["validation"][1] + 1 == e["test"][0]
     t = sp.groupBy("split").agg(F.min("event_time").alias("a"), F.max("event_time").alias("b")).collect()

@@ -147,7 +147,7 @@ def q_temporal_split(spark, sf_dir):
 
 @query("labelled_filter")
 def q_labelled_filter(spark, sf_dir):
-    df = SP.between_dates(SP.labelled(transactions(spark, sf_dir)), LABELLED_FROM, LABELLED_TO)
+    df = SP.between_dates(SP.labelled(damaged_transactions(spark, sf_dir)), LABELLED_FROM, LABELLED_TO)
     return rounded(df.select("transaction_id", "customer_id", "amount", "is_fraud"))
 
 
@@ -238,7 +238,19 @@ def q_ab_verdict(spark, sf_dir):
 @query("ab_report")
 def q_ab_report(spark, sf_dir):
     _, thr, test = fitted(spark, sf_dir)
-    return ME.ab_report(ME.evaluate(test, thr))
+    verdict = ME.ab_verdict(_ci(spark, sf_dir))
+    return ME.ab_report(ME.evaluate(test, thr), verdict.first()["winner"], verdict)
+
+
+@query("ab_confusion")
+def q_ab_confusion(spark, sf_dir):
+    _, thr, test = fitted(spark, sf_dir)
+    return ME.confusion_table(ME.confusion(test, thr))
+
+
+@query("ab_interval")
+def q_ab_interval(spark, sf_dir):
+    return rounded(ME.interval_position(_ci(spark, sf_dir)))
 
 
 @query("ab_tables")
@@ -350,18 +362,24 @@ from fraudspark.operators import state as ST  # noqa: E402
 from fraudspark.sources.adapter import read_table  # noqa: E402
 
 STATE_CUT = "2024-01-15 12:00:00"
-BACKFILL_FROM = "2024-01-13 12:00:00"
+BACKFILL_FROM, STALE_TO, BACKFILL_TO = "2024-01-13 12:00:00", "2024-01-14 12:00:00", "2024-01-17 00:00:00"
+
+
+def busy_transactions(spark, sf_dir):
+    """The transactions of two customers in three dealt to two ids, which so have over 100 events in 24 hours."""
+    c = F.col("customer_id")
+    return transactions(spark, sf_dir).withColumn("customer_id", F.when(c % 3 == 0, c).otherwise(c % 2))
 
 
 @query("asof_state")
 def q_asof_state(spark, sf_dir):
-    a = ST.asof_state(transactions(spark, sf_dir))
+    a = ST.asof_state(busy_transactions(spark, sf_dir))
     return rounded(a.select("transaction_id", "prior_count", "prior_amount_mean", "n_recent", "truncated"))
 
 
 @query("serving_features")
 def q_serving_features(spark, sf_dir):
-    return rounded(ST.serving_features_batch(transactions(spark, sf_dir)).select("transaction_id", *S.FEATURES))
+    return rounded(ST.serving_features_batch(busy_transactions(spark, sf_dir)).select("transaction_id", *S.FEATURES))
 
 
 @query("skew_check")
@@ -371,7 +389,7 @@ def q_skew_check(spark, sf_dir):
 
 
 def _fold(spark, sf_dir):
-    return ST.state_fold(transactions(spark, sf_dir), as_of=STATE_CUT)
+    return ST.state_fold(busy_transactions(spark, sf_dir), as_of=STATE_CUT)
 
 
 @query("state_fold")
@@ -433,11 +451,21 @@ def q_latest_customer_state(spark, sf_dir):
     return rounded(_latest(spark, sf_dir))
 
 
+def _state_table(spark, state, **kw):
+    table = STB.StateTable(spark, TB.scratch_path(spark, "state"))
+    table.create(state, **kw)
+    return table
+
+
 @query("state_upsert")
 def q_state_upsert(spark, sf_dir):
-    old = _latest(spark, sf_dir, hi=STATE_CUT)
-    late_batch = _latest(spark, sf_dir, lo=BACKFILL_FROM)
-    return rounded(ST.state_upsert(old, late_batch))
+    """A written state table takes a backfill that is newer than the kept row of even customers and older for odd ones."""
+    table = _state_table(spark, _latest(spark, sf_dir, hi=STATE_CUT), n_buckets=16)
+    rows = features(spark, sf_dir)
+    end = F.when(F.col("customer_id") % 2 == 0, F.lit(BACKFILL_TO)).otherwise(F.lit(STALE_TO)).cast("timestamp_ntz")
+    table.upsert(ST.latest_customer_state(rows.filter(
+        (F.col(S.EVENT_TIME) >= F.lit(BACKFILL_FROM).cast("timestamp_ntz")) & (F.col(S.EVENT_TIME) < end))))
+    return rounded(table.read())
 
 
 @query("state_lookup")
@@ -447,6 +475,7 @@ def q_state_lookup(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ tables and sinks
+from fraudspark.sources import state_table as STB  # noqa: E402
 from fraudspark.sources import tables as TB  # noqa: E402
 
 TRAIN_FROM, TRAIN_TO = "2024-01-03 00:00:00", "2024-01-25 00:00:00"
@@ -517,9 +546,13 @@ def q_profile_save_load(spark, sf_dir):
 @query("run_log")
 def q_run_log(spark, sf_dir):
     _, thr, test = fitted(spark, sf_dir)
-    log = TB.run_log(ME.evaluate(test, thr), "run-1", params={"n_estimators": 300, "learning_rate": 0.05})
-    return rounded(log.select("run", "variant", "kind", "name", "num",
-                              F.when(F.col("kind") == "param", F.col("value")).alias("param")))
+    path = TB.scratch_path(spark, "runs")
+    importance = EX.global_importance(pseudo_explained(spark, sf_dir), "variant")
+    TB.append_run(TB.run_log(ME.evaluate(test, thr), "run-1", params={"n_estimators": 300, "learning_rate": 0.05},
+                             importance=importance), path)
+    TB.append_run(TB.run_log(ME.evaluate(test, thr.withColumn("threshold", F.lit(0.5))), "run-2"), path)
+    return spark.read.parquet(path).select("run", "variant", "kind", "name", F.round("num", 8).alias("num"),
+                                           F.when(F.col("kind") == "param", F.col("value")).alias("param"))
 
 
 # ------------------------------------------------------------------ drift check job

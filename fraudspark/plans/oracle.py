@@ -340,7 +340,9 @@ SELECT round(point, 6) AS point, round(lower, 6) AS lower, round(upper, 6) AS up
               CASE WHEN (lower > 0 OR upper < 0) THEN 'significant' ELSE 'not significant' END,
               CASE WHEN (lower > 0 OR upper < 0) THEN (CASE WHEN point < 0 THEN 'A' ELSE 'B' END) ELSE 'A' END) AS summary
 FROM ci""", bootstrap=True))
-register("ab_report", metric_sql("""
+register("ab_report", metric_sql(""",
+vd AS (SELECT (lower > 0 OR upper < 0) AS sig,
+                   CASE WHEN (lower > 0 OR upper < 0) AND point >= 0 THEN 'B' ELSE 'A' END AS win FROM ci)
 SELECT (SELECT variant FROM ev ORDER BY cost_per_1000, variant LIMIT 1) AS cheaper_variant,
        (SELECT variant FROM ev ORDER BY roc_auc DESC, variant LIMIT 1) AS best_roc_auc,
        (SELECT variant FROM ev ORDER BY pr_auc DESC, variant LIMIT 1) AS best_pr_auc,
@@ -350,7 +352,23 @@ SELECT (SELECT variant FROM ev ORDER BY cost_per_1000, variant LIMIT 1) AS cheap
        (SELECT variant FROM ev ORDER BY cost_per_1000, variant LIMIT 1) AS best_cost_per_1000,
        (SELECT variant FROM ev ORDER BY total_cost, variant LIMIT 1) AS best_total_cost,
        (SELECT variant FROM ev ORDER BY f1 DESC, variant LIMIT 1)
-         <> (SELECT variant FROM ev ORDER BY cost_per_1000, variant LIMIT 1) AS metrics_disagree"""))
+         <> (SELECT variant FROM ev ORDER BY cost_per_1000, variant LIMIT 1) AS metrics_disagree,
+       win AS winner, sig AS significant,
+       CASE WHEN sig THEN win || ' wins: the interval of the cost difference leaves out zero'
+            ELSE 'no proven difference: the interval holds zero, so ' || win || ' stays' END AS verdict
+FROM vd""", bootstrap=True))
+_conf_cells = [("fraud", True, "true_positives"), ("fraud", False, "false_negatives"), ("genuine", True, "false_positives"),
+               ("genuine", False, "true_negatives")]
+register("ab_confusion", " UNION ALL ".join(
+    f"SELECT variant, '{a}' AS actual, {f} AS flagged, CAST({c} AS BIGINT) AS n FROM ({ORACLE['confusion']})"
+    for a, f, c in _conf_cells))
+register("ab_interval", metric_sql("""
+SELECT round(point, 6) AS point, round(lower, 6) AS lower, round(upper, 6) AS upper,
+       round((0 - s) / len, 6) AS zero_at, round((lower - s) / len, 6) AS lower_at, round((point - s) / len, 6) AS point_at,
+       round((upper - s) / len, 6) AS upper_at
+FROM (SELECT *, lo - pad AS s, hi - lo + 2 * pad AS len FROM (
+  SELECT *, CASE WHEN hi > lo THEN (hi - lo) * 0.1::DOUBLE ELSE 1 END AS pad FROM (
+    SELECT *, least(lower, 0) AS lo, greatest(upper, 0) AS hi FROM ci)))""", bootstrap=True))
 _pivot_metrics = ["roc_auc", "pr_auc", "precision", "recall", "f1", "threshold", "cost_per_1000", "total_cost",
                   "false_positives", "false_negatives", "true_positives"]
 register("ab_tables", metric_sql("SELECT metric, round(max(CASE WHEN variant = 'A' THEN value END), 6) AS A, "
@@ -526,6 +544,8 @@ register("significant_features", drift_sql(
 _CUT = "TIMESTAMP '2024-01-15 12:00:00'"
 _BACKFILL = "TIMESTAMP '2024-01-13 12:00:00'"
 
+_STALE_TO, _BACKFILL_TO = "TIMESTAMP '2024-01-14 12:00:00'", "TIMESTAMP '2024-01-17 00:00:00'"
+
 ASOF_SQL = """
 SELECT t.*,
   count(*) OVER (PARTITION BY customer_id ORDER BY us RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_count,
@@ -582,12 +602,29 @@ def state_sql(select: str) -> str:
     return body + "\n" + select
 
 
-register("asof_state", state_sql("""
+def busy_sql(select: str) -> str:
+    """state_sql where two customers in three are dealt to two ids, which have over 100 events in 24 hours."""
+    return state_sql(select).replace("WITH tx AS (", "WITH tx0 AS (", 1).replace(
+        "fw AS (", "tx AS (SELECT * REPLACE (CASE WHEN customer_id % 3 = 0 THEN customer_id ELSE customer_id % 2 END "
+                   "AS customer_id) FROM tx0),\nfw AS (", 1)
+
+
+#: The 24-hour sum over the newest 100 events before an instant, from running sums at two positions.
+CAPPED_SERVING_SQL = SERVING_SQL.replace("round(CAST(s24 + amount AS DOUBLE), 6)", """round(CAST(amount
+    + coalesce((SELECT any_value(p.cum) FROM pre p WHERE p.customer_id = a.customer_id AND p.k = a.prior_count), 0)
+    - coalesce((SELECT any_value(p.cum) FROM pre p WHERE p.customer_id = a.customer_id
+                AND p.k = a.prior_count - least(c24, 100)), 0) AS DOUBLE), 6)""")
+PRE_SQL = """pre AS (SELECT customer_id, row_number() OVER w AS k, sum(amount) OVER w AS cum FROM tx
+  WINDOW w AS (PARTITION BY customer_id ORDER BY epoch_us(event_time), transaction_id))"""
+
+
+register("asof_state", busy_sql("""
 SELECT transaction_id, prior_count,
        round(CASE WHEN prior_count > 0 THEN CAST(prior_sum AS DOUBLE) / prior_count END, 6) AS prior_amount_mean,
        least(prior_count, 100) AS n_recent, prior_count > 100 AS truncated
 FROM asofs"""))
-register("serving_features", state_sql(SERVING_SQL))
+_PLAIN_SERVING = state_sql(SERVING_SQL)
+register("serving_features", busy_sql(CAPPED_SERVING_SQL).replace("asofs AS (", PRE_SQL + ",\nasofs AS (", 1))
 register("skew_check", state_sql(f"""
 SELECT feature, count(*) AS n_compared, count_if(mismatch) AS n_mismatch FROM (
   {" UNION ALL ".join(
@@ -598,13 +635,13 @@ SELECT feature, count(*) AS n_compared, count_if(mismatch) AS n_mismatch FROM (
       + " AS mismatch FROM feat o JOIN (" + SERVING_SQL.replace("round(", "(").replace(", 6)", ")") + ") s ON s.transaction_id = o.transaction_id"
       for f in S.FEATURES)}
 ) GROUP BY feature"""))
-register("state_fold", state_sql("""
+register("state_fold", busy_sql("""
 SELECT f.customer_id, f.prior_count, round(CAST(f.prior_sum AS DOUBLE), 6) AS prior_sum,
        round(f.prior_amount_mean, 6) AS prior_amount_mean, f.truncated,
        r.n_recent, r.oldest_recent_us, r.newest_recent_us, round(CAST(r.recent_sum AS DOUBLE), 6) AS recent_sum
 FROM fold f JOIN (SELECT customer_id, count(*) AS n_recent, min(us) AS oldest_recent_us, max(us) AS newest_recent_us,
                          sum(amount) AS recent_sum FROM recent GROUP BY customer_id) r ON r.customer_id = f.customer_id"""))
-register("state_window", state_sql(f"""
+register("state_window", busy_sql(f"""
 SELECT f.customer_id,
   (SELECT count(*) FROM recent r WHERE r.customer_id = f.customer_id AND epoch_us({_CUT}) - r.us >= 0
      AND epoch_us({_CUT}) - r.us < 3600000000) AS n_1h,
@@ -613,15 +650,16 @@ SELECT f.customer_id,
   round(coalesce((SELECT CAST(sum(r.amount) AS DOUBLE) FROM recent r WHERE r.customer_id = f.customer_id
      AND epoch_us({_CUT}) - r.us >= 0 AND epoch_us({_CUT}) - r.us < 86400000000), 0.0), 6) AS sum_24h
 FROM fold f"""))
-register("state_prev", state_sql(f"""
+register("state_prev", busy_sql(f"""
 SELECT customer_id, round(coalesce((epoch_us({_CUT}) - max(us)) / 1e6, -1.0), 6) AS seconds_since_prev
 FROM recent GROUP BY customer_id"""))
-register("state_baseline", state_sql("""
+register("state_baseline", busy_sql("""
 SELECT c.c_custkey AS customer_id, coalesce(f.prior_count, 0) AS prior_count, coalesce(f.prior_count, 0) = 0 AS is_new_customer,
        round(CASE WHEN coalesce(f.prior_count, 0) > 0 THEN f.prior_amount_mean ELSE 100.0 END, 6) AS baseline_at_100
 FROM customer c LEFT JOIN fold f ON f.customer_id = c.c_custkey"""))
 register("latest_customer_state", state_sql(LATEST_SQL.format(where="")))
-register("state_upsert", state_sql(LATEST_SQL.format(where="")))
+register("state_upsert", state_sql(LATEST_SQL.format(where=f"""WHERE event_time < {_CUT} OR (event_time >= {_BACKFILL}
+      AND event_time < CASE WHEN customer_id % 2 = 0 THEN {_BACKFILL_TO} ELSE {_STALE_TO} END)""")))
 register("state_lookup", state_sql("""
 SELECT c.c_custkey AS customer_id, l.event_us, l.transaction_id, l.seconds_since_prev_txn, l.txn_count_1h,
        l.txn_count_24h, l.amount_sum_24h, l.customer_amount_mean_prior
@@ -664,7 +702,7 @@ SELECT drifted, n_significant, n_features, worst_feature, round(worst_psi, 6) AS
     "(SELECT * FROM spl WHERE split = 'test')",
     "(SELECT * FROM feat WHERE event_time >= TIMESTAMP '2024-01-22 00:00:00' AND event_time < TIMESTAMP '2024-02-01 00:00:00')"))
 
-register("stream_features", ORACLE["serving_features"])
+register("stream_features", _PLAIN_SERVING)
 register("late_events", f"""
 {with_ctes("tx")}
 SELECT transaction_id, customer_id, newest_us - us AS late_by_us FROM (
@@ -717,7 +755,7 @@ register("to_utc", f"""
 {with_ctes("tx")}
 SELECT transaction_id, epoch_us(event_time) AS naive_us, epoch_us(event_time) - 7200000000 AS offset_us,
        epoch_us(event_time) AS zulu_us FROM tx""")
-register("cast_features", ORACLE["serving_features"])
+register("cast_features", _PLAIN_SERVING)
 register("feature_vector", f"""
 {with_ctes("feat")}
 SELECT transaction_id, {", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in S.FEATURES)} FROM feat""")
@@ -838,3 +876,26 @@ register("additivity_check", trees_sql("""SELECT variant, count(*) AS n,
        count_if(abs(base + total - margin) <= 1e-6) AS n_additive,
        count_if(abs(base + total - margin - CASE WHEN transaction_id % 10 = 0 THEN 0.001 ELSE 0 END) > 1e-6) AS n_off
 FROM margin JOIN attr USING (transaction_id, variant) GROUP BY variant"""))
+
+
+# ----------------------------------------------------------------- run log, labels of damaged rows
+def _run_rows(run: str, sql: str) -> str:
+    parts = " UNION ALL ".join(f"SELECT variant, '{m}' AS name, CAST({m} AS DOUBLE) AS num FROM ev" for m in _pivot_metrics)
+    return sql.replace("@PARTS", f"SELECT '{run}' AS run, variant, 'metric' AS kind, name, round(num, 8) AS num, "
+                                 f"CAST(NULL AS VARCHAR) AS param FROM ({parts})")
+
+
+_HALF = metric_sql("@PARTS").replace("thr AS (", "thr0 AS (", 1).replace(
+    "conf AS (", "thr AS (SELECT variant, 0.5::DOUBLE AS threshold, cost, block_none FROM thr0),\nconf AS (", 1)
+register("run_log", f"""
+SELECT * FROM ({_run_rows("run-1", metric_sql("@PARTS"))})
+UNION ALL SELECT * FROM ({_run_rows("run-2", _HALF)})
+UNION ALL SELECT 'run-1', variant, 'metric', 'shap_importance__' || feature, round(importance, 8), NULL
+FROM ({explained_sql("SELECT variant, feature, importance FROM imp")})
+UNION ALL SELECT 'run-1', '*', 'param', 'n_estimators', NULL, '300'
+UNION ALL SELECT 'run-1', '*', 'param', 'learning_rate', NULL, '0.05'""")
+register("labelled_filter", f"""
+{DAMAGED_SQL}
+SELECT transaction_id, customer_id, round(CAST(amount AS DOUBLE), 6) AS amount, is_fraud FROM dirty
+WHERE is_fraud IS NOT NULL AND event_time >= TIMESTAMP '2024-01-05 00:00:00' AND event_time < TIMESTAMP '2024-01-20 00:00:00'
+""")

@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -186,6 +187,22 @@ def run_log(evaluation: DataFrame, run_id: str, params: dict | None = None,
     return out
 
 
+def append_run(log: DataFrame, path: str) -> int:
+    """Append one run's rows, partitioned by run; a run that the log holds already is rejected. Rows written."""
+    runs = [r[0] for r in log.select("run").distinct().limit(2).collect()]
+    if len(runs) != 1:
+        raise TableError(f"rows of one run are appended at a time; these have {len(runs)}")
+    try:
+        known = not log.sparkSession.read.parquet(path).filter(F.col("run") == runs[0]).isEmpty()
+    except AnalysisException:  # nothing logged yet
+        known = False
+    if known:
+        raise TableError(f"{runs[0]} is in the log already")
+    obs = Observation("append_run")
+    log.coalesce(1).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy("run").parquet(path)
+    return int(obs.get["rows"])
+
+
 def audit_rows(scored: DataFrame, variant_col: str = "variant") -> DataFrame:
     """Prediction-log projection (all ten columns, declared order)."""
     S.require_columns(scored.columns, [f.name for f in S.PREDICTION_LOG_SCHEMA.fields if not f.nullable],
@@ -195,10 +212,25 @@ def audit_rows(scored: DataFrame, variant_col: str = "variant") -> DataFrame:
     return out.select(*cols)
 
 
-def audit_append(scored: DataFrame, path: str) -> int:
+def check_same_ids(scored: DataFrame, events: DataFrame) -> None:
+    """Raises TableError unless the scored rows are those of the events: as many of each transaction_id (one job)."""
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(F.col("transaction_id").cast("string").alias("id"), F.lit(sign).alias("n"))
+
+    off = side(events, 1).unionByName(side(scored, -1)).groupBy("id").agg(F.sum("n").alias("n")).agg(
+        F.coalesce(F.sum(F.greatest("n", F.lit(0))), F.lit(0)).alias("missing"),
+        F.coalesce(F.sum(F.greatest(-F.col("n"), F.lit(0))), F.lit(0)).alias("extra")).first()
+    if off["missing"] or off["extra"]:
+        raise TableError(f"{off['missing']} events have no scored row and {off['extra']} scored rows have no event")
+
+
+def audit_append(scored: DataFrame, path: str, events: DataFrame | None = None) -> int:
     """Append prediction-log rows partitioned by date and variant. A failed
-    write is reported and returns 0 (the scoring path must not fail)."""
+    write is reported and returns 0 (the scoring path must not fail); rows
+    that don't match the given events are rejected before it."""
     rows = audit_rows(scored)
+    if events is not None:
+        check_same_ids(rows, events)
     try:
         obs = Observation("audit_append")
         # observe above the range exchange: its sampling job must not count rows

@@ -921,6 +921,7 @@ def q_train_job(spark, sf_dir):
 
 # ------------------------------------------------------------------ streaming
 from fraudspark.sources.adapter import transactions_from_events  # noqa: E402
+from fraudspark.streaming import events as SE  # noqa: E402
 from fraudspark.streaming import scoring as SC  # noqa: E402
 
 LATENESS_US = 3600 * 1_000_000
@@ -962,11 +963,32 @@ def q_stream_score(spark, sf_dir):
 
 @query("stream_side_table")
 def q_stream_side_table(spark, sf_dir):
-    """Events that the stream did not score, with the reasons: of the damaged events, those that break the contract."""
+    """Events that the stream did not accept, with the reasons: of the damaged events, those that break the contract."""
     sink, ck = TB.scratch_path(spark, "side-sink"), TB.scratch_path(spark, "side-ckpt")
-    SC.run_stream(damaged(_event_stream(spark, sf_dir)), sink, ck)
-    side = SC.unscored(damaged_transactions(spark, sf_dir), spark.read.parquet(sink))
-    return side.select("transaction_id", F.array_join("reasons", ",").alias("reasons"))
+    SE.run_events(damaged(_event_stream(spark, sf_dir)), sink, ck)
+    rows = spark.read.parquet(sink).filter("status <> 'accepted'")
+    return rows.select("transaction_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+STREAM_CUT = "2024-01-20 00:00:00"
+
+
+@query("stream_status")
+def q_stream_status(spark, sf_dir):
+    """A stream that starts from the batch fold of history, over two micro-batches; in the second come a fifth of the
+    events before its time, which are late where their customer has gone on, and some events again."""
+    tx = transactions(spark, sf_dir)
+    new = tx.filter(F.col(S.EVENT_TIME) >= F.lit(STATE_CUT).cast("timestamp_ntz"))
+    delayed = (F.col(S.EVENT_TIME) >= F.lit(STREAM_CUT).cast("timestamp_ntz")) | (F.col("transaction_id") % 5 == 0)
+    again = new.filter(~delayed & (F.col("transaction_id") % 50 == 1))
+    path = TB.scratch_path(spark, "arrivals")
+    for part in (new.filter(~delayed), new.filter(delayed).unionByName(again)):  # files in order of arrival
+        part.coalesce(1).write.mode("append").parquet(path)
+    state = SE.state_of_fold(ST.state_fold(tx, as_of=STATE_CUT))
+    sink, ck = TB.scratch_path(spark, "status-sink"), TB.scratch_path(spark, "status-ckpt")
+    stream = spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    SE.run_events(stream, sink, ck, lateness_us=LATENESS_US, contract=False, state=state)
+    return spark.read.parquet(sink).select("transaction_id", "customer_id", "status")
 
 
 @query("late_events")

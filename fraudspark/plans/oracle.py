@@ -899,3 +899,20 @@ register("labelled_filter", f"""
 SELECT transaction_id, customer_id, round(CAST(amount AS DOUBLE), 6) AS amount, is_fraud FROM dirty
 WHERE is_fraud IS NOT NULL AND event_time >= TIMESTAMP '2024-01-05 00:00:00' AND event_time < TIMESTAMP '2024-01-20 00:00:00'
 """)
+
+
+# ----------------------------------------------------------------- event stream
+register("stream_status", f"""
+{with_ctes("tx")},
+new AS (SELECT *, epoch_us(event_time) AS us,
+               event_time >= TIMESTAMP '2024-01-20 00:00:00' OR transaction_id % 5 = 0 AS delayed
+        FROM tx WHERE event_time >= {_CUT}),
+newest AS (SELECT customer_id, max(epoch_us(event_time)) AS top FROM tx
+           WHERE event_time < {_CUT} OR transaction_id IN (SELECT transaction_id FROM new WHERE NOT delayed) GROUP BY customer_id),
+arrived AS (SELECT transaction_id, customer_id, us, 1 AS batch FROM new WHERE NOT delayed
+            UNION ALL SELECT transaction_id, customer_id, us, 2 FROM new WHERE delayed
+            UNION ALL SELECT transaction_id, customer_id, us, 3 FROM new WHERE NOT delayed AND transaction_id % 50 = 1)
+SELECT transaction_id, customer_id,
+       CASE WHEN batch = 1 THEN 'accepted' WHEN us < top - 3600000000 THEN 'late' WHEN batch = 3 THEN 'duplicate'
+            ELSE 'accepted' END AS status
+FROM arrived LEFT JOIN newest USING (customer_id)""")

@@ -56,17 +56,16 @@ def output_schema(input_schema: T.StructType) -> T.StructType:
     return T.StructType(list(input_schema.fields) + extra)
 
 
-def fold_customer(key, pdfs: Iterator[pd.DataFrame], state, max_events: int = S.MAX_RECENT_EVENTS):
-    """State function: features of each new event from the events strictly
-    before its instant, then fold the events of the instant into the state."""
-    if state.exists:
-        rec_us, rec_amt, psum, pcnt, trunc = state.get
-        rec_us, rec_amt = list(rec_us or []), list(rec_amt or [])
-    else:
-        rec_us, rec_amt, psum, pcnt, trunc = [], [], 0, 0, False
-    batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["_us", "transaction_id"], kind="mergesort")
+FoldState = tuple[list[int], list[int], int, int, bool]
+NEW_CUSTOMER: FoldState = ([], [], 0, 0, False)
+
+
+def fold_events(batch: pd.DataFrame, state: FoldState, max_events: int = S.MAX_RECENT_EVENTS) -> tuple[list, FoldState]:
+    """Features of each event of a batch sorted by (_us, transaction_id), from the events strictly before its instant,
+    and the state with the batch folded in. Money stays exact: integer cents."""
+    rec_us, rec_amt, psum, pcnt, trunc = state
+    rec_us, rec_amt = list(rec_us), list(rec_amt)
     out = []
-    # money stays exact: integer cents (amounts are DECIMAL(18,2))
     for now, same in batch.groupby("_us", sort=False):  # every event of an instant sees the state before it
         now, new = int(now), [int(c) for c in same["_cents"]]
         us = np.asarray(rec_us, dtype=np.int64)
@@ -91,7 +90,14 @@ def fold_customer(key, pdfs: Iterator[pd.DataFrame], state, max_events: int = S.
             rec_us = [rec_us[i] for i in order]
             rec_amt = [rec_amt[i] for i in order]
             trunc = True
-    state.update((rec_us, rec_amt, psum, pcnt, trunc))
+    return out, (rec_us, rec_amt, psum, pcnt, trunc)
+
+
+def fold_customer(key, pdfs: Iterator[pd.DataFrame], state, max_events: int = S.MAX_RECENT_EVENTS):
+    """State function: features of each new event, then the events folded into the state."""
+    batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["_us", "transaction_id"], kind="mergesort")
+    out, now = fold_events(batch, state.get if state.exists else NEW_CUSTOMER, max_events)
+    state.update(now)
     feats = pd.DataFrame(out, columns=[*STATE_FEATURES, "new_customer"], index=batch.index)
     yield pd.concat([batch, feats], axis=1)
 

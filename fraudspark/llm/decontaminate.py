@@ -5,28 +5,32 @@ and 0s laid on consecutive words; the seed is the hash of the words under its
 1s, so words under 0s may differ. The default masks hit every stretch of 13
 words with at most two substituted words (a test proves it).
 
-Benchmark seeds set bits in a table of fixed size (three a seed), which goes to every task
-and lets nearly all seeds of the documents pass by. Those that it holds are
-joined with the benchmark's seeds in Spark; around each hit the item is laid
-over the document on the hit's diagonal and the words are compared one by one.
+Benchmark seeds make a bit filter, sized from their number and bounded, which
+goes to every task and lets nearly all seeds of the documents pass by. Those
+that it holds are joined with the benchmark's seeds in Spark; around each hit
+the item is laid over the document on the hit's diagonal and the words are
+compared one by one.
+
+Items shorter than `overlap` words have masks of their own: their two halves,
+of which one substituted word leaves one whole. Items below `least_words` are
+too short to prove anything; `untestable` lists them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from fraudspark.llm.filters import BitFilter, bit_filter
 from fraudspark.llm.tables import ship_package, written
 from fraudspark.llm.text import WORD_BYTE, Texts, Words, mixed, pieces
 
 _ALNUM = WORD_BYTE.copy()
-#: Shifts of a seed that give the places of its bits in the table.
-_PROBES = (0, 17, 34)
 _ALNUM[:128] = [chr(i).isalnum() for i in range(128)]
 
 
@@ -34,16 +38,21 @@ _ALNUM[:128] = [chr(i).isalnum() for i in range(128)]
 class Seeds:
     """overlap aligned words of which `matched` must be equal prove a leak.
 
-    Items of fewer words must occur whole and unchanged; those of fewer than
-    least_words are too short to prove anything. 2^bits is the size of the
-    table that every task holds (2 MB for 24).
+    Items of fewer words must occur whole but for one word; those of fewer
+    than least_words are too short to prove anything. The filter that every
+    task holds has at most 2^bits bits (16 MB for 27).
     """
 
     masks: tuple[str, ...] = ("1111111", "111010000111", "111011011", "11111011")
     overlap: int = 13
     matched: int = 11
     least_words: int = 7
-    bits: int = 24
+    bits: int = 27
+
+    def all_masks(self, lengths: list[int]) -> list[str]:
+        """The masks, and for items of these lengths (below `overlap`) their halves."""
+        halves = sorted({k for n in lengths for k in (n // 2, n - n // 2)})
+        return [*self.masks, *("1" * k for k in halves if "1" * k not in self.masks)]
 
 
 def _words(column: pa.Array) -> tuple[Words, np.ndarray]:
@@ -53,8 +62,8 @@ def _words(column: pa.Array) -> tuple[Words, np.ndarray]:
 
 def _seed_hashes(h: np.ndarray, doc: np.ndarray, seeds: Seeds, lengths: list[int]) -> Iterator[
         tuple[np.ndarray, np.ndarray, int]]:
-    """(seed hashes, index of their first word, span) for each mask, and for each length of a short item."""
-    for number, mask in enumerate((*seeds.masks, *("1" * n for n in lengths))):
+    """(seed hashes, index of their first word, span) for each mask, those of short items too."""
+    for number, mask in enumerate(seeds.all_masks(lengths)):
         n = len(h) - len(mask) + 1
         if n <= 0:
             continue
@@ -98,32 +107,16 @@ def _item_seeds(items: DataFrame, seeds: Seeds, lengths: list[int]) -> DataFrame
     return items.select("item_id", "words").mapInArrow(rows, f"item_id {kind}, seed bigint, at int")
 
 
-def _table(item_seeds: DataFrame, bits: int) -> np.ndarray:
-    """The bit table: 2^bits bits whatever the size of the benchmark."""
-    cells = item_seeds.select(F.explode(F.array(
-        *(F.shiftrightunsigned("seed", k).bitwiseAND(F.lit((1 << bits) - 1)) for k in _PROBES))).alias("cell"))
-    slot = (cells.select(F.shiftright("cell", 6).cast("int").alias("slot"),
-                         F.expr("shiftleft(1L, cast(cell & 63 as int))").alias("bit"))
-            .groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow())
-    out = np.zeros(1 << (bits - 6), np.uint64)
-    out[slot.column("slot").to_numpy()] = slot.column("bits").to_numpy().view(np.uint64)
-    return out
-
-
-def _regions(docs: DataFrame, table: np.ndarray, seeds: Seeds, lengths: list[int], reach: int) -> DataFrame:
-    """Stretches of documents around seeds that the table holds: their words and the seeds with their places."""
+def _regions(docs: DataFrame, held: BitFilter, seeds: Seeds, lengths: list[int], reach: int) -> DataFrame:
+    """Stretches of documents around seeds that the filter holds: their words and the seeds with their places."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    low = np.uint64((1 << seeds.bits) - 1)
+    shared = docs.sparkSession.sparkContext.broadcast(held)
 
     def part(ids: pa.Array, column: pa.Array) -> pa.RecordBatch | None:
         words, h = _words(column)
         seed, at, span = [], [], []
         for value, first, size in _seed_hashes(h, words.doc, seeds, lengths):
-            hit = np.arange(len(value))
-            for k in _PROBES:
-                cell = (value[hit] >> np.uint64(k)) & low
-                held = table[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))
-                hit = hit[(held & np.uint64(1)).astype(bool)]
+            hit = np.flatnonzero(shared.value.hits(value))
             seed.append(value[hit])
             at.append(first[hit])
             span.append(np.full(len(hit), size))
@@ -179,7 +172,7 @@ def _aligned(pairs: DataFrame, seeds: Seeds) -> DataFrame:
                 a, b = max(0, -d), min(len(item), len(text) - d)
                 equal = item[a:b] == text[a + d:b + d]
                 size = min(seeds.overlap, len(item))
-                need = seeds.matched if len(item) >= seeds.overlap else size
+                need = seeds.matched if len(item) >= seeds.overlap else size - 1
                 if b - a < size:
                     continue
                 total = np.concatenate([[0], np.cumsum(equal)])
@@ -205,7 +198,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds(), id_col:
     The best alignment of a pair is given (most equal words, then the first).
     Null or empty texts and items overlap nothing; rows with a null doc_id or
     item_id can't be named and are left out; repeated rows give one pair;
-    other columns are ignored.
+    items of 7 to 12 words (see Seeds) may miss one word and shorter ones are
+    not looked for (`untestable`). A text may have any length: a task takes a
+    megabyte at a time, a longer text alone. Other columns are ignored.
     """
     ship_package(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id IS NOT NULL")
@@ -215,7 +210,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds(), id_col:
     reach = sizes.agg(F.max("n")).first()[0] or 0
     lengths = sorted(r["n"] for r in sizes.filter(F.col("n") < seeds.overlap).distinct().collect())
     item_seeds = written(_item_seeds(items, seeds, lengths), "item-seeds")
-    regions = written(_regions(docs, _table(item_seeds, seeds.bits), seeds, lengths, reach), "regions")
+    held = bit_filter(item_seeds, "seed", item_seeds.count(), most=seeds.bits)
+    regions = written(_regions(docs, held, seeds, lengths, reach), "regions")
     regions = regions.dropDuplicates(["doc_id", "begin", "words"])
     hits = regions.select(
         "doc_id", "begin", F.xxhash64("words").alias("content"),
@@ -232,6 +228,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds(), id_col:
         "doc_id", "item_id", (-F.col("best.before")).alias("start_word"), "best.n_matched", "best.n_item_words")
 
 
+def untestable(benchmark: DataFrame, seeds: Seeds = Seeds(), item_col: str = "item_id",
+               item_text_col: str = "text") -> DataFrame:
+    """(item_id, n_words) of the items that are too short to be looked for."""
+    ship_package(benchmark.sparkSession)
+    items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
+    every = _benchmark(items, replace(seeds, least_words=0))
+    return every.select("item_id", F.size("words").alias("n_words")).filter(F.col("n_words") < seeds.least_words)
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds()) -> DataFrame:
     """docs (all columns) without the documents that overlap a benchmark item; null ids stay."""
     found = leaks(docs, benchmark, seeds).select(F.col("doc_id").alias("leaking_id")).distinct()

@@ -202,6 +202,28 @@ def test_masks_hit_every_stretch_with_two_substitutions():
     for wrong in itertools.combinations(range(seeds.overlap), seeds.overlap - seeds.matched):
         assert any(all(o + k not in wrong for k, bit in enumerate(mask) if bit == "1")
                    for mask in seeds.masks for o in range(seeds.overlap - len(mask) + 1))
+    for n in range(seeds.least_words, seeds.overlap):
+        masks = seeds.all_masks([n])
+        for wrong in range(n):
+            assert any(all(o + k != wrong for k in range(len(mask))) and "0" not in mask
+                       for mask in masks if len(mask) <= n for o in range(n - len(mask) + 1))
+
+
+def test_short_items_may_miss_one_word(spark):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
+    items = [(n, " ".join(words[:n])) for n in (3, 6, 7, 9, 10, 12)]
+    docs = []
+    for n in (7, 9, 10, 12):
+        for wrong in range(n):
+            changed = [w if i != wrong else "other" for i, w in enumerate(words[:n])]
+            docs.append((100 * n + wrong, "before it " + " ".join(changed) + " and after"))
+        docs.append((100 * n + 50, " ".join("other" if i in (1, n - 2) else w for i, w in enumerate(words[:n]))))
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r[0], r[1]) for r in decontaminate.leaks(d, b).collect()}
+    assert got == brute_leaks(docs, items, decontaminate.Seeds())
+    assert all((100 * n + wrong, n) in got and (100 * n + 50, n) not in got for n in (7, 9, 10, 12) for wrong in range(n))
+    assert {tuple(r) for r in decontaminate.untestable(b).collect()} == {(3, 3), (6, 6)}
 
 
 def brute_leaks(docs, items, seeds):
@@ -212,7 +234,7 @@ def brute_leaks(docs, items, seeds):
         for i, item in items:
             v = plain(item)
             size = min(seeds.overlap, len(v))
-            need = seeds.matched if len(v) >= seeds.overlap else size
+            need = seeds.matched if len(v) >= seeds.overlap else size - 1
             if d is None or i is None or len(v) < seeds.least_words:
                 continue
             if any(sum(x == y for x, y in zip(w[a:a + size], v[b:b + size], strict=False)) >= need

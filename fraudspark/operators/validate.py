@@ -42,37 +42,38 @@ def validation_summary(df: DataFrame) -> DataFrame:
     return df.agg(*aggs)
 
 
+def _shape_problems(df: DataFrame) -> list[str]:
+    """What the schema alone tells: absent columns, columns of another kind."""
+    kinds = {S.EVENT_TIME: ((T.TimestampType, T.TimestampNTZType), "a point in time"), S.AMOUNT: (T.NumericType, "numeric")}
+    absent = [f"no column {c}" for c in REQUIRED if c not in df.columns]
+    return absent + [f"{c} is {df.schema[c].dataType.simpleString()}, not {wanted}" for c, (kind, wanted) in kinds.items()
+                     if c in df.columns and not isinstance(df.schema[c].dataType, kind)]
+
+
+def _row_problems(counts: dict) -> list[str]:
+    """What the counted rows tell, a text for each rule that some row breaks."""
+    found = [f"{c} is null in {counts[f'null_{c}']} rows" for c in REQUIRED if counts.get(f"null_{c}")]
+    if counts.get("n_negative_amount"):
+        found.append(f"{S.AMOUNT} is below zero in {counts['n_negative_amount']} rows")
+    labels = counts.get("invalid_labels")
+    return found + ([f"{S.LABEL} takes values beside 0 and 1: {', '.join(map(str, labels))}"] if labels else [])
+
+
 def validate_raw_transactions(df: DataFrame, *, hot_customer_rows: int | None = None) -> list:
-    """Raise `SchemaValidationError` on the first contract violation.
+    """Raise `SchemaValidationError` with everything that breaks the contract.
 
-    Order: missing columns, timestamp and amount types, nulls, negative amount, label.
-    With `hot_customer_rows`, the same single job also returns the ids of
-    customers with more rows than that (at most N / hot_customer_rows ids).
+    Columns and their types are looked at first, without a job; then all rules
+    on rows in one job. With `hot_customer_rows`, the same job also returns the
+    ids of customers with more rows than that (at most N / hot_customer_rows).
     """
-    missing = [c for c in REQUIRED if c not in df.columns]
-    if missing:
-        raise S.SchemaValidationError(f"missing required columns: {', '.join(sorted(missing))}")
-    # types are known from the schema, before any job
-    ts_type, amount_type = df.schema[S.EVENT_TIME].dataType, df.schema[S.AMOUNT].dataType
-    if not isinstance(ts_type, (T.TimestampType, T.TimestampNTZType)):
-        raise S.SchemaValidationError(f"'{S.EVENT_TIME}' must be a timestamp; got {ts_type.simpleString()}")
-    if not isinstance(amount_type, T.NumericType):
-        raise S.SchemaValidationError(f"'{S.AMOUNT}' must be a number; got {amount_type.simpleString()}")
-    if hot_customer_rows is None:
-        row = validation_summary(df).first().asDict()
-        hot = []
-    else:
-        row, hot = _summary_and_hot(df, hot_customer_rows)
-    nulls = {c: row[f"null_{c}"] for c in REQUIRED if row[f"null_{c}"]}
-    if nulls:
-        detail = ", ".join(f"{c}={n}" for c, n in sorted(nulls.items()))
-        raise S.SchemaValidationError(f"nulls in required columns: {detail}")
-    if row.get("n_negative_amount"):
-        raise S.SchemaValidationError(
-            f"amount must be non-negative; found {row['n_negative_amount']} negative rows"
-        )
-    if row.get("invalid_labels"):
-        raise S.SchemaValidationError(f"{S.LABEL} must be 0/1; found {list(row['invalid_labels'])}")
+    hot: list = []
+    problems = _shape_problems(df)
+    if not problems:
+        counts, hot = _summary_and_hot(df, hot_customer_rows) if hot_customer_rows is not None else (
+            validation_summary(df).first().asDict(), [])
+        problems = _row_problems(counts)
+    if problems:
+        raise S.SchemaValidationError("the transactions break the contract: " + "; ".join(problems))
     return hot
 
 

@@ -210,7 +210,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds(), id_col:
     reach = sizes.agg(F.max("n")).first()[0] or 0
     lengths = sorted(r["n"] for r in sizes.filter(F.col("n") < seeds.overlap).distinct().collect())
     item_seeds = written(_item_seeds(items, seeds, lengths), "item-seeds")
-    held = bit_filter(item_seeds, "seed", item_seeds.count(), most=seeds.bits)
+    # every word of the corpus starts a seed of each mask: very few may pass by chance
+    held = bit_filter(item_seeds, "seed", item_seeds.count(), per_hash=512, most=seeds.bits)
     regions = written(_regions(docs, held, seeds, lengths, reach), "regions")
     regions = regions.dropDuplicates(["doc_id", "begin", "words"])
     hits = regions.select(

@@ -36,14 +36,15 @@ def table_bits(count: int, per_hash: int = 16, most: int = 27) -> int:
     return min(most, max(10, (max(1, count) * per_hash - 1).bit_length()))
 
 
-def bit_filter(hashes: DataFrame, column: str, count: int, most: int = 27) -> BitFilter:
+def bit_filter(hashes: DataFrame, column: str, count: int, per_hash: int = 16, most: int = 27) -> BitFilter:
     """The filter of a column of hashes (bigint) with `count` rows.
 
-    Sized from the count up to 2^most bits. The driver gets at most
+    Sized from the count up to 2^most bits; of other hashes it holds about
+    (3 / per_hash)^3. The driver gets at most
     2^(most - 6) words of it. A filter at its bound lets more hashes pass by
     chance; what uses it must check them, so results don't change.
     """
-    bits = table_bits(count, most=most)
+    bits = table_bits(count, per_hash, most)
     cells = hashes.select(F.explode(F.array(
         *(F.shiftrightunsigned(column, k).bitwiseAND(F.lit((1 << bits) - 1)) for k in _PROBES))).alias("cell"))
     slots = (cells.select(F.shiftright("cell", 6).cast("int").alias("slot"),

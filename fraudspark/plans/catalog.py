@@ -69,7 +69,24 @@ def features(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Dat
 # ------------------------------------------------------------------ scans
 @query("scan_transactions")
 def q_scan(spark, sf_dir):
-    return rounded(transactions(spark, sf_dir))
+    """All transactions written as CSV, some lines damaged by integer arithmetic on the id, read back by the declared
+    schema: good rows, and the lines that were rejected."""
+    from fraudspark.sources import tables as TB
+
+    tx = transactions(spark, sf_dir)
+    names = [f.name for f in S.RAW_SCHEMA.fields]
+    tid = F.col("transaction_id")
+    text = {c: F.col(c).cast("string") for c in names} | {
+        S.EVENT_TIME: F.date_format(S.EVENT_TIME, "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        S.AMOUNT: F.when(tid % 37 == 0, F.lit("much")).otherwise(F.col(S.AMOUNT).cast("string"))}
+    line = F.concat_ws(",", *[text[c] for c in names])
+    line = F.when(tid % 41 == 0, F.substring_index(line, ",", 4)).when(tid % 43 == 0, F.concat(line, F.lit(",more"))).otherwise(line)
+    path = TB.scratch_path(spark, "csv")
+    tx.select(line).write.text(path)
+    kinds = {f.name: f.dataType for f in tx.schema.fields}  # ids of the driver's tables are bigint
+    schema = T.StructType([T.StructField(f.name, kinds[f.name], f.nullable) for f in S.RAW_SCHEMA.fields])
+    good, bad = TB.scanned(TB.scan_transactions(spark, path, "csv", schema, header=False))
+    return rounded(good).unionByName(bad.select("line", "n_fields"), allowMissingColumns=True)
 
 
 # ------------------------------------------------------------------ features

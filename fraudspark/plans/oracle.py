@@ -115,11 +115,24 @@ def register(name: str, sql: str) -> None:
 
 
 # ----------------------------------------------------------------- scans
+_RAW = [f.name for f in S.RAW_SCHEMA.fields]
+_LINE_PARTS = ", ".join({S.EVENT_TIME: "strftime(event_time, '%Y-%m-%d %H:%M:%S.%f')",
+                         S.AMOUNT: "CASE WHEN transaction_id % 37 = 0 THEN 'much' ELSE CAST(amount AS VARCHAR) END"}.get(
+                             c, f"CAST({c} AS VARCHAR)") for c in _RAW)
 register("scan_transactions", f"""
-{with_ctes("tx")}
+{with_ctes("tx")},
+lines AS (SELECT *, transaction_id % 37 = 0 OR transaction_id % 41 = 0 OR transaction_id % 43 = 0 AS bad,
+                 [{_LINE_PARTS}] AS parts FROM tx)
 SELECT transaction_id, customer_id, epoch_us(event_time) AS event_us, CAST(amount AS DOUBLE) AS amount,
-       merchant_id, merchant_category, country, customer_home_country, card_present, is_fraud
-FROM tx
+       merchant_id, merchant_category, country, customer_home_country, card_present, is_fraud, CAST(NULL AS VARCHAR) AS line,
+       CAST(NULL AS INTEGER) AS n_fields
+FROM lines WHERE NOT bad
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       CASE WHEN transaction_id % 41 = 0 THEN array_to_string(parts[1:4], ',')
+            WHEN transaction_id % 43 = 0 THEN array_to_string(parts, ',') || ',more' ELSE array_to_string(parts, ',') END,
+       CASE WHEN transaction_id % 41 = 0 THEN 4 ELSE len(parts) END - CASE WHEN transaction_id % 37 = 0 THEN 1 ELSE 0 END
+FROM lines WHERE bad
 """)
 
 # ----------------------------------------------------------------- features

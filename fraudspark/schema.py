@@ -143,4 +143,4 @@ def feature_definition(name: str) -> T.StructField:
 def require_columns(df_columns, required, what: str = "frame") -> None:
     missing = sorted(set(required) - set(df_columns))
     if missing:
-        raise SchemaValidationError(f"{what} is missing required columns: {', '.join(missing)}")
+        raise SchemaValidationError(f"{what}: no column {', '.join(missing)}")

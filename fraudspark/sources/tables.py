@@ -35,12 +35,41 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def scan_transactions(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType = S.RAW_SCHEMA) -> DataFrame:
-    """Read raw transactions with the declared schema (never inferred)."""
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", "true").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-    return reader.format(fmt).load(path)
+#: Holds a line that the declared schema does not fit (null for a good one).
+BAD_LINE = "_bad_line"
+
+
+def scan_transactions(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType = S.RAW_SCHEMA, *,
+                      header: bool = True) -> DataFrame:
+    """Read raw transactions with the declared schema (never inferred).
+
+    Lines of a CSV file that don't fit (a value that is not of its type, too
+    few or too many fields) don't fail the scan: they are rows with the line in
+    `_bad_line` (see `scanned`). A Parquet file's columns have types of their
+    own; those that can't be read as declared fail the scan.
+    """
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(path)
+    declared = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in schema.fields],
+                             T.StructField(BAD_LINE, T.StringType(), True)])
+    # every field is parsed whichever columns are asked for, else a bad one would not be seen
+    return (spark.read.schema(declared).option("columnPruning", False).option("header", header).option("enforceSchema", True)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE)
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path))
+
+
+def scanned(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected lines with `n_fields` that could be read and `reasons`); together they are all lines.
+
+    A good row still has to keep the contract (`validate.quarantine`).
+    """
+    if BAD_LINE not in rows.columns:
+        return rows, rows.limit(0).select(F.lit("").alias("line"), F.lit(0).alias("n_fields"), F.array(F.lit("")).alias("reasons"))
+    reasons = F.array(F.lit("line:not_of_the_schema"))
+    read = F.size(F.filter(F.array(*[F.col(c).cast("string") for c in rows.columns if c != BAD_LINE]), lambda x: x.isNotNull()))
+    return (rows.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE),
+            rows.filter(F.col(BAD_LINE).isNotNull()).select(F.col(BAD_LINE).alias("line"), read.alias("n_fields"),
+                                                            reasons.alias("reasons")))
 
 
 def floor_timestamps(df: DataFrame, ns_columns: tuple[str, ...] = ()) -> DataFrame:

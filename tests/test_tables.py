@@ -123,3 +123,93 @@ def test_nanoseconds_floor_exactly_in_any_time_zone(spark):
             assert got == [None if v is None else v // 1000 for v in values]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_csv_scan_rejects_lines_and_loses_none(spark):
+    from fraudspark import schema as S
+
+    path = TB.scratch_path(spark, "csv")
+    names = ",".join(f.name for f in S.RAW_SCHEMA.fields)
+    good = "t%d,c,2024-01-01 10:00:0%d,5.25,m,books,GB,GB,true,%s"
+    lines = [good % (1, 1, "0"), good % (2, 2, ""), "t3,c,yesterday,5,m,books,GB,GB,true,0", "t4,c", good % (5, 5, "0,x"),
+             "t6,c,2024-01-01 10:00:00,much,m,books,GB,GB,true,0", "t7,c,2024-01-01 10:00:00,5,m,books,GB,GB,maybe,0"]
+    spark.createDataFrame([("\n".join([names, *lines]),)], "line string").coalesce(1).write.text(path)
+    rows = TB.scan_transactions(spark, path, "csv")
+    kept, rejected = TB.scanned(rows)
+    assert sorted(r["transaction_id"] for r in kept.collect()) == ["t1", "t2"]
+    assert kept.filter("is_fraud IS NULL AND amount = 5.25 AND card_present").count() == 1
+    assert sorted(r["line"] for r in rejected.collect()) == sorted(lines[2:])
+    assert kept.schema == rows.drop(TB.BAD_LINE).schema
+    parquet = TB.scratch_path(spark, "parquet")
+    kept.write.parquet(parquet)
+    again, none = TB.scanned(TB.scan_transactions(spark, parquet))
+    assert again.count() == 2 and none.count() == 0
+
+
+def test_state_table_versions(spark, tmp_path):
+    import datetime as dt
+
+    from fraudspark import schema as S
+    from fraudspark.sources.state_table import StateTable, StateTableError
+
+    def state(rows):
+        at = dt.datetime(2024, 1, 1)
+        return spark.createDataFrame([(c, at + dt.timedelta(hours=h), i, 1.0, 2, 3, 4.0, 5.0) for c, h, i in rows],
+                                     "customer_id bigint, event_time timestamp_ntz, transaction_id bigint, "
+                                     "seconds_since_prev_txn double, txn_count_1h bigint, txn_count_24h bigint, "
+                                     "amount_sum_24h double, customer_amount_mean_prior double").select(
+            "customer_id", S.EVENT_TIME, "transaction_id", *S.ONLINE_FEATURES)
+
+    def kept(df):
+        return {r["customer_id"]: (r["event_time"].hour, r["transaction_id"]) for r in df.collect()}
+
+    path = TB.scratch_path(spark, "state")
+    table = StateTable(spark, path)
+    with pytest.raises(StateTableError):
+        table.read()
+    assert table.create(state([(c, 5, c) for c in range(40)]), n_buckets=8) == 1
+    with pytest.raises(StateTableError):
+        table.create(state([(1, 1, 1)]))
+    before = kept(table.read())
+    # a stale row loses, a newer one wins, an unknown customer comes in; a tie goes to the larger id
+    assert table.upsert(state([(1, 4, 900), (2, 6, 901), (99, 0, 902), (3, 5, 903), (4, 5, 0)])) == 2
+    want = before | {2: (6, 901), 99: (0, 902), 3: (5, 903)}
+    assert kept(table.read()) == want and kept(table.read(1)) == before
+    # buckets without incoming customers stay where they were
+    old, new = table.manifest(1), table.manifest()
+    assert 0 < sum(r["written_by"] == 1 for r in new) < len(old) and all(r in {(o["bucket"], o["folder"]) for o in old}
+                                                                         for r in {(n["bucket"], n["folder"]) for n in new
+                                                                                   if n["written_by"] == 1})
+    # a write that is killed before its manifest changes nothing
+    state([(5, 9, 1)]).write.parquet(f"{path}/data/v3-killed")
+    assert kept(table.read()) == want
+    # of two upserts from one version the second fails and can be repeated
+    table._write(state([(6, 9, 7)]), [0], new, 8, 3)
+    with pytest.raises(StateTableError, match="repeat"):
+        table._write(state([(6, 9, 8)]), [0], new, 8, 3)
+    found = table.lookup([2, 3, 12345], version=2)
+    assert kept(found) == {2: (6, 901), 3: (5, 903)}
+    plan = found._jdf.queryExecution().toString()
+    assert "PushedFilters: [In(customer_id" in plan
+    assert len(found.inputFiles()) < len(table.read(2).inputFiles())
+    assert table.upsert(state([])) == 3 and table.lookup([], version=2).count() == 0
+
+
+def test_run_log_is_appended_once_a_run(spark):
+    log = spark.createDataFrame([("r1", "A", "metric", "f1", "0.5", 0.5)],
+                                "run string, variant string, kind string, name string, value string, num double")
+    path = TB.scratch_path(spark, "runs")
+    assert TB.append_run(log, path) == 1
+    assert TB.append_run(log.withColumn("run", F.lit("r2")), path) == 1
+    for rows in (log, log.limit(0), log.unionByName(log.withColumn("run", F.lit("r3")))):
+        with pytest.raises(TB.TableError):
+            TB.append_run(rows, path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_audit_rows_must_be_those_of_the_events(spark):
+    events = spark.createDataFrame([("a",), ("b",), ("b",)], "transaction_id string")
+    TB.check_same_ids(events, events)
+    for ids in (["a", "b"], ["a", "b", "b", "b"], ["a", "b", "c"], []):
+        with pytest.raises(TB.TableError, match="scored row"):
+            TB.check_same_ids(spark.createDataFrame([(i,) for i in ids], "transaction_id string"), events)

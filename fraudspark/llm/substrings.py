@@ -6,6 +6,10 @@ group for each range. A group finds for each hash the least document of all
 and answers every other document that sent it. The answers meet the texts
 again by document, where the repeated windows merge into maximal spans.
 
+A window is told apart by 96 bits of two hashes, so a false match is not to be
+expected below 10^13 windows. Answers carry the first 64: they are compared
+with the windows of one document only.
+
 A window that very many documents share is reduced in each task first, so its
 group gets one entry a task, not one a document. The number of ranges follows
 the bytes of the input; no range or document is cut off.
@@ -49,30 +53,43 @@ def _unpacked(raw: bytes, n: int) -> np.ndarray:
 
 
 _ENTRY = pa.schema([("part", pa.int32()), ("answer", pa.int32()), ("n", pa.int32()), ("first", pa.int64()),
-                    ("low", pa.int64()), ("hashes", pa.binary()), ("docs", pa.binary())])
-_ENTRY_DDL = "part int, answer int, n int, first bigint, low bigint, hashes binary, docs binary"
+                    ("low", pa.int64()), ("hashes", pa.binary()), ("docs", pa.binary()), ("checks", pa.binary())])
+_ENTRY_DDL = "part int, answer int, n int, first bigint, low bigint, hashes binary, docs binary, checks binary"
+_NO_CHECKS = np.zeros(0, np.uint32)
 
 
-def _entries(part: np.ndarray, answer: np.ndarray, h: np.ndarray, doc: np.ndarray) -> Iterator[tuple]:
-    """Rows of packed (hash, doc) pairs, one for each run of equal (part, answer); pairs are sorted by hash in a run."""
+def _entries(part: np.ndarray, answer: np.ndarray, h: np.ndarray, doc: np.ndarray,
+             check: np.ndarray = _NO_CHECKS) -> Iterator[tuple]:
+    """Rows of packed (hash, doc, check), one for each run of equal (part, answer); sorted by hash in a run."""
     cut = np.flatnonzero((np.diff(part) != 0) | (np.diff(answer) != 0)) + 1
     for a, b in zip(np.concatenate([[0], cut]), np.append(cut, len(h)), strict=True):
         if a < b:
             low = int(doc[a:b].min())
             steps = np.diff(h[a:b], prepend=h[a])
             yield (int(part[a]), int(answer[a]), int(b - a), int(h[a:a + 1].view(np.int64)[0]), low, _packed(steps),
-                   _packed((doc[a:b] - low).view(np.uint64)))
+                   _packed((doc[a:b] - low).view(np.uint64)), np.ascontiguousarray(check[a:b].astype("<u4")).tobytes())
 
 
-def _read_entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    hashes, docs = [], []
-    names = ("n", "first", "low", "hashes", "docs")
-    for n, first, low, h, d in zip(*(table.column(c).to_pylist() for c in names), strict=True):
+def _read_entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    hashes, docs, checks = [], [], []
+    names = ("n", "first", "low", "hashes", "docs", "checks")
+    for n, first, low, h, d, c in zip(*(table.column(c).to_pylist() for c in names), strict=True):
         hashes.append(np.cumsum(_unpacked(h, n)) + np.uint64(first % (1 << 64)))
         docs.append(_unpacked(d, n).view(np.int64) + low)
+        checks.append(np.frombuffer(c, "<u4"))
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(docs)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), _NO_CHECKS
+    return np.concatenate(hashes), np.concatenate(docs), np.concatenate(checks)
+
+
+def _by_window(h: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by window, and where each window's entries begin in it."""
+    order = np.argsort(h, kind="stable")
+    same = h[order[1:]] == h[order[:-1]]
+    if (same & (check[order[1:]] != check[order[:-1]])).any():  # two windows share a hash
+        order = np.lexsort((check, h))
+        same = (h[order[1:]] == h[order[:-1]]) & (check[order[1:]] == check[order[:-1]])
+    return order, np.flatnonzero(np.concatenate([[True], ~same]))
 
 
 def _answers(h: np.ndarray, doc: np.ndarray, parts: int) -> Iterator[tuple]:
@@ -93,11 +110,10 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _sent(docs: DataFrame, plan: WindowPlan, parts: int) -> DataFrame:
     """Packed windows (answer -1) by range of hash, and answers (answer: part of documents) known within a task."""
-    def send(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        h, doc = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
-        order = np.argsort(h, kind="stable")
+    def send(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        h, doc, check = (np.concatenate([x[k] for x in held]) for k in range(3))
+        order, first = _by_window(h, check)
         h, doc = h[order], doc[order]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         least = np.minimum.reduceat(doc, first)
         later = doc > np.repeat(least, np.diff(np.append(first, len(h))))
         rows = []
@@ -107,18 +123,20 @@ def _sent(docs: DataFrame, plan: WindowPlan, parts: int) -> DataFrame:
                 rows.append(row)
         h = h[first]
         part = (((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int32)
-        rows += _entries(part, np.full(len(h), -1, np.int32), h, least)
+        rows += _entries(part, np.full(len(h), -1, np.int32), h, least, check[order[first]])
         yield _batch(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for a, b in pieces(batch.column(1)):
                 words = Words(Texts(batch.column(1).slice(a, b - a)))
                 h, at = window_hashes(words.hashes(), words.doc, plan.window)
                 if len(h):
-                    held.append((h, ids[a:b][words.doc[at]]))
+                    second = words.texts.span_hash(words.start, words.end, 2)
+                    check = (window_hashes(second, words.doc, plan.window)[0] >> np.uint64(32)).astype(np.uint32)
+                    held.append((h, ids[a:b][words.doc[at]], check))
                 if sum(len(x[0]) for x in held) >= plan.gather:
                     yield from send(held)
                     held = []
@@ -134,11 +152,10 @@ def _answered(sent: DataFrame, parts: int) -> DataFrame:
         ready = table.filter(pa.array(~mine))
         rows = list(zip(*(ready.column(c).to_pylist() for c in _ENTRY.names), strict=True))
         rows = [(r[1], *r[1:]) for r in rows]
-        h, doc = _read_entries(table.filter(pa.array(mine)))
+        h, doc, check = _read_entries(table.filter(pa.array(mine)))
         if len(h):
-            order = np.argsort(h, kind="stable")
+            order, first = _by_window(h, check)
             h, doc = h[order], doc[order]
-            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             least = np.minimum.reduceat(doc, first)
             later = doc > np.repeat(least, np.diff(np.append(first, len(h))))
             if later.any():
@@ -214,7 +231,7 @@ def without_repeats(docs: DataFrame, plan: WindowPlan = WindowPlan(), id_col: st
         return out.set_column(4, "kept", out.column(4).cast(pa.string()))
 
     def meet(answer: pa.Table, text: pa.Table) -> pa.Table:
-        h, doc = _read_entries(answer)
+        h, doc, _ = _read_entries(answer)
         order = np.argsort(doc, kind="stable")
         h, doc = h[order], doc[order]
         unpack = zstandard.ZstdDecompressor()

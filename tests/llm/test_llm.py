@@ -482,6 +482,28 @@ def test_substrings_against_brute_force(docs, rows, nothing, plan):
     assert substrings.without_repeats(nothing, plan).count() == 0
 
 
+def test_windows_that_share_a_hash_are_told_apart():
+    h = np.array([5, 5, 9, 5, 9, 5], np.uint64)
+    check = np.array([2, 1, 7, 2, 7, 1], np.uint32)
+    order, first = substrings._by_window(h, check)
+    groups = [sorted(order[a:b].tolist()) for a, b in zip(first, [*first[1:], 6], strict=True)]
+    assert groups == [[1, 5], [0, 3], [2, 4]]
+    doc = np.array([8, 3, 4, 1, 2, 6], np.int64)
+    rows = list(substrings._entries(np.zeros(6, np.int32), np.full(6, -1, np.int32), h[order], doc[order], check[order]))
+    table = pa.Table.from_batches([substrings._batch(rows)])
+    got = substrings._read_entries(table)
+    assert [x.tolist() for x in got] == [h[order].tolist(), doc[order].tolist(), check[order].tolist()]
+
+
+def test_substrings_of_a_very_long_text_and_a_repeated_id(spark):
+    rng = random.Random(9)
+    passage = " ".join(rng.choice("abcdefgh") + str(rng.randrange(50)) for _ in range(40))
+    long = " ".join(f"n{rng.randrange(10**6)}" for _ in range(200_000))
+    rows = [(1, long + " " + passage), (2, passage), (2, "x " + passage), (3, long[:3000] + " end"), (2, None)]
+    got = by_row(substrings.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")), "n_words", "kept")
+    assert got == [(a, b, d) for a, b, _, d in brute_repeats(rows)]
+
+
 # 5: token files
 
 

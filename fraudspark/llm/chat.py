@@ -19,9 +19,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fraudspark.llm.tables import ship_package, written
+from fraudspark.operators.ordering import RANGE, dealt_by_range
 
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = 0, 1, 2, 3
@@ -173,24 +174,43 @@ def _sorted_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
         *keys).sortWithinPartitions(*keys, *order)
 
 
+def _in_blocks(rows: DataFrame, block_turns: int) -> DataFrame:
+    """rows with the number of their block: `block_turns` rows of a conversation by position.
+
+    Rows are dealt by ranges of (conversation, order) and written, so a long
+    conversation lies in several ranges; a row's position is its place in its
+    range and the rows of the ranges before.
+    """
+    order = ["turn", "role", "tie", "nth"]
+    conv = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit(""))  # never null
+    keyed = rows.withColumns({"conv": conv, "nth": F.monotonically_increasing_id()})
+    dealt = dealt_by_range(keyed, ["conv", *order])
+    totals = dealt.groupBy("conv", RANGE).agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("conv").orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("conv", RANGE, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("conv", RANGE).orderBy(*order)) - 1
+    return dealt.withColumn("place", place).join(before, ["conv", RANGE]).select(
+        "conv_id", F.floor((F.col("before") + F.col("place")) / block_turns).cast("bigint").alias("block"), *order, "text")
+
+
 def format_chats(turns: DataFrame, costs: Costs = Costs(), conv_col: str = "conv_id", turn_col: str = "turn",
                  role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row per given turn: conv_id, block, place, turn, role, new_role, action, inserted, cost, fragment.
 
     Turns are ordered by turn (null first), then role, then text; block and
-    place give that order. Roles are read without case and surrounding space,
+    place give that order. Blocks hold `block_turns` rows by position, so any
+    number of null or equal turns is split. A text may have any length. Roles are read without case and surrounding space,
     with some aliases; a null or unknown role takes whichever fits. A null
     text is empty. Rows of a null conv_id form one conversation. Repeated rows
     are turns like any others (they merge). Empty turns after the last one
     are in its fragment, and its cost. Other columns are ignored.
     """
     ship_package(turns.sparkSession)
-    block: Column = F.coalesce(F.floor(F.col(turn_col) / costs.block_turns), F.lit(-(1 << 62))).cast("bigint")
-    rows = turns.select(F.col(conv_col).alias("conv_id"), block.alias("block"), F.col(turn_col).alias("turn"),
+    rows = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"),
                         F.col(role_col).cast("string").alias("role"), F.col(text_col).alias("text"))
     kind, when = (rows.schema[c].dataType.simpleString() for c in ("conv_id", "turn"))
     # the order within a block needs the texts' order only, so a hash of the text stands in for it
-    rows = rows.withColumn("tie", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    rows = _in_blocks(rows.withColumn("tie", F.coalesce(F.xxhash64("text"), F.lit(0))), costs.block_turns)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = [(*key, [c for line in matrix([role_number(r[1]) for r in held], costs) for c in line])
@@ -214,14 +234,14 @@ def format_chats(turns: DataFrame, costs: Costs = Costs(), conv_col: str = "conv
     def rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for (conv, number), held in _runs(batches, 2):
-            entry, end, final = held[0][4:7]
+            entry, end, final = held[0][5:8]
             fixed = repair([role_number(r[1]) for r in held], entry, end, costs)
             state = entry
             for place, (r, turn) in enumerate(zip(held, fixed, strict=True)):
                 last = final and place + 1 == len(held)
                 cost = turn[1] + (_endings(costs)[turn[0]] if last else 0)
                 out.append((conv, number, place, r[0], r[1], ROLES[turn[0] - 1], turn[2],
-                            [ROLES[e - 1] for e in turn[3]], cost, fragment(state, turn, r[3], last)))
+                            [ROLES[e - 1] for e in turn[3]], cost, fragment(state, turn, r[4], last)))
                 state = turn[0]
             if len(out) >= 5000:
                 yield table(out)
@@ -237,14 +257,14 @@ def format_chats(turns: DataFrame, costs: Costs = Costs(), conv_col: str = "conv
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    short = _sorted_by(rows.drop("text"), ["conv_id", "block"], ["turn", "role", "tie"])
+    short = _sorted_by(rows.drop("text"), ["conv_id", "block"], ["turn", "role", "tie", "nth"])
     matrices = short.mapInArrow(summed, f"conv_id {kind}, block bigint, cells array<bigint>")
     ends = written(_sorted_by(matrices, ["conv_id"], ["block"]).mapInArrow(
         joined, f"conv_id {kind}, block bigint, entry int, exit int, final boolean"), "ends")
     known = rows.join(ends.withColumnsRenamed({"conv_id": "c", "block": "b"}),
                       F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))).drop("c", "b")
-    known = known.select("conv_id", "block", "turn", "role", "tie", "text", "entry", "exit", "final")
-    return _sorted_by(known, ["conv_id", "block"], ["turn", "role", "tie"]).mapInArrow(
+    known = known.select("conv_id", "block", "turn", "role", "tie", "nth", "text", "entry", "exit", "final")
+    return _sorted_by(known, ["conv_id", "block"], ["turn", "role", "tie", "nth"]).mapInArrow(
         rendered, f"conv_id {kind}, block bigint, place bigint, turn {when}, role string, new_role string, "
                   "action string, inserted array<string>, cost bigint, fragment string")
 

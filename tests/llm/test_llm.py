@@ -701,6 +701,27 @@ def test_chat_edges(spark):
     assert chat.format_chats(spark.createDataFrame([], ddl)).count() == 0
 
 
+def test_null_and_equal_turns_are_split_into_blocks(spark):
+    rows = [([None, 4, 5][i % 3], [None, 7, i][i % 3], ["user", "assistant", "user"][i % 2 if i % 5 else 2], f"t{i % 50}")
+            for i in range(900)] + [(5, 3000, "user", "long " * 100_000)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(6)
+    parts = {n: chat.format_chats(df, chat.Costs(block_turns=n)).collect() for n in (7, 10**6)}
+    sizes = Counter((r["conv_id"], r["block"]) for r in parts[7])
+    assert max(sizes.values()) == 7 and len(sizes) == 43 * 3
+    spelled = {}
+    for n, found in parts.items():
+        assert Counter((r["conv_id"], r["turn"], r["role"]) for r in found) == Counter(r[:3] for r in rows)
+        found.sort(key=lambda r: (r["conv_id"] is None, r["conv_id"] or 0, r["block"], r["place"]))
+        for c in (None, 4, 5):
+            own = [r for r in found if r["conv_id"] == c]
+            texts = re.findall(r"(?:^|\n)(t\d+)", "".join(r["fragment"] for r in own))
+            spelled[n, c] = sum(r["cost"] for r in own), texts  # of repairs of equal cost blocks may take another
+            order = [(r["turn"] is not None, r["turn"] or 0, r["role"]) for r in own]
+            assert order == sorted(order)
+    for c in (None, 4, 5):
+        assert spelled[7, c] == spelled[10**6, c]
+
+
 # shared helpers and the pipeline
 
 

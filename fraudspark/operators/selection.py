@@ -264,15 +264,20 @@ def at_or_before(df: DataFrame, keys: Sequence[str], ranks: Sequence[int], n: in
     n is the number of rows. Rows that agree on all keys stay together on the
     earlier side. Rank 0 (or less) holds for no row, rank n for every row.
     """
-    codes = key_codes(df, keys)
     inner = [r for r in ranks if 0 < r < n]
-    found = iter(_conditions(df, codes, inner, n) if inner else [])
+    found: Iterator[Column] = iter(())
+    if inner:
+        codes = key_codes(df, keys)
+        ends = df.agg(*[f(c) for c in codes for f in (F.min, F.max)]).first()
+        found = iter(_conditions(df, [(c, *ends[2 * i:2 * i + 2]) for i, c in enumerate(codes)], inner, n))
     return [F.lit(r >= n) if not 0 < r < n else next(found) for r in ranks]
 
 
-def _conditions(df: DataFrame, codes: list[Column], ranks: list[int], n: int) -> list[Column]:
-    code, rest = codes[0], codes[1:]
-    low, high = df.agg(F.min(code), F.max(code)).first()
+def _conditions(df: DataFrame, codes: list[tuple[Column, int, int]], ranks: list[int], n: int) -> list[Column]:
+    """codes: each with bounds of its values."""
+    (code, low, high), rest = codes[0], codes[1:]
+    if low == high and rest:  # the same for all rows
+        return _conditions(df, rest, ranks, n)
     out = []
     for b in _descend(df, code, [_Bucket(low, high, r, n) for r in ranks]):
         if b.rank == b.size or not rest:

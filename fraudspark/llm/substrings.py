@@ -6,7 +6,7 @@ group for each range. A group finds for each hash the least document of all
 and answers every other document that sent it. The answers meet the texts
 again by document, where the repeated windows merge into maximal spans.
 
-A window is told apart by 96 bits of two hashes, so a false match is not to be
+A window is told apart by 88 bits of two hashes, so a false match is not to be
 expected below 10^13 windows. Answers carry the first 64: they are compared
 with the windows of one document only.
 
@@ -58,6 +58,16 @@ _ENTRY_DDL = "part int, answer int, n int, first bigint, low bigint, hashes bina
 _NO_CHECKS = np.zeros(0, np.uint32)
 
 
+def _three_bytes(check: np.ndarray) -> bytes:
+    return np.ascontiguousarray(check.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]).tobytes()
+
+
+def _from_three_bytes(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 3, 4), np.uint8)
+    out[:, :3] = np.frombuffer(raw, np.uint8).reshape(-1, 3)
+    return out.view("<u4").ravel()
+
+
 def _entries(part: np.ndarray, answer: np.ndarray, h: np.ndarray, doc: np.ndarray,
              check: np.ndarray = _NO_CHECKS) -> Iterator[tuple]:
     """Rows of packed (hash, doc, check), one for each run of equal (part, answer); sorted by hash in a run."""
@@ -67,7 +77,7 @@ def _entries(part: np.ndarray, answer: np.ndarray, h: np.ndarray, doc: np.ndarra
             low = int(doc[a:b].min())
             steps = np.diff(h[a:b], prepend=h[a])
             yield (int(part[a]), int(answer[a]), int(b - a), int(h[a:a + 1].view(np.int64)[0]), low, _packed(steps),
-                   _packed((doc[a:b] - low).view(np.uint64)), np.ascontiguousarray(check[a:b].astype("<u4")).tobytes())
+                   _packed((doc[a:b] - low).view(np.uint64)), _three_bytes(check[a:b]))
 
 
 def _read_entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,7 +86,7 @@ def _read_entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for n, first, low, h, d, c in zip(*(table.column(c).to_pylist() for c in names), strict=True):
         hashes.append(np.cumsum(_unpacked(h, n)) + np.uint64(first % (1 << 64)))
         docs.append(_unpacked(d, n).view(np.int64) + low)
-        checks.append(np.frombuffer(c, "<u4"))
+        checks.append(_from_three_bytes(c))
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), _NO_CHECKS
     return np.concatenate(hashes), np.concatenate(docs), np.concatenate(checks)
@@ -135,7 +145,7 @@ def _sent(docs: DataFrame, plan: WindowPlan, parts: int) -> DataFrame:
                 h, at = window_hashes(words.hashes(), words.doc, plan.window)
                 if len(h):
                     second = words.texts.span_hash(words.start, words.end, 2)
-                    check = (window_hashes(second, words.doc, plan.window)[0] >> np.uint64(32)).astype(np.uint32)
+                    check = (window_hashes(second, words.doc, plan.window)[0] >> np.uint64(40)).astype(np.uint32)
                     held.append((h, ids[a:b][words.doc[at]], check))
                 if sum(len(x[0]) for x in held) >= plan.gather:
                     yield from send(held)

@@ -190,6 +190,19 @@ def test_trees_do_not_depend_on_how_rows_are_dealt(spark, training):
     assert a.nodes.equals(b.nodes)
 
 
+def test_a_fit_uses_every_core(spark, training, monkeypatch):
+    tasks, sums = [], B._histograms
+
+    def seen(data, n_parts, *rest):
+        tasks.append((n_parts, data.getNumPartitions()))
+        return sums(data, n_parts, *rest)
+
+    monkeypatch.setattr(B, "_histograms", seen)
+    B.fit(training[1], ["a", "b", "c"], B.Growth(n_trees=2, max_leaves=3, min_rows=5, least_rows=100))
+    want = min(spark.sparkContext.defaultParallelism, 7)
+    assert set(tasks) == {(want, want)}
+
+
 def test_fit_needs_both_classes(spark, training):
     _, frame = training
     for rows in (frame.filter("label = 1"), frame.limit(0)):

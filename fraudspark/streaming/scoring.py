@@ -12,10 +12,9 @@ customers over tasks; per-event Python is limited to the small fold below.
 
 from __future__ import annotations
 
-import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,35 +61,37 @@ NEW_CUSTOMER: FoldState = ([], [], 0, 0, False)
 
 def fold_events(batch: pd.DataFrame, state: FoldState, max_events: int = S.MAX_RECENT_EVENTS) -> tuple[list, FoldState]:
     """Features of each event of a batch sorted by (_us, transaction_id), from the events strictly before its instant,
-    and the state with the batch folded in. Money stays exact: integer cents."""
+    and the state with the batch folded in. Money stays exact: integer cents. The kept events stay sorted by time, so
+    an event finds its windows by bisection."""
     rec_us, rec_amt, psum, pcnt, trunc = state
-    rec_us, rec_amt = list(rec_us), list(rec_amt)
-    out = []
-    for now, same in batch.groupby("_us", sort=False):  # every event of an instant sees the state before it
-        now, new = int(now), [int(c) for c in same["_cents"]]
-        us = np.asarray(rec_us, dtype=np.int64)
-        am = np.asarray(rec_amt, dtype=np.int64)
-        el = now - us
-        in1, in24 = (el > 0) & (el < H_US), (el > 0) & (el < D_US)
-        past = us[el > 0]
-        prev = (now - int(past.max())) / 1e6 if past.size else S.NO_PRIOR_TRANSACTION
+    order = sorted(range(len(rec_us)), key=rec_us.__getitem__)
+    us, am = [rec_us[i] for i in order], [rec_amt[i] for i in order]
+    times, cents = batch["_us"].tolist(), batch["_cents"].tolist()
+    out, at = [], 0
+    while at < len(times):  # every event of an instant sees the state before it
+        now, end = int(times[at]), at + 1
+        while end < len(times) and times[end] == now:
+            end += 1
+        new = [int(c) for c in cents[at:end]]
+        at = end
+        past = bisect_left(us, now)
+        in1, in24 = past - bisect_right(us, now - H_US), past - bisect_right(us, now - D_US)
+        prev = (now - us[past - 1]) / 1e6 if past else S.NO_PRIOR_TRANSACTION
         # an event that comes late must not see kept events at its instant or after it
-        count, total = pcnt - int((el <= 0).sum()), psum - int(am[el <= 0].sum())
-        for cents in new:
-            amt = cents / 100
+        count, total = pcnt - (len(us) - past), psum - sum(am[past:])
+        in24_sum = sum(am[past - in24:past])
+        for c in new:
+            amt = c / 100
             mean = (total / 100) / count if count > 0 else amt
             ratio = amt / mean if mean > 0 else 1.0
-            out.append((prev, int(in1.sum()) + 1, int(in24.sum()) + 1, (int(am[in24].sum()) + cents) / 100, mean,
-                        ratio, count == 0))
-        rec_us += [now] * len(new)
-        rec_amt += new
+            out.append((prev, in1 + 1, in24 + 1, (in24_sum + c) / 100, mean, ratio, count == 0))
+        after = bisect_right(us, now)
+        us[after:after], am[after:after] = [now] * len(new), new
         psum, pcnt = psum + sum(new), pcnt + len(new)
-        if len(rec_us) > max_events:
-            order = np.argsort(np.asarray(rec_us), kind="stable")[-max_events:]
-            rec_us = [rec_us[i] for i in order]
-            rec_amt = [rec_amt[i] for i in order]
+        if len(us) > max_events:
+            del us[:-max_events], am[:-max_events]
             trunc = True
-    return out, (rec_us, rec_amt, psum, pcnt, trunc)
+    return out, (us, am, psum, pcnt, trunc)
 
 
 def fold_customer(key, pdfs: Iterator[pd.DataFrame], state, max_events: int = S.MAX_RECENT_EVENTS):

@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from fraudspark import schema as S
 from fraudspark.operators import state as ST
 from fraudspark.sources.tables import scratch_path
 from fraudspark.streaming import events as EV
+from fraudspark.streaming import scoring as SC
 
 START = dt.datetime(2024, 1, 1)
 FEATURES = ["txn_count_1h", "txn_count_24h", "amount_sum_24h", "seconds_since_prev_txn", "customer_amount_mean_prior"]
@@ -85,3 +87,60 @@ def test_state_is_bounded(spark):
     assert len(r["recent_us"]) == S.MAX_RECENT_EVENTS and r["truncated"] and r["prior_count"] == len(rows)
     seen = spark.read.format("statestore").option("path", ck).option("stateVarName", "seen").load()
     assert 0 < seen.count() <= 61  # ids of the last hour
+
+
+class Value:
+    """A value of the state that counts how often it is asked for or written."""
+
+    calls, held = 0, None
+
+    def exists(self):
+        Value.calls += 1
+        return self.held is not None
+
+    def get(self):
+        Value.calls += 1
+        return self.held
+
+    def update(self, value):
+        Value.calls += 1
+        self.held = value
+
+
+class Handle:
+    def getValueState(self, name, schema):
+        return Value()
+
+
+def test_the_state_is_read_and_written_once_a_batch():
+    made = EV.CustomerEvents(3600 * 1_000_000, ["transaction_id", EV.MICROS, EV.CENTS, "status"])
+    made.init(Handle())
+    for n, again in ((300, 0), (400, 1)):
+        ids = [0, *range(n)] if again else list(range(n))
+        batch = pd.DataFrame({"transaction_id": ids, EV.MICROS: [i * 1_000_000 for i in ids], EV.CENTS: [i + 1 for i in ids]})
+        Value.calls = 0
+        out = pd.concat(made.handleInputRows(("c1",), iter([batch]), None))
+        assert len(out) == len(ids) and Value.calls <= 6
+        assert (out["status"] == "duplicate").sum() == (301 if again else 0)
+    assert made.customer.get()[3] == 400 and len(made.seen.get()[0]) == 400
+    later = pd.DataFrame({"transaction_id": [400], EV.MICROS: [3800 * 1_000_000], EV.CENTS: [1]})
+    list(made.handleInputRows(("c1",), iter([later]), None))
+    assert len(made.seen.get()[0]) == 201  # ids of the last hour
+
+
+def test_a_fold_equals_the_plain_rule_for_late_and_equal_times():
+    day = 24 * 3600 * 1_000_000
+    us = sorted([0, 5, 5, 5, day - 1, day, day + 5, day + 5, 2 * day, *range(day + 7, day + 900, 31)])
+    batch = pd.DataFrame({"_us": us, "_cents": [i % 13 + 1 for i in range(len(us))]})
+    known = ([day + 9, 3, day + 9, 2 * day + 1], [100, 200, 300, 400], 5000, 40, False)
+    rows, (times, cents, total, count, cut) = SC.fold_events(batch, known, 10_000)
+    for i, (at, own) in enumerate(zip(us, batch["_cents"], strict=True)):
+        before = [*zip(known[0], known[1]), *zip(us[:i], batch["_cents"])]
+        near = [(t, c) for t, c in before if 0 < at - t < day]
+        later = [c for t, c in zip(known[0], known[1]) if t >= at]
+        n = known[3] + sum(t < at for t in us[:i]) - len(later)
+        assert rows[i][1] == 1 + sum(at - t < day // 24 for t, _ in near) and rows[i][2] == 1 + len(near)
+        assert rows[i][3] == (sum(c for _, c in near) + own) / 100
+        spent = known[2] + sum(c for t, c in zip(us[:i], batch["_cents"]) if t < at) - sum(later)
+        assert abs(rows[i][4] - spent / 100 / n) < 1e-9
+    assert times == sorted([*known[0], *us]) and (count, total, cut) == (40 + len(us), 5000 + batch["_cents"].sum(), False)

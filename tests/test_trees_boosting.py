@@ -65,6 +65,42 @@ def test_attributions_are_shapley_values_of_the_trees():
             assert abs(phi[i, f] - want) < 1e-9
 
 
+def full_nodes(rng, trees, depth, features):
+    rows, n = [], 2 ** depth - 1
+    for t in range(trees):
+        cover = [1000.0]
+        for i in range(2 * n + 1):
+            if i < n:
+                left = cover[i] * rng.uniform(0.2, 0.8)
+                cover += [left, cover[i] - left]
+                rows.append((t, i, int(rng.integers(features)), float(rng.normal()), 2 * i + 1, 2 * i + 2, 0.0, cover[i]))
+            else:
+                rows.append((t, i, -1, 0.0, -1, -1, float(rng.normal()), cover[i]))
+    return pd.DataFrame(rows, columns=TR.NODE_SCHEMA.names)
+
+
+@pytest.mark.parametrize("depth", [6, 10])
+def test_attributions_of_full_trees_look_up_a_line_for_many_leaves(depth):
+    """A tree of the variants' depth has 64 leaves in at most 16 tables; leaves that are too deep keep their own."""
+    rng = np.random.default_rng(11)
+    e = TR.Ensemble(full_nodes(rng, 2, depth, 5))
+    trees = e.paths()[0]
+    assert all(len(t.blocks) <= 16 and len(t.leaves) == (0 if depth == 6 else 1024) for t in trees)
+    x = rng.normal(size=(5, 7))
+    x[0, 0], x[1, 1], x[2, 2] = np.nan, np.inf, e.threshold[e.feature == 2][0]
+    phi = e.attributions(x)
+    assert np.allclose(phi.sum(axis=1) + e.base_value, e.margins(x), atol=1e-9) and not phi[:, 5:].any()
+    for i, row in enumerate(x[:2] if depth == 10 else x):
+        def total(known):
+            return sum(expected(e.nodes, t, row, known) for t in range(2))
+
+        values = {s: total(set(s)) for k in range(6) for s in itertools.combinations(range(5), k)}
+        for f in range(5):
+            want = sum(math.factorial(len(s)) * math.factorial(4 - len(s)) / 120
+                       * (values[tuple(sorted((*s, f)))] - values[s]) for s in values if f not in s)
+            assert abs(phi[i, f] - want) < 1e-9
+
+
 def test_missing_values_go_right_and_bad_tables_are_rejected():
     nodes = pd.DataFrame([(0, 0, 0, 1.0, 1, 2, 0.0, 4.0), (0, 1, -1, 0.0, -1, -1, -1.0, 1.0),
                           (0, 2, -1, 0.0, -1, -1, 1.0, 3.0)], columns=TR.NODE_SCHEMA.names)
@@ -190,6 +226,26 @@ def test_trees_do_not_depend_on_how_rows_are_dealt(spark, training):
     assert a.nodes.equals(b.nodes)
 
 
+def test_subtrees_grow_in_tasks_of_their_own(spark, training, monkeypatch):
+    """Small samples: one job for the root's histogram and one for all below it, and the same trees as level by level."""
+    jobs, sums, below = [], B._histograms, B._subtrees
+    monkeypatch.setattr(B, "_histograms", lambda *a: jobs.append("level") or sums(*a))
+    monkeypatch.setattr(B, "_subtrees", lambda *a: jobs.append("subtrees") or below(*a))
+    plan = {"n_trees": 3, "max_leaves": 12, "min_rows": 5, "least_rows": 100, "colsample": 0.67}
+
+    def fitted(**more):
+        jobs.clear()
+        return B.fit(training[1], ["a", "b", "c"], B.Growth(**plan, **more)).nodes
+
+    moved = fitted()
+    assert jobs == ["level", "subtrees"] * 3
+    by_level = fitted(rows_moved=100)
+    assert jobs.count("subtrees") == 0 and jobs.count("level") > 9
+    later = fitted(rows_per_subtree=350)
+    assert jobs.count("level") > 3 and 0 < jobs.count("subtrees") <= 3
+    assert moved.equals(by_level) and moved.equals(later) and (moved.groupby("tree").size() > 15).all()
+
+
 def test_a_fit_uses_every_core(spark, training, monkeypatch):
     tasks, sums = [], B._histograms
 

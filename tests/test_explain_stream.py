@@ -256,6 +256,20 @@ def test_model_queries_fit_the_whole_ensemble(spark, monkeypatch, name):
     assert seen.value.args == (300,) == (MO.SHARED["n_estimators"],)
 
 
+def test_variants_are_fitted_side_by_side(spark, monkeypatch):
+    import threading
+
+    both = threading.Barrier(len(MO.VARIANTS), timeout=20)
+
+    def fit(train, variant, *, scale_pos_weight, n_estimators=None):
+        both.wait()
+        return variant, train.count(), scale_pos_weight, n_estimators
+
+    monkeypatch.setattr(MO, "fit_variant", fit)
+    got = MO.fit_variants(spark.range(3), scale_pos_weight=2.0, n_estimators=4)
+    assert list(got) == list(MO.VARIANTS) and got == {v: (v, 3, 2.0, 4) for v in MO.VARIANTS}
+
+
 @pytest.mark.parametrize("sample_rows", [None, 100])
 def test_shift_of_explanations_takes_all_current_rows(spark, monkeypatch, sample_rows):
     from fraudspark.plans import jobs as JB

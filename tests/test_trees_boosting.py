@@ -259,6 +259,47 @@ def test_a_fit_uses_every_core(spark, training, monkeypatch):
     assert set(tasks) == {(want, want)}
 
 
+@pytest.mark.parametrize("skew", [0.02, 0.5, 0.98])
+def test_only_the_smaller_child_of_a_split_is_summed(skew):
+    rng = np.random.default_rng(3)
+    bins = np.where(rng.random((3000, 3)) < skew, rng.integers(0, 4, (3000, 3)), rng.integers(4, 8, (3000, 3))).astype(np.uint8)
+    sums = tuple(np.rint(v * B.SCALE) for v in (rng.normal(size=3000) + bins[:, 0] + (bins[:, 1] > 4), np.ones(3000)))
+    used, plan, summed = np.arange(3), B.Growth(min_rows=5, max_depth=4), []
+
+    def hists(nodes, asked):
+        at = B.Splits.of(nodes).descend(bins)
+        parent = {c: n for n in nodes if n.left >= 0 for c in (n.left, n.right)}
+        summed.extend((sum(at == c), parent[c].total[2]) for c in asked)
+        return B.histogram(bins, B._slots(nodes, asked)[at], len(asked), sums, 8, used)
+
+    nodes = B.split_all(B.histogram(bins, np.zeros(3000, int), 1, sums, 8, used)[0], used, plan, hists)
+    assert len(summed) > 3 and all(2 * rows <= of for rows, of in summed)
+    at = B.Splits.of(nodes).descend(bins)
+    assert all(n.total.tolist() == [s[at == i].sum() for s in (*sums, np.ones(3000))]
+               for i, n in enumerate(nodes) if n.left < 0)
+
+
+def test_rows_reach_their_block_as_a_few_columns_of_bytes(spark, training):
+    df, frame = training
+    rows = B.binned(frame, ["a", "b", "c"], [np.array([0.0, 1.0])] * 3, "transaction_id").toArrow()
+    packed = [r for b in B._packed(iter(rows.to_batches(100))) for r in b.to_pylist()]
+    assert len(packed) <= 14
+    (block,) = B._blocks((tuple(r.values()) for r in packed), 3, 0.5)
+    assert block.key.tolist() == rows["key"].to_pylist() and block.label.tolist() == df["label"].tolist()
+    assert block.weight.tolist() == df["weight"].tolist() and block.margin.tolist() == [0.5] * 700
+    assert block.bins.tolist() == [list(r) for r in rows["bins"].to_pylist()]
+    assert not list(B._blocks(iter([]), 3, 0.5))
+
+
+def test_small_samples_take_few_tasks(spark, training, monkeypatch):
+    """A task's rows are summed sooner than a task starts, so it gets up to 100 000 of them."""
+    tasks, sums = [], B._histograms
+    monkeypatch.setattr(B, "_histograms", lambda data, n_parts, *rest: tasks.append(n_parts) or sums(data, n_parts, *rest))
+    many = training[1].crossJoin(spark.range(20)).withColumn("transaction_id", F.col("id") * 1000 + F.col("transaction_id"))
+    B.fit(many, ["a", "b", "c"], B.Growth(n_trees=1, max_leaves=3))
+    assert set(tasks) == {1}
+
+
 def test_fit_needs_both_classes(spark, training):
     _, frame = training
     for rows in (frame.filter("label = 1"), frame.limit(0)):

@@ -63,10 +63,14 @@ def fold_events(batch: pd.DataFrame, state: FoldState, max_events: int = S.MAX_R
     """Features of each event of a batch sorted by (_us, transaction_id), from the events strictly before its instant,
     and the state with the batch folded in. Money stays exact: integer cents. The kept events stay sorted by time, so
     an event finds its windows by bisection."""
+    return folded(batch["_us"].tolist(), batch["_cents"].tolist(), state, max_events)
+
+
+def folded(times: list[int], cents: list[int], state: FoldState, max_events: int = S.MAX_RECENT_EVENTS) -> tuple[list, FoldState]:
+    """`fold_events` of the events at these times, of these amounts."""
     rec_us, rec_amt, psum, pcnt, trunc = state
     order = sorted(range(len(rec_us)), key=rec_us.__getitem__)
     us, am = [rec_us[i] for i in order], [rec_amt[i] for i in order]
-    times, cents = batch["_us"].tolist(), batch["_cents"].tolist()
     out, at = [], 0
     while at < len(times):  # every event of an instant sees the state before it
         now, end = int(times[at]), at + 1

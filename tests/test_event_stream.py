@@ -128,6 +128,42 @@ def test_the_state_is_read_and_written_once_a_batch():
     assert len(made.seen.get()[0]) == 201  # ids of the last hour
 
 
+def test_a_customers_batch_takes_four_calls_and_one_frame(spark):
+    made = EV.CustomerEvents(3600 * 1_000_000, ["transaction_id", "status", *EV.STATE_FEATURES, "new_customer"])
+    made.init(Handle())
+    start = pd.DataFrame([{"recent_us": [5], "recent_cents": [100], "prior_cents": 100, "prior_count": 1, "truncated": False,
+                           "newest_us": 7200 * 1_000_000}])
+    made.handleInitialState(("c1",), start, None)
+    batch = pd.DataFrame({"transaction_id": ["b", "a", "late", "a"], EV.MICROS: [8000 * 1_000_000] * 2 + [9, 8001 * 1_000_000],
+                          EV.CENTS: [1, 2, 3, 4]})
+    Value.calls = 0
+    (out,) = made.handleInputRows(("c1",), iter([batch]), None)
+    assert Value.calls <= 4
+    assert list(zip(out["transaction_id"], out["status"])) == [
+        ("late", "late"), ("a", "accepted"), ("b", "accepted"), ("a", "duplicate")]
+    assert out["txn_count_1h"].tolist() == [None, 1, 1, None] and made.customer.get()[3] == 3
+
+
+def test_values_pass_the_stream_unchanged(spark):
+    """Columns that the fold does not read go to the workers as one, and come back as they were."""
+    more = ", weight double, part float, day date, small smallint, tags array<string>, pair struct<a:int,b:string>"
+    rows = [(*event(i, f"c{i % 2}", i), w, w, d, n, t, p) for i, (w, d, n, t, p) in enumerate([
+        (0.1, dt.date(1890, 2, 3), 3, ["a,\"b", None], (1, "x")), (None, None, None, None, None),
+        (-1e300, dt.date(2024, 2, 29), -5, [], (None, "\n\u00e9")), (1 / 3, dt.date(9999, 1, 1), 0, [""], (2, None))])]
+    rows[1] = (*rows[1][:1], "c\"\\1", rows[1][2].replace(microsecond=123456), Decimal("123456789012345.67"), None, *rows[1][5:])
+    frame, (path, sink, ck) = spark.createDataFrame(rows, RAW_DDL + more), (scratch_path(spark, n) for n in ("a", "s", "c"))
+    frame.write.parquet(path)
+    stream = spark.readStream.schema(frame.schema).parquet(path)
+    made = EV.event_rows(stream, contract=False)
+    sent = made._jdf.queryExecution().analyzed().toString().split("TransformWithState")[1].split("Project")[1]
+    assert "merchant_category#" not in sent.split("\n")[0] and EV.PACKED in sent
+    EV.run_events(stream, sink, ck, contract=False)
+    back = spark.read.parquet(sink)
+    assert [(f.name, f.dataType) for f in back.select(*frame.columns).schema] == [(f.name, f.dataType) for f in frame.schema]
+    assert back.select(*frame.columns).orderBy("transaction_id").collect() == frame.orderBy("transaction_id").collect()
+    assert {tuple(r["reasons"]) for r in back.collect()} == {()} and back.columns[:10] == frame.columns[:10]
+
+
 def test_a_fold_equals_the_plain_rule_for_late_and_equal_times():
     day = 24 * 3600 * 1_000_000
     us = sorted([0, 5, 5, 5, day - 1, day, day + 5, day + 5, 2 * day, *range(day + 7, day + 900, 31)])

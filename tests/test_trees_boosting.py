@@ -305,3 +305,38 @@ def test_fit_needs_both_classes(spark, training):
     for rows in (frame.filter("label = 1"), frame.limit(0)):
         with pytest.raises(ValueError):
             B.fit(rows, ["a", "b", "c"], B.Growth(n_trees=1))
+
+
+def test_a_level_reads_the_sample_alone_and_sums_small_features_together():
+    rng = np.random.default_rng(5)
+    n, sizes = 5000, [7, 200, 2, 24, 255, 3]
+    bins = np.stack([rng.integers(0, s, n) for s in sizes], axis=1).astype(np.uint8)
+    groups = B.together(sizes)
+    assert groups == [(2, 5, 0, 3)] and not B.together([255, 100])
+    rows = B.Rows(rng.integers(-2**62, 2**62, n), rng.integers(0, 2, n).astype(float), np.full(n, 2.5), bins,
+                  rng.normal(size=n), B.coded(bins, sizes))
+    plan, used = B.Growth(), np.array([0, 1, 2, 3, 5])
+    sample = rows.for_tree(3, plan)
+    on = B.sampled(rows.key, 3, plan)
+    assert 0 < on.sum() < n and (sample.bins == bins[on]).all() and not hasattr(sample, "key")
+    want = B.gradients(rows.margin[on], rows.label[on], rows.weight[on])
+    assert all((s == w).all() and s.dtype == np.int32 for s, w in zip(sample.sums, want, strict=True))
+    slot = rng.integers(-1, 3, len(sample.bins))
+    for k in (0, 2):  # with rows enough for codes, and without
+        some = sample if not k else sample.of(np.arange(400))
+        at = slot[:len(some.bins)]
+        got = some.histogram(at, 3, 256, used)
+        for f in range(len(sizes)):
+            for s, w in enumerate((*some.sums, np.ones(len(at)))):
+                cell = np.zeros((3, 256))
+                np.add.at(cell, (at[at >= 0], some.bins[at >= 0, f]), w[at >= 0])
+                assert (got[:, f, :, s] == (cell if f in used else 0)).all()
+    heavy = B.Rows(rows.key, rows.label, np.full(n, 500.0), bins, rows.margin).for_tree(3, plan)
+    assert heavy.sums[0].dtype == np.float64  # too great for four bytes
+
+
+def test_blocks_take_several_trees_at_once(spark, training):
+    """The values of the trees since a block was held come in one after the other, whatever hold_every is."""
+    plans = [B.Growth(n_trees=7, max_leaves=5, min_rows=5, hold_every=h, write_every=w) for h, w in ((1, 1), (3, 4), (50, 50))]
+    one, *others = (B.fit(training[1], ["a", "b", "c"], p).nodes for p in plans)
+    assert all(one.equals(o) for o in others)
